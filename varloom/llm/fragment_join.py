@@ -82,7 +82,9 @@ _TABLE = np.ones(1, dtype=np.uint64)
 def _powers(n: int) -> np.ndarray:
     global _TABLE
     if len(_TABLE) < n:
-        _TABLE = np.cumprod(np.concatenate([[1], np.full(max(n, 256), _POWER | np.uint64(1), dtype=np.uint64)]).astype(np.uint64))
+        steps = np.full(max(n, 256), _POWER, dtype=np.uint64)
+        steps[0] = 1
+        _TABLE = np.cumprod(steps, dtype=np.uint64)
     return _TABLE
 
 
@@ -223,7 +225,7 @@ class Threshold:
 
     def least(self, n: Column) -> Column:
         """ceil(t n): the overlap that a set of n needs with any partner."""
-        return F.expr("0") + F.floor((n * self.num + self.den - 1) / self.den)
+        return F.floor((n * self.num + self.den - 1) / self.den)
 
     def overlap(self, a: Column, b: Column) -> Column:
         """ceil(t / (1 + t) (a + b))."""
