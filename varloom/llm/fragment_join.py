@@ -3,9 +3,9 @@
 The order of all n-grams is cut into fragments: ranges of the n-grams' 64-bit hashes.
 
 1. Which n-grams are shared.  Every document's hashes are dealt to fragments, packed, with four bytes
-   each.  A fragment is one task: it finds the hashes that stand in two documents and counts them for
-   each document.  A document that links with any other shares at least the threshold of its n-grams, so
-   only documents whose counts, summed over fragments, reach that go on (``survivors``).
+   each.  A fragment is one task: it finds the hashes that stand in two different sets and counts them for
+   each set.  A set that links with another shares at least the threshold of its n-grams, so
+   only sets whose counts, summed over fragments, reach that go on (``survivors``).
 2. Documents with one set are a class, and its smallest id speaks for it.
 3. Candidates.  n-grams are ordered from rare to frequent; a linked pair shares an n-gram within both
    prefixes, at positions that leave enough overlap.  In each n-gram's list all are first compared with
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, table
 
 #: Hashes that one fragment task holds, and bytes of text worked on at once.
-FRAGMENT, BLOCK = 3_000_000, 1 << 23
+FRAGMENT, BLOCK = 3_000_000, 1 << 21
 #: Fragments in which overlaps are counted separately, and 64-bit words of a parity sketch.
 PARTS, SKETCH = 4, 8
 
@@ -53,27 +53,20 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash for each word, in order."""
-    x = np.frombuffer(raw, dtype=np.uint8)
-    if not len(x):
-        return np.zeros(0, dtype=np.uint64)
-    gap = _SEPARATOR[x]
-    edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-    starts = edge[~gap[edge]]
-    ends = edge[gap[edge]]
-    if not gap[0]:
-        starts = np.concatenate([[0], starts])
-    if not gap[-1]:
-        ends = np.concatenate([ends, [len(x)]])
+def word_hashes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit hash, the offset) of each word of the bytes ``x``, in order."""
+    gap = np.ones(len(x) + 2, dtype=bool)
+    gap[1:-1] = _SEPARATOR[x]
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, lengths = edges[::2], (edges[1::2] - edges[::2]).astype(np.int32)
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    powers = _powers(int((ends - starts).max()))
-    body = x[~gap]  # words one after the other
-    lengths = ends - starts
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    position = np.arange(len(body)) - np.repeat(first, lengths)
-    return _mix(np.add.reduceat(_BYTE[body] * powers[position], first) + lengths.astype(np.uint64) * _POWER)
+        return np.zeros(0, dtype=np.uint64), starts
+    first = np.zeros(len(starts), dtype=np.int32)
+    np.cumsum(lengths[:-1], out=first[1:])
+    body = x[~gap[1:-1]]  # words one after the other
+    position = np.arange(len(body), dtype=np.int32) - np.repeat(first, lengths)
+    sums = np.add.reduceat(_BYTE[body] * _powers(int(lengths.max()))[position], first)
+    return _mix(sums + lengths.astype(np.uint64) * _POWER), starts
 
 
 _TABLE = np.ones(1, dtype=np.uint64)
@@ -88,32 +81,53 @@ def _powers(n: int) -> np.ndarray:
     return _TABLE
 
 
-def shingles(raw: bytes, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-word shingles; of all words if there are fewer."""
-    w = word_hashes(raw)
-    if not len(w):
-        return w
-    k = min(n, len(w))
-    h = np.zeros(len(w) - k + 1, dtype=np.uint64)
+def _windows(w: np.ndarray, k: int) -> np.ndarray:
+    h = np.zeros(max(0, len(w) - k + 1), dtype=np.uint64)
     for j in range(k):
         h = _mix(h * _POWER + w[j : j + len(h)] + np.uint64(j + 1))
-    return np.unique(h + np.uint64(k))
+    return h + np.uint64(k)
+
+
+def shingle_sets(raws: list[bytes], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sizes): the distinct 64-bit hashes of each text's n-word shingles, ascending, text after
+    text; a text of fewer words has all of them as one."""
+    begins = np.cumsum([0, *(len(x) + 1 for x in raws)])
+    w, starts = word_hashes(np.frombuffer(b" ".join(raws), dtype=np.uint8))
+    owner = np.searchsorted(begins, starts, side="right") - 1
+    bounds = np.searchsorted(owner, np.arange(len(raws) + 1))
+    h, whose = _windows(w, n), owner[: max(0, len(w) - n + 1)]
+    inside = whose == owner[n - 1 :]
+    h, whose = h[inside], whose[inside]
+    short = np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < n))
+    if len(short):
+        h = np.concatenate([h, *(_windows(w[bounds[i] : bounds[i + 1]], bounds[i + 1] - bounds[i]) for i in short)])
+        whose = np.concatenate([whose, short])
+    order = np.argsort(h)
+    order = order[np.argsort(whose[order].astype(np.uint16 if len(raws) < 1 << 16 else np.uint32), kind="stable")]
+    h, whose = h[order], whose[order]
+    head = np.ones(len(h), dtype=bool)
+    head[1:] = (h[1:] != h[:-1]) | (whose[1:] != whose[:-1])
+    return h[head], np.bincount(whose[head], minlength=len(raws))
 
 
-def _signature(h: np.ndarray) -> bytes:
-    """128 bits that tell sets apart."""
-    if not len(h):
-        return b""
-    return np.array([h.sum(), np.bitwise_xor.reduce(_mix(h + _POWER)), _mix(h ^ _POWER).sum()], dtype=np.uint64).tobytes()[:24]
+def shingles(raw: bytes, n: int = 5) -> np.ndarray:
+    return shingle_sets([raw], n)[0]
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def signatures(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Three 64-bit words for each set that tell sets apart; zeros for the empty one."""
+    out = np.zeros((len(sizes), 3), dtype=np.uint64)
+    full = sizes > 0
+    if len(flat):
+        at = (np.cumsum(sizes) - sizes)[full]
+        out[full, 0] = np.add.reduceat(_mix(flat), at)
+        out[full, 1] = np.add.reduceat(_mix(flat ^ _POWER), at)
+        out[full, 2] = np.bitwise_xor.reduceat(_mix(flat + _POWER), at)
+    return out
 
 
-def _key(h: np.ndarray) -> int:
-    """64 bits that stand for a set where its documents' counts are summed."""
-    return int(np.frombuffer(_signature(h)[:8] or b"\0" * 8, dtype=np.int64)[0])
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
 def _residue(h: np.ndarray) -> np.ndarray:
@@ -122,49 +136,54 @@ def _residue(h: np.ndarray) -> np.ndarray:
     return (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype("<u4")
 
 
-_PACKED = "fragment int, id long, key long, n long, shared long, keys binary, counts binary, hashes binary"
+_PACKED = "fragment int, id long, sig binary, key long, n long, own long, shared long, keys binary, counts binary, hashes binary"
 _NAMES = [x.split()[0] for x in _PACKED.split(", ")]
 
 
 def _packed(source: DataFrame, fragments: int, n: int) -> DataFrame:
-    """For each document a row (id, key, n, shared); for each fragment and block of documents a row
+    """For each document a row (id, sig, key, n, own, shared); for each fragment and block of documents a row
     (fragment, keys, counts, hashes).
 
-    A hash that stands in two documents of a block is known to be shared: the documents' ``shared`` counts
-    it, and the block sends it once, at the end of ``hashes`` and without owner.  Of the others, the first
-    counts[0] are of the document keys[0], and so on.  So a hash of very many documents is sent once for each
-    block and not for each document.
+    sig stands for the document's set, and key in 64 bits.  Of the documents of a block with one set, one speaks: its ``own``
+    is n and its hashes are sent; the others' is 0.  A hash that stands in two sets of a block is known to
+    be shared: ``shared`` counts it, and the block sends it once, at the end of ``hashes`` and without
+    owner, so that a hash of very many documents is sent once for each block.  Of the other hashes, the
+    first counts[0] are of the set keys[0], and so on.
     """
 
     def block(ids: pa.Array, raws: list[bytes]):
-        sets = [shingles(x, n) for x in raws]
-        keys = np.array([_key(s) for s in sets], dtype=np.int64)
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        order = np.argsort(flat, kind="stable")
+        flat, sizes = shingle_sets(raws, n)
+        sig = signatures(flat, sizes)
+        keys = sig[:, 0].copy().view(np.int64)
+        _, speaks = np.unique(keys, return_index=True)
+        mine = np.zeros(len(raws), dtype=bool)
+        mine[speaks] = True
+        owner = np.repeat(np.arange(len(raws), dtype=np.uint32), sizes)
+        sent = mine[owner]
+        flat, owner = flat[sent], owner[sent]
+        order = np.argsort(flat)
         flat, owner = flat[order], owner[order]
         head = np.ones(len(flat), dtype=bool)
         head[1:] = flat[1:] != flat[:-1]
         several = ~head
         several[:-1] |= ~head[1:]
-        shared = np.bincount(owner[several], minlength=len(sets))
-        none = pa.nulls(len(sets), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(sets), pa.int32()), ids, pa.array(keys), pa.array(sizes), pa.array(shared, pa.int64()), none, none, none], _NAMES)
-        owner = np.where(several, len(sets), owner)[head]
-        flat = flat[head]
+        shared = np.bincount(owner[several], minlength=len(raws))
+        none = pa.nulls(len(raws), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(raws), pa.int32()), ids, pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(keys), pa.array(sizes, pa.int64()), pa.array(np.where(mine, sizes, 0), pa.int64()), pa.array(shared, pa.int64()), none, none, none], _NAMES)
+        owner = np.where(several, len(raws), owner)[head]
+        flat = flat[head]  # ascending, so fragments are ranges
         part = ((flat >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((owner, part))
-        flat, owner, part = flat[order], owner[order], part[order]
         cuts = np.concatenate([np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]])
         rows: list[list] = [[], [], [], []]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            who, counts = np.unique(owner[a:b], return_counts=True)
-            own = who < len(sets)
-            for column, x in zip(rows, (int(part[a]), keys[who[own]].tobytes(), counts[own].astype("<u4").tobytes(), _residue(flat[a:b]).tobytes()), strict=True):
+            order = np.argsort(owner[a:b], kind="stable")
+            counts = np.bincount(owner[a:b], minlength=len(raws))[: len(raws)]
+            who = np.flatnonzero(counts)
+            for column, x in zip(rows, (int(part[a]), keys[who].tobytes(), counts[who].astype("<u4").tobytes(), _residue(flat[a:b][order]).tobytes()), strict=True):
                 column.append(x)
         if rows[0]:
             blank = pa.nulls(len(rows[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), blank, blank, blank, blank, *(pa.array(x, pa.binary()) for x in rows[1:])], _NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), blank, pa.nulls(len(rows[0]), pa.binary()), *[blank] * 4, *(pa.array(x, pa.binary()) for x in rows[1:])], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -176,29 +195,37 @@ def _packed(source: DataFrame, fragments: int, n: int) -> DataFrame:
 
 
 def _count_shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One fragment: how many hashes of each document stand in another block too."""
+    """One fragment: how many hashes of each set stand in another set too."""
     hashes = np.concatenate([np.frombuffer(x, dtype="<u4") for x in pdf["hashes"]])
-    _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    again = np.append(np.cumsum(times[inverse] > 1), 0)
-    keys, totals, at = [], [], 0
-    for k, c, h in zip(pdf["keys"], pdf["counts"], pdf["hashes"], strict=True):
-        counts = np.frombuffer(c, dtype="<u4").astype(np.int64)
-        ends = at + np.cumsum(counts)
-        keys.append(np.frombuffer(k, dtype=np.int64))
-        totals.append(again[ends - 1] - again[ends - counts - 1])  # again[-1] is 0: nothing before the first
-        at += len(h) // 4
-    out = pd.DataFrame({"key": np.concatenate(keys), "shared": np.concatenate(totals)})
-    return out[out["shared"] > 0].groupby("key", as_index=False).sum()
-
-
-def _sketch(h: np.ndarray) -> list[int]:
-    """Parities of the set in 64 * SKETCH slots: each element in which two sets differ flips one."""
-    slots = (h * np.uint64(0xA24BAED4963EE407) >> np.uint64(40)).astype(np.int64) % (64 * SKETCH)
-    return np.packbits(np.bincount(slots, minlength=64 * SKETCH).astype(np.uint8) & 1).view(np.int64).tolist()
+    keys = [np.frombuffer(x, dtype=np.int64) for x in pdf["keys"]]
+    counts = [np.frombuffer(x, dtype="<u4") for x in pdf["counts"]]
+    # Number the sets from 1; 0 is no owner.
+    names, number = np.unique(np.concatenate(keys), return_inverse=True)
+    number, at, owners = number + 1, 0, []
+    for c, h in zip(counts, pdf["hashes"], strict=True):
+        own = np.repeat(number[at : at + len(c)], c)
+        owners += [own, np.zeros(len(h) // 4 - len(own), dtype=own.dtype)]
+        at += len(c)
+    owner = np.concatenate(owners).astype(np.uint32)
+    order = np.argsort(hashes)
+    hashes, owner = hashes[order], owner[order]
+    heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    low, high = np.minimum.reduceat(owner, heads), np.maximum.reduceat(owner, heads)
+    shared = np.repeat((low != high) | (low == 0), np.diff(np.append(heads, len(hashes))))
+    total = np.bincount(owner[shared], minlength=len(names) + 1)[1:]
+    return pd.DataFrame({"key": names[total > 0], "shared": total[total > 0]})
+
+
+def sketches(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Parities of each set in 64 * SKETCH slots: each element in which two sets differ flips one."""
+    width = 64 * SKETCH
+    slots = (flat * np.uint64(0xA24BAED4963EE407) >> np.uint64(40)).astype(np.int64) % width
+    slots += np.repeat(np.arange(len(sizes)) * width, sizes)
+    return np.packbits((np.bincount(slots, minlength=width * len(sizes)) & 1).astype(np.uint8)).view(np.int64).reshape(len(sizes), SKETCH)
 
 
 def _surviving(source: DataFrame, survivors: DataFrame, n: int) -> DataFrame:
-    """id, sig, n, sketch, hashes of the documents whose set may be in ``survivors`` (column key)."""
+    """id, key, sig, n, sketch, hashes of the documents whose set may be in ``survivors`` (column key)."""
     bitmap = source.sparkSession.sparkContext.broadcast(key_bitmap(survivors, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -206,11 +233,13 @@ def _surviving(source: DataFrame, survivors: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             ids, raws = batch.column("id"), as_bytes(batch.column("text"))
             for begin, end in blocks(raws, BLOCK):
-                sets = [shingles(x, n) for x in raws[begin:end]]
-                hit = np.flatnonzero(in_bitmap(bits, np.array([_key(s) for s in sets], dtype=np.int64)) & np.array([len(s) > 0 for s in sets]))
-                took = [sets[i] for i in hit]
+                flat, sizes = shingle_sets(raws[begin:end], n)
+                sig = signatures(flat, sizes)
+                hit = in_bitmap(bits, sig[:, 0]) & (sizes > 0)
+                flat, sig, took, sizes = flat[np.repeat(hit, sizes)], sig[hit], np.flatnonzero(hit), sizes[hit]
+                lists = lambda x, ends: pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(x.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(hit + begin)), pa.array([_key(s) for s in took], pa.int64()), pa.array([_signature(s) for s in took], pa.binary()), pa.array([len(s) for s in took], pa.int64()), pa.array([_sketch(s) for s in took], pa.list_(pa.int64())), pa.array([s.view(np.int64) for s in took], pa.list_(pa.int64()))],
+                    [ids.take(pa.array(took + begin)), pa.array(sig[:, 0].copy().view(np.int64)), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(sizes, pa.int64()), lists(sketches(flat, sizes), np.arange(1, len(sizes) + 1) * SKETCH), lists(flat, np.cumsum(sizes))],
                     ["id", "key", "sig", "n", "sketch", "hashes"],
                 )
 
@@ -295,15 +324,15 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     fragments = max(1, size // 7 // FRAGMENT)
     packed = cut(_packed(source, fragments, n), "packed")
 
-    everyone = packed.filter("fragment is null").select("id", "key", "n", "shared")
+    everyone = packed.filter("fragment is null").select("id", "sig", "key", "n", "own", "shared")
     between = packed.filter("fragment is not null").select("fragment", "keys", "counts", "hashes").groupBy("fragment").applyInPandas(_count_shared, "key long, shared long")
-    # Copies have one key: their counts and sizes are summed alike.
-    sums = everyone.select("key", "n", "shared").unionByName(between.select("key", F.lit(0).cast("long").alias("n"), "shared")).groupBy("key").agg(F.sum("n").alias("n"), F.sum("shared").alias("shared"))
+    none = F.lit(0).cast("long")
+    sums = everyone.select("key", "own", "shared").unionByName(between.select("key", none.alias("own"), "shared")).groupBy("key").agg(F.sum("own").alias("n"), F.sum("shared").alias("shared"))
     survivors = cut(sums.filter((F.col("n") > 0) & (F.col("shared") * t.den >= F.col("n") * t.num)).select("key"), "survivors")
 
     found = cut(_surviving(source, survivors, n), "sets")
     # A class of equal sets goes on as its smallest id; copies in one task meet before the shuffle.
-    classes = cut(found.groupBy("sig").agg(F.min("id").alias("rep"), F.min_by(F.struct("n", "sketch", "hashes"), "id").alias("x")).select("sig", "rep", "x.*"), "classes")
+    classes = cut(found.groupBy("sig").agg(F.min("id").alias("rep"), F.min_by(F.struct("n", "sketch", "hashes"), "id").alias("x")).select("rep", "x.*"), "classes")
 
     # n-grams from rare to frequent; those of one class alone come first and match nothing.
     grams = classes.select("rep", "n", F.explode("hashes").alias("h"))
@@ -343,9 +372,10 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     links = links.unionByName(_links(crossed, classes, t))
     final = cut(components(links), "components")
 
-    of = classes.select("sig", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("comp", "rep").alias("component_id"))
-    placed = found.select("id", "sig", "key").join(of, "sig").select("id", "key", "component_id").distinct()
-    return everyone.join(placed, ["id", "key"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    # Copies that are like no other set are a component by themselves.
+    reps = everyone.filter("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
+    of = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("comp", "rep").alias("component_id"))
+    return everyone.join(of, "sig", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
 def op3_fragment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
