@@ -10,9 +10,9 @@ The order of all n-grams is cut into fragments: ranges of the n-grams' 64-bit ha
 3. Candidates.  n-grams are ordered from rare to frequent; a linked pair shares an n-gram within both
    prefixes, at positions that leave enough overlap.  In each n-gram's list all are first compared with
    one leader.  What is linked is connected; a list whose members are all connected is done.  In the
-   others, the members outside the list's main component are compared with all members of other components,
-   if lengths, positions and 512-bit parity sketches of the sets (their distance bounds the sets'
-   difference from below) leave room.  Large groups of near copies so cost their size, not its square.
+   others, the members outside the list's main component are compared first with some members of that, twice,
+   and at last with all members of other components, if lengths, positions and 512-bit parity sketches of
+   the sets (their distance bounds the sets' difference from below) leave room.  Large groups of near copies so cost their size, not its square.
 4. Verification.  The overlap of each pair is counted separately in each fragment, and summed.
 5. Components by alternating large-star and small-star steps.
 
@@ -36,6 +36,10 @@ from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, table
 
 #: Hashes that one fragment task holds, and bytes of text worked on at once.
 FRAGMENT, BLOCK = 3_000_000, 1 << 21
+#: Sets whose counts one task sums.
+BUCKET = 2000
+#: Members of a list's main component that its other members are compared with first, and how often.
+SCOUTS, SCOUT_ROUNDS = 16, 2
 #: Fragments in which overlaps are counted separately, and 64-bit words of a parity sketch.
 PARTS, SKETCH = 4, 8
 
@@ -194,8 +198,8 @@ def _packed(source: DataFrame, fragments: int, n: int) -> DataFrame:
     return source.mapInArrow(run, _PACKED)
 
 
-def _count_shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One fragment: how many hashes of each set stand in another set too."""
+def _count_shared(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """One fragment: how many hashes of each set stand in another set too, packed by buckets of keys."""
     hashes = np.concatenate([np.frombuffer(x, dtype="<u4") for x in pdf["hashes"]])
     keys = [np.frombuffer(x, dtype=np.int64) for x in pdf["keys"]]
     counts = [np.frombuffer(x, dtype="<u4") for x in pdf["counts"]]
@@ -213,7 +217,29 @@ def _count_shared(pdf: pd.DataFrame) -> pd.DataFrame:
     low, high = np.minimum.reduceat(owner, heads), np.maximum.reduceat(owner, heads)
     shared = np.repeat((low != high) | (low == 0), np.diff(np.append(heads, len(hashes))))
     total = np.bincount(owner[shared], minlength=len(names) + 1)[1:]
-    return pd.DataFrame({"key": names[total > 0], "shared": total[total > 0]})
+    names, total = names[total > 0], total[total > 0]
+    bucket = names % buckets
+    order = np.argsort(bucket, kind="stable")
+    names, total, bucket = names[order], total[order], bucket[order]
+    cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
+    parts = list(zip(cuts[:-1], cuts[1:], strict=True))
+    return pd.DataFrame({"bucket": bucket[cuts[:-1]], "keys": [names[a:b].tobytes() for a, b in parts], "counts": [total[a:b].astype("<u4").tobytes() for a, b in parts]})
+
+
+def _survivors(everyone: DataFrame, between: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
+    """The keys of sets whose n-grams are shared to num / den at least: counts summed over fragments."""
+
+    def total(sets: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
+        sets = sets.sort_values("key", ignore_index=True)
+        key, shared = sets["key"].to_numpy(), sets["shared"].to_numpy(dtype=np.int64, copy=True)
+        for k, c in zip(packed["keys"], packed["counts"], strict=True):
+            shared[np.searchsorted(key, np.frombuffer(k, dtype=np.int64))] += np.frombuffer(c, dtype="<u4")
+        own = sets["own"].to_numpy(dtype=np.int64)
+        return pd.DataFrame({"key": key[(own > 0) & (shared * den >= own * num)]})
+
+    # Every set is in ``everyone``, so its key is found.
+    sets = everyone.groupBy("key").agg(F.sum("own").alias("own"), F.sum("shared").alias("shared")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    return sets.groupBy("bucket").cogroup(between.groupBy("bucket")).applyInPandas(total, "key long")
 
 
 def sketches(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -311,6 +337,20 @@ def _links(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     return partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o")).filter(t.linked(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
+def _member(turn: int) -> Column:
+    """An entry, to be chosen from its list by a hash that differs from turn to turn."""
+    return F.struct(F.xxhash64("rep", F.lit(turn)).alias("x"), "rep", "n", "pos")
+
+
+def _open_lists(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """Entries of the lists whose members are not all connected, with their component and the list's main one."""
+    placed = lists.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    placed = cut(placed, "placed")
+    shares = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
+    mains = shares.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1").select("h", F.col("m.comp").alias("main"))
+    return cut(placed.join(mains, "h"), "open-lists")
+
+
 def _sketches_near(x: Column, y: Column, most: Column) -> Column:
     apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(SKETCH)), F.lit(0))
     return apart <= most
@@ -320,15 +360,13 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     """id, n_shingles, component_id: one row per input row.  Linked: similarity of at least num / den."""
     t = Threshold(num, den)
     source = _source(docs, id_col, text_col)
-    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    fragments = max(1, size // 7 // FRAGMENT)
+    size, rows = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    fragments, buckets = max(1, size // 7 // FRAGMENT), max(1, rows // BUCKET)
     packed = cut(_packed(source, fragments, n), "packed")
 
     everyone = packed.filter("fragment is null").select("id", "sig", "key", "n", "own", "shared")
-    between = packed.filter("fragment is not null").select("fragment", "keys", "counts", "hashes").groupBy("fragment").applyInPandas(_count_shared, "key long, shared long")
-    none = F.lit(0).cast("long")
-    sums = everyone.select("key", "own", "shared").unionByName(between.select("key", none.alias("own"), "shared")).groupBy("key").agg(F.sum("own").alias("n"), F.sum("shared").alias("shared"))
-    survivors = cut(sums.filter((F.col("n") > 0) & (F.col("shared") * t.den >= F.col("n") * t.num)).select("key"), "survivors")
+    between = packed.filter("fragment is not null").select("fragment", "keys", "counts", "hashes").groupBy("fragment").applyInPandas(lambda pdf: _count_shared(pdf, buckets), "bucket long, keys binary, counts binary")
+    survivors = cut(_survivors(everyone, between, buckets, num, den), "survivors")
 
     found = cut(_surviving(source, survivors, n), "sets")
     # A class of equal sets goes on as its smallest id; copies in one task meet before the shuffle.
@@ -345,32 +383,34 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     entries = cut(entries, "entries")
 
     # All of a list against its leader.
-    member = F.struct(F.xxhash64("rep").alias("x"), "rep", "n", "pos")
-    leaders = entries.groupBy("h").agg(F.min(member).alias("l"), F.count("*").alias("c")).filter("c > 1").select("h", F.col("l.rep").alias("l"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp"))
-    leaders = cut(leaders, "leaders")
-    led = entries.join(leaders, "h")
     room = lambda a, i, b, j: t.lengths(F.col(a), F.col(b)) & t.positions(F.col(a), F.col(i), F.col(b), F.col(j))
-    pairs = led.filter((F.col("rep") != F.col("l")) & room("n", "pos", "ln", "lp")).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
-    links = cut(_links(pairs, classes, t), "links-leader")
-    comp = cut(components(links), "components-leader")
-
-    # Lists with members of several components: those outside the main one against the others.
-    of = comp.select(F.col("node").alias("rep"), "comp")
-    placed = entries.join(leaders.select("h"), "h", "left_semi").join(of, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    placed = cut(placed, "placed")
-    shares = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    mains = shares.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1").drop("comps")
-    open_lists = placed.join(mains, "h").join(classes.select("rep", "sketch"), "rep")
-    open_lists = cut(open_lists, "open-lists")
-    stray = open_lists.filter("comp <> main").select("h", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"), F.col("sketch").alias("sa"))
-    other = open_lists.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"), "main", F.col("sketch").alias("sb"))
+    ordered_pair = (F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b"))
+    leaders = entries.groupBy("h").agg(F.min(_member(0)).alias("l"), F.count("*").alias("c")).filter("c > 1").select("h", F.col("l.rep").alias("l"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp"))
+    leaders = cut(leaders, "leaders")
+    pairs = entries.join(leaders, "h").filter((F.col("rep") != F.col("l")) & room("n", "pos", "ln", "lp")).select(*ordered_pair).distinct()
+    links = cut(_links(pairs, classes, t), "links")
+    lists = cut(entries.join(leaders.select("h"), "h", "left_semi"), "lists")
+
+    # The members outside a list's main component against some of that, to connect what is easily
+    # connected; how many are missed here only changes what is left for the last step.
+    for turn in range(1, SCOUT_ROUNDS + 1):
+        lists = _open_lists(lists, cut(components(links), "components"))
+        slot = F.pmod(F.xxhash64("rep", F.lit(-turn)), F.lit(SCOUTS))
+        scouts = lists.filter("comp = main").groupBy("h", slot.alias("slot")).agg(F.min(_member(turn)).alias("l")).select("h", F.col("l.rep").alias("l"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp"))
+        pairs = lists.filter("comp <> main").drop("comp", "main").join(scouts, "h").filter(room("n", "pos", "ln", "lp")).select(*ordered_pair).distinct()
+        links = cut(links.unionByName(_links(pairs, classes, t)), "links")
+        lists = lists.drop("comp", "main")
+
+    # All of them against all members of other components.
+    lists = _open_lists(lists, cut(components(links), "components"))
+    lists = cut(lists.join(classes.select("rep", "sketch"), "rep"), "open-lists")
+    stray = lists.filter("comp <> main").select("h", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"), F.col("sketch").alias("sa")).alias("s")
+    other = lists.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"), "main", F.col("sketch").alias("sb")).alias("o")
     # Two strays meet once: the one with the smaller id compares.
     meets = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
     meets &= room("na", "pa", "nb", "pb") & _sketches_near(F.col("sa"), F.col("sb"), t.differ(F.col("na"), F.col("nb")))
-    left, right = stray.alias("s"), other.alias("o")
-    crossed = left.join(right, (F.col("s.h") == F.col("o.h")) & meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.unionByName(_links(crossed, classes, t))
-    final = cut(components(links), "components")
+    crossed = stray.join(other, (F.col("s.h") == F.col("o.h")) & meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    final = cut(components(cut(links.unionByName(_links(crossed, classes, t)), "links")), "components")
 
     # Copies that are like no other set are a component by themselves.
     reps = everyone.filter("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
