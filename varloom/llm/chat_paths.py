@@ -109,7 +109,7 @@ PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[IN
 def op2_chat_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(c).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text")) for c, t, r, x in PROBE])).alias("x")).select("x.*")
-    back = read_back(format_paths(linear_tree(turns.unionByName(probe))))
+    back = read_back(format_paths(cut(linear_tree(turns.unionByName(probe)), "chat-nodes")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         F.col("conv").alias("conv_id"),

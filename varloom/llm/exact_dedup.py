@@ -77,7 +77,7 @@ def exact_dedup(
                 ["id", "h", "norm"],
             )
 
-    members = source.mapInArrow(texts_of_groups, "id long, h binary, norm binary").join(shared, "h")
+    members = cut(source.mapInArrow(texts_of_groups, "id long, h binary, norm binary").join(shared, "h"), "exact-members")
     stays = members.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("h").agg(F.first("norm").alias("stay"))
     unequal = members.join(stays, "h").filter("norm <> stay").select("h").distinct()
     unequal = cut(unequal, "exact-collisions")
