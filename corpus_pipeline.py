@@ -21,27 +21,40 @@ from varloom.llm.kneser_ney_toxicity import score_toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with an id of ``ids``, without moving their texts where few go or stay."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_semi").select(*COLUMNS)
+#: Ids of dropped documents that are broadcast at most; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
+
+
+def _drop(docs: DataFrame, verdicts: DataFrame, keep: str) -> DataFrame:
+    """The rows of ``docs`` but those with an id that no row of ``verdicts`` keeps.
+
+    Texts are not shuffled while the dropped ids are few; null ids are an id as any other.
+    """
+    dropped = cut(verdicts.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.expr(keep)).alias("keep")).filter("not keep").select("_id"), "dropped")
+    if dropped.count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score_toxicity predicts as toxic go."""
     scored = score_toxicity(docs, table(spark, sf_dir, "labels"), train=f"not ({TOXICITY_HELD_OUT})")
-    return _keep(docs, scored.filter("predicted = 0"))
+    return _drop(docs, scored, "predicted = 0")
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify_language(docs, train=f"not ({LANGUAGE_HELD_OUT})")
-    return _keep(docs, found.filter("lang_pred <> 'und'"))
+    """Documents whose language can't be told (no letter in them) go."""
+    return _drop(docs, identify_language(docs, train=f"not ({LANGUAGE_HELD_OUT})"), "lang_pred <> 'und'")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, exact_dedup(docs).filter("kept"))
+    """Of equal texts the document with the smallest id stays."""
+    return _drop(docs, exact_dedup(docs), "kept")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, jaccard_components(docs).filter("doc_id = component_id"))
+    """Of linked documents the one with the smallest id stays."""
+    return _drop(docs, jaccard_components(docs), "doc_id <=> component_id")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
