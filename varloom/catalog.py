@@ -1,10 +1,652 @@
-"""The queries over the shared tables, and the same in SQL."""
+"""The queries over the shared tables, and each one's SQL where SQL can express it.
+
+Sums of doubles are rounded on both sides: their last bits depend on the order of addition.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from varloom.functions import sequences as S
+from varloom.functions import vectors as V
+from varloom.operators import encode, learning, metrics, omics, store
+from varloom.operators import variants as G
+from varloom.sources import derived as D
+from varloom.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Flank length, and half of a centred window.
+N, HALF = 200, 64
+
+
+def query(name: str, oracle: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if oracle:
+            ORACLES[name] = oracle
+        return f
+
+    return add
+
+
+def rounded(vec: Column, digits: int = 6) -> Column:
+    """As text, so that engines compare arrays alike."""
+    return F.concat_ws(",", F.transform(vec, lambda x: F.format_string(f"%.{digits}f", F.round(x, digits) + 0.0)))
+
+
+V_SQL = D.oracle(D.VARIANTS, "lineitem")
+SPLIT_SQL = f"""
+SELECT v.*, d.direction, CASE d.direction WHEN 'upstream' THEN pos - {N} - 1 ELSE pos - 2 END AS s,
+       CASE d.direction WHEN 'upstream' THEN pos + length(ref) ELSE pos + length(ref) - 1 + {N} END AS e
+FROM ({V_SQL}) v, (VALUES ('upstream'), ('downstream')) d(direction) WHERE pos - {N} - 1 >= 0
+"""
+VID = "concat_ws('_', chrom, cast(pos as varchar), ref, alt)"
+OUT_KEY = ["sample_id", "variant_id", "direction"]
+
+
+# --- files and genotypes ------------------------------------------------------------------------------
+BED_SQL = f"""
+SELECT f[1] AS chrom, try_cast(f[2] as bigint) AS start_, try_cast(f[3] as bigint) AS end_,
+       CASE WHEN len(f) >= 4 THEN f[4] ELSE f[1] || '_' || f[2] || '_' || f[3] END AS name
+FROM (SELECT regexp_split_to_array(trim(value), '\\s+') AS f FROM ({D.oracle(D.BED_LINES, 'orders')}) WHERE trim(value) <> '' AND NOT starts_with(trim(value), '#')) WHERE len(f) >= 3
+"""
+
+
+def bed(spark: SparkSession, d: str) -> DataFrame:
+    return files.parse_bed(D.derive(spark, d, D.BED_LINES, "orders")).withColumnsRenamed({"start": "start_", "end": "end_"})
+
+
+query("bed_parse", BED_SQL)(bed)
+
+
+@query("bed_name_parse", f"""
+SELECT name, nullif(regexp_extract(name, '{files.NAME}', 1), '') AS v_chrom, try_cast(nullif(regexp_extract(name, '{files.NAME}', 2), '') as bigint) AS v_pos,
+       nullif(regexp_extract(name, '{files.NAME}', 3), '') AS v_ref, nullif(regexp_extract(name, '{files.NAME}', 4), '') AS v_alt, ltrim(regexp_extract(name, '{files.NAME}', 5), '_') AS direction
+FROM ({BED_SQL})
+""")
+def bed_name_parse(spark, d):
+    return files.parse_interval_name(bed(spark, d).select("name"))
+
+
+GT_SQL = D.oracle(D.GENOTYPES, "lineitem")
+
+
+def genotypes(spark, d):
+    return D.derive(spark, d, D.GENOTYPES, "lineitem")
+
+
+@query("vcf_genotype_filter", f"""
+SELECT sample_id, chrom, pos, ref, split_part(alt, ',', 1) AS alt, try_cast(g[1] as int) AS a1, try_cast(g[2] as int) AS a2
+FROM (SELECT *, regexp_split_to_array(gt, '[|/]') AS g FROM ({GT_SQL})) WHERE alt <> '.' AND len(g) = 2 AND try_cast(g[1] as int) IS NOT NULL AND try_cast(g[2] as int) IS NOT NULL
+  AND NOT (g[1] = '0' AND g[2] = '0')
+""")
+def vcf_genotype_filter(spark, d):
+    return G.parse_genotypes(genotypes(spark, d), drop_hom_ref=True)
+
+
+@query("gt_strict_parse", f"""
+SELECT sample_id, chrom, pos, gt, CASE WHEN regexp_full_match(gt, '[01][|/][01]') THEN cast(substr(gt, 1, 1) as int) END AS a1, CASE WHEN regexp_full_match(gt, '[01][|/][01]') THEN cast(substr(gt, 3, 1) as int) END AS a2 FROM ({GT_SQL})
+""")
+def gt_strict_parse(spark, d):
+    return genotypes(spark, d).withColumn("g", G.strict_genotype(F.col("gt"))).select("sample_id", "chrom", "pos", "gt", F.col("g.a1").alias("a1"), F.col("g.a2").alias("a2"))
+
+
+@query("genotype_classes", f"""
+SELECT sample_id, {VID} AS variant_id, a1 <> 0 OR a2 <> 0 AS non_reference, a1 = 1 AND a2 = 1 AS hom_alt, a1 <> a2 AS het, a1 = 1 AS hap1_alt, a2 = 1 AS hap2_alt FROM ({V_SQL})
+""")
+def genotype_classes(spark, d):
+    return G.genotype_classes(D.variants(spark, d)).select("sample_id", G.variant_id().alias("variant_id"), "non_reference", "hom_alt", "het", "hap1_alt", "hap2_alt")
+
+
+OVERLAP_SQL = f"""
+SELECT v.sample_id, {VID.replace('chrom', 'v.chrom')} AS variant_id, r.start_, r.end_
+FROM ({V_SQL}) v JOIN ({D.oracle(D.REGIONS, 'orders')}) r ON v.chrom = r.chrom AND v.pos - 1 < r.end_ AND v.pos - 1 + length(v.ref) > r.start_
+"""
+
+
+@query("region_overlap_join", OVERLAP_SQL)
+def region_overlap_join(spark, d):
+    return G.overlap_join(D.variants(spark, d), D.derive(spark, d, D.REGIONS, "orders")).select("sample_id", G.variant_id().alias("variant_id"), "start_", "end_")
+
+
+@query("region_overlap_dedup", f"SELECT DISTINCT sample_id, variant_id FROM ({OVERLAP_SQL})")
+def region_overlap_dedup(spark, d):
+    return region_overlap_join(spark, d).select("sample_id", "variant_id").distinct()
+
+
+# --- intervals and haplotypes -------------------------------------------------------------------------
+def intervals(spark, d):
+    return G.split_intervals(D.variants(spark, d), N)
+
+
+@query("interval_split", f"SELECT sample_id, {VID} AS variant_id, direction, s AS start_, e AS end_, {VID} || '_' || direction AS name FROM ({SPLIT_SQL})")
+def interval_split(spark, d):
+    return intervals(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("start").alias("start_"), F.col("end").alias("end_"), "name")
+
+
+def windows(spark, d):
+    return intervals(spark, d).withColumn("wt_ref", G.periodic_window(F.col("start"), F.col("end") - F.col("start")))
+
+
+REF_SQL = f"SELECT *, {D.window_sql('s', 'e - s')} AS wt_ref, pos - 1 - s AS off FROM ({SPLIT_SQL})"
+MUTREF_SQL = f"SELECT *, substr(wt_ref, 1, cast(off as int)) || alt || substr(wt_ref, cast(off + length(ref) + 1 as int)) AS mut_ref FROM ({REF_SQL})"
+
+
+@query("ref_window", f"SELECT sample_id, {VID} AS variant_id, direction, wt_ref FROM ({REF_SQL})")
+def ref_window(spark, d):
+    return windows(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", "wt_ref")
+
+
+@query("mut_ref_inject", f"SELECT sample_id, {VID} AS variant_id, direction, mut_ref FROM ({MUTREF_SQL})")
+def mut_ref_inject(spark, d):
+    return G.reference_pair(windows(spark, d)).select("sample_id", G.variant_id().alias("variant_id"), "direction", "mut_ref")
+
+
+@query("reverse_complement", f"SELECT sample_id, {VID} AS variant_id, translate(reverse(mut_ref), 'ATCGNatcgn', 'TAGCNtagcn') AS rc FROM ({MUTREF_SQL}) WHERE direction = 'downstream'")
+def reverse_complement(spark, d):
+    rows = G.reference_pair(windows(spark, d)).filter("direction = 'downstream'")
+    return rows.select("sample_id", G.variant_id().alias("variant_id"), S.reverse_complement(F.col("mut_ref")).alias("rc"))
+
+
+PAIRS_SQL = f"""
+SELECT i.sample_id, i.chrom, i.pos, i.ref, i.alt, i.direction, v.pos AS bpos, v.ref AS bref, v.alt AS balt, v.a1 AS b1, v.a2 AS b2
+FROM ({SPLIT_SQL}) i JOIN ({V_SQL}) v ON i.sample_id = v.sample_id AND i.chrom = v.chrom AND v.pos - 1 >= i.s AND v.pos - 1 < i.e AND NOT (v.pos = i.pos AND v.ref = i.ref AND v.alt = i.alt)
+"""
+
+
+def with_background(spark, d):
+    return G.background_join(windows(spark, d), D.variants(spark, d))
+
+
+@query("background_join", f"""
+SELECT i.sample_id, {VID.replace('chrom', 'i.chrom').replace('pos', 'i.pos').replace('ref', 'i.ref').replace('alt', 'i.alt')} AS variant_id, i.direction, count(p.bpos) AS n,
+       coalesce(string_agg(cast(p.bpos as varchar) || p.bref || '>' || p.balt, ',' ORDER BY p.bpos, p.bref, p.balt), '') AS background
+FROM ({SPLIT_SQL}) i LEFT JOIN ({PAIRS_SQL}) p USING (sample_id, chrom, pos, ref, alt, direction) GROUP BY i.sample_id, i.chrom, i.pos, i.ref, i.alt, i.direction
+""")
+def background_join(spark, d):
+    text = F.array_join(F.transform("background", lambda v: F.concat(v["pos"].cast("string"), v["ref"], F.lit(">"), v["alt"])), ",")
+    return with_background(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", F.size("background").cast("bigint").alias("n"), text.alias("background"))
+
+
+def fold_sql(hap: int, source: str) -> str:
+    """Fold of a haplotype's carried variants into wt_ref: the accumulator has the elements' fields."""
+    o = "(v.off + acc.sh)"
+    fits = f"v.allele <> 0 AND {o} >= 0 AND {o} + length(v.ref) <= length(acc.seq) AND upper(substr(acc.seq, cast({o} + 1 as int), cast(length(v.ref) as int))) = upper(v.ref)"
+    put = f"{{'seq': substr(acc.seq, 1, cast({o} as int)) || v.alt || substr(acc.seq, cast({o} + length(v.ref) + 1 as int)), 'sh': acc.sh + length(v.alt) - length(v.ref), 'off': v.off, 'ref': v.ref, 'alt': v.alt, 'allele': v.allele, 'pos': v.pos}}"
+    first = "{'seq': wt_ref, 'sh': 0::bigint, 'off': 0::bigint, 'ref': '', 'alt': '', 'allele': 0::int, 'pos': 0::bigint}"
+    return f"CASE WHEN bg{hap} IS NULL THEN wt_ref ELSE list_reduce(bg{hap}, lambda acc, v: CASE WHEN {fits} THEN {put} ELSE acc END, {first}).seq END"
+
+
+LISTS_SQL = f"""
+SELECT r.*, b.bg1, b.bg2 FROM ({MUTREF_SQL}) r LEFT JOIN (
+  SELECT p.sample_id, p.chrom, p.pos, p.ref, p.alt, p.direction,
+    {', '.join(f"list({{'seq': '', 'sh': 0::bigint, 'off': (p.bpos - 1 - CASE p.direction WHEN 'upstream' THEN p.pos - {N} - 1 ELSE p.pos - 2 END)::bigint, 'ref': p.bref, 'alt': p.balt, 'allele': p.b{h}::int, 'pos': p.bpos::bigint}} ORDER BY p.bpos, p.bref, p.balt, p.b1, p.b2) AS bg{h}" for h in (1, 2))}
+  FROM ({PAIRS_SQL}) p GROUP BY ALL) b USING (sample_id, chrom, pos, ref, alt, direction)
+"""
+FOLDED_SQL = f"""
+SELECT *, {', '.join(f"coalesce(list_sum(list_transform(list_filter(bg{h}, lambda x: x.allele <> 0 AND x.pos < pos), lambda y: length(y.alt) - length(y.ref))), 0) AS sh{h}" for h in (1, 2))} FROM
+ (SELECT *, {fold_sql(1, '')} AS w1, {fold_sql(2, '')} AS w2 FROM ({LISTS_SQL}))
+"""
+SIX_SQL = f"""
+SELECT *, {', '.join(f"CASE WHEN a{h} = 1 AND off + sh{h} >= 0 AND off + sh{h} + length(ref) <= length(w{h}) THEN substr(w{h}, 1, cast(off + sh{h} as int)) || alt || substr(w{h}, cast(off + sh{h} + length(ref) + 1 as int)) ELSE w{h} END AS m{h}, NOT (a{h} = 1 AND off + sh{h} >= 0 AND off + sh{h} + length(ref) <= length(w{h})) AS alias{h}" for h in (1, 2))}
+FROM ({FOLDED_SQL})
+"""
+
+for _h in (1, 2):
+
+    def _apply(spark, d, h=_h):
+        wt = S.apply_background(F.col("wt_ref"), F.col("start"), G.of_haplotype(h))
+        return with_background(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", wt.alias("wt"))
+
+    query(f"apply_background_hap{_h}", f"SELECT sample_id, {VID} AS variant_id, direction, w{_h} AS wt FROM ({FOLDED_SQL})")(_apply)
+
+
+def six(spark, d):
+    return G.six_sequences(with_background(spark, d))
+
+
+@query("inject_center", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut, alias1 AS wt_is_alias FROM ({SIX_SQL})")
+def inject_center(spark, d):
+    return six(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("hap1.mut").alias("mut"), F.col("hap1.wt_is_alias").alias("wt_is_alias"))
+
+
+@query("six_seqs", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS hap1_mut, w1 AS hap1_wt, alias1 AS hap1_alias, m2 AS hap2_mut, w2 AS hap2_wt, alias2 AS hap2_alias, mut_ref AS ref_mut, wt_ref AS ref_wt FROM ({SIX_SQL})")
+def six_seqs(spark, d):
+    part = [F.col(f"{h}.{c}").alias(f"{h}_{a}") for h in ("hap1", "hap2") for c, a in (("mut", "mut"), ("wt", "wt"), ("wt_is_alias", "alias"))]
+    return six(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", *part, F.col("reference.mut").alias("ref_mut"), F.col("reference.wt").alias("ref_wt"))
+
+
+FLAT_SQL = " UNION ALL ".join(
+    f"SELECT sample_id, {VID} AS variant_id, direction || '_{n}' AS seq_name, {c} AS seq, length({'alt' if n.endswith('mut') else 'ref'}) + 2 AS w, direction FROM six WHERE {w}"
+    for n, c, w in (("hap1_mut", "m1", "true"), ("hap1_wt", "w1", "NOT alias1"), ("hap2_mut", "m2", "true"), ("hap2_wt", "w2", "NOT alias2"), ("ref_mut", "mut_ref", "true"), ("ref_wt", "wt_ref", "true"))
+)
+
+
+@query("six_seqs_flat", f"WITH six AS ({SIX_SQL}) SELECT sample_id, variant_id, seq_name, seq FROM ({FLAT_SQL})")
+def six_seqs_flat(spark, d):
+    return G.flatten(G.both_directions(six(spark, d)))
+
+
+RESTORE_OFF = "CASE direction WHEN 'upstream' THEN length(mut_ref) - length(alt) - 1 ELSE 1 END"
+
+
+@query("restore_wt", f"SELECT sample_id, {VID} AS variant_id, direction, substr(mut_ref, 1, cast({RESTORE_OFF} as int)) || ref || substr(mut_ref, cast({RESTORE_OFF} + length(alt) + 1 as int)) AS wt FROM ({MUTREF_SQL})")
+def restore_wt(spark, d):
+    rows = G.reference_pair(windows(spark, d))
+    return rows.select("sample_id", G.variant_id().alias("variant_id"), "direction", S.restore_wild_type(F.col("mut_ref"), F.col("direction"), F.col("ref"), F.col("alt")).alias("wt"))
+
+
+@query("centred_window", f"""
+SELECT sample_id, {VID} AS variant_id, seq, translate(reverse(seq), 'ATCGNatcgn', 'TAGCNtagcn') AS rc
+FROM (SELECT *, {D.window_sql(f'pos - {HALF} - 1', f'length(ref) + {2 * HALF}')} AS seq FROM ({V_SQL})) WHERE pos - {HALF} >= 1
+""")
+def centred_window(spark, d):
+    rows = G.centred_windows(D.variants(spark, d), HALF).withColumn("seq", G.periodic_window(F.col("left") - 1, F.col("right") - F.col("left") + 1))
+    return rows.select("sample_id", G.variant_id().alias("variant_id"), "seq", S.reverse_complement(F.col("seq")).alias("rc"))
+
+
+@query("tail_width", f"SELECT sample_id, {VID} AS variant_id, length(alt) + 2 AS w_mut, length(ref) + 2 AS w_wt FROM ({V_SQL})")
+def tail_width(spark, d):
+    return D.variants(spark, d).select("sample_id", G.variant_id().alias("variant_id"), S.tail_width(F.col("alt")).alias("w_mut"), S.tail_width(F.col("ref")).alias("w_wt"))
+
+
+# --- encoding -----------------------------------------------------------------------------------------
+WANTED_SQL = f"SELECT sample_id, {VID} AS variant_id, mut_ref AS seq, length(alt) + 2 AS w FROM ({MUTREF_SQL}) WHERE direction = 'upstream'"
+
+
+def wanted(spark, d):
+    rows = G.reference_pair(windows(spark, d)).filter("direction = 'upstream'")
+    return rows.select("sample_id", G.variant_id().alias("variant_id"), F.col("mut_ref").alias("seq"), S.tail_width(F.col("alt")).alias("w"))
+
+
+def cached(spark, d):
+    """Sequences of the even samples, as if they had been encoded before."""
+    return wanted(spark, d).filter("sample_id in ('s0', 's2', 's4', 's6')").select("seq", "w").distinct()
+
+
+CACHED_SQL = f"SELECT DISTINCT seq, w FROM ({WANTED_SQL}) WHERE sample_id IN ('s0', 's2', 's4', 's6')"
+
+
+@query("seq_hash_key", f"SELECT sample_id, variant_id, substr(sha256(seq), 1, 16) || '_w' || cast(w as varchar) || '_mean' AS key FROM ({WANTED_SQL})")
+def seq_hash_key(spark, d):
+    return wanted(spark, d).select("sample_id", "variant_id", S.cache_key(F.col("seq"), F.col("w"), "mean").alias("key"))
+
+
+@query("distinct_sequences", f"SELECT count(*) AS slots, count(DISTINCT seq) AS sequences, (SELECT count(*) FROM (SELECT DISTINCT seq, w FROM ({WANTED_SQL}))) AS keys FROM ({WANTED_SQL})")
+def distinct_sequences(spark, d):
+    return wanted(spark, d).agg(F.count("*").alias("slots"), F.count_distinct("seq").alias("sequences"), F.count_distinct("seq", "w").alias("keys"))
+
+
+@query("cache_misses", f"SELECT DISTINCT seq, w FROM ({WANTED_SQL}) EXCEPT {CACHED_SQL}")
+def cache_misses(spark, d):
+    return wanted(spark, d).select("seq", "w").distinct().join(cached(spark, d), ["seq", "w"], "left_anti")
+
+
+@query("cache_hit_report", f"WITH k AS (SELECT DISTINCT seq AS s FROM ({CACHED_SQL})) SELECT count(*) AS keys, count(k.s) AS hits, count(DISTINCT CASE WHEN k.s IS NULL THEN w.seq END) AS new_sequences FROM ({WANTED_SQL}) w LEFT JOIN k ON w.seq = k.s")
+def cache_hit_report(spark, d):
+    return encode.cache_report(wanted(spark, d), cached(spark, d))
+
+
+def tokens(spark, d):
+    """Vectors of 64 as 8 tokens of 8; the first 1 to 8 are valid."""
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(
+        "vec_id", F.expr("transform(sequence(0, 7), i -> slice(cast(embedding as array<double>), i * 8 + 1, 8))").alias("hidden"),
+        F.expr("transform(sequence(0, 7), i -> if(i <= vec_id % 8, 1, 0))").alias("mask"), (F.col("vec_id") % 5 + 1).cast("int").alias("w"),
+    )
+
+
+def pool_sql(first: str, last: str, how: str) -> str:
+    cell = f"(SELECT {how}(cast(embedding[cast(t * 8 + j as int)] as double)) FROM range({first}, {last}) r(t))"
+    return f"SELECT vec_id, list(printf('%.6f', round(x, 6) + 0.0) ORDER BY j) AS l FROM (SELECT vec_id, j, {cell} AS x FROM embeddings, range(1, 9) s(j)) GROUP BY vec_id"
+
+
+VALID = "vec_id % 8 + 1"
+for _name, _spark, _sql in (
+    ("pool_mean", lambda h, m, w: V.pool(h, m, "mean"), ("0", VALID, "avg")),
+    ("pool_max", lambda h, m, w: V.pool(h, m, "max"), ("0", VALID, "max")),
+    ("pool_last_token", lambda h, m, w: V.pool(h, m, "last_token"), ("vec_id % 8", VALID, "max")),
+    ("tail_pool_mean", lambda h, m, w: V.tail_pool(h, m, w, "mean"), (f"greatest({VALID} - (vec_id % 5 + 1), 0)", VALID, "avg")),
+    ("tail_pool_max", lambda h, m, w: V.tail_pool(h, m, w, "max"), (f"greatest({VALID} - (vec_id % 5 + 1), 0)", VALID, "max")),
+):
+
+    def _pool(spark, d, f=_spark):
+        return tokens(spark, d).select("vec_id", rounded(f(F.col("hidden"), F.col("mask"), F.col("w"))).alias("vec"))
+
+    query(_name, f"SELECT vec_id, array_to_string(l, ',') AS vec FROM ({pool_sql(*_sql)})")(_pool)
+
+
+@query("embed_six_vectors")
+def embed_six_vectors(spark, d):
+    return encode.embed_variants(G.both_directions(six(spark, d)), encode.ToyEncoder())
+
+
+@query("bulk_embed_keyed")
+def bulk_embed_keyed(spark, d):
+    keyed = wanted(spark, d).select(F.concat_ws("|", "sample_id", "variant_id").alias("key"), "seq")
+    return encode.bulk_embed(keyed, encode.ToyEncoder(), ["mean", "max", "last_token"]).select("key", *[F.col("vectors")[m].alias(m) for m in ("mean", "max", "last_token")])
+
+
+@query("multi_model_embed")
+def multi_model_embed(spark, d):
+    keyed = wanted(spark, d).select(F.concat_ws("|", "sample_id", "variant_id").alias("key"), "seq")
+    return encode.multi_model(keyed, [encode.ToyEncoder(8, "toy8"), encode.ToyEncoder(4, "toy4")], ["mean"]).select("key", "model", F.col("vectors")["mean"].alias("mean"))
+
+
+# --- vectors, scores, selection -----------------------------------------------------------------------
+SIX_V = D.oracle(D.six_vectors_sql("duckdb"), "embeddings")
+_d = lambda a, b: f"list_transform(list_zip({a}, {b}), lambda x: x[1] - x[2])"
+DIFF_SQL = f"SELECT *, CASE WHEN wt1 IS NOT NULL THEN {_d('mut1', 'wt1')} END AS dh1, CASE WHEN mut2 IS NOT NULL AND wt2 IS NOT NULL THEN {_d('mut2', 'wt2')} END AS dh2, CASE WHEN wtref IS NOT NULL THEN {_d('mutref', 'wtref')} END AS dref FROM ({SIX_V})"
+_norm = lambda a: f"sqrt(list_dot_product({a}, {a}))"
+_cos = lambda a, b: f"(CASE WHEN {_norm(a)} = 0 OR {_norm(b)} = 0 THEN 0 ELSE list_dot_product({a}, {b}) / ({_norm(a)} * {_norm(b)}) END)"
+_WHOLE = "dh1 IS NOT NULL AND dh2 IS NOT NULL AND dref IS NOT NULL"
+_MEAN_D = "CASE WHEN dh2 IS NOT NULL THEN list_transform(list_zip(dh1, dh2), lambda x: (x[1] + x[2]) / 2) ELSE dh1 END"
+SCORED_SQL = f"""
+SELECT *, CASE WHEN {_WHOLE} THEN 1 - ({_cos('dh1', 'r')} + {_cos('h', 'r')}) / 2 END AS relative,
+       CASE WHEN {_WHOLE} THEN {_norm('dh1')} + {_norm('h')} + {_norm('r')} END AS absolute, sqrt(list_dot_product(dm, dm)) AS delta
+FROM (SELECT *, {_MEAN_D} AS dm, coalesce(dh2, dh1) AS h, coalesce(dref, dh1) AS r FROM ({DIFF_SQL}))
+"""
+_text = lambda v: f"array_to_string(list_transform({v}, lambda x: printf('%.6f', round(x, 6) + 0.0)), ',')"
+
+
+@query("diff_vectors", f"SELECT sample_id, ord, {_text('dh1')} AS dh1, CASE WHEN dh2 IS NULL THEN '' ELSE {_text('dh2')} END AS dh2, CASE WHEN dref IS NULL THEN '' ELSE {_text('dref')} END AS dref FROM ({DIFF_SQL})")
+def diff_vectors(spark, d):
+    return omics.differences(D.six_vectors(spark, d)).select("sample_id", "ord", *[rounded(F.coalesce(F.col(c), F.array().cast("array<double>"))).alias(c) for c in ("dh1", "dh2", "dref")])
+
+
+def scores(spark, d):
+    return omics.scored(D.six_vectors(spark, d))
+
+
+for _s in ("relative", "absolute", "delta"):
+
+    def _one(spark, d, s=_s):
+        return scores(spark, d).select("sample_id", "ord", F.round(s, 6).alias("score"))
+
+    query(f"score_{_s}", f"SELECT sample_id, ord, round({_s}, 6) AS score FROM ({SCORED_SQL})")(_one)
+
+_avg2 = lambda a, b: f"list_transform(list_zip({a}, {b}), lambda x: (x[1] + x[2]) / 2)"
+_zero = "list_transform(mut1, lambda x: 0.0)"
+REPRESENT_SQL = {
+    "mut_hap1": "mut1",
+    "mut_hap2": "coalesce(mut2, mut1)",
+    "mut_hap1_hap2_mean": f"CASE WHEN mut2 IS NULL THEN mut1 ELSE {_avg2('mut1', 'mut2')} END",
+    "mut_hap1_hap2_concat": "CASE WHEN mut2 IS NULL THEN mut1 ELSE list_concat(mut1, mut2) END",
+    "mut_mean_minus_wt_ref": f"(SELECT CASE WHEN wtref IS NULL THEN m ELSE {_d('m', 'wtref')} END FROM (SELECT CASE WHEN mut2 IS NULL THEN mut1 ELSE {_avg2('mut1', 'mut2')} END AS m))",
+    "mut_concat_minus_wt_ref": f"list_concat(CASE WHEN wtref IS NULL THEN mut1 ELSE {_d('mut1', 'wtref')} END, CASE WHEN mut2 IS NULL THEN mut1 WHEN wtref IS NULL THEN mut2 ELSE {_d('mut2', 'wtref')} END)",
+    "baseline_delta_deltaref": f"list_concat(list_concat(CASE WHEN wt2 IS NULL THEN wt1 ELSE {_avg2('wt1', 'wt2')} END, {_MEAN_D}), CASE WHEN wtref IS NULL THEN {_zero} ELSE dref END)",
+}
+for _s, _sql in REPRESENT_SQL.items():
+
+    def _represent(spark, d, s=_s):
+        return omics.represented(D.six_vectors(spark, d), s).select("sample_id", "ord", rounded(F.col("rep")).alias("rep"))
+
+    query(f"represent_{_s}", f"SELECT sample_id, ord, {_text('rep')} AS rep FROM (SELECT *, {_sql} AS rep FROM ({DIFF_SQL}))")(_represent)
+
+TOP = 5
+ROUND_SQL = f"SELECT sample_id, ord, round(relative, 9) AS relative, round(absolute, 9) AS absolute, round(delta, 9) AS delta FROM ({SCORED_SQL}) WHERE relative IS NOT NULL"
+_share = lambda c: f"(CASE WHEN count(*) OVER (PARTITION BY sample_id) = 1 THEN 0.5 ELSE (row_number() OVER (PARTITION BY sample_id ORDER BY {c}, ord) - 1) / (count(*) OVER (PARTITION BY sample_id) - 1.0) END)"
+_top = lambda source, order: f"SELECT sample_id, ord, cast(rank as int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY {order}) AS rank FROM ({source})) WHERE rank <= {TOP}"
+TOP_SQL = {s: _top(ROUND_SQL, f"{s} DESC, ord") for s in ("relative", "absolute", "delta")}
+TOP_SQL["weighted"] = _top(f"SELECT *, 0.5 * {_share('relative')} + 0.5 * {_share('absolute')} AS weighted FROM ({ROUND_SQL})", "weighted DESC, ord")
+TOP_SQL["cascade"] = _top(f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY absolute DESC, ord) AS ra, count(*) OVER (PARTITION BY sample_id) AS n FROM ({ROUND_SQL})) WHERE ra <= greatest(least({TOP * 3}, n), {TOP})", "relative DESC, ra")
+for _s, _sql in TOP_SQL.items():
+
+    def _select(spark, d, s=_s):
+        rows = scores(spark, d).filter("relative is not null").select("sample_id", "ord", *[F.round(c, 9).alias(c) for c in ("relative", "absolute", "delta")])
+        return omics.select_top(rows, s, TOP).select("sample_id", "ord", "rank")
+
+    query(f"topk_{_s}", _sql)(_select)
+
+for _how, _f in (("mean", "avg"), ("max", "max")):
+
+    def _aggregate(spark, d, how=_how):
+        return omics.aggregate_vectors(D.six_vectors(spark, d), "mut1", how).select("sample_id", rounded(F.col("vec"), 4).alias("vec"))
+
+    query(f"sample_embedding_{_how}", f"SELECT sample_id, array_to_string(list(printf('%.4f', round(x, 4) + 0.0) ORDER BY i), ',') AS vec FROM (SELECT sample_id, i, {_f}(mut1[cast(i as int)]) AS x FROM ({SIX_V}), range(1, 11) r(i) GROUP BY sample_id, i) GROUP BY sample_id")(_aggregate)
+
+# --- samples and features -----------------------------------------------------------------------------
+METAB = "SELECT concat('s', cast(c_custkey % 40 as varchar(20))) AS sample_id, cast(round(sum(c_acctbal), 2) as double) AS m1, cast(count(*) as double) AS m2 FROM {customer} WHERE c_custkey % 40 <> 7 GROUP BY 1"
+PHENO = "SELECT concat('s', cast(s_suppkey % 30 as varchar(20))) AS sample_id, cast(round(sum(s_acctbal), 2) as double) AS p1 FROM {supplier} WHERE s_suppkey % 30 <> 11 GROUP BY 1"
+LABEL = "SELECT concat('s', cast(doc_id % 28 as varchar(20))) AS sample_id, cast(max(toxic) as int) AS label FROM {labels} GROUP BY 1"
+METAB_SQL, PHENO_SQL, LABEL_SQL = D.oracle(METAB, "customer"), D.oracle(PHENO, "supplier"), D.oracle(LABEL, "labels")
+EMB_SQL = f"SELECT sample_id, count(*) AS variants FROM ({SIX_V}) GROUP BY sample_id"
+
+
+def sources(spark, d) -> dict[str, DataFrame]:
+    emb = omics.aggregate_vectors(D.six_vectors(spark, d), "mut1", "mean").select("sample_id", F.col("vec").alias("features"))
+    metab = D.derive(spark, d, METAB, "customer").select("sample_id", F.array("m1", "m2").alias("features"))
+    pheno = D.derive(spark, d, PHENO, "supplier").select("sample_id", F.array("p1").alias("features"))
+    return {"emb": emb, "metab": metab, "pheno": pheno}
+
+
+def sample_labels(spark, d):
+    return D.derive(spark, d, LABEL, "labels")
+
+
+@query("sample_alignment", f"SELECT sample_id FROM ({LABEL_SQL}) INTERSECT SELECT sample_id FROM ({EMB_SQL}) INTERSECT SELECT sample_id FROM ({METAB_SQL}) INTERSECT SELECT sample_id FROM ({PHENO_SQL})")
+def sample_alignment(spark, d):
+    return omics.common_samples(sample_labels(spark, d), *sources(spark, d).values())
+
+
+def _matrix_sql(use) -> str:
+    joins = "".join(f" JOIN ({ {'emb': EMB_SQL, 'metab': METAB_SQL, 'pheno': PHENO_SQL}[m]}) {m} USING (sample_id)" for m in use)
+    width = " + ".join({"emb": "10", "metab": "2", "pheno": "1"}[m] for m in use)
+    total = " + ".join({"metab": "metab.m1 + metab.m2", "pheno": "pheno.p1", "emb": "0.0"}[m] for m in use)
+    return f"SELECT sample_id, label, {width} AS width, round({total}, 2) AS tabular FROM ({LABEL_SQL}) l{joins}"
+
+
+for _name, _use in {"feature_matrix": omics.MODULES["all"], **{f"modality_subset_{k}": v for k, v in omics.MODULES.items()}}.items():
+
+    def _matrix(spark, d, use=_use):
+        rows = omics.feature_matrix(sources(spark, d), sample_labels(spark, d), use)
+        total = sum((F.aggregate(m, F.lit(0.0), lambda s, x: s + x) for m in use if m != "emb"), F.lit(0.0))
+        return rows.select("sample_id", "label", sum((F.size(m) for m in use), F.lit(0)).alias("width"), F.round(total, 2).alias("tabular"))
+
+    query(_name, _matrix_sql(_use))(_matrix)
+
+
+@query("label_distribution", "SELECT toxic AS label, count(*) AS n FROM labels GROUP BY toxic")
+def label_distribution(spark, d):
+    return spark.read.parquet(f"{d}/labels.parquet").groupBy(F.col("toxic").alias("label")).agg(F.count("*").alias("n"))
+
+
+# --- preparation --------------------------------------------------------------------------------------
+HOLES = "SELECT c_custkey AS sample_id, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS x, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE cast(c_nationkey as double) END AS y, cast(c_nationkey % 2 as int) AS label FROM {customer}"
+HOLES_SQL = D.oracle(HOLES, "customer")
+
+
+def holes(spark, d):
+    return D.derive(spark, d, HOLES, "customer")
+
+
+_first_mode = lambda c: f"(SELECT {c} FROM h WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, min(sample_id) LIMIT 1)"
+FILL_SQL = {"median": lambda c: f"(SELECT median({c}) FROM h)", "mean": lambda c: f"(SELECT avg({c}) FROM h)", "most_frequent": _first_mode, "zero": lambda c: "0.0"}
+for _how, _f in FILL_SQL.items():
+
+    def _impute(spark, d, how=_how):
+        return learning.impute(holes(spark, d), ["x", "y"], how).select("sample_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+    query(f"impute_{_how.replace('most_frequent', 'mode')}", f"WITH h AS ({HOLES_SQL}) SELECT sample_id, round(coalesce(x, {_f('x')}), 4) AS x, round(coalesce(y, {_f('y')}), 4) AS y FROM h")(_impute)
+
+FOLDS = 5
+FOLD_SQL = f"SELECT *, cast((row_number() OVER (PARTITION BY label ORDER BY sha256('42:' || cast(sample_id as varchar)), sample_id) - 1) % {FOLDS} as int) AS fold FROM ({HOLES_SQL})"
+
+
+@query("impute_fold_safe", f"WITH f AS ({FOLD_SQL}), m AS (SELECT g.k, median(x) AS mx, median(y) AS my FROM f, (SELECT unnest(range({FOLDS})) AS k) g WHERE f.fold <> g.k GROUP BY g.k) SELECT sample_id, fold, round(coalesce(x, mx), 4) AS x, round(coalesce(y, my), 4) AS y FROM f JOIN m ON f.fold = m.k")
+def impute_fold_safe(spark, d):
+    rows = learning.stratified_folds(holes(spark, d), FOLDS)
+    return learning.impute_by_fold(rows, ["x", "y"], FOLDS).select("sample_id", "fold", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query("standardize", f"SELECT sample_id, round((x - avg(x) OVER ()) / stddev_pop(x) OVER (), 4) + 0.0 AS x FROM (SELECT sample_id, coalesce(x, 0.0) AS x FROM ({HOLES_SQL}))")
+def standardize(spark, d):
+    rows = learning.impute(holes(spark, d), ["x"], "zero")
+    return learning.standardize(rows, ["x"]).select("sample_id", (F.round("x", 4) + 0.0).alias("x"))
+
+
+@query("pca_explained_variance")
+def pca_explained_variance(spark, d):
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("embedding").cast("array<double>").alias("e"))
+    return learning.explained_variance(rows, "e", 8)
+
+
+@query("stratified_folds", f"SELECT sample_id, label, fold FROM ({FOLD_SQL})")
+def stratified_folds(spark, d):
+    return learning.stratified_folds(holes(spark, d), FOLDS).select("sample_id", "label", "fold")
+
+
+@query("fold_balance", f"SELECT label, fold, count(*) AS n FROM ({FOLD_SQL}) GROUP BY label, fold")
+def fold_balance(spark, d):
+    return stratified_folds(spark, d).groupBy("label", "fold").agg(F.count("*").alias("n"))
+
+
+@query("param_grid", "SELECT c, k, d FROM (VALUES (0.1), (1.0), (10.0)) a(c), (VALUES ('linear'), ('rbf')) b(k), (VALUES (2), (3)) e(d)")
+def param_grid(spark, d):
+    return learning.grid_frame(spark, {"c": [0.1, 1.0, 10.0], "k": ["linear", "rbf"], "d": [2, 3]}).withColumn("d", F.col("d").cast("int"))
+
+
+# --- metrics ------------------------------------------------------------------------------------------
+PREDICTED = "SELECT d.doc_id, l.quality AS label, round(ln(d.n_chars + 1), 2) AS score, CASE WHEN d.n_chars > 600 THEN 1 ELSE 0 END AS pred FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id"
+PREDICTED_SQL = D.oracle(PREDICTED, "documents", "labels")
+
+
+def predicted(spark, d):
+    return D.derive(spark, d, PREDICTED, "documents", "labels")
+
+
+_ratio = lambda a, b: f"(CASE WHEN {b} = 0 THEN 0.0 ELSE cast({a} as double) / {b} END)"
+
+
+@query("confusion_metrics", f"""
+WITH c AS (SELECT count(*) FILTER (label = 1 AND pred = 1) AS tp, count(*) FILTER (label = 0 AND pred = 1) AS fp, count(*) FILTER (label = 0 AND pred = 0) AS tn, count(*) FILTER (label = 1 AND pred = 0) AS fn FROM ({PREDICTED_SQL})),
+r AS (SELECT *, {_ratio('tp + tn', '(tp + fp + tn + fn)')} AS accuracy, {_ratio('tp', '(tp + fp)')} AS precision, {_ratio('tp', '(tp + fn)')} AS recall FROM c)
+SELECT tp, fp, tn, fn, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, round({_ratio('2 * precision * recall', '(precision + recall)')}, 6) AS f1 FROM r
+""")
+def confusion_metrics(spark, d):
+    return metrics.confusion(predicted(spark, d)).select("tp", "fp", "tn", "fn", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@query("classification_report", f"""
+WITH p AS ({PREDICTED_SQL}), k AS (SELECT unnest([0, 1]) AS c),
+s AS (SELECT c, (SELECT count(*) FROM p WHERE label = c) AS support, (SELECT count(*) FROM p WHERE pred = c) AS said, (SELECT count(*) FROM p WHERE label = c AND pred = c) AS hit FROM k),
+r AS (SELECT c, support, {_ratio('hit', 'said')} AS precision, {_ratio('hit', 'support')} AS recall FROM s),
+f AS (SELECT *, {_ratio('2 * precision * recall', '(precision + recall)')} AS f1 FROM r)
+SELECT cast(c as varchar) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), cast(sum(support) as bigint) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), cast(sum(support) as bigint) FROM f
+""")
+def classification_report(spark, d):
+    return metrics.classification_report(predicted(spark, d)).select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+CURVE_SQL = f"SELECT score, p, n, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER () AS pos, sum(n) OVER () AS neg FROM (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM ({PREDICTED_SQL}) GROUP BY score) WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)"
+
+
+@query("roc_auc", f"SELECT round(sum(n * (tp - p + p / 2.0)) / max(cast(pos as double) * neg), 6) AS roc_auc FROM ({CURVE_SQL})")
+def roc_auc(spark, d):
+    return metrics.roc_auc(predicted(spark, d)).select(F.round("roc_auc", 6).alias("roc_auc"))
+
+
+@query("average_precision", f"SELECT round(sum(cast(p as double) * tp / (tp + fp)) / max(pos), 6) AS average_precision FROM ({CURVE_SQL})")
+def average_precision(spark, d):
+    return metrics.average_precision(predicted(spark, d)).select(F.round("average_precision", 6).alias("average_precision"))
+
+
+@query("roc_curve", f"SELECT score AS threshold, round(cast(fp as double) / neg, 6) AS fpr, round(cast(tp as double) / pos, 6) AS tpr FROM ({CURVE_SQL})")
+def roc_curve(spark, d):
+    return metrics.roc_curve(predicted(spark, d)).select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+
+
+@query("pr_curve", f"SELECT score AS threshold, round(cast(tp as double) / (tp + fp), 6) AS precision, round(cast(tp as double) / pos, 6) AS recall FROM ({CURVE_SQL})")
+def pr_curve(spark, d):
+    return metrics.pr_curve(predicted(spark, d)).select("threshold", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+def training_rows(spark, d):
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("sample_id"), (F.col("label") < 5).cast("int").alias("label"), F.slice(F.col("embedding").cast("array<double>"), 1, 8).alias("features"))
+
+
+for _model, _grid in {"logistic": {"regParam": [0.01, 0.1]}, "linear_svc": {"regParam": [0.01], "maxIter": [10]}, "gbt": {"maxIter": [5], "maxDepth": [3]}, "mlp": {"layers": [[8]], "maxIter": [20]}}.items():
+
+    def _cv(spark, d, model=_model, grid=_grid):
+        results, _ = learning.cross_validate(training_rows(spark, d), {"linear_svc": "svm"}.get(model, model), learning.param_grid(grid), folds=3)
+        return results
+
+    query(f"cv_{_model}")(_cv)
+
+# --- ablation -----------------------------------------------------------------------------------------
+SCORE_TABLE = "SELECT CASE cast(o_custkey % 7 as int) WHEN 0 THEN 'emb' WHEN 1 THEN 'metab' WHEN 2 THEN 'pheno' WHEN 3 THEN 'emb_metab' WHEN 4 THEN 'emb_pheno' WHEN 5 THEN 'metab_pheno' ELSE 'all' END AS module, CASE cast(o_orderkey % 4 as int) WHEN 0 THEN 'svm' WHEN 1 THEN 'lr' WHEN 2 THEN 'gbt' ELSE 'mlp' END AS model, cast((o_totalprice % 1000) / 1000 as double) AS score FROM {orders}"
+SCORES_SQL = D.oracle(SCORE_TABLE, "orders")
+SUMMARY_SQL = f"SELECT module, model, round(avg(score), 6) AS mean_score, round(stddev_pop(score), 6) AS std_score FROM ({SCORES_SQL}) GROUP BY module, model"
+
+
+def summary(spark, d):
+    return learning.ablation_summary(D.derive(spark, d, SCORE_TABLE, "orders")).select("module", "model", F.round("mean_score", 6).alias("mean_score"), F.round("std_score", 6).alias("std_score"))
+
+
+query("ablation_summary", SUMMARY_SQL)(summary)
+
+
+@query("module_comparison", f"SELECT module, max(mean_score) AS best, round(avg(mean_score), 6) AS mean, round(stddev_pop(mean_score), 5) AS std, count(*) AS models FROM ({SUMMARY_SQL}) GROUP BY module")
+def module_comparison(spark, d):
+    return learning.module_comparison(summary(spark, d)).select("module", "best", F.round("mean", 6).alias("mean"), F.round("std", 5).alias("std"), "models")
+
+
+@query("ablation_heatmap", "SELECT module, " + ", ".join(f"max(mean_score) FILTER (model = '{m}') AS {m}" for m in ("svm", "lr", "gbt", "mlp")) + f" FROM ({SUMMARY_SQL}) GROUP BY module")
+def ablation_heatmap(spark, d):
+    return summary(spark, d).groupBy("module").pivot("model", ["svm", "lr", "gbt", "mlp"]).agg(F.max("mean_score"))
+
+
+@query("best_combination", f"SELECT * FROM ({SUMMARY_SQL}) WHERE mean_score > 0 ORDER BY mean_score DESC, module, model LIMIT 1")
+def best_combination(spark, d):
+    return learning.best_combination(summary(spark, d))
+
+
+@query("feature_importance_rank", "SELECT feature, round(importance, 6) AS importance, cast(row_number() OVER (ORDER BY abs(round(importance, 6)) DESC, feature) as int) AS rank FROM (SELECT event_type AS feature, avg(value) - 50 AS importance FROM events GROUP BY event_type)")
+def feature_importance_rank(spark, d):
+    from pyspark.sql import Window
+
+    rows = spark.read.parquet(f"{d}/events.parquet").groupBy(F.col("event_type").alias("feature")).agg(F.round(F.avg("value") - 50, 6).alias("importance"))
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(F.abs("importance")), "feature")))
+
+
+# --- store --------------------------------------------------------------------------------------------
+DONE_SQL = f"SELECT sample_id, {VID} AS variant_id, 'm' || cast(pos % 2 as varchar) AS model FROM ({V_SQL}) WHERE pos % 3 <> 0 AND sample_id <> 's1'"
+
+
+def done(spark, d):
+    return D.variants(spark, d).filter("pos % 3 <> 0 and sample_id <> 's1'").select("sample_id", G.variant_id().alias("variant_id"), F.concat(F.lit("m"), (F.col("pos") % 2).cast("string")).alias("model"))
+
+
+@query("resume_variant_antijoin", f"SELECT sample_id, {VID} AS variant_id FROM ({V_SQL}) EXCEPT SELECT sample_id, variant_id FROM ({DONE_SQL}) WHERE model = 'm0'")
+def resume_variant_antijoin(spark, d):
+    return store.unprocessed(D.variants(spark, d).select("sample_id", G.variant_id().alias("variant_id")), done(spark, d), "m0")
+
+
+@query("resume_sample_antijoin", f"SELECT DISTINCT sample_id FROM ({V_SQL}) WHERE sample_id NOT IN (SELECT sample_id FROM ({DONE_SQL}) WHERE model = 'm0')")
+def resume_sample_antijoin(spark, d):
+    return store.unprocessed(D.variants(spark, d).select("sample_id").distinct(), done(spark, d), "m0", ("sample_id",))
+
+
+@query("round_robin_buckets", "SELECT c_name AS sample_id, cast((row_number() OVER (ORDER BY c_name) - 1) % 4 as int) AS bucket FROM (SELECT DISTINCT c_name FROM customer)")
+def round_robin_buckets(spark, d):
+    return store.round_robin(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_name").alias("sample_id")), 4)
+
+
+@query("sample_store_json", f"SELECT sample_id, count(*) AS variants, round(sum(list_sum(mut1)), 3) AS total FROM ({SIX_V}) GROUP BY sample_id")
+def sample_store_json(spark, d):
+    long = D.six_vectors(spark, d).select("sample_id", F.concat(F.lit("v"), F.col("ord").cast("string")).alias("variant_id"), F.lit("toy").alias("model"), F.lit("Mut_hap1").alias("key"), F.col("mut1").alias("vec"))
+    text = store.sample_records(long).select("sample_id", F.to_json("embeddings").alias("json"))
+    back = text.select("sample_id", F.explode(F.from_json("json", "map<string, map<string, map<string, array<double>>>>")).alias("variant_id", "models"))
+    return back.groupBy("sample_id").agg(F.count("*").alias("variants"), F.round(F.sum(F.aggregate(F.col("models")["toy"]["Mut_hap1"], F.lit(0.0), lambda s, x: s + x)), 3).alias("total"))
+
+
+@query("haplotype_store_json", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut1, alias2 AS alias2, wt_ref FROM ({SIX_SQL})")
+def haplotype_store_json(spark, d):
+    pair = "struct<mut:string,wt:string,wt_is_alias:boolean>"
+    back = F.from_json("record", f"hap1 {pair}, hap2 {pair}, reference {pair}")
+    return store.haplotype_records(six(spark, d)).withColumn("r", back).select("sample_id", "variant_id", "direction", F.col("r.hap1.mut").alias("mut1"), F.col("r.hap2.wt_is_alias").alias("alias2"), F.col("r.reference.wt").alias("wt_ref"))
