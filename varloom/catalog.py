@@ -340,13 +340,14 @@ def multi_model_embed(spark, d):
 SIX_V = D.oracle(D.six_vectors_sql("duckdb"), "embeddings")
 _d = lambda a, b: f"list_transform(list_zip({a}, {b}), lambda x: x[1] - x[2])"
 DIFF_SQL = f"SELECT *, CASE WHEN wt1 IS NOT NULL THEN {_d('mut1', 'wt1')} END AS dh1, CASE WHEN mut2 IS NOT NULL AND wt2 IS NOT NULL THEN {_d('mut2', 'wt2')} END AS dh2, CASE WHEN wtref IS NOT NULL THEN {_d('mutref', 'wtref')} END AS dref FROM ({SIX_V})"
-_norm = lambda a: f"sqrt(list_dot_product({a}, {a}))"
-_cos = lambda a, b: f"(CASE WHEN {_norm(a)} = 0 OR {_norm(b)} = 0 THEN 0 ELSE list_dot_product({a}, {b}) / ({_norm(a)} * {_norm(b)}) END)"
+_dot = lambda a, b: f"list_sum(list_transform(list_zip({a}, {b}), lambda x: x[1] * x[2]))"
+_norm = lambda a: f"sqrt({_dot(a, a)})"
+_cos = lambda a, b: f"(CASE WHEN {_norm(a)} = 0 OR {_norm(b)} = 0 THEN 0 ELSE {_dot(a, b)} / ({_norm(a)} * {_norm(b)}) END)"
 _WHOLE = "dh1 IS NOT NULL AND dh2 IS NOT NULL AND dref IS NOT NULL"
 _MEAN_D = "CASE WHEN dh2 IS NOT NULL THEN list_transform(list_zip(dh1, dh2), lambda x: (x[1] + x[2]) / 2) ELSE dh1 END"
 SCORED_SQL = f"""
 SELECT *, CASE WHEN {_WHOLE} THEN 1 - ({_cos('dh1', 'r')} + {_cos('h', 'r')}) / 2 END AS relative,
-       CASE WHEN {_WHOLE} THEN {_norm('dh1')} + {_norm('h')} + {_norm('r')} END AS absolute, sqrt(list_dot_product(dm, dm)) AS delta
+       CASE WHEN {_WHOLE} THEN {_norm('dh1')} + {_norm('h')} + {_norm('r')} END AS absolute, {_norm('dm')} AS delta
 FROM (SELECT *, {_MEAN_D} AS dm, coalesce(dh2, dh1) AS h, coalesce(dref, dh1) AS r FROM ({DIFF_SQL}))
 """
 _text = lambda v: f"array_to_string(list_transform({v}, lambda x: printf('%.6f', round(x, 6) + 0.0)), ',')"
