@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_text, cut, salted_rank, table
+from .common import as_text, cut, salted_rank, sliced, table
 
 CAPACITY = 2048
-TABLE_ROWS, LONGEST = 400_000, 64
+TABLE_ROWS, LONGEST = 200_000, 64
 
 
 class _Ids(dict):
@@ -91,7 +91,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
             )
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("id", id_col)
+    return source.mapInArrow(sliced(run), "id long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
 def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> pd.DataFrame:

@@ -7,6 +7,9 @@ lost executor costs a re-read and never a wrong or missing row.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -82,6 +85,42 @@ def as_text(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+#: Rows that a task holds as Python objects at once.
+SLICE = 512
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers are used again and else keep their peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def sliced(run):
+    """``run`` over small slices of the Arrow batches that Spark sends, with memory given back at the end."""
+
+    def over(batches):
+        try:
+            yield from run(batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE))
+        finally:
+            release()
+
+    return over
+
+
+def released(run):
+    """The same for functions of one group."""
+
+    def over(*groups):
+        try:
+            return run(*groups)
+        finally:
+            release()
+
+    return over
+
+
 def blocks(texts: list, size: int = 1 << 20):
     """Ranges of ``texts`` that hold about ``size`` units each; one longer text is a range of its own."""
     begin, held = 0, 0

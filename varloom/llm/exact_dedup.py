@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, in_bitmap, key_bitmap, table
+from .common import as_bytes, cut, in_bitmap, key_bitmap, sliced, table
 
 
 def content_hash(text: bytes) -> bytes:
@@ -59,7 +59,7 @@ def exact_dedup(
                 ["id", "h", "sha"],
             )
 
-    keyed = cut(source.mapInArrow(hashed, "id long, h binary, sha string"), "exact-keys")
+    keyed = cut(source.mapInArrow(sliced(hashed), "id long, h binary, sha string"), "exact-keys")
     groups = keyed.groupBy("h").agg(best("id").alias("keep_id"), F.count("*").alias("n"))
     found = cut(keyed.join(groups, "h"), "exact-groups")
 
@@ -77,7 +77,7 @@ def exact_dedup(
                 ["id", "h", "norm"],
             )
 
-    members = cut(source.mapInArrow(texts_of_groups, "id long, h binary, norm binary").join(shared, "h"), "exact-members")
+    members = cut(source.mapInArrow(sliced(texts_of_groups), "id long, h binary, norm binary").join(shared, "h"), "exact-members")
     stays = members.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("h").agg(F.first("norm").alias("stay"))
     unequal = members.join(stays, "h").filter("norm <> stay").select("h").distinct()
     unequal = cut(unequal, "exact-collisions")

@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, table
+from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, released, sliced, table
 
 #: Hashes that one fragment task holds, and bytes of text worked on at once.
-FRAGMENT, BLOCK = 3_000_000, 1 << 21
+FRAGMENT, BLOCK = 2_000_000, 1 << 21
 #: Sets whose counts one task sums.
 BUCKET = 2000
 #: Members of a list's main component that its other members are compared with first, and how often.
@@ -195,7 +195,7 @@ def _packed(source: DataFrame, fragments: int, n: int) -> DataFrame:
             for begin, end in blocks(raws, BLOCK):
                 yield from block(ids.slice(begin, end - begin), raws[begin:end])
 
-    return source.mapInArrow(run, _PACKED)
+    return source.mapInArrow(sliced(run), _PACKED)
 
 
 def _count_shared(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
@@ -205,12 +205,12 @@ def _count_shared(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
     counts = [np.frombuffer(x, dtype="<u4") for x in pdf["counts"]]
     # Number the sets from 1; 0 is no owner.
     names, number = np.unique(np.concatenate(keys), return_inverse=True)
-    number, at, owners = number + 1, 0, []
+    number, at, owners = (number + 1).astype(np.uint32), 0, []
     for c, h in zip(counts, pdf["hashes"], strict=True):
         own = np.repeat(number[at : at + len(c)], c)
         owners += [own, np.zeros(len(h) // 4 - len(own), dtype=own.dtype)]
         at += len(c)
-    owner = np.concatenate(owners).astype(np.uint32)
+    owner = np.concatenate(owners)
     order = np.argsort(hashes)
     hashes, owner = hashes[order], owner[order]
     heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
@@ -239,7 +239,7 @@ def _survivors(everyone: DataFrame, between: DataFrame, buckets: int, num: int,
 
     # Every set is in ``everyone``, so its key is found.
     sets = everyone.groupBy("key").agg(F.sum("own").alias("own"), F.sum("shared").alias("shared")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
-    return sets.groupBy("bucket").cogroup(between.groupBy("bucket")).applyInPandas(total, "key long")
+    return sets.groupBy("bucket").cogroup(between.groupBy("bucket")).applyInPandas(released(total), "key long")
 
 
 def sketches(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -269,7 +269,7 @@ def _surviving(source: DataFrame, survivors: DataFrame, n: int) -> DataFrame:
                     ["id", "key", "sig", "n", "sketch", "hashes"],
                 )
 
-    return source.mapInArrow(run, "id long, key long, sig binary, n long, sketch array<long>, hashes array<long>")
+    return source.mapInArrow(sliced(run), "id long, key long, sig binary, n long, sketch array<long>, hashes array<long>")
 
 
 class Threshold:
@@ -365,7 +365,7 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     packed = cut(_packed(source, fragments, n), "packed")
 
     everyone = packed.filter("fragment is null").select("id", "sig", "key", "n", "own", "shared")
-    between = packed.filter("fragment is not null").select("fragment", "keys", "counts", "hashes").groupBy("fragment").applyInPandas(lambda pdf: _count_shared(pdf, buckets), "bucket long, keys binary, counts binary")
+    between = packed.filter("fragment is not null").select("fragment", "keys", "counts", "hashes").groupBy("fragment").applyInPandas(released(lambda pdf: _count_shared(pdf, buckets)), "bucket long, keys binary, counts binary")
     survivors = cut(_survivors(everyone, between, buckets, num, den), "survivors")
 
     found = cut(_surviving(source, survivors, n), "sets")

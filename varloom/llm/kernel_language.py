@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, sliced, table
 
 #: log2 of the table of each n-gram order from 1 on.
 TABLES = (8, 12, 14, 14)
@@ -127,7 +127,7 @@ def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(score, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return source.mapInArrow(sliced(score), "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 #: Fixed by the contract: rows of this remainder are held out.

@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, cut, table
+from .common import as_text, cut, sliced, table
 
-ORDER, DISCOUNT, PER_CLASS, TOP = 5, 0.75, 4000, 3
+ORDER, DISCOUNT, PER_CLASS, TOP = 5, 0.75, 3000, 3
 #: Expressions a task remembers the ratio of.
-TABLE_ROWS = 400_000
+TABLE_ROWS = 200_000
 #: Characters that the model tells apart at the lowest level.
 ALPHABET = 300
 WORD = re.compile(r"[^\W\d_]+")
@@ -178,7 +178,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
 
     counted = (
         chosen.select("toxic", "half", "text")
-        .mapInArrow(held, "toxic int, half int, words array<string>")
+        .mapInArrow(sliced(held), "toxic int, half int, words array<string>")
         .select("toxic", "half", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(*[F.count_if((F.col("toxic") == c) & (F.col("half") == h)).alias(f"n{c}{h}") for c in (0, 1) for h in (0, 1)])
@@ -211,7 +211,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], ["id", "score", "predicted"])
 
-    return source.mapInArrow(score, "id long, score double, predicted int").withColumnRenamed("id", id_col)
+    return source.mapInArrow(sliced(score), "id long, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 #: Fixed by the contract: rows of this remainder are held out.

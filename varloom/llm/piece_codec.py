@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_text, table
+from .common import as_text, sliced, table
 
 MARK = "▁"
 #: Entries a task keeps; the table is emptied when full.  Longer words are segmented anew each time.
-TABLE_ROWS, LONGEST = 400_000, 64
+TABLE_ROWS, LONGEST = 200_000, 64
 
 
 class _Segments(dict):
@@ -77,7 +77,7 @@ def piece_encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, ids binary, decoded string").withColumnRenamed("id", id_col)
+    return source.mapInArrow(sliced(run), "id long, ids binary, decoded string").withColumnRenamed("id", id_col)
 
 
 def piece_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -95,7 +95,7 @@ def piece_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return source.mapInArrow(sliced(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, scratch_path, table
+from .common import cut, scratch_path, sliced, table
 
 #: Fixed by the WARC format.
 MAGIC, RECORD_END = "WARC/1.1\r\n", "\r\n\r\n"
@@ -122,7 +122,7 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
             names = [x.split()[0] for x in _CANDIDATE.split(", ")]
             yield pa.RecordBatch.from_arrays([batch.column(c) if c in ("file", "block", "seq") else pa.array(out[c], kinds.get(c, pa.int64())) for c in names], names)
 
-    return cut(lines.mapInArrow(parse, _CANDIDATE), "warc-candidates")
+    return cut(lines.mapInArrow(sliced(parse), _CANDIDATE), "warc-candidates")
 
 
 def _chains(pdf: pd.DataFrame) -> pd.DataFrame:
