@@ -112,9 +112,21 @@ def sliced(run):
 def released(run):
     """The same for functions of one group."""
 
-    def over(*groups):
+    def over(group):
         try:
-            return run(*groups)
+            return run(group)
+        finally:
+            release()
+
+    return over
+
+
+def released_pair(run):
+    """The same for functions of two cogroups."""
+
+    def over(left, right):
+        try:
+            return run(left, right)
         finally:
             release()
 

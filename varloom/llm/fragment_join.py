@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, released, sliced, table
+from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, released, released_pair, sliced, table
 
 #: Hashes that one fragment task holds, and bytes of text worked on at once.
 FRAGMENT, BLOCK = 2_000_000, 1 << 21
@@ -239,7 +239,7 @@ def _survivors(everyone: DataFrame, between: DataFrame, buckets: int, num: int,
 
     # Every set is in ``everyone``, so its key is found.
     sets = everyone.groupBy("key").agg(F.sum("own").alias("own"), F.sum("shared").alias("shared")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
-    return sets.groupBy("bucket").cogroup(between.groupBy("bucket")).applyInPandas(released(total), "key long")
+    return sets.groupBy("bucket").cogroup(between.groupBy("bucket")).applyInPandas(released_pair(total), "key long")
 
 
 def sketches(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
