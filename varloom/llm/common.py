@@ -97,6 +97,13 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def small_batches(spark: SparkSession, rows: int = SLICE) -> None:
+    """Spark's Arrow batches hold 10,000 rows by default, which is much memory if rows are long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def sliced(run):
     """``run`` over small slices of the Arrow batches that Spark sends, with memory given back at the end."""
 
@@ -164,4 +171,5 @@ def salted_rank(df: DataFrame, by: list[str], order: list[str], salt: Column, ou
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, cut, sliced, table
+from .common import as_text, cut, release, sliced, table
 
 ORDER, DISCOUNT, PER_CLASS, TOP = 5, 0.75, 3000, 3
 #: Expressions a task remembers the ratio of.
@@ -77,16 +77,19 @@ def fit_ratios(toxic: dict[str, int], ordinary: dict[str, int]) -> tuple[dict[st
         for g in current:  # continuation counts: in how many longer n-grams it stands
             shorter[g[1:]] += 1
         current = shorter
-    memo: dict[tuple[str, int], float] = {}
+    memo: dict[str, float] = {}  # of n-grams shorter than ORDER, which many longer ones end with
 
-    def shared(g: str, level: int) -> float:
-        if level == ORDER:
+    def shared(g: str) -> float:
+        if not g:
             return 1 / ALPHABET
-        if (g, level) not in memo:
-            counts, total, kinds = levels[level]
-            below, n = shared(g[1:], level + 1), total.get(g[:-1], 0)
-            memo[g, level] = (max(counts.get(g, 0) - DISCOUNT, 0) + DISCOUNT * kinds[g[:-1]] * below) / n if n else below
-        return memo[g, level]
+        if (known := memo.get(g)) is not None:
+            return known
+        counts, total, kinds = levels[ORDER - len(g)]
+        below, n = shared(g[1:]), total.get(g[:-1], 0)
+        p = (max(counts.get(g, 0) - DISCOUNT, 0) + DISCOUNT * kinds[g[:-1]] * below) / n if n else below
+        if len(g) < ORDER:
+            memo[g] = p
+        return p
 
     def backoff(c: int, context: str) -> float:
         n = classes[c][1].get(context, 0)
@@ -94,7 +97,7 @@ def fit_ratios(toxic: dict[str, int], ordinary: dict[str, int]) -> tuple[dict[st
 
     seen = {}
     for g in levels[0][0]:
-        base, p = shared(g, 0), []
+        base, p = shared(g), []
         for c in (0, 1):
             n = classes[c][1].get(g[:-1], 0)
             p.append((max(classes[c][0].get(g, 0) - DISCOUNT, 0) / n if n else 0) + backoff(c, g[:-1]) * base)
@@ -190,6 +193,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
     if not words or any(sum(n[c, h]) == 0 for c in (0, 1) for h in (0, 1)):
         return source.select(F.col("id").alias(id_col), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     crossed = spark.sparkContext.broadcast([fit_ratios(pick(1, 1 - h), pick(0, 1 - h)) for h in (0, 1)])
+    release()
 
     def unseen_features(batches):
         ratios = [Ratios(*x) for x in crossed.value]
@@ -199,8 +203,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
 
     fitted = np.array(chosen.select("toxic", "half", "text").mapInPandas(unseen_features, "row array<double>").toPandas()["row"].tolist())
     logistic = fit_logistic(fitted[:, 1:], fitted[:, 0])
-    crossed.unpersist()
+    crossed.destroy()
+    del crossed
+    release()
     model = spark.sparkContext.broadcast((fit_ratios(pick(1, 0, 1), pick(0, 0, 1)), logistic))
+    del counted, words, n
+    release()
 
     def score(batches):
         (seen, unseen), (w, mean, scale) = model.value
