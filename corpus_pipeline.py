@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm.best_fit_packing import best_fit_packing
-from varloom.llm.common import cut, table
+from varloom.llm.common import cut, small_batches, table
 from varloom.llm.exact_dedup import exact_dedup
 from varloom.llm.fragment_join import jaccard_components
 from varloom.llm.kernel_language import HELD_OUT as LANGUAGE_HELD_OUT
@@ -38,28 +38,33 @@ def _drop(docs: DataFrame, verdicts: DataFrame, keep: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score_toxicity predicts as toxic go."""
+    small_batches(spark)
     scored = score_toxicity(docs, table(spark, sf_dir, "labels"), train=f"not ({TOXICITY_HELD_OUT})")
     return _drop(docs, scored, "predicted = 0")
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told (no letter in them) go."""
+    small_batches(spark)
     return _drop(docs, identify_language(docs, train=f"not ({LANGUAGE_HELD_OUT})"), "lang_pred <> 'und'")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
+    small_batches(spark)
     return _drop(docs, exact_dedup(docs), "kept")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id stays."""
+    small_batches(spark)
     return _drop(docs, jaccard_components(docs), "doc_id <=> component_id")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    small_batches(spark)
     return best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
