@@ -53,12 +53,14 @@ class PieceCodec:
         self.separable = not any(MARK in x.lstrip(MARK) for x in pieces)
         # The mark must stand for a space as it is, and a text must get one in front.
         self.separable &= self.model.encode("a  b", out_type=str)[0].startswith(MARK) and self.model.encode(" a") != self.model.encode("a") and self.model.encode(f"a{MARK}b") == self.model.encode("a b")
-        self.table = _Segments(lambda x: self.model.encode(x))
+        # A lone mark, at the end of a text, is the piece of that name; the library gives nothing for "".
+        lone = self.model.encode("a ")[len(self.model.encode("a")) :]
+        self.table = _Segments(lambda x: self.model.encode(x) if x else lone)
         self.begin, self.end = (np.array([x], dtype="<u4").tobytes() for x in (self.model.bos_id(), self.model.eos_id()))
 
     def encode(self, text: str) -> bytes:
         if self.separable:
-            body = b"".join(map(self.table.__getitem__, self.chunk.findall(" " + text)))
+            body = b"".join(map(self.table.__getitem__, self.chunk.findall(" " + text))) if text else b""
         else:
             body = np.array(self.model.encode(text), dtype="<u4").tobytes()
         return self.begin + body + self.end
