@@ -2,9 +2,9 @@
 
 A partial partition is a vector of shard sizes.  Differencing takes the two partial partitions with the
 largest spread, adds them in opposite order and puts the sum back.  It needs no list of all groups in one
-place: each bucket of some thousand groups is differenced by a task into one partial partition, those of
-many buckets by the next level, and the last few by one task.  A group's shard follows from the
-lane that it got in its bucket and from where each level moved that lane.
+place: each bucket of some thousand groups is differenced by a task into ``LANES`` lanes, the lanes are
+the indivisible items of the next level, and the last level, of some thousand items, is differenced into
+shards.  A very large group keeps a lane of its own, so that the last level can even it out.
 
 Groups are texts that are equal byte for byte (by 128-bit hash); null counts as the empty text.  Rows
 that repeat an id are rows of their own; an empty table gives an empty result.
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, salted_rank, table
 
-#: Partial partitions that one task combines.
-BUCKET = 1500
+#: Items that one task combines, and the lanes that it makes of them.
+BUCKET, LANES = 1500, 32
+#: Items that the last task combines at most.
+LAST = 8000
 
 
 def difference(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,45 +64,46 @@ def difference(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(heap[0][2], dtype=np.int64), out
 
 
-def _level(items: DataFrame, buckets: int, shards: int, tag: str) -> DataFrame:
-    """items (key binary, sizes array) -> rows (bucket, key, lanes) and one (bucket, null, sizes) each."""
+def _lanes(items: DataFrame, buckets: int, lanes: int, tag: str) -> DataFrame:
+    """items (key, size) -> rows (bucket, key, lane) and one (bucket, null, lane, size) for each lane in use."""
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("key", ignore_index=True)
-        sizes, lanes = difference(np.array(pdf["sizes"].tolist(), dtype=np.int64))
-        bucket = int(pdf["bucket"][0])
-        return pd.DataFrame({"bucket": bucket, "key": [*pdf["key"], None], "lanes": [*lanes, sizes]})
+        vectors = np.zeros((len(pdf), lanes), dtype=np.int64)
+        vectors[:, -1] = pdf["size"]
+        sizes, places = difference(vectors)
+        used = np.flatnonzero(sizes)
+        return pd.DataFrame({"bucket": int(pdf["bucket"][0]), "key": [*pdf["key"], *[None] * len(used)], "lane": [*places[:, -1], *used], "size": [*pdf["size"], *sizes[used]]})
 
     dealt = items.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    return cut(dealt.groupBy("bucket").applyInPandas(combine, "bucket long, key binary, lanes array<long>"), tag)
+    return cut(dealt.groupBy("bucket").applyInPandas(combine, "bucket long, key binary, lane int, size long"), tag)
 
 
-def difference_shards(groups: DataFrame, shards: int = 8, bucket: int = BUCKET) -> DataFrame:
-    """groups (key binary, size long), one row per key -> (key, shard)."""
+def difference_shards(groups: DataFrame, shards: int = 8, bucket: int = BUCKET, last: int = LAST) -> DataFrame:
+    """groups (key binary, size long), one row per key, sizes over 0 -> (key, shard)."""
+    item = F.encode(F.concat_ws(":", "bucket", "lane"), "UTF-8")
+    groups = groups.select("key", F.col("size").cast("long").alias("size"))
     count = groups.count()
-    # A group is a partial partition with all of its size in one lane, the last.
-    zeros = F.array_repeat(F.lit(0).cast("long"), shards - 1)
-    items = groups.select("key", F.concat(zeros, F.array(F.col("size").cast("long"))).alias("sizes"))
-    levels = []
-    while True:
-        buckets = max(1, -(-count // bucket))
-        done = _level(items, buckets, shards, f"shards-{len(levels)}")
-        levels.append(done.filter("key is not null"))
-        if buckets == 1:
-            break
-        items = done.filter("key is null").select(F.encode(F.col("bucket").cast("string"), "UTF-8").alias("key"), F.col("lanes").alias("sizes"))
-        count = buckets
-    # From the last level down: where each lane of a bucket ends.
-    last = levels.pop()
-    ends = last.select("key", "lanes")
+    # Some groups, chosen by a hash, stay items as they are: the last task evens out with them what the much
+    # larger lanes leave uneven.
+    single = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 40)) < F.lit(int((1 << 40) * min(1.0, last / 2 / max(1, count))) if count > last else 1 << 40)
+    levels, singles, items = [], groups.filter(single), groups.filter(~single)
+    count = items.count()
+    while count > last // 2 or (not levels and count):
+        done = _lanes(items, -(-count // bucket), LANES, f"shards-{len(levels)}")
+        levels.append(done.filter("key is not null").select("key", item.alias("_up")))
+        items = done.filter("key is null").select(item.alias("key"), "size")
+        count = items.count()
+    items = items.unionByName(singles)
+    ends = _lanes(items, 1, shards, "shards-last").filter("key is not null").select("key", F.col("lane").alias("shard"))
+    placed = ends.join(singles.select("key"), "key", "left_semi")
     while levels:
-        below = levels.pop()
-        up = ends.select(F.col("key").alias("_up"), F.col("lanes").alias("_ends"))
-        ends = below.join(up, F.encode(below["bucket"].cast("string"), "UTF-8") == F.col("_up")).select("key", F.expr("transform(lanes, x -> _ends[int(x)])").alias("lanes"))
-    return ends.select("key", F.element_at("lanes", -1).cast("int").alias("shard"))
+        up = ends.select(F.col("key").alias("_up"), "shard")
+        ends = levels.pop().join(up, "_up").select("key", "shard")
+    return placed.unionByName(ends) if count else placed
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, last: int = LAST) -> DataFrame:
     """id, size, text_crc32, law, shard, slot, grown_shard: one row per input row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = cut(
@@ -113,7 +116,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         "shard-rows",
     )
     groups = cut(rows.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
-    placed = rows.join(difference_shards(groups, shards, bucket), "key")
+    placed = rows.join(difference_shards(groups, shards, bucket, last), "key")
     salts = max(64, rows.count() // (shards * 10_000))
     slotted = salted_rank(placed, ["shard"], ["id", "size", "text_crc32"], F.pmod(F.xxhash64("id", "text_crc32"), F.lit(salts)), "slot")
     return slotted.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
