@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
@@ -17,10 +17,48 @@ from .metrics import roc_auc
 FILLS = ("median", "mean", "most_frequent", "zero")
 
 
+def _ranked(rows: DataFrame, by: str | None, seed: int) -> DataFrame:
+    """_rank: place of a row among those of its label in the order of a seeded hash of its id, from 0.
+
+    Rows are ranked within cells of the hash's first two digits, which start after the cells before them: a
+    label that holds most rows is still many tasks.
+    """
+    label = F.col(by) if by else F.lit(0)
+    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("sample_id").cast("string")), 256)
+    hashed = rows.withColumns({"_by": label, "_hash": order}).withColumn("_cell", F.substring("_hash", 1, 2))
+    before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    cells = hashed.groupBy(F.col("_by").alias("_key"), F.col("_cell").alias("_at")).agg(F.count("*").alias("_n"))
+    starts = cells.select("_key", "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # 256 rows a label
+    within = F.row_number().over(Window.partitionBy("_by", "_cell").orderBy("_hash", "sample_id")) - 1
+    joined = hashed.withColumn("_r", within).join(starts, F.col("_by").eqNullSafe(F.col("_key")) & (F.col("_cell") == F.col("_at")))
+    return joined.withColumn("_rank", F.col("_r") + F.col("_start")).drop("_by", "_hash", "_cell", "_key", "_at", "_start", "_r")
+
+
 def stratified_folds(rows: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """fold: rows of each label dealt in the order of a seeded hash of their id, so classes are balanced to one."""
-    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("sample_id").cast("string")), 256)
-    return rows.withColumn("fold", F.pmod(F.row_number().over(Window.partitionBy("label").orderBy(order, "sample_id")) - 1, F.lit(k)).cast("int"))
+    return _ranked(rows, "label", seed).withColumn("fold", F.pmod("_rank", F.lit(k)).cast("int")).drop("_rank")
+
+
+def train_test_split(rows: DataFrame, test_share: float = 0.2, stratify: bool = True, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(train, test) with the exact quota ceil(n * test_share) of each label, or of all rows."""
+    if not 0 < test_share < 1:
+        raise ValueError("the share of test rows is between 0 and 1")
+    by = ["label"] if stratify else []
+    sizes = rows.groupBy(*[F.col(c).alias("_label") for c in by]).agg(F.ceil(F.count("*") * test_share).alias("_quota"))
+    ranked = _ranked(rows, "label" if stratify else None, seed)
+    on = F.col("label").eqNullSafe(F.col("_label")) if stratify else F.lit(True)
+    marked = ranked.join(F.broadcast(sizes), on)  # one row a label
+    part = lambda c: marked.filter(c).select(*rows.columns)
+    return part(F.col("_rank") >= F.col("_quota")), part(F.col("_rank") < F.col("_quota"))
+
+
+def fill_matrix(rows: DataFrame, columns: Sequence[str], how: str = "median") -> DataFrame:
+    """Missing cells filled with one value for all columns: median or mean of all known cells, else 0."""
+    if how not in ("median", "mean"):
+        raise ValueError("how is median or mean")
+    cells = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
+    value = rows.select(F.explode(F.array(*cells.values())).alias("x")).agg(F.coalesce((F.median if how == "median" else F.avg)("x"), F.lit(0.0)).alias("_fill"))
+    return rows.crossJoin(F.broadcast(value)).withColumns({c: F.coalesce(x, F.col("_fill")) for c, x in cells.items()}).drop("_fill")
 
 
 def fill_values(rows: DataFrame, columns: Sequence[str], how: str, order: str = "sample_id") -> DataFrame:
@@ -72,6 +110,51 @@ def explained_variance(rows: DataFrame, column: str, k: int, scale: bool = True)
     return rows.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(share)], "component int, share double")
 
 
+def fit_reducer(rows: DataFrame, column: str, k: int | str = "auto", scale: bool = True) -> Callable[[DataFrame], DataFrame]:
+    """A function that turns array ``column`` into its first principal components, fitted on ``rows``.
+
+    Missing cells count as 0; columns are centered and, with ``scale``, divided by their population deviation.
+    k "auto" keeps min(rows, width) components.  Signs of components are arbitrary.
+    """
+    clean = lambda df: df.withColumn("_x", array_to_vector(F.transform(column, lambda x: F.coalesce(F.nanvl(x.cast("double"), F.lit(None)), F.lit(0.0)))))
+    fit = clean(rows).select("_x").persist()
+    try:
+        n = fit.count()
+        width = len(fit.first()["_x"]) if n else 0
+        if not width:
+            raise ValueError("nothing to fit a reducer on")
+        kept = min(n, width) if k == "auto" else min(int(k), n, width)
+        model = Pipeline(stages=[StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=scale), PCA(k=kept, inputCol="_z", outputCol="_p")]).fit(fit)
+    finally:
+        fit.unpersist()
+    factor = (n / (n - 1)) ** 0.5 if scale and n > 1 else 1.0  # Spark divides by the sample deviation
+
+    def reduce(df: DataFrame) -> DataFrame:
+        return model.transform(clean(df)).withColumn(column, F.transform(vector_to_array("_p"), lambda x: x * factor)).drop("_x", "_z", "_p")
+
+    return reduce
+
+
+def fold_preparation(embedded: str | None, tabular: Sequence[str], how: str = "median", components: int | str = "auto") -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """prepare(train, held) -> both with ``features``: reduced embedding, then filled tabular columns; fitted on train."""
+
+    def prepare(train: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+        reduce = fit_reducer(train, embedded, components) if embedded else lambda df: df
+
+        def ready(df: DataFrame) -> DataFrame:
+            filled = impute(df, tabular, how, fit=train) if tabular else df
+            parts = [*([F.col(embedded)] if embedded else []), *([F.array(*tabular)] if tabular else [])]
+            return reduce(filled).withColumn("features", F.concat(*parts))
+
+        return ready(train), ready(held)
+
+    return prepare
+
+
+def feature_names(components: int, tabular: Sequence[str]) -> list[str]:
+    return [*[f"emb_pca_{i}" for i in range(components)], *tabular]
+
+
 def param_grid(options: dict[str, Sequence]) -> list[dict]:
     """All combinations; a single value stands for a list of one, and no options for one empty combination."""
     lists = [v if isinstance(v, (list, tuple)) else [v] for v in options.values()]
@@ -116,19 +199,22 @@ def _score(df: DataFrame) -> DataFrame:
     return df.select("sample_id", "label", raw.alias("score"), F.col("prediction").cast("int").alias("pred"))
 
 
-def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int = 5, seed: int = 42, prepare: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame]:
     """(results, out-of-fold predictions) of rows (sample_id, label, features).
 
     For each fold every combination is fitted on the other folds and judged on this one by ROC-AUC; the best one's
-    predictions are kept.  Choosing on the validation fold makes the scores optimistic.
+    predictions are kept.  Choosing on the validation fold makes the scores optimistic.  ``prepare`` makes
+    features out of other columns, fitted on each fold's training rows.
     """
     spark = rows.sparkSession
-    data = stratified_folds(rows, folds, seed).select("sample_id", "label", "fold", array_to_vector("features").alias("x")).persist()
-    width = len(data.select(vector_to_array("x").alias("x")).first()["x"])
+    grid = list(grid)
+    data = stratified_folds(rows, folds, seed).persist()
     results, kept = [], None
     try:
         for fold in range(folds):
-            train, held = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
+            parts = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
+            train, held = (x.select("sample_id", "label", array_to_vector("features").alias("x")) for x in (prepare(*parts) if prepare else parts))
+            width = len(train.first()["x"])
             tried = []
             for params in grid:
                 out = _score(create_model(model, width, seed, **params).fit(train).transform(held))

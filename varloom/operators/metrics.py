@@ -34,14 +34,28 @@ def classification_report(rows: DataFrame) -> DataFrame:
     return each.unionByName(macro).unionByName(weighted)
 
 
+#: Ranges of scores that running totals are dealt to.
+RANGES = 64
+
+
 def _by_score(rows: DataFrame) -> DataFrame:
     """Positives and negatives at each distinct score, and cumulated from the highest.
 
-    One row for each distinct score is what the window sees, not one for each input row.
+    Scores are cut into ranges at sampled quantiles; each range is summed alone and starts from the totals of
+    the ranges above it, so no task sees all scores.  A missing score comes last.
     """
     at = rows.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
-    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return at.withColumns({"tp": F.sum("p").over(down), "fp": F.sum("n").over(down)})
+    score = F.col("score").cast("double")
+    cuts = sorted(set(rows.select(score.alias("score")).approxQuantile("score", [i / RANGES for i in range(1, RANGES)], 0.005)))
+    above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c > score)) if cuts else F.lit(0)
+    at = at.withColumn("_range", F.when(score.isNull(), F.lit(RANGES)).otherwise(above))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # over RANGES rows
+    heads = at.groupBy("_range").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+    heads = heads.select(F.col("_range").alias("_head"), *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_p", "_n")])
+    down = Window.partitionBy("_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = at.withColumns({"tp": F.sum("p").over(down), "fp": F.sum("n").over(down)})
+    joined = inside.join(F.broadcast(heads), F.col("_range") == F.col("_head"))
+    return joined.select("score", "p", "n", (F.col("tp") + F.col("_p")).alias("tp"), (F.col("fp") + F.col("_n")).alias("fp"))
 
 
 def roc_auc(rows: DataFrame) -> DataFrame:

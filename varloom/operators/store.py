@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,60 @@ def write_store(vectors: DataFrame, path: str, fmt: str = "parquet") -> None:
     vectors.write.mode("append").format(FORMATS.get(fmt, "json")).partitionBy("sample_id").save(path)
 
 
+def sample_archives(vectors: DataFrame) -> DataFrame:
+    """(sample_id, content): a compressed array file for each sample, entries named variant::model::key.
+
+    A sample is one file, so its vectors meet in one task; ``write_store`` has no such bound.
+    """
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        import io
+
+        import numpy as np
+
+        out = io.BytesIO()
+        named = {"::".join(x[:3]): np.asarray(x[3], dtype=np.float32) for x in zip(pdf["variant_id"], pdf["model"], pdf["key"], pdf["vec"], strict=True)}
+        np.savez_compressed(out, __format__=np.array(3), **named)
+        return pd.DataFrame({"sample_id": [pdf["sample_id"].iloc[0]], "content": [out.getvalue()]})
+
+    return vectors.select("sample_id", "variant_id", "model", "key", "vec").groupBy("sample_id").applyInPandas(pack, "sample_id string, content binary")
+
+
+def write_archives(vectors: DataFrame, path: str) -> None:
+    """sample_archives as files {sample_id}.npz in a folder that every executor sees."""
+
+    def put(rows: Iterator) -> None:
+        import os
+
+        for row in rows:
+            part = os.path.join(path, f".{row['sample_id']}.{os.getpid()}")
+            with open(part, "wb") as f:
+                f.write(row["content"])
+            os.replace(part, os.path.join(path, f"{row['sample_id']}.npz"))  # a task that runs again writes the same
+
+    import os
+
+    os.makedirs(path, exist_ok=True)
+    sample_archives(vectors).foreachPartition(put)
+
+
+def haplotype_table(rows: DataFrame) -> DataFrame:
+    """(sample_id, name, hap1, hap2): haplotypes of intervals built beforehand, for look-ups by sample and interval."""
+    return rows.select("sample_id", F.concat_ws("_", "chrom", "pos", "ref", "alt", "direction").alias("name"), F.col("hap1.mut").alias("hap1"), F.col("hap2.mut").alias("hap2"))
+
+
+def haplotype_table_name(vcf: str, bed: str) -> str:
+    """Folder of a prebuilt table: it follows from the two paths, not from what the files hold."""
+    import hashlib
+
+    return hashlib.md5(f"{vcf}{bed}".encode(), usedforsecurity=False).hexdigest()[:12]
+
+
+def describe_haplotypes(table: DataFrame) -> DataFrame:
+    """Numbers of intervals and samples of a prebuilt table."""
+    return table.agg(F.count_distinct("name").alias("intervals"), F.count_distinct("sample_id").alias("samples"))
+
+
 def sample_records(vectors: DataFrame) -> DataFrame:
     """(sample_id, embeddings): variant -> model -> key -> vector."""
     keys = vectors.groupBy("sample_id", "variant_id", "model").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "vec")))).alias("keys"))

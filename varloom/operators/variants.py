@@ -124,6 +124,32 @@ def six_sequences(rows: DataFrame) -> DataFrame:
     return out.filter("mut_ref is not null")
 
 
+def six_of_haplotypes(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The same from haplotypes that were built beforehand (sample_id, name, hap1, hap2).
+
+    REF is put back at the anchor for the wild type; rows are intervals with wt_ref, and those that the table
+    does not have are left out (``missing_haplotypes`` gives them).
+    """
+    known = table.select(F.col("sample_id").alias("_sample"), F.col("name").alias("_name"), F.col("hap1").alias("_hap1"), F.col("hap2").alias("_hap2"))
+    out = reference_pair(rows).join(known, (F.col("sample_id") == F.col("_sample")) & (F.col("name") == F.col("_name")))
+    for hap in (1, 2):
+        mut = F.col(f"_hap{hap}")
+        wt = S.restore_wild_type(mut, F.col("direction"), F.col("ref"), F.col("alt"))
+        carried = F.col(f"a{hap}") == 1
+        out = out.withColumn(f"hap{hap}", F.struct(mut.alias("mut"), F.when(carried, wt).otherwise(mut).alias("wt"), (~F.coalesce(carried, F.lit(False))).alias("wt_is_alias")))
+    out = out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
+    return out.filter("mut_ref is not null").drop("_sample", "_name", "_hap1", "_hap2")
+
+
+def missing_haplotypes(rows: DataFrame, table: DataFrame) -> DataFrame:
+    return rows.select("sample_id", "name").join(table.select("sample_id", "name"), ["sample_id", "name"], "left_anti")
+
+
+def rejected_intervals(rows: DataFrame, n: int) -> DataFrame:
+    """The variants that split_intervals leaves out: those too near to the contig's start."""
+    return rows.filter(F.col("pos") - n - 1 < 0)
+
+
 def both_directions(rows: DataFrame) -> DataFrame:
     """Only variants whose sequences could be built in both directions."""
     key = ["sample_id", "chrom", "pos", "ref", "alt"]

@@ -1,4 +1,4 @@
-"""Readers of interval, genotype and genome files, and of sample records."""
+"""Readers of interval, genotype and genome files, of sample records and of tabular sources."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 #: Bases in one row of a genome table.
 CHUNK = 65_536
@@ -95,6 +96,33 @@ def read_sample_npz(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(parse, "sample_id string, variant_id string, model string, key string, vec array<float>")
 
 
+def exists(spark: SparkSession, path: str | None) -> bool:
+    """Whether a path is there, in whatever store Spark reads it from."""
+    if not path:
+        return False
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """What write_store wrote: sample_id, variant_id, model, key, vec."""
+    schema = "variant_id string, model string, key string, vec array<float>, sample_id string"
+    return spark.read.schema(schema).format("parquet" if fmt in ("parquet", "npz", "hdf5") else "json").load(path).select("sample_id", "variant_id", "model", "key", "vec")
+
+
+def read_features(spark: SparkSession, path: str, id_column: str = "sample_id") -> DataFrame:
+    """sample_id and the numeric columns of a CSV file with a header."""
+    table = spark.read.csv(path, header=True, inferSchema=True)
+    if id_column not in table.columns:
+        raise ValueError(f"{path} has no column {id_column}")
+    numbers = [f.name for f in table.schema if f.name != id_column and isinstance(f.dataType, NumericType)]
+    return table.select(F.col(id_column).cast("string").alias("sample_id"), *[F.col(c).cast("double").alias(c) for c in numbers])
+
+
+def read_labels(spark: SparkSession, path: str, id_column: str = "sample_id", label_column: str = "label") -> DataFrame:
+    return spark.read.csv(path, header=True, inferSchema=True).select(F.col(id_column).cast("string").alias("sample_id"), F.col(label_column).cast("int").alias("label"))
+
+
 def with_order(rows: DataFrame, by: str, *order: str) -> DataFrame:
     """The stable place of a row within its key, where a file's order is not known."""
     return rows.withColumn("ord", F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1)
