@@ -12,6 +12,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -27,13 +28,20 @@ CAPACITY = 2048
 TABLE_ROWS, LONGEST = 200_000, 64
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that byte-level models write for each byte: itself if it prints, else the next from 256 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in prints]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
 class _Ids(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encode(word), dtype="<u4").tobytes()
+        ids = self.encode(word)
         if len(word) <= LONGEST:
             if len(self) >= TABLE_ROWS:
                 self.clear()
@@ -46,8 +54,8 @@ class WordCodec:
 
     White space never belongs to a token and each step of the normaliser works character by character
     (composition never reaches over ASCII white space), so the ids of a text are those of its pieces
-    between white space.  In texts of Latin-1 characters alone, where the normaliser only lower-cases,
-    the pre-tokenizer's own pieces are looked up instead, which repeat more often.
+    between white space.  In Latin-1, where the normaliser only lower-cases, the pre-tokenizer's own pieces
+    are looked up instead, which repeat more often, and a new one goes to the merges alone.
     """
 
     #: The file's pre-tokenizer for Latin-1: letters, one number, or a run of anything else.
@@ -59,7 +67,23 @@ class WordCodec:
 
         model = Tokenizer.from_file(path)
         model.encode_special_tokens = True
-        self.words = _Ids(lambda x: model.encode(x, add_special_tokens=False).ids)
+        whole, merges, byte_char = model.encode, model.model.tokenize, byte_characters()
+
+        def encode(x: str) -> bytes:
+            try:
+                x.encode("latin-1")
+            except UnicodeEncodeError:
+                ids = whole(x, add_special_tokens=False).ids
+            else:
+                pieces = self.word.findall(x.lower())
+                if pieces != [x]:
+                    return b"".join(map(self.words.__getitem__, pieces))
+                if not (x.isascii() and x.isprintable()):
+                    x = x.encode().decode("latin-1").translate(byte_char)
+                ids = [t.id for t in merges(x)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        self.words = _Ids(encode)
 
     def encode(self, text: str) -> bytes:
         try:
