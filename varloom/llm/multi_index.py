@@ -2,11 +2,12 @@
 
 Two codebooks, one for each half of the vector, give every vector a cell (i, j).  A query walks the cells
 by the sum of its distances to the two centroids, taken from a heap, until the cells hold ``share`` of all
-vectors (``least`` at least), and all entries of those cells are reranked by the exact distance.  The
-defaults find over 0.94 of the true ten nearest among vectors without any clusters.
+vectors (``least`` at least), and all entries of those cells are reranked by the exact distance.
 
-Codebooks are fitted on a bounded sample (``SAMPLE`` vectors with the smallest hashed ids); every vector
-is indexed.  Cells hold any number of entries, dealt out in blocks of rows and of queries.
+Codebooks are fitted on a bounded sample (``SAMPLE`` vectors with the smallest hashed ids), and so is
+``share``: the smallest with which ``PROBES`` of them, as queries, meet ``recall`` of their true nearest in
+the sample.  Clustered vectors so need a few cells and unclustered ones many; among more vectors
+than the sample's the true nearest are nearer and sooner met.  Every vector is indexed.  Cells hold any number of entries, dealt out in blocks of rows and of queries.
 
 Vectors that are null, of another length than most of the sample's, zero, or with a null or non-finite
 component take no part.  Rows that repeat an id are candidates each; a query never finds rows of its own
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 SAMPLE = 20_000
+#: Vectors of the sample that stand for queries when the share is fitted.
+PROBES = 400
 #: Rows and queries that one block compares.
 ROW_BLOCK, QUERY_BLOCK = 1024, 512
 
@@ -66,19 +69,37 @@ def walk_cells(left: np.ndarray, right: np.ndarray, counts: dict[tuple[int, int]
     return out
 
 
+def fitted_share(x: np.ndarray, first: np.ndarray, second: np.ndarray, k: int, recall: float) -> float:
+    """Share of all vectors that a walk over cells sees until it has met ``recall`` of the true ``k`` nearest."""
+    half, k = first.shape[1], min(k, len(x) - 1)
+    if k < 1:
+        return 1.0
+    i, j = _nearest(x[:, :half], first), _nearest(x[:, half:], second)
+    seen = []
+    for q in np.linspace(0, len(x) - 1, min(PROBES, len(x))).astype(int):
+        v = x[q][None]
+        away = ((x - v) ** 2).sum(1)
+        away[q] = np.inf
+        true = np.argpartition(away, k - 1)[:k]
+        order = _distances(v[:, :half], first)[0][i] + _distances(v[:, half:], second)[0][j]
+        seen.append(np.searchsorted(np.sort(order), order[true], side="right") / len(x))
+    return float(np.quantile(np.concatenate(seen), recall))
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     is_query: str,
     k: int = 10,
     centroids: int = 128,
-    share: float = 0.45,
+    recall: float = 0.96,
+    share: float | None = None,
     least: int = 2000,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which ``is_query`` holds.
 
-    ``is_query`` is a SQL condition on the id, named ``id``.
+    ``is_query`` is a SQL condition on the id, named ``id``.  ``share`` is fitted for ``recall`` unless given.
     """
     spark: SparkSession = vectors.sparkSession
     sound = "v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(v, x -> x <> 0)"
@@ -91,7 +112,9 @@ def nearest_neighbours(
     rows = rows.filter(F.size("v") == width)
     fit = np.array([x for x in sample["v"] if len(x) == width], dtype=np.float64)
     half = width // 2
-    books = spark.sparkContext.broadcast((kmeans(fit[:, :half], centroids) if half else np.zeros((1, 0)), kmeans(fit[:, half:], centroids)))
+    found = (kmeans(fit[:, :half], centroids) if half else np.zeros((1, 0)), kmeans(fit[:, half:], centroids))
+    share = fitted_share(fit, *found, k, recall) if share is None else share
+    books = spark.sparkContext.broadcast(found)
 
     def assign(batches):
         first, second = books.value
