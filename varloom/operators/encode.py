@@ -30,13 +30,23 @@ class ToyEncoder:
         self.width, self.name, self.batch, self.longest = width, name, batch, longest
 
     def hidden_states(self, sequences: list[str]) -> list[np.ndarray]:
+        if not hasattr(self, "_codes"):  # sin(a + b) of a byte's angle a and a place's angle b
+            angles, places = np.arange(256)[:, None] * (1 + np.arange(self.width)) / 16, np.arange(self.longest)[:, None] / 32
+            self._codes = [f(angles).astype(np.float32) for f in (np.sin, np.cos)]
+            self._places = [f(places).astype(np.float32) for f in (np.sin, np.cos)]
         out = []
         for seq in sequences:
-            codes = np.frombuffer(seq[-self.longest :].encode(), dtype=np.uint8).astype(np.float64)  # the variant is at the end
-            place = np.arange(len(codes))[:, None]
-            out.append(np.sin(codes[:, None] * (1 + np.arange(self.width)) / 16 + place / 32).astype(np.float32))
+            codes = np.frombuffer(seq[-self.longest :].encode(), dtype=np.uint8)[-self.longest :]  # the variant is at the end
+            out.append(self._codes[0][codes] * self._places[1][: len(codes)] + self._codes[1][codes] * self._places[0][: len(codes)])
         return out
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+
+#: Vectors that a task holds before it hands them on.
+ROWS_OUT = 1024
+
 
 def pool_array(hidden: np.ndarray, width: int | None, method: str) -> np.ndarray:
     if method not in ("mean", "max", "last_token"):
@@ -59,7 +69,13 @@ def encode_distinct(wanted: DataFrame, encoder: Encoder, method: str = "mean", c
         need = need.join(known, (F.col("seq") == F.col("_s")) & F.col("w").eqNullSafe(F.col("_w")), "left_anti")
     grouped = need.groupBy("seq").agg(F.collect_list(F.coalesce("w", F.lit(-1))).alias("widths"))
 
+    def ready(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["seq", "w", "vec", "error"])
+        out["w"] = out["w"].astype("Int32")
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
         for pdf in batches:
             for begin in range(0, len(pdf), encoder.batch):
                 part = pdf.iloc[begin : begin + encoder.batch]
@@ -72,14 +88,15 @@ def encode_distinct(wanted: DataFrame, encoder: Encoder, method: str = "mean", c
                             states.append(encoder.hidden_states([seq])[0])
                         except Exception as error:  # noqa: BLE001
                             states.append(str(error))
-                rows = []
                 for seq, widths, state in zip(part["seq"], part["widths"], states, strict=True):
                     for w in widths:
                         bad = isinstance(state, str)
                         rows.append((seq, None if w < 0 else int(w), None if bad else pool_array(state, None if w < 0 else int(w), method).tolist(), state if bad else None))
-                out = pd.DataFrame(rows, columns=["seq", "w", "vec", "error"])
-                out["w"] = out["w"].astype("Int32")
-                yield out
+                if len(rows) >= ROWS_OUT:
+                    yield ready(rows)
+                    rows = []
+        if rows:
+            yield ready(rows)
 
     fresh = grouped.mapInPandas(run, "seq string, w int, vec array<float>, error string")
     return fresh if cached is None else fresh.unionByName(cached.select("seq", "w", "vec", F.lit(None).cast("string").alias("error")))
