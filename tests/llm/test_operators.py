@@ -239,6 +239,13 @@ def test_warc_with_magic_inside_payloads(spark, tmp_path):
             assert got[page]["kind"] == "response" and got[page]["payload_bytes"] == len(raw) and got[page]["digest"] == got[page]["stated"]
 
 
+def test_warc_null_page_id_inside_a_file(spark, tmp_path):
+    rows = [(1, "u", "first"), (None, "u", "without id"), (2, "u", "second"), (None, None, None), (3, "u", "third")]
+    warc_chain.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    got = [(r["page"], r["kind"], r["payload_bytes"], r["digest"] == r["stated"]) for r in warc_chain.verified_records(spark, str(tmp_path / "w")).collect()]
+    assert sorted(got, key=str) == sorted(((page, "response", len(html or ""), True) for page, _, html in rows), key=str)
+
+
 def test_key_bitmap(spark):
     keys = spark.range(0, 1000, 7).select(F.xxhash64("id").alias("k"))
     bits = common.key_bitmap(keys, "k", 16)

@@ -9,8 +9,8 @@ Pointer jumping from the start of the file then keeps the records that the chain
 by doubling over arrays, between splits by doubling self-joins on the offsets where chains leave their
 split.  Candidates inside payloads are not reached, and go back into the payload that holds them.
 
-Null payload counts as empty.  Repeated page ids are records of their own.  An empty table gives an
-empty result.
+Null payload counts as empty.  Repeated page ids are records of their own.  A null page id is written as
+an empty one and read back as null.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
-    """One record per row of ``pages``; ids go to WARC-Record-ID, so a null id is not allowed."""
+    """One record per row of ``pages``; ids go to WARC-Record-ID, a null id as ``<urn:page:>``."""
     text = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"[\x00-\x20]", "%20").alias("url"), text.alias("payload"))
     revisits = cut(plan_revisits(rows, least_bytes), "warc-revisits")
@@ -58,7 +58,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str =
     # A revisit carries no payload: its digest and the length of what it stands for are in the header.
     header = F.concat(
         F.lit(f"{MAGIC}WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: <urn:page:"), F.col("page"),
+        F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("page").cast("string"), F.lit("")),
         F.lit(">\r\nWARC-Target-URI: "), F.col("url"),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), base32_sha1(F.col("payload")),
         F.lit("\r\nX-Payload-Length: "), F.octet_length("payload"),
