@@ -1,5 +1,6 @@
 """Training-data operators against brute force, exact round trips and their odd cases."""
 
+import base64
 import hashlib
 import itertools
 import random
@@ -246,6 +247,19 @@ def test_warc_null_page_id_inside_a_file(spark, tmp_path):
     assert sorted(got, key=str) == sorted(((page, "response", len(html or ""), True) for page, _, html in rows), key=str)
 
 
+def test_warc_page_id_with_several_payloads(spark, tmp_path):
+    rows = [(5, "A"), (5, "B"), (3, "B"), (7, "C"), (7, "D"), (4, "C"), (6, "D"), (3, "B"), (None, "B"), (None, "E"), (None, "E")]
+    pages = spark.createDataFrame([(page, "u", html) for page, html in rows], "page_id long, url string, html string")
+    warc_chain.write_warc(pages, str(tmp_path / "w"))
+    got = [(r["page"], r["kind"], r["refers_to"], r["stated"]) for r in warc_chain.verified_records(spark, str(tmp_path / "w")).collect()]
+    first = {"A": 5, "B": 3, "C": 4, "D": 6}
+    expected = []
+    for page, html in rows:
+        digest = base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+        expected.append((page, "response", None, digest) if first.get(html) in (page, None) else (page, "revisit", first[html], digest))
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_key_bitmap(spark):
     keys = spark.range(0, 1000, 7).select(F.xxhash64("id").alias("k"))
     bits = common.key_bitmap(keys, "k", 16)

@@ -10,7 +10,8 @@ by doubling over arrays, between splits by doubling self-joins on the offsets wh
 split.  Candidates inside payloads are not reached, and go back into the payload that holds them.
 
 Null payload counts as empty.  Repeated page ids are records of their own.  A null page id is written as
-an empty one and read back as null.  An empty table gives an empty result.
+an empty one and read back as null: such a record can revisit another, and none can refer to it.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,11 +40,18 @@ def base32_sha1(text: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+def _digest() -> Column:
+    return F.unhex(F.sha1("payload"))
+
+
 def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page, refers_to) of the records that revisit another: digests alone are shuffled."""
-    keyed = pages.select("page", F.unhex(F.sha1("payload")).alias("digest"), F.octet_length("payload").alias("n")).filter(F.col("n") >= least_bytes)
+    """(page, digest, refers_to) of the records that revisit another: digests alone are shuffled.
+
+    A page id may stand for several payloads, so it names a record only with the digest.
+    """
+    keyed = pages.select("page", _digest().alias("digest"), F.octet_length("payload").alias("n")).filter(F.col("n") >= least_bytes)
     firsts = keyed.groupBy("digest").agg(F.min("page").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return keyed.join(firsts, "digest").filter("page <> refers_to").select("page", "refers_to").distinct()
+    return keyed.join(firsts, "digest").filter("refers_to is not null and not page <=> refers_to").select("page", "digest", "refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
@@ -53,7 +61,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str =
     revisits = cut(plan_revisits(rows, least_bytes), "warc-revisits")
     if revisits.count() <= BROADCAST_ROWS:
         revisits = F.broadcast(revisits)
-    rows = rows.join(revisits.withColumnRenamed("page", "_page"), F.col("page") == F.col("_page"), "left")
+    rows = rows.join(revisits.withColumnsRenamed({"page": "_page", "digest": "_digest"}), F.col("page").eqNullSafe(F.col("_page")) & (_digest() == F.col("_digest")), "left")
     revisit = F.col("refers_to").isNotNull()
     # A revisit carries no payload: its digest and the length of what it stands for are in the header.
     header = F.concat(
