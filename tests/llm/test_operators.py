@@ -97,6 +97,19 @@ def test_jaccard_against_brute_force(spark, none):
     assert fragment_join.jaccard_components(none).count() == 0
 
 
+def test_jaccard_links_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    base = [prose(rng, 60) for _ in range(4)]
+    near = lambda k, *ends: [f"{base[k]} {end}" for end in ends]
+    rows = [(None, near(0, "a")[0]), (None, near(0, "b")[0]), (5, near(0, "c")[0]), (9, near(0, "d")[0])]  # named by 5
+    rows += [(None, x) for x in near(1, "a", "b", "b")]  # no id at all
+    rows += [(7, near(2, "a")[0]), (7, near(3, "a")[0]), (8, near(2, "b")[0]), (6, near(3, "b")[0])]  # one id, two texts
+    rows += [(None, "alone without an id"), (None, "")]
+    expected = [5] * 4 + [None] * 3 + [7, 6, 7, 6] + [None] * 2
+    got = fragment_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got.collect()), key=str) == sorted(((k, c) for (k, _), c in zip(rows, expected, strict=True)), key=str)
+
+
 def test_language(spark, odd, none):
     rows = [(i, ("the and of with there " if i % 2 else "der und von mit nicht ") * (1 + i % 5), "en" if i % 2 else "de") for i in range(60)]
     docs = spark.createDataFrame([*rows, (100, "1234 ...", "en"), (101, None, "en")], "doc_id long, text string, lang string")

@@ -6,7 +6,7 @@ The order of all n-grams is cut into fragments: ranges of the n-grams' 64-bit ha
    each.  A fragment is one task: it finds the hashes that stand in two different sets and counts them for
    each set.  A set that links with another shares at least the threshold of its n-grams, so
    only sets whose counts, summed over fragments, reach that go on (``survivors``).
-2. Documents with one set are a class, and its smallest id speaks for it.
+2. Documents with one set are a class, and go on as its number; ids come back at the end.
 3. Candidates.  n-grams are ordered from rare to frequent; a linked pair shares an n-gram within both
    prefixes, at positions that leave enough overlap.  In each n-gram's list all are first compared with
    one leader.  What is linked is connected; a list whose members are all connected is done.  In the
@@ -19,7 +19,8 @@ The order of all n-grams is cut into fragments: ranges of the n-grams' 64-bit ha
 Every filter is exact: no pair of linked documents of different components is left uncompared.
 
 Null text counts as empty; documents without words link with nothing; rows that repeat an id are one
-document each and share what is found for their texts; an empty table gives an empty result.
+document each and share what is found for their texts; a null id is linked as any other, and names a
+component only if no document of it has an id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -369,8 +370,10 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     survivors = cut(_survivors(everyone, between, buckets, num, den), "survivors")
 
     found = cut(_surviving(source, survivors, n), "sets")
-    # A class of equal sets goes on as its smallest id; copies in one task meet before the shuffle.
-    classes = cut(found.groupBy("sig").agg(F.min("id").alias("rep"), F.min_by(F.struct("n", "sketch", "hashes"), "id").alias("x")).select("rep", "x.*"), "classes")
+    # A class of equal sets goes on as a number, given as it is written (ids may be null or stand for several
+    # sets); copies in one task meet before the shuffle.
+    classes = found.groupBy("sig").agg(F.min("id").alias("id"), F.first(F.struct("n", "sketch", "hashes")).alias("x"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("rep"), "sig", "id", "x.*"), "classes")
 
     # n-grams from rare to frequent; those of one class alone come first and match nothing.
     grams = classes.select("rep", "n", F.explode("hashes").alias("h"))
@@ -412,9 +415,11 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     crossed = stray.join(other, (F.col("s.h") == F.col("o.h")) & meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     final = cut(components(cut(links.unionByName(_links(crossed, classes, t)), "links")), "components")
 
-    # Copies that are like no other set are a component by themselves.
+    # The smallest id of a component names it.  Copies that are like no other set are one by themselves.
+    placed = cut(classes.select("rep", "sig", "id").join(final.withColumnRenamed("node", "rep"), "rep").select("sig", "id", "comp"), "placed")
+    named = placed.groupBy("comp").agg(F.min("id").alias("name"))
     reps = everyone.filter("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
-    of = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("comp", "rep").alias("component_id"))
+    of = reps.join(placed.join(named, "comp").select("sig", "name"), "sig", "left").select("sig", F.coalesce("name", "rep").alias("component_id"))
     return everyone.join(of, "sig", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
