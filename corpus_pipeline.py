@@ -2,6 +2,8 @@
 
 run() applies STAGES to ``documents``; each stage's result is written and read again as the next one's
 input.  All stages but the last return the columns of ``documents``.
+
+Stages decide on rows, not on ids: rows that repeat an id, and rows without one, are documents of their own.
 """
 
 from __future__ import annotations
@@ -21,44 +23,72 @@ from varloom.llm.kneser_ney_toxicity import score_toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-#: Ids of dropped documents that are broadcast at most; more are joined by a shuffle.
-BROADCAST_IDS = 500_000
+#: Numbers of dropped rows that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+#: Bits of a row's number that are its place in its file.
+PLACE = 40
 
 
-def _drop(docs: DataFrame, verdicts: DataFrame, keep: str) -> DataFrame:
-    """The rows of ``docs`` but those with an id that no row of ``verdicts`` keeps.
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for each row, the same whenever it is read.
 
-    Texts are not shuffled while the dropped ids are few; null ids are an id as any other.
+    Rows read from Parquet files are numbered by file and place, which costs no copy of the texts; others are
+    written once with their number.
     """
-    dropped = cut(verdicts.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.expr(keep)).alias("keep")).filter("not keep").select("_id"), "dropped")
-    if dropped.count() <= BROADCAST_IDS:
+    plan = docs._jdf.queryExecution()
+    if plan.analyzed().getClass().getSimpleName() != "LogicalRelation" or "FileScan parquet" not in plan.executedPlan().toString():
+        return cut(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+    files = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "_path string, _file long")
+    placed = docs.select(*COLUMNS, F.col("_metadata.file_path").alias("_at"), F.col("_metadata.row_index").alias("_place"))
+    row = F.shiftleft("_file", PLACE).bitwiseOR(F.col("_place")).alias("_row")
+    return placed.join(F.broadcast(numbers), F.col("_at") == F.col("_path")).select(*COLUMNS, row)
+
+
+def _drop(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows but those whose number is in ``dropped``.  Texts are not shuffled while these are few."""
+    dropped = cut(dropped.select(F.col("_row").alias("_dropped")), "dropped")
+    if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+    return rows.join(dropped, F.col("_row") == F.col("_dropped"), "left_anti").select(*COLUMNS)
+
+
+def _drop_others(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each group (_row, group) the row with the smallest id stays, or the first if ids are equal; one
+    without an id only if none has one."""
+    groups = cut(groups, "groups")
+    placed = groups.join(rows.select("_row", "doc_id"), "_row")
+    first = placed.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("m")).select("m._row")
+    return _drop(rows, groups.join(first, "_row", "left_anti"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score_toxicity predicts as toxic go."""
     small_batches(spark)
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), train=f"not ({TOXICITY_HELD_OUT})")
-    return _drop(docs, scored, "predicted = 0")
+    rows = _numbered(docs)
+    scored = score_toxicity(rows, table(spark, sf_dir, "labels"), train=f"not ({TOXICITY_HELD_OUT})", row_col="_row")
+    return _drop(rows, scored.filter("predicted <> 0"))
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told (no letter in them) go."""
     small_batches(spark)
-    return _drop(docs, identify_language(docs, train=f"not ({LANGUAGE_HELD_OUT})"), "lang_pred <> 'und'")
+    rows = _numbered(docs)
+    return _drop(rows, identify_language(rows, train=f"not ({LANGUAGE_HELD_OUT})", row_col="_row").filter("lang_pred = 'und'"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
     small_batches(spark)
-    return _drop(docs, exact_dedup(docs), "kept")
+    rows = _numbered(docs)
+    return _drop_others(rows, exact_dedup(rows, id_col="_row").select("_row", F.col("keep_id").alias("group")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id stays."""
     small_batches(spark)
-    return _drop(docs, jaccard_components(docs), "doc_id <=> component_id")
+    rows = _numbered(docs)
+    return _drop_others(rows, jaccard_components(rows, id_col="_row").select("_row", F.col("component_id").alias("group")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -290,3 +290,33 @@ def test_pipeline_keeps_clean_documents(spark):
         out = stage(spark, docs, data)
         assert out.columns == docs.columns and out.count() >= 0.8 * docs.count(), name
         docs = common.cut(out, "test")
+
+
+def test_pipeline_decides_on_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    text = prose(random.Random(5), 60)
+    rows = [(1, "!!! 12", "en"), (1, "clean words", "en"), (None, "... 3", "en"), (None, "other words", "en"), (None, "other words", "en"), (None, f"{text} a", "en")]
+    rows += [(2, f"{text} b", "en"), (2, f"{text} b", "en"), (3, "clean words", "en"), (None, f"{text} c", "de"), (4, "", "en")]
+    docs = spark.createDataFrame([(*row, "x", len(row[1])) for row in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents"))
+    stages = dict(corpus_pipeline.STAGES)
+    kept = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    for given in (docs, spark.read.parquet(str(tmp_path / "documents"))):
+        lettered = common.cut(stages["language"](spark, given, ""), "test")
+        assert kept(lettered) == sorted(((k, t) for k, t, _ in rows if any(map(str.isalpha, t))), key=str)
+        apart = common.cut(stages["exact dedup"](spark, lettered, ""), "test")
+        assert kept(apart) == sorted([(1, "clean words"), (None, "other words"), (None, f"{text} a"), (2, f"{text} b"), (None, f"{text} c")], key=str)
+        assert kept(stages["near dedup"](spark, apart, "")) == sorted([(1, "clean words"), (None, "other words"), (2, f"{text} b")], key=str)
+
+
+def test_toxic_rows_go_alone(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    texts = [prose(rng, 30) + (" zorked zorks zorking" if i % 5 == 0 else "") for i in range(300)]
+    spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [*enumerate(texts), (None, texts[0]), (None, texts[1]), (1001, texts[5]), (1001, texts[6])]
+    docs = spark.createDataFrame([(k, t, "en", "x", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()]
+    assert (None, texts[1]) in kept and (None, texts[0]) not in kept and (1001, texts[6]) in kept and (1001, texts[5]) not in kept

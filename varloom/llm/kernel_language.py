@@ -96,8 +96,9 @@ def train_sample(docs: DataFrame, condition: str, id_col: str, text_col: str, la
     return texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("long"), "lang", "text").mapInPandas(bits, "id long, lang string, bits binary").orderBy("lang", F.xxhash64("id"), "id", "bits").toPandas()
 
 
-def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """id, lang_pred, score: one row per input row.  ``train``: SQL condition on ``id`` for rows to learn from."""
+def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", row_col: str | None = None) -> DataFrame:
+    """id, lang_pred, score: one row per input row.  ``train``: SQL condition on ``id`` for rows to learn from.
+    With ``row_col``, that number of the row stands in the id's place in what is returned."""
     spark = docs.sparkSession
     sample = train_sample(docs, train, id_col, text_col, lang_col)
     if sample.empty:
@@ -124,10 +125,10 @@ def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_i
                     langs[i] = names[best[k]]
                     # Ridge targets are -1 and 1.
                     scores[i] = float(min(1.0, max(0.0, (d[k, best[k]] + 1) / 2)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(sliced(score), "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    source = docs.select(F.col(row_col or id_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
+    return source.mapInArrow(sliced(score), "row long, lang_pred string, score double").withColumnRenamed("row", row_col or id_col)
 
 
 #: Fixed by the contract: rows of this remainder are held out.

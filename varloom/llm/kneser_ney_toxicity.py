@@ -166,10 +166,11 @@ def _sample(docs: DataFrame, labels: DataFrame, train: str, id_col: str) -> Data
     return cut(near.withColumn("r", rank).filter(F.col("r") <= PER_CLASS).select("id", "toxic", F.pmod("r", F.lit(2)).alias("half")), "toxic-sample")
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, score, predicted: one row per input row.  ``train``: SQL condition on ``id`` for labels to learn from."""
+def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """id, score, predicted: one row per input row.  ``train``: SQL condition on ``id`` for labels to learn from.
+    With ``row_col``, that number of the row stands in the id's place in what is returned."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(row_col or id_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
     sample = _sample(docs, labels, train, id_col)
     chosen = cut(source.join(F.broadcast(sample), "id"), "toxic-texts")
 
@@ -191,7 +192,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
     n = {(c, h): counted[f"n{c}{h}"].tolist() for c in (0, 1) for h in (0, 1)}
     pick = lambda c, *halves: {w: k for w, *ks in zip(words, *(n[c, h] for h in halves), strict=True) if (k := sum(ks))}
     if not words or any(sum(n[c, h]) == 0 for c in (0, 1) for h in (0, 1)):
-        return source.select(F.col("id").alias(id_col), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return source.select(F.col("row").alias(row_col or id_col), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     crossed = spark.sparkContext.broadcast([fit_ratios(pick(1, 1 - h), pick(0, 1 - h)) for h in (0, 1)])
     release()
 
@@ -217,9 +218,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
             x = np.array([features(t, ratios) for t in as_text(batch.column("text"))]).reshape(-1, TOP + 1)
             z = ((x - mean) / scale) @ w[:-1] + w[-1]
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], ["id", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], ["row", "score", "predicted"])
 
-    return source.mapInArrow(sliced(score), "id long, score double, predicted int").withColumnRenamed("id", id_col)
+    return source.select("row", "text").mapInArrow(sliced(score), "row long, score double, predicted int").withColumnRenamed("row", row_col or id_col)
 
 
 #: Fixed by the contract: rows of this remainder are held out.
