@@ -233,6 +233,21 @@ def test_packing_round_trip(spark, odd, none):
     assert best_fit_packing.best_fit_packing(none, path).count() == 0
 
 
+def test_packing_matches_added_tokens_in_raw_text(spark):
+    from tokenizers import Tokenizer
+
+    path, rng = tokenizers.path("word_bpe_49k.json"), random.Random(4)
+    model = Tokenizer.from_file(path)
+    codec = best_fit_packing.WordCodec(path, special=True)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof text|>", "<|", "|>", "a", "B's", " ", "\n", "\x85", "\xa0", "é", "日本", "12", "Σ", "\u0301"]
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", *("".join(rng.choices(parts, k=12)) for _ in range(400))]
+    for text in texts:
+        assert codec.encode(text) == np.array(model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+    got = best_fit_packing.best_fit_packing(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()
+    crc = lambda text: zlib.crc32(np.array([*model.encode(text, add_special_tokens=False).ids, 0], dtype="<u4").tobytes())
+    assert {r["doc_id"]: r["ids_crc32"] for r in got} == {i: crc(text) for i, text in enumerate(texts)}
+
+
 def test_warc_with_magic_inside_payloads(spark, tmp_path):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     rows = [(1, "http://a", "plain"), (2, None, None), (3, "u", f"x {inner}{inner} y"), (4, "u", "plain"), (5, "u", "WARC/1.1\r\nWARC/1.1\r\n"), (6, "u", inner), (7, "u", "é" * 5000), *[(100 + i, "u", f"page {i} " * 50) for i in range(50)]]

@@ -35,6 +35,14 @@ def byte_characters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(rest)}
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Ids(dict):
     def __init__(self, encode):
         super().__init__()
@@ -56,23 +64,26 @@ class WordCodec:
     (composition never reaches over ASCII white space), so the ids of a text are those of its pieces
     between white space.  In Latin-1, where the normaliser only lower-cases, the pre-tokenizer's own pieces
     are looked up instead, which repeat more often, and a new one goes to the merges alone.
+
+    With ``special``, the file's added tokens are matched in the raw text, as the library does by default: they
+    hold no white space, so the library alone encodes the pieces that hold one.  Else they are text as any other.
     """
 
     #: The file's pre-tokenizer for Latin-1: letters, one number, or a run of anything else.
     word = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\t-\r \x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
     chunk = re.compile(r"[^\t-\r ]+")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(path)
-        model.encode_special_tokens = True
+        model.encode_special_tokens = not special
+        added = [re.escape(t.content) for t in model.get_added_tokens_decoder().values()] if special else []
+        self.added = re.compile("|".join(added) or r"(?!)")
         whole, merges, byte_char = model.encode, model.model.tokenize, byte_characters()
 
         def encode(x: str) -> bytes:
-            try:
-                x.encode("latin-1")
-            except UnicodeEncodeError:
+            if not _latin(x) or self.added.search(x):
                 ids = whole(x, add_special_tokens=False).ids
             else:
                 pieces = self.word.findall(x.lower())
@@ -86,9 +97,7 @@ class WordCodec:
         self.words = _Ids(encode)
 
     def encode(self, text: str) -> bytes:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
+        if not _latin(text) or self.added.search(text):
             return b"".join(map(self.words.__getitem__, self.chunk.findall(text)))
         return b"".join(map(self.words.__getitem__, self.word.findall(text.lower())))
 
@@ -97,7 +106,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     """id, piece, start, length, ids_crc32: a document's ids and the end id, cut only where longer."""
 
     def run(batches):
-        codec, last, width = WordCodec(tokenizer), np.array([end], dtype="<u4").tobytes(), 4 * capacity
+        codec, last, width = WordCodec(tokenizer, special=True), np.array([end], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(as_text(batch.column("text"))):
