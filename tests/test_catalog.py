@@ -40,3 +40,12 @@ def test_entry_without_extras():
 
     assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_encoding_and_training_take_whole_inputs(spark):
+    from varloom.operators import encode
+
+    assert {len(r["features"]) for r in catalog.training_rows(spark, DATA).select("features").collect() if r["features"]} == {64}
+    keys = catalog.all_slots(spark, DATA).selectExpr("split(key, '[|]')[2] as direction", "split(key, '[|]')[3] as slot").distinct().collect()
+    assert len(keys) == 12
+    assert catalog.all_slots(spark, DATA).filter("seq is not null").count() == encode.slots(catalog.six(spark, DATA)).filter("seq is not null").count()

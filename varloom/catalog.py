@@ -319,6 +319,12 @@ for _name, _spark, _sql in (
     query(_name, f"SELECT vec_id, array_to_string(l, ',') AS vec FROM ({pool_sql(*_sql)})")(_pool)
 
 
+def all_slots(spark, d):
+    """(key, seq) of the twelve slots of every variant, in both directions."""
+    rows = encode.slots(six(spark, d))
+    return rows.select(F.concat_ws("|", "sample_id", "variant_id", "direction", "key").alias("key"), "seq")
+
+
 @query("embed_six_vectors")
 def embed_six_vectors(spark, d):
     return encode.embed_variants(G.both_directions(six(spark, d)), encode.ToyEncoder())
@@ -326,13 +332,13 @@ def embed_six_vectors(spark, d):
 
 @query("bulk_embed_keyed")
 def bulk_embed_keyed(spark, d):
-    keyed = wanted(spark, d).select(F.concat_ws("|", "sample_id", "variant_id").alias("key"), "seq")
+    keyed = all_slots(spark, d)
     return encode.bulk_embed(keyed, encode.ToyEncoder(), ["mean", "max", "last_token"]).select("key", *[F.col("vectors")[m].alias(m) for m in ("mean", "max", "last_token")])
 
 
 @query("multi_model_embed")
 def multi_model_embed(spark, d):
-    keyed = wanted(spark, d).select(F.concat_ws("|", "sample_id", "variant_id").alias("key"), "seq")
+    keyed = all_slots(spark, d)
     return encode.multi_model(keyed, [encode.ToyEncoder(8, "toy8"), encode.ToyEncoder(4, "toy4")], ["mean"]).select("key", "model", F.col("vectors")["mean"].alias("mean"))
 
 
@@ -568,13 +574,13 @@ def pr_curve(spark, d):
 
 
 def training_rows(spark, d):
-    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("sample_id"), (F.col("label") < 5).cast("int").alias("label"), F.slice(F.col("embedding").cast("array<double>"), 1, 8).alias("features"))
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("sample_id"), (F.col("label") < 5).cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("features"))
 
 
-for _model, _grid in {"logistic": {"regParam": [0.01, 0.1]}, "linear_svc": {"regParam": [0.01], "maxIter": [10]}, "gbt": {"maxIter": [5], "maxDepth": [3]}, "mlp": {"layers": [[8]], "maxIter": [20]}}.items():
+for _model, _grid in {"logistic": {"regParam": [0.001, 0.01, 0.1, 1.0]}, "linear_svc": {"regParam": [0.001, 0.01, 0.1, 1.0], "maxIter": [10]}, "gbt": {"maxIter": [5, 20], "maxDepth": [3, 5]}, "mlp": {"layers": [[8], [16]], "maxIter": [20, 100]}}.items():
 
     def _cv(spark, d, model=_model, grid=_grid):
-        results, _ = learning.cross_validate(training_rows(spark, d), {"linear_svc": "svm"}.get(model, model), learning.param_grid(grid), folds=3)
+        results, _ = learning.cross_validate(training_rows(spark, d), {"linear_svc": "svm"}.get(model, model), learning.param_grid(grid))
         return results
 
     query(f"cv_{_model}")(_cv)
