@@ -71,10 +71,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no letter in them) go."""
+    """Documents without a letter go; lettered ones stay, even where there is nothing to learn languages from."""
     small_batches(spark)
     rows = _numbered(docs)
-    return _drop(rows, identify_language(rows, train=f"not ({LANGUAGE_HELD_OUT})", row_col="_row").filter("lang_pred = 'und'"))
+    return _drop(rows, identify_language(rows, train=f"not ({LANGUAGE_HELD_OUT})", row_col="_row").filter("not letters"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -335,3 +335,11 @@ def test_toxic_rows_go_alone(spark, tmp_path):
     docs = spark.createDataFrame([(k, t, "en", "x", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()]
     assert (None, texts[1]) in kept and (None, texts[0]) not in kept and (1001, texts[6]) in kept and (1001, texts[5]) not in kept
+
+
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline
+
+    rows = [(1, "clean words"), (2, "... 3"), (3, None), (None, "日本")]
+    docs = spark.createDataFrame([(k, t, None, "x", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["text"] for r in corpus_pipeline.drop_unidentified(spark, docs, "").collect()} == {"clean words", "日本"}

@@ -98,7 +98,8 @@ def train_sample(docs: DataFrame, condition: str, id_col: str, text_col: str, la
 
 def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", row_col: str | None = None) -> DataFrame:
     """id, lang_pred, score: one row per input row.  ``train``: SQL condition on ``id`` for rows to learn from.
-    With ``row_col``, that number of the row stands in the id's place in what is returned."""
+    With ``row_col``, that number of the row stands in the id's place in what is returned, and ``letters`` tells
+    whether its text has any."""
     spark = docs.sparkSession
     sample = train_sample(docs, train, id_col, text_col, lang_col)
     if sample.empty:
@@ -113,7 +114,8 @@ def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_i
         for batch in batches:
             texts = batch.column("text").to_pylist()
             langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-            rows = [i for i, t in enumerate(texts) if names and t and _letter(t)]
+            letters = [bool(t) and _letter(t) for t in texts]
+            rows = [i for i, has in enumerate(letters) if names and has]
             for begin in range(0, len(rows), 128):
                 part = rows[begin : begin + 128]
                 x = np.zeros((len(part), WIDTH), dtype=np.float32)
@@ -125,10 +127,11 @@ def identify_language(docs: DataFrame, train: str = "true", id_col: str = "doc_i
                     langs[i] = names[best[k]]
                     # Ridge targets are -1 and 1.
                     scores[i] = float(min(1.0, max(0.0, (d[k, best[k]] + 1) / 2)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(letters, pa.bool_())], ["row", "lang_pred", "score", "letters"])
 
     source = docs.select(F.col(row_col or id_col).cast("long").alias("row"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(sliced(score), "row long, lang_pred string, score double").withColumnRenamed("row", row_col or id_col)
+    found = source.mapInArrow(sliced(score), "row long, lang_pred string, score double, letters boolean").withColumnRenamed("row", row_col or id_col)
+    return found if row_col else found.drop("letters")
 
 
 #: Fixed by the contract: rows of this remainder are held out.
