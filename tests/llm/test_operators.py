@@ -128,7 +128,7 @@ def test_piece_codec_equals_library():
     texts = ["", " ", "  a", "a  ", "a ", "a b ", "a▁", "▁", "▁▁a b▁", "<s></s><unk> x", "日本語 テキスト", "\n\t", " x y", "é", *("".join(rng.choices("ab é▁\n<s>日́ ", k=30)) for _ in range(200))]
     for text in texts:
         ids = model.encode(text, add_bos=True, add_eos=True)
-        assert codec.encode(text) == np.array(ids, dtype="<u4").tobytes()
+        assert codec.encode(text) == ids
         assert codec.decode(codec.encode(text)) == model.decode(ids)
 
 
@@ -139,6 +139,32 @@ def test_piece_digests(odd, none):
     assert piece_codec.piece_encode(none, path).count() == 0
 
 
+def test_piece_blocks_equal_library(spark, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(piece_codec, "BLOCK", 500)  # many blocks
+    path = tokenizers.path("piece_bpe_32k.model")
+    model, rng = sentencepiece.SentencePieceProcessor(model_file=path), random.Random(6)
+    texts = [None, "", " ", "one", "x" * 5000, *("".join(rng.choices("ab é▁\n<s>日́ ", k=rng.randrange(60))) for _ in range(150)), "word again " * 400]
+    rows = [(None if i % 7 == 0 else i // 2, t) for i, t in enumerate(texts)]
+    for parts in (1, 3):
+        got = piece_codec.piece_encode(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), path).collect()
+        want = []
+        for i, t in rows:
+            ids = model.encode(t or "", add_bos=True, add_eos=True)
+            want.append((i, np.array(ids, dtype="<u4").tobytes(), model.decode(ids)))
+        assert sorted(((r["doc_id"], bytes(r["ids"]), r["decoded"]) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_piece_codec_of_another_model(spark, monkeypatch):
+    path = tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "some words"), (None, None), (1, " other  words")], "doc_id long, text string")
+    before = sorted(map(str, piece_codec.piece_digests(docs, path).collect()))
+    init = piece_codec.PieceCodec.__init__
+    monkeypatch.setattr(piece_codec.PieceCodec, "__init__", lambda self, file: (init(self, file), setattr(self, "separable", False))[0])
+    assert sorted(map(str, piece_codec.piece_digests(docs, path).collect())) == before
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 16)).astype(np.float32)
@@ -146,7 +172,7 @@ def test_neighbours(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     bad = [(1000, None), (1100, [0.0] * 16), (1200, [float("nan")] + [1.0] * 15), (1300, [1.0]), (1400, [None] + [1.0] * 15)]
     df = spark.createDataFrame([*rows, *bad], "vec_id long, embedding array<float>")
-    got = multi_index.nearest_neighbours(df, "id % 100 = 0", centroids=8, share=0.5, least=100).collect()
+    got = multi_index.nearest_neighbours(df, "id % 100 = 0", centroids=8).collect()
     assert {r["query_id"] for r in got} == {0, 100, 200, 300}
     hits = 0
     for q in (0, 100, 200, 300):
