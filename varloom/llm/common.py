@@ -21,18 +21,23 @@ from pyspark.sql import functions as F
 
 #: The white space that separates words: space and \t \n \v \f \r (fixed by the contracts).
 SPACE = r"\x20\x09-\x0D"
-#: log2 of the bits in a key bitmap: 8 MiB, whatever the input.
-BITMAP_BITS = 26
+#: log2 of the least and the most bits in a key bitmap: up to 64 MiB.
+BITMAP_BITS = (16, 29)
+#: A key is hot if more than one in so many rows holds it; there are fewer hot keys than this.
+HOT = 1000
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one of our own only where none is set (tests)."""
+    """The shared folder of the cluster.  Where none is set a local session gets a temporary one (tests); on a
+    cluster, whose machines don't share one, that is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_dir.isDefined():
         return set_dir.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = tempfile.mkdtemp(prefix="varloom-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(f"file://{own}")
@@ -51,12 +56,14 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def key_bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bitmap of 2**bits bits with the bit of each 64-bit key set.
+def key_bitmap(keys: DataFrame, column: str, bits: int | None = None) -> np.ndarray:
+    """A bitmap with the bit of each 64-bit key set: 32 bits or more for each key, within BITMAP_BITS.
 
-    Its size is fixed by ``bits``: with very many keys it only lets more rows through, and every user
-    joins exactly afterwards.  Words are OR-ed on the executors; the driver gets 2**bits / 64 rows at most.
+    With more keys than that it only lets more rows through, and every user joins exactly afterwards.  Words are
+    OR-ed on the executors; the driver gets 2**bits / 64 rows at most.
     """
+    if bits is None:
+        bits = min(max(BITMAP_BITS[0], (32 * keys.count()).bit_length()), BITMAP_BITS[1])
     slot = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     words = (
         keys.select(slot.alias("slot"))
@@ -170,6 +177,16 @@ def salted_rank(df: DataFrame, by: list[str], order: list[str], salt: Column, ou
     return ranked.join(starts, on).withColumn(out, F.col("_r") + F.col("_start")).drop("_salt", "_r", "_cell", "_start", *[f"_by_{c}" for c in by])
 
 
+def join_hot(rows: DataFrame, lookup: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined on ``key`` with ``lookup``, which has one row for each key and, in ``count``, how many of the
+    ``total`` rows hold it.  Hot keys are broadcast, so no task gets all rows of one; the others are shuffled.
+    """
+    hot = F.broadcast(lookup.filter(F.col(count) * HOT > total))
+    cold = lookup.filter(F.col(count) * HOT <= total)
+    rest = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(key) == F.col("_hot"), "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(cold, key, how))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, in_bitmap, key_bitmap, sliced, table
+from .common import as_bytes, cut, in_bitmap, join_hot, key_bitmap, sliced, table
 
 
 def content_hash(text: bytes) -> bytes:
@@ -42,8 +42,9 @@ def exact_dedup(
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Only hashes are shuffled for the grouping.  The texts of groups with more than one member, and those
-    alone, are then compared byte by byte with the text of the row that stays; should a group hold
-    different texts with one hash, its members are grouped anew by their bytes.
+    alone, are then compared byte by byte: equal ones meet in their tasks first, so a group sends one text from each
+    task.  Should a hash have different texts, its members are grouped anew by their bytes.  Groups that hold
+    many of all rows are joined back by a broadcast.
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is 'min' or 'max'")
@@ -60,11 +61,11 @@ def exact_dedup(
             )
 
     keyed = cut(source.mapInArrow(sliced(hashed), "id long, h binary, sha string"), "exact-keys")
-    groups = keyed.groupBy("h").agg(best("id").alias("keep_id"), F.count("*").alias("n"))
-    found = cut(keyed.join(groups, "h"), "exact-groups")
+    groups = cut(keyed.groupBy("h").agg(best("id").alias("keep_id"), F.count("*").alias("n")), "exact-groups")
+    found = join_hot(keyed, groups, "h", "n", keyed.count())
 
-    shared = found.filter("n > 1").select("h", "keep_id").distinct()
-    bitmap = spark.sparkContext.broadcast(key_bitmap(shared.select(F.conv(F.hex(F.substring("h", 1, 7)), 16, 10).cast("long").alias("k")), "k"))
+    shared = groups.filter("n > 1").select(F.conv(F.hex(F.substring("h", 1, 7)), 16, 10).cast("long").alias("k"))
+    bitmap = spark.sparkContext.broadcast(key_bitmap(shared, "k"))
 
     def texts_of_groups(batches):
         bits = bitmap.value
@@ -77,15 +78,13 @@ def exact_dedup(
                 ["id", "h", "norm"],
             )
 
-    members = cut(source.mapInArrow(sliced(texts_of_groups), "id long, h binary, norm binary").join(shared, "h"), "exact-members")
-    stays = members.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("h").agg(F.first("norm").alias("stay"))
-    unequal = members.join(stays, "h").filter("norm <> stay").select("h").distinct()
-    unequal = cut(unequal, "exact-collisions")
+    members = source.mapInArrow(sliced(texts_of_groups), "id long, h binary, norm binary")
+    texts = members.groupBy("h", "norm").agg(best("id").alias("keep_id"), F.count("*").alias("n"))
+    unequal = cut(texts.groupBy("h").agg(F.count("*").alias("texts")).filter("texts > 1").select("h"), "exact-collisions")
 
     if not unequal.isEmpty():
-        parts = members.join(unequal, "h", "left_semi").drop("keep_id")
-        again = parts.groupBy("h", "norm").agg(best("id").alias("keep_id"), F.count("*").alias("n"))
-        apart = parts.join(again, ["h", "norm"]).select("id", "h", F.sha2("norm", 256).alias("sha"), "keep_id", "n")
+        again = texts.join(unequal, "h", "left_semi")
+        apart = members.join(unequal, "h", "left_semi").join(again, ["h", "norm"]).select("id", "h", F.sha2("norm", 256).alias("sha"), "keep_id", "n")
         found = found.join(unequal, "h", "left_anti").select("id", "h", "sha", "keep_id", "n").unionByName(apart)
     return found.select(
         F.col("id").alias(id_col),
