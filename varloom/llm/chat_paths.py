@@ -5,9 +5,15 @@ Inside role and text each ``<``, ``[`` and backslash gets a backslash behind it,
 this template or another of that form (``</s>``, ``[INST]``) stands in escaped text, and the reverse
 replacement gives the text back exactly.
 
-Null role and null text count as empty.  A node whose parent is not in its conversation is a root.
-Conversations may have a null id, which is an id as any other.  Repeated turns are turns of their own, in
-the order of role and text.  An empty table gives an empty result.
+Null role and null text count as empty.  A node whose parent is not in its conversation is a root.  A node id that
+stands twice in a tree is one node, the row with the smallest parent, role and text; a null node is none.  The
+nodes of a reply cycle, and those that answer to one, are on no path.
+Conversations may have a null id, which is an id as any other.  Repeated turns of plain conversations are turns of
+their own, in the order of role and text.  An empty table gives an empty result.  Further columns, whatever their
+names, are not looked at.
+
+No task holds a whole conversation before its chosen paths are formatted: nodes are numbered in cells, and
+paths are ranked by leaf, score and nothing else.  A formatted path is one row, so its turns meet in the end.
 """
 
 from __future__ import annotations
@@ -28,58 +34,104 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"([<\[\\])\\", "$1")
 
 
+#: Turns of one conversation that are numbered in one cell, if turns are numbered one by one.
+CELL = 4096
+
+
 def linear_tree(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Plain conversations as reply trees: each turn answers the one before it."""
-    order = Window.partitionBy("conv").orderBy("_turn", "role", "text")
     nodes = turns.select(
         F.col(conv).cast("long").alias("conv"),
         F.col(turn).alias("_turn"),
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("node", F.row_number().over(order).cast("long"))
-    return nodes.select("conv", "node", (F.col("node") - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")
+    ).withColumn("_cell", F.floor(F.col("_turn") / CELL))
+    # Cells of a conversation are in the order of its turns; each starts after the cells before it.
+    cells = nodes.groupBy("conv", "_cell").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("conv").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(F.col("conv").alias("_c"), F.col("_cell").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    order = Window.partitionBy("conv", "_cell").orderBy("_turn", "role", "text")
+    placed = nodes.withColumn("_r", F.row_number().over(order)).join(starts, F.col("conv").eqNullSafe(F.col("_c")) & F.col("_cell").eqNullSafe(F.col("_at")))
+    node = (F.col("_r") + F.col("_start")).cast("long")
+    return placed.select("conv", node.alias("node"), (node - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")
+
+
+def _links(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """(leaves, jumps, cyclic): jumps[k] has (conv, node, to, gain) for each node's ancestor 2**k replies up, with the
+    sum of the scores from the node to below that; cyclic has the nodes whose replies never end at a root.
+
+    Self-joins that double their reach.  A way up that is as long as its conversation has nodes is in a cycle.
+    """
+    ids = cut(nodes.select("conv", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "chat-ids")
+    known = ids.select(F.col("conv").alias("c"), F.col("node").alias("p"))
+    parents = ids.select(F.col("conv").alias("c"), F.col("parent").alias("p")).distinct()
+    leaves = ids.join(parents, ids["conv"].eqNullSafe(parents["c"]) & (ids["node"] == parents["p"]), "left_anti").select("conv", "node", "score")
+    now = cut(ids.join(known, ids["conv"].eqNullSafe(known["c"]) & (ids["parent"] == known["p"]), "left_semi").select("conv", "node", F.col("parent").alias("to"), F.col("score").alias("gain")), "chat-jumps")
+    longest = ids.groupBy("conv").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    jumps, reach = [], 1
+    while reach < longest and not now.isEmpty():
+        jumps.append(now)
+        step = now.select(F.col("conv").alias("c"), F.col("node").alias("at"), F.col("to").alias("further"), F.col("gain").alias("more"))
+        now = cut(now.join(step, now["conv"].eqNullSafe(step["c"]) & (now["to"] == step["at"])).select("conv", "node", F.col("further").alias("to"), (F.col("gain") + F.col("more")).alias("gain")), "chat-jumps")
+        reach *= 2
+    return leaves, jumps, now.select("conv", "node")
 
 
-def root_to_leaf_paths(nodes: DataFrame) -> DataFrame:
-    """(conv, leaf, node, up): every node of every root-to-leaf path; up counts from the leaf.
+def _trees(nodes: DataFrame) -> DataFrame:
+    """One row for each node."""
+    row = F.struct("parent", "role", "text", "score")
+    return nodes.filter("node is not null").groupBy("conv", "node").agg(F.min(row).alias("x")).select("conv", "node", "x.*")
+
 
-    Self-joins that double their reach: after step k a path holds its last 2**k nodes, and ``jumps`` has
-    each node's ancestor 2**k replies up.  A reply cycle has no leaf or never ends at a root; its nodes
-    are then on no path.
+def ranked_leaves(nodes: DataFrame, best: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """(conv, leaf, rank) of the ``best`` root-to-leaf paths of each conversation (all, if None), and the jumps.
+
+    Paths rank by the sum of their scores, then by leaf.  Each leaf climbs to its root by the jumps, from the
+    longest to the shortest, so no path is listed for its rank.
     """
-    ids = nodes.select("conv", "node", "parent")
-    parents = ids.select(F.col("conv").alias("c"), F.col("parent").alias("p")).distinct()
-    known = ids.select(F.col("conv").alias("c"), F.col("node").alias("p"))
-    leaves = ids.join(parents, ids["conv"].eqNullSafe(parents["c"]) & (ids["node"] == parents["p"]), "left_anti")
-    jumps = cut(ids.join(known, ids["conv"].eqNullSafe(known["c"]) & (ids["parent"] == known["p"]), "left_semi").select("conv", "node", F.col("parent").alias("to")), "chat-jumps")
-    paths = cut(leaves.select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "chat-paths")
-    reach = 1
-    while not jumps.isEmpty():
-        step = jumps.select(F.col("conv").alias("c"), F.col("node").alias("at"), "to")
-        on = lambda left, node: left["conv"].eqNullSafe(step["c"]) & (left[node] == step["at"])
-        longer = paths.join(step, on(paths, "node")).select("conv", "leaf", F.col("to").alias("node"), (F.col("up") + reach).alias("up"))
+    leaves, jumps, cyclic = _links(nodes)
+    off = cyclic.select(F.col("conv").alias("c"), F.col("node").alias("n"))
+    at = leaves.join(off, leaves["conv"].eqNullSafe(off["c"]) & (leaves["node"] == off["n"]), "left_anti").select("conv", F.col("node").alias("leaf"), F.col("node").alias("at"), F.lit(0.0).alias("total"))
+    for k, jump in enumerate(reversed(jumps)):
+        step = jump.select(F.col("conv").alias("c"), F.col("node").alias("n"), "to", "gain")
+        at = at.join(step, at["conv"].eqNullSafe(step["c"]) & (at["at"] == step["n"]), "left").select("conv", "leaf", F.coalesce("to", "at").alias("at"), (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total"))
+        if k % 4 == 3:
+            at = cut(at, "chat-climb")
+    root = nodes.select(F.col("conv").alias("c"), F.col("node").alias("n"), F.coalesce("score", F.lit(0.0)).alias("last"))
+    scored = at.join(root, at["conv"].eqNullSafe(root["c"]) & (at["at"] == root["n"])).select("conv", "leaf", (F.col("total") + F.col("last")).alias("score"))
+    if best is None:
+        return scored.select("conv", "leaf", F.lit(0).alias("rank")), jumps
+    rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf"))
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= best).select("conv", "leaf", "rank"), jumps
+
+
+def _climb(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(conv, leaf, rank, node, up): after step k a path holds its last 2**(k + 1) nodes; up counts from the leaf."""
+    paths = cut(leaves.select("conv", "leaf", "rank", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up")), "chat-paths")
+    for k, jump in enumerate(jumps):
+        step = jump.select(F.col("conv").alias("c"), F.col("node").alias("at"), "to")
+        longer = paths.join(step, paths["conv"].eqNullSafe(step["c"]) & (paths["node"] == step["at"])).select("conv", "leaf", "rank", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"))
         paths = cut(paths.unionByName(longer), "chat-paths")
-        first = jumps.select("conv", "node", F.col("to").alias("mid"))
-        jumps = cut(first.join(step, on(first, "mid")).select("conv", "node", "to"), "chat-jumps")
-        reach *= 2
-        if reach > 1 << 40:
-            raise ValueError("replies form a cycle")
     return paths
 
 
+def root_to_leaf_paths(nodes: DataFrame) -> DataFrame:
+    """(conv, leaf, node, up): every node of every root-to-leaf path; up counts from the leaf."""
+    return _climb(*ranked_leaves(_trees(nodes))).drop("rank")
+
+
 def format_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     """conv, leaf, rank, formatted, loss: the ``best`` paths of each conversation.
 
     Paths rank by the sum of their scores, then by leaf.  loss holds (start, length) of each assistant
     text in ``formatted``, in characters from 1: the loss mask.
     """
-    paths = root_to_leaf_paths(nodes)
-    right = nodes.select(F.col("conv").alias("c"), F.col("node").alias("n"), "score", "role", "text")
+    nodes = cut(_trees(nodes), "chat-trees")
+    paths = _climb(*ranked_leaves(nodes, best))
+    right = nodes.select(F.col("conv").alias("c"), F.col("node").alias("n"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = paths.join(right, paths["conv"].eqNullSafe(right["c"]) & (paths["node"] == right["n"]))
     turn = F.struct((-F.col("up")).alias("at"), escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text"))
-    whole = rows.groupBy("conv", "leaf").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("score"), F.sort_array(F.collect_list(turn)).alias("turns"))
-    rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf"))
-    chosen = whole.withColumn("rank", rank).filter(F.col("rank") <= best)
+    chosen = rows.groupBy("conv", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     piece = f"concat('{OPEN}', t.role, '{CLOSE_ROLE}', t.text, '{CLOSE}')"
     head, tail = len(OPEN) + len(CLOSE_ROLE), len(CLOSE)
     # Only assistant turns are lost on; starts are running sums of the lengths of the turns before.
