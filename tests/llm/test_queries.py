@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_operators import jaccard_groups
@@ -69,13 +70,36 @@ def test_op6(spark):
     assert hits >= 0.9 * total
 
 
-def test_fitted_share_follows_clusters():
-    rng = np.random.default_rng(2)
-    loose = rng.normal(size=(3000, 16))
-    tight = rng.normal(size=(50, 16))[rng.integers(0, 50, 3000)] * 5 + rng.normal(size=(3000, 16)) * 0.3
-    share = lambda x: multi_index.fitted_share(x, multi_index.kmeans(x[:, :8], 32), multi_index.kmeans(x[:, 8:], 32), 10, 0.95)
-    assert share(tight) < 0.1 < share(loose) < 0.8
-    assert multi_index.fitted_share(loose[:1], loose[:1, :8], loose[:1, 8:], 10, 0.95) == 1.0
+@pytest.mark.parametrize("kind", ["clusters", "few dimensions", "no structure"])
+def test_walks_grow_less_than_the_table(spark, kind):
+    rng, wants = np.random.default_rng(2), []
+    for n in (5000, 20_000):
+        if kind == "clusters":
+            x = (rng.normal(size=(100, 16)) * 5)[rng.integers(0, 100, n)] + rng.normal(size=(n, 16)) * 0.3
+        else:
+            x = rng.normal(size=(n, 16)) if kind == "no structure" else rng.normal(size=(n, 4)) @ rng.normal(size=(4, 16))
+        df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.tolist()}))
+        index = multi_index.MultiIndex(df)
+        got = {}
+        for r in index.search("id % 100 = 0").collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        hits = 0
+        for q in range(0, n, 100):
+            d = ((x - x[q]) ** 2).sum(1)
+            d[q] = np.inf
+            hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+        assert hits >= 0.9 * n / 10
+        wants.append(index.want)
+    # Four times the rows, and less than three times the entries that a query is compared with.
+    assert wants[1] < 3 * wants[0] and wants[1] < (0.02 if kind == "clusters" else 0.2) * 20_000
+
+
+def test_neighbours_with_ties_and_clashing_columns(spark):
+    rows = [(i, [1.0, 2.0 + (i == 0)]) for i in range(40)] + [(100, [5.0, 5.0]), (101, None), (None, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for given in (df, clashing(df, 3).withColumn("v", F.lit(1)).withColumn("i", F.lit(2))):
+        got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in multi_index.nearest_neighbours(given, "id in (0, 7)", centroids=2).collect())
+        assert [x[2] for x in got if x[0] == 0] == list(range(1, 11)) and [x[2] for x in got if x[0] == 7] == [*range(1, 7), 8, 9, 10, 11]
 
 
 def test_op7(spark, documents):

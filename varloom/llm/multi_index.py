@@ -1,34 +1,39 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-Two codebooks, one for each half of the vector, give every vector a cell (i, j).  A query walks the cells
-by the sum of its distances to the two centroids, taken from a heap, until the cells hold ``share`` of all
-vectors (``least`` at least), and all entries of those cells are reranked by the exact distance.
-
-Codebooks are fitted on a bounded sample (``SAMPLE`` vectors with the smallest hashed ids), and so is
-``share``: the smallest with which ``PROBES`` of them, as queries, meet ``recall`` of their true nearest in
-the sample.  Clustered vectors so need a few cells and unclustered ones many; among more vectors
-than the sample's the true nearest are nearer and sooner met.  Every vector is indexed.  Cells hold any number of entries, dealt out in blocks of rows and of queries.
-
-Vectors that are null, of another length than most of the sample's, zero, or with a null or non-finite
-component take no part.  Rows that repeat an id are candidates each; a query never finds rows of its own
-id.  An empty table gives an empty result.
+Two codebooks, one for each half of the vector, give every vector a cell (i, j).  A query walks the cells by
+the sum of its distances to the two centroids, taken from a heap, until the cells hold ``want`` vectors, and
+all entries of those cells are reranked by the exact distance.
+
+Codebooks are fitted on a bounded sample (the ``SAMPLE`` vectors with the smallest hashed ids, fewer if they are wide),
+with more centroids the more vectors there are.  ``want`` is measured, not assumed: ``PROBES`` rows of the table, as
+queries, are compared with every row once, in blocks, and the walks of ``recall`` of their true nearest end
+within ``want`` entries.  So the walk is as long as this table needs: short where vectors
+are clustered, however many there are, and long where they are not.  Every vector is indexed.  Cells hold any number of
+entries, dealt out in blocks of rows and of queries.
+
+Vectors that are null, of another length than most, zero, or with a null or non-finite component take no part, nor
+do rows with a null id.  Rows that repeat an id are candidates each; a query never finds rows of its own id.  Equal
+distances rank by id.  An empty table gives an empty result.  Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, release, table
 
-SAMPLE = 20_000
-#: Vectors of the sample that stand for queries when the share is fitted.
-PROBES = 400
+#: Vectors of the sample, and numbers in it, at most.
+SAMPLE, SAMPLE_NUMBERS = 20_000, 1 << 23
+#: Rows that stand for queries when the walk is measured.
+PROBES = 256
+#: Centroids of a half.
+CENTROIDS = (4, 512)
 #: Rows and queries that one block compares.
 ROW_BLOCK, QUERY_BLOCK = 1024, 512
 
@@ -69,114 +74,157 @@ def walk_cells(left: np.ndarray, right: np.ndarray, counts: dict[tuple[int, int]
     return out
 
 
-def fitted_share(x: np.ndarray, first: np.ndarray, second: np.ndarray, k: int, recall: float) -> float:
-    """Share of all vectors that a walk over cells sees until it has met ``recall`` of the true ``k`` nearest."""
-    half, k = first.shape[1], min(k, len(x) - 1)
-    if k < 1:
-        return 1.0
-    i, j = _nearest(x[:, :half], first), _nearest(x[:, half:], second)
-    seen = []
-    for q in np.linspace(0, len(x) - 1, min(PROBES, len(x))).astype(int):
-        v = x[q][None]
-        away = ((x - v) ** 2).sum(1)
-        away[q] = np.inf
-        true = np.argpartition(away, k - 1)[:k]
-        order = _distances(v[:, :half], first)[0][i] + _distances(v[:, half:], second)[0][j]
-        seen.append(np.searchsorted(np.sort(order), order[true], side="right") / len(x))
-    return float(np.quantile(np.concatenate(seen), recall))
-
-
-def nearest_neighbours(
-    vectors: DataFrame,
-    is_query: str,
-    k: int = 10,
-    centroids: int = 128,
-    recall: float = 0.96,
-    share: float | None = None,
-    least: int = 2000,
-    id_col: str = "vec_id",
-    vector_col: str = "embedding",
-) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which ``is_query`` holds.
-
-    ``is_query`` is a SQL condition on the id, named ``id``.  ``share`` is fitted for ``recall`` unless given.
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.asarray(flat, dtype=np.float64).reshape(-1, width)
+
+
+class MultiIndex:
+    """Every sound vector of a table with its cell, and how far a walk goes for ``recall`` of the ``k`` nearest.
+
+    ``entries``: (id, v, i, j).  ``rows``, ``want``, ``centroids``: of all vectors, of a walk, of a half.
     """
-    spark: SparkSession = vectors.sparkSession
-    sound = "v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(v, x -> x <> 0)"
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(sound).filter("id is not null")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if sample.empty:
-        return spark.createDataFrame([], schema)
-    width = Counter(map(len, sample["v"])).most_common(1)[0][0]
-    rows = rows.filter(F.size("v") == width)
-    fit = np.array([x for x in sample["v"] if len(x) == width], dtype=np.float64)
-    half = width // 2
-    found = (kmeans(fit[:, :half], centroids) if half else np.zeros((1, 0)), kmeans(fit[:, half:], centroids))
-    share = fitted_share(fit, *found, k, recall) if share is None else share
-    books = spark.sparkContext.broadcast(found)
-
-    def assign(batches):
-        first, second = books.value
-        for pdf in batches:
-            if len(pdf):
-                x = np.array(pdf["v"].tolist(), dtype=np.float64)
-                pdf["i"], pdf["j"] = _nearest(x[:, :half], first), _nearest(x[:, half:], second)
-                yield pdf
-
-    indexed = cut(rows.mapInPandas(assign, "id long, v array<double>, i int, j int"), "ann-index")
-    # At most centroids ** 2 rows, whatever the input.
-    counted = {(int(r["i"]), int(r["j"])): int(r["n"]) for r in indexed.groupBy("i", "j").agg(F.count("*").alias("n")).collect()}
-    want = max(least, int(share * sum(counted.values()))) + k
-    shared = spark.sparkContext.broadcast(counted)
-
-    def probe(batches):
-        first, second = books.value
-        counts = shared.value
-        for pdf in batches:
+
+    def __init__(self, vectors: DataFrame, k: int = 10, recall: float = 0.95, centroids: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding"):
+        spark: SparkSession = vectors.sparkSession
+        self.k, self.rows, self.want, self.entries = k, 0, 0, None
+        sound = "v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(v, x -> x <> 0)"
+        rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(sound).filter("id is not null")
+        widths = rows.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").first()
+        if widths is None:
+            return
+        self.width, self.rows = width, total = widths["width"], widths["n"]
+        self.half = half = width // 2
+        rows = rows.filter(F.size("v") == width)
+        size = max(1, min(SAMPLE, SAMPLE_NUMBERS // width))
+        hashed = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
+        near = rows.filter(hashed * total < 1.2 * size + 100)  # a few more than are taken
+        fit = np.array(near.orderBy(F.xxhash64("id"), "id").limit(size).toPandas()["v"].tolist(), dtype=np.float64).reshape(-1, width)
+        if not len(fit):
+            fit = np.array([r["v"] for r in rows.limit(size).collect()])
+        self.centroids = centroids or int(min(max(CENTROIDS[0], round(total**0.5 / 2)), CENTROIDS[1], max(CENTROIDS[0], len(fit) // 4)))
+        found = (kmeans(fit[:, :half], self.centroids) if half else np.zeros((1, 0)), kmeans(fit[:, half:], self.centroids))
+        self.books = books = spark.sparkContext.broadcast(found)
+
+        def assign(batches):
+            first, second = books.value
+            for batch in batches:
+                x = _matrix(batch.column("v"), width)
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(_nearest(x[:, :half], first), pa.int32()), pa.array(_nearest(x[:, half:], second), pa.int32())], ["id", "v", "i", "j"])
+
+        self.entries = cut(rows.mapInArrow(assign, "id long, v array<double>, i int, j int"), "ann-index")
+        # At most centroids ** 2 rows, whatever the input.
+        self.counts = {(int(r["i"]), int(r["j"])): int(r["n"]) for r in self.entries.groupBy("i", "j").agg(F.count("*").alias("n")).collect()}
+        self.want = self._measured(fit, recall)
+
+    def _measured(self, fit: np.ndarray, recall: float) -> int:
+        """Entries that walks see until they have met ``recall`` of the probes' true nearest among all rows."""
+        hashed = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
+        probes = self.entries.filter(hashed * self.rows < 2 * PROBES + 40).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(PROBES).toPandas()
+        if len(probes) < 2:
+            return self.rows
+        k, width = self.k, self.width
+        queries = self.entries.sparkSession.sparkContext.broadcast((probes["id"].to_numpy(), np.array(probes["v"].tolist(), dtype=np.float64)))
+
+        def nearest(batches):
+            """The k nearest rows of a task for each probe, with their cells."""
+            ids, q = queries.value
+            best = None
+            for batch in batches:
+                x = _matrix(batch.column("v"), width)
+                who = batch.column("id").to_numpy(zero_copy_only=False)
+                cell = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in "ij"], axis=1).astype(np.int64)
+                for begin in range(0, len(x), ROW_BLOCK):
+                    d = _distances(q, x[begin : begin + ROW_BLOCK])
+                    d[ids[:, None] == who[begin : begin + ROW_BLOCK]] = np.inf
+                    at = np.argsort(d, axis=1, kind="stable")[:, :k]
+                    new = np.take_along_axis(d, at, 1), cell[begin + at]
+                    if best is not None:
+                        new = np.concatenate([best[0], new[0]], axis=1), np.concatenate([best[1], new[1]], axis=1)
+                    at = np.argsort(new[0], axis=1, kind="stable")[:, :k]
+                    best = np.take_along_axis(new[0], at, 1), np.take_along_axis(new[1], at[..., None], 1)
+            if best is not None:
+                n, far = np.nonzero(np.isfinite(best[0]))
+                yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(best[0][n, far]), pa.array(best[1][n, far, 0], pa.int32()), pa.array(best[1][n, far, 1], pa.int32())], ["probe", "d", "i", "j"])
+
+        found = self.entries.select("id", "v", "i", "j").mapInArrow(nearest, "probe int, d double, i int, j int")
+        rank = F.row_number().over(Window.partitionBy("probe").orderBy("d", "i", "j"))
+        true = found.withColumn("r", rank).filter(F.col("r") <= k).select("probe", "i", "j").toPandas()
+        cells = np.array(list(self.counts))
+        sizes = np.array(list(self.counts.values()))
+        first, second = self.books.value
+        seen = []
+        for probe, group in true.groupby("probe"):
+            v = np.array(probes["v"][probe], dtype=np.float64)[None]
+            left, right = _distances(v[:, : self.half], first)[0], _distances(v[:, self.half :], second)[0]
+            order = left[cells[:, 0]] + right[cells[:, 1]]
+            line = np.argsort(order, kind="stable")
+            held = np.cumsum(sizes[line])
+            seen += held[np.searchsorted(order[line], left[group["i"]] + right[group["j"]], side="right") - 1].tolist()
+        release()
+        return min(self.rows, int(np.quantile(seen, recall, method="higher"))) if seen else self.rows
+
+    def search(self, is_query: str) -> DataFrame:
+        """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which ``is_query``, a SQL condition on
+        the ``id``, holds."""
+        indexed, books, k, half, want = self.entries, self.books, self.k, self.half, self.want + self.k
+        shared = indexed.sparkSession.sparkContext.broadcast(self.counts)
+
+        def probe(batches):
+            first, second = books.value
+            counts = shared.value
+            for pdf in batches:
+                out = []
+                for qid, v in zip(pdf["id"], pdf["v"], strict=True):
+                    x = np.asarray(v, dtype=np.float64)[None]
+                    chosen: dict[int, np.ndarray] = {}
+                    for i, j in walk_cells(_distances(x[:, :half], first)[0], _distances(x[:, half:], second)[0], counts, want):
+                        chosen.setdefault(i, np.zeros(len(second), dtype=np.uint8))[j] = 1
+                    out += [(qid, v, i, np.packbits(js).tobytes()) for i, js in chosen.items()]
+                yield pd.DataFrame(out, columns=["qid", "q", "i", "js"])
+
+        # A query goes to each first-half centroid of its cells once, with the second halves that it chose.
+        probes = cut(indexed.filter(is_query).mapInPandas(probe, "qid long, q array<double>, i int, js binary"), "ann-probes")
+        # Blocks: the entries of a centroid are dealt to row blocks, its queries to query blocks, and each pair
+        # of blocks is one group, so no group grows with what the centroid holds.
+        queries = probes.groupBy("i").agg(F.count("*").alias("nq"))
+        rows_of = indexed.groupBy("i").agg(F.count("*").alias("nr"))
+        sizes = queries.join(rows_of, "i").select("i", F.ceil(F.col("nr") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("nq") / QUERY_BLOCK).cast("int").alias("qb"))
+        sizes = F.broadcast(sizes)  # one row for each centroid
+        deal = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
+        spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = probes.join(sizes, "i").withColumn("r", spread("rb")).withColumn("c", deal("qid", "qb"))
+        right = indexed.join(sizes, "i").withColumn("c", spread("qb")).withColumn("r", deal("id", "rb"))
+
+        def compare(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
             out = []
-            for qid, v in zip(pdf["id"], pdf["v"], strict=True):
-                x = np.asarray(v, dtype=np.float64)[None]
-                chosen: dict[int, np.ndarray] = {}
-                for i, j in walk_cells(_distances(x[:, :half], first)[0], _distances(x[:, half:], second)[0], counts, want):
-                    chosen.setdefault(i, np.zeros(len(second), dtype=np.uint8))[j] = 1
-                out += [(qid, v, i, np.packbits(js).tobytes()) for i, js in chosen.items()]
-            yield pd.DataFrame(out, columns=["qid", "q", "i", "js"])
-
-    # A query goes to each first-half centroid of its cells once, with the second halves that it chose.
-    probes = cut(indexed.filter(is_query).mapInPandas(probe, "qid long, q array<double>, i int, js binary"), "ann-probes")
-    # Blocks: the entries of a centroid are dealt to row blocks, its queries to query blocks, and each pair
-    # of blocks is one group, so no group grows with what the centroid holds.
-    queries = probes.groupBy("i").agg(F.count("*").alias("nq"))
-    rows_of = indexed.groupBy("i").agg(F.count("*").alias("nr"))
-    sizes = queries.join(rows_of, "i").select("i", F.ceil(F.col("nr") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("nq") / QUERY_BLOCK).cast("int").alias("qb"))
-    sizes = F.broadcast(sizes)  # one row for each centroid
-    deal = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = probes.join(sizes, "i").withColumn("r", spread("rb")).withColumn("c", deal("qid", "qb"))
-    right = indexed.join(sizes, "i").withColumn("c", spread("qb")).withColumn("r", deal("id", "rb"))
-
-    def compare(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q) and len(x):
-            x = x.sort_values("id", ignore_index=True)
-            ids, m, j = x["id"].to_numpy(), np.array(x["v"].tolist(), dtype=np.float64), x["j"].to_numpy()
-            for qid, v, js in zip(q["qid"], q["q"], q["js"], strict=True):
-                at = np.flatnonzero((np.unpackbits(np.frombuffer(js, dtype=np.uint8))[j] == 1) & (ids != qid))
-                if not len(at):
-                    continue
-                d = np.sqrt(((m[at] - np.asarray(v)) ** 2).sum(1))
-                best = np.argsort(d, kind="stable")[:k]  # rows are in the order of their ids
-                out.append((np.full(len(best), qid), ids[at[best]], d[best]))
-        columns = ["query_id", "vec_id", "score"]
-        return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*out, strict=True)), strict=True)) if out else {c: [] for c in columns}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    key = ["i", "r", "c"]
-    near = left.select("qid", "q", "js", *key).groupBy(*key).cogroup(right.select("id", "v", "j", *key).groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            if len(q) and len(x):
+                x = x.sort_values("id", ignore_index=True)
+                ids, m, j = x["id"].to_numpy(), np.array(x["v"].tolist(), dtype=np.float64), x["j"].to_numpy()
+                for qid, v, js in zip(q["qid"], q["q"], q["js"], strict=True):
+                    at = np.flatnonzero((np.unpackbits(np.frombuffer(js, dtype=np.uint8))[j] == 1) & (ids != qid))
+                    if not len(at):
+                        continue
+                    d = np.sqrt(((m[at] - np.asarray(v)) ** 2).sum(1))
+                    best = np.argsort(d, kind="stable")[:k]  # rows are in the order of their ids
+                    out.append((np.full(len(best), qid), ids[at[best]], d[best]))
+            columns = ["query_id", "vec_id", "score"]
+            return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*out, strict=True)), strict=True)) if out else {c: [] for c in columns}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+
+        key = ["i", "r", "c"]
+        near = left.select("qid", "q", "js", *key).groupBy(*key).cogroup(right.select("id", "v", "j", *key).groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+        return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def nearest_neighbours(vectors: DataFrame, is_query: str, k: int = 10, recall: float = 0.95, centroids: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which ``is_query``, a SQL condition on the
+    ``id``, holds."""
+    index = MultiIndex(vectors, k, recall, centroids, id_col, vector_col)
+    if index.entries is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return index.search(is_query)
 
 
 def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
