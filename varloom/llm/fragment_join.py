@@ -12,11 +12,14 @@ The order of all n-grams is cut into fragments: ranges of the n-grams' 64-bit ha
    one leader.  What is linked is connected; a list whose members are all connected is done.  In the
    others, the members outside the list's main component are compared first with some members of that, twice,
    and at last with all members of other components, if lengths, positions and 512-bit parity sketches of
-   the sets (their distance bounds the sets' difference from below) leave room.  Large groups of near copies so cost their size, not its square.
+   the sets (their distance bounds the sets' difference from below) leave room.  Lengths are an equality of that join,
+   and long lists are dealt out in blocks, so no task compares a whole list with itself.  Large groups of near copies so cost their size, not its square.
 4. Verification.  The overlap of each pair is counted separately in each fragment, and summed.
 5. Components by alternating large-star and small-star steps.
 
-Every filter is exact: no pair of linked documents of different components is left uncompared.
+Every filter is exact: no pair of linked documents of different components is left uncompared.  n-grams stand for
+themselves by 64-bit hashes of their words' 64-bit hashes, and sets by 192 bits of their sums: two of m n-grams are taken
+for one with a chance of about m * m / 2**65 (one in a million for 10**7 n-grams compared with each other).
 
 Null text counts as empty; documents without words link with nothing; rows that repeat an id are one
 document each and share what is found for their texts; a null id is linked as any other, and names a
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks, cut, in_bitmap, key_bitmap, released, released_pair, sliced, table
+from .common import as_bytes, blocks, cut, in_bitmap, join_hot, key_bitmap, released, released_pair, sliced, table
 
 #: Hashes that one fragment task holds, and bytes of text worked on at once.
 FRAGMENT, BLOCK = 2_000_000, 1 << 21
@@ -41,6 +44,8 @@ FRAGMENT, BLOCK = 2_000_000, 1 << 21
 BUCKET = 2000
 #: Members of a list's main component that its other members are compared with first, and how often.
 SCOUTS, SCOUT_ROUNDS = 16, 2
+#: Members of a list that one block of the last comparison holds.
+LIST = 1024
 #: Fragments in which overlaps are counted separately, and 64-bit words of a parity sketch.
 PARTS, SKETCH = 4, 8
 
@@ -252,7 +257,10 @@ def sketches(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _surviving(source: DataFrame, survivors: DataFrame, n: int) -> DataFrame:
-    """id, key, sig, n, sketch, hashes of the documents whose set may be in ``survivors`` (column key)."""
+    """id, key, sig, n, sketch, hashes of the documents whose set is in ``survivors`` (column key).
+
+    The bitmap keeps most others from being sent; the join leaves out the rest.
+    """
     bitmap = source.sparkSession.sparkContext.broadcast(key_bitmap(survivors, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -270,7 +278,10 @@ def _surviving(source: DataFrame, survivors: DataFrame, n: int) -> DataFrame:
                     ["id", "key", "sig", "n", "sketch", "hashes"],
                 )
 
-    return source.mapInArrow(sliced(run), "id long, key long, sig binary, n long, sketch array<long>, hashes array<long>")
+    found = source.mapInArrow(sliced(run), "id long, key long, sig binary, n long, sketch array<long>, hashes array<long>")
+    # A class of equal sets goes on as one row of its documents with the smallest id; copies in one task meet first.
+    classes = found.groupBy("sig", "key").agg(F.min("id").alias("id"), F.first(F.struct("n", "sketch", "hashes")).alias("x"))
+    return classes.join(survivors.distinct(), "key", "left_semi").select("sig", "id", "x.*")
 
 
 class Threshold:
@@ -310,16 +321,17 @@ def components(edges: DataFrame) -> DataFrame:
     no task gathers a node's neighbours.
     """
     now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "links")
-    state = None
+    state = (now.count(), None)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        large = both.join(low, F.col("u") == F.col("x")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).select("u", F.least("u", "m").alias("m"), "c")
+        # Nodes with many of all links are joined by a broadcast, so no task gets all of a node's neighbours.
+        large = join_hot(both, cut(low, "large-low"), "u", "c", 2 * state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = cut(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least.withColumnRenamed("u", "x"), F.col("u") == F.col("x")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")), "small-low")
+        small = join_hot(large, least, "u", "c", large.count()).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(least.select("u", F.col("m").alias("v")).unionByName(small).distinct(), "small-star")
-        before, state = state, now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+        before, state = state, tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
         if state == before:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
@@ -369,11 +381,8 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     between = packed.filter("fragment is not null").select("fragment", "keys", "counts", "hashes").groupBy("fragment").applyInPandas(released(lambda pdf: _count_shared(pdf, buckets)), "bucket long, keys binary, counts binary")
     survivors = cut(_survivors(everyone, between, buckets, num, den), "survivors")
 
-    found = cut(_surviving(source, survivors, n), "sets")
-    # A class of equal sets goes on as a number, given as it is written (ids may be null or stand for several
-    # sets); copies in one task meet before the shuffle.
-    classes = found.groupBy("sig").agg(F.min("id").alias("id"), F.first(F.struct("n", "sketch", "hashes")).alias("x"))
-    classes = cut(classes.select(F.monotonically_increasing_id().alias("rep"), "sig", "id", "x.*"), "classes")
+    # A class goes on as a number, given as it is written (ids may be null or stand for several sets).
+    classes = cut(_surviving(source, survivors, n).select(F.monotonically_increasing_id().alias("rep"), "sig", "id", "n", "sketch", "hashes"), "classes")
 
     # n-grams from rare to frequent; those of one class alone come first and match nothing.
     grams = classes.select("rep", "n", F.explode("hashes").alias("h"))
@@ -407,20 +416,27 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, n: int =
     # All of them against all members of other components.
     lists = _open_lists(lists, cut(components(links), "components"))
     lists = cut(lists.join(classes.select("rep", "sketch"), "rep"), "open-lists")
-    stray = lists.filter("comp <> main").select("h", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"), F.col("sketch").alias("sa")).alias("s")
-    other = lists.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"), "main", F.col("sketch").alias("sb")).alias("o")
-    # Two strays meet once: the one with the smaller id compares.
+    # Linked sets are of the same or of neighbouring bands of length; long lists are dealt out in blocks.
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num)) + 1e-9).cast("int") if num < den else F.col("n").cast("int")
+    size = lists.groupBy("h").agg(F.ceil(F.count("*") / LIST).cast("int").alias("blocks"))
+    dealt = cut(lists.join(size, "h").withColumns({"band": band, "block": F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")}), "dealt-lists")
+    near = F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)]))
+    stray = dealt.filter("comp <> main").withColumn("band", near).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    stray = stray.select("h", "band", "block", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"), F.col("sketch").alias("sa")).alias("s")
+    other = dealt.select("h", "band", "block", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"), "main", F.col("sketch").alias("sb")).alias("o")
+    # Two strays meet once: the one with the smaller number compares.
     meets = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
     meets &= room("na", "pa", "nb", "pb") & _sketches_near(F.col("sa"), F.col("sb"), t.differ(F.col("na"), F.col("nb")))
-    crossed = stray.join(other, (F.col("s.h") == F.col("o.h")) & meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    meets &= (F.col("s.h") == F.col("o.h")) & (F.col("s.band") == F.col("o.band")) & (F.col("s.block") == F.col("o.block"))
+    crossed = stray.join(other, meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     final = cut(components(cut(links.unionByName(_links(crossed, classes, t)), "links")), "components")
 
     # The smallest id of a component names it.  Copies that are like no other set are one by themselves.
     placed = cut(classes.select("rep", "sig", "id").join(final.withColumnRenamed("node", "rep"), "rep").select("sig", "id", "comp"), "placed")
     named = placed.groupBy("comp").agg(F.min("id").alias("name"))
-    reps = everyone.filter("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
-    of = reps.join(placed.join(named, "comp").select("sig", "name"), "sig", "left").select("sig", F.coalesce("name", "rep").alias("component_id"))
-    return everyone.join(of, "sig", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    reps = everyone.filter("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    of = cut(reps.join(placed.join(named, "comp").select("sig", "name"), "sig", "left").select("sig", F.coalesce("name", "rep").alias("component_id"), "copies"), "names")
+    return join_hot(everyone, of, "sig", "copies", rows, "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
 def op3_fragment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
