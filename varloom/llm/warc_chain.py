@@ -11,7 +11,7 @@ split.  Candidates inside payloads are not reached, and go back into the payload
 
 Null payload counts as empty.  Repeated page ids are records of their own.  A null page id is written as
 an empty one and read back as null: such a record can revisit another, and none can refer to it.  An empty
-table gives an empty result.
+table gives an empty result.  Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, scratch_path, sliced, table
+from .common import cut, join_hot, scratch_path, sliced, table
 
 #: Fixed by the WARC format.
 MAGIC, RECORD_END = "WARC/1.1\r\n", "\r\n\r\n"
@@ -49,9 +49,11 @@ def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     A page id may stand for several payloads, so it names a record only with the digest.
     """
-    keyed = pages.select("page", _digest().alias("digest"), F.octet_length("payload").alias("n")).filter(F.col("n") >= least_bytes)
-    firsts = keyed.groupBy("digest").agg(F.min("page").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return keyed.join(firsts, "digest").filter("refers_to is not null and not page <=> refers_to").select("page", "digest", "refers_to").distinct()
+    keyed = cut(pages.select("page", _digest().alias("digest"), F.octet_length("payload").alias("size")).filter(F.col("size") >= least_bytes).select("page", "digest"), "warc-digests")
+    firsts = cut(keyed.groupBy("digest").agg(F.min("page").alias("refers_to"), F.count("*").alias("n")).filter("n > 1"), "warc-firsts")
+    # A digest that many pages share, as the empty payload's, is joined by a broadcast.
+    found = join_hot(keyed, firsts, "digest", "n", keyed.count())
+    return found.filter("refers_to is not null and not page <=> refers_to").select("page", "digest", "refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
@@ -94,26 +96,41 @@ def _header(value: bytes) -> tuple[int, dict[bytes, bytes]] | None:
     return end + 4, fields
 
 
-_CANDIDATE = "file string, block long, seq long, size long, need long, page long, kind string, refers_to long, stated string, stated_bytes long, payload_bytes long, digest string, value binary"
+_CANDIDATE = "file string, block long, at long, size long, need long, page long, kind string, refers_to long, stated string, stated_bytes long, payload_bytes long, digest string, value binary"
+
+
+def _stretches(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, value): the stretches between magics, in the order of each split (file, block)."""
+    return spark.read.option("lineSep", MAGIC).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+
+
+class _Offsets:
+    """Where each stretch of a split begins, from the split's first stretch: its magic stands in front of it."""
+
+    def __init__(self):
+        self.split, self.next = None, 0
+
+    def of(self, file: str, block: int, size: int) -> int:
+        if (file, block) != self.split:
+            self.split, self.next = (file, block), -len(MAGIC)
+        at, self.next = self.next, self.next + size + len(MAGIC)
+        return at
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Every stretch between two magics: where it is, what its header says, and its bytes if it isn't a
-    whole record by itself."""
-    lines = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"), F.col("value").cast("binary").alias("value"),
-    )
+    """Every stretch between two magics: where it is (``at``, inside its split), what its header says, and its bytes
+    if it isn't a whole record by itself."""
 
     def parse(batches):
         number = lambda x: int(x) if x is not None else None
         page_of = lambda x: int(x[len(b"<urn:page:") : -1]) if x and x.startswith(b"<urn:page:") and x.endswith(b">") and x[10:-1].lstrip(b"-").isdigit() else None
+        offsets = _Offsets()
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("need", "page", "kind", "refers_to", "stated", "stated_bytes", "payload_bytes", "digest", "value", "size")}
-            for value in batch.column("value").to_pylist():
+            out: dict[str, list] = {c: [] for c in ("at", "size", "need", "page", "kind", "refers_to", "stated", "stated_bytes", "payload_bytes", "digest", "value")}
+            for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
                 got = _header(value)
                 row = dict.fromkeys(out)
-                row["size"], row["value"] = len(value), value
+                row["size"], row["value"], row["at"] = len(value), value, offsets.of(file, block, len(value))
                 if got:
                     head, fields = got
                     length = int(fields[b"content-length"])
@@ -128,17 +145,41 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
                     out[c].append(row[c])
             kinds = {"kind": pa.string(), "stated": pa.string(), "digest": pa.string(), "value": pa.binary()}
             names = [x.split()[0] for x in _CANDIDATE.split(", ")]
-            yield pa.RecordBatch.from_arrays([batch.column(c) if c in ("file", "block", "seq") else pa.array(out[c], kinds.get(c, pa.int64())) for c in names], names)
+            yield pa.RecordBatch.from_arrays([batch.column(c) if c in ("file", "block") else pa.array(out[c], kinds.get(c, pa.int64())) for c in names], names)
+
+    return cut(_stretches(spark, path).mapInArrow(sliced(parse), _CANDIDATE), "warc-candidates")
 
-    return cut(lines.mapInArrow(sliced(parse), _CANDIDATE), "warc-candidates")
+
+def _read_again(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(file, at, bytes) of the stretches at the offsets ``wanted`` (file, at from the file's start).
+
+    The offsets are counted anew, so the splits of this read need not be those of the first.
+    """
+
+    def place(batches):
+        offsets = _Offsets()
+        for batch in batches:
+            at = [offsets.of(*x) for x in zip(batch.column("file").to_pylist(), batch.column("block").to_pylist(), (len(v) for v in batch.column("value").to_pylist()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("block"), pa.array(at, pa.int64()), batch.column("value")], ["file", "block", "at", "bytes"])
+
+    found = _stretches(spark, path).join(F.broadcast(wanted.select("file").distinct()) if wanted.select("file").distinct().count() <= BROADCAST_ROWS else wanted.select("file").distinct(), "file", "left_semi")
+    # One read: the offsets inside splits and what the splits add up to must come from the same splits.
+    placed = cut(found.mapInArrow(sliced(place), "file string, block long, at long, bytes binary"), "warc-again")
+    bases = _bases(placed.groupBy("file", "block").agg(F.sum(F.length("bytes") + len(MAGIC)).alias("total")))
+    return placed.join(bases, ["file", "block"]).select("file", (F.col("at") + F.col("base")).alias("at"), "bytes").join(wanted.select("file", "at").distinct(), ["file", "at"], "left_semi")
+
+
+def _bases(splits: DataFrame) -> DataFrame:
+    """(file, block, base): where each split's first stretch starts in its file, the sum of what the splits before it hold."""
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("file", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
 def _chains(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One split: offsets of its candidates from where its first line starts, and where each chain leaves."""
-    pdf = pdf.sort_values("seq", ignore_index=True)
-    sizes = pdf["size"].to_numpy(dtype=np.int64) + len(MAGIC)
-    at = np.concatenate([[0], np.cumsum(sizes)[:-1]]) - len(MAGIC)  # of the magic in front of each line
-    total = int(sizes.sum())
+    """One split: where each candidate's successor is, and where its chain leaves the split."""
+    pdf = pdf.sort_values("at", ignore_index=True)
+    at = pdf["at"].to_numpy(dtype=np.int64)  # of the magic in front of each stretch
+    total = int(pdf["size"].sum()) + len(pdf) * len(MAGIC)
     need = pdf["need"].fillna(0).to_numpy(dtype=np.int64)
     to = at + need
     index = np.searchsorted(at, to)
@@ -151,7 +192,7 @@ def _chains(pdf: pd.DataFrame) -> pd.DataFrame:
         jump = further
     # A chain ends at a candidate without header; else it leaves for its last record's successor.
     leaves = np.where(need[jump] > 0, to[jump], -(1 << 62))
-    return pd.DataFrame({"file": pdf["file"], "block": pdf["block"], "seq": pdf["seq"], "at": at, "next": np.where(need > 0, to, -(1 << 62)), "leaves": leaves, "total": total})
+    return pd.DataFrame({"file": pdf["file"], "block": pdf["block"], "at": at, "next": np.where(need > 0, to, -(1 << 62)), "leaves": leaves, "total": total})
 
 
 def _reached(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -171,20 +212,18 @@ def _reached(pdf: pd.DataFrame) -> pd.DataFrame:
     owner = np.maximum.accumulate(owner)
     pdf["reached"] = reached
     pdf["owner"] = pd.array([int(at[i]) if i >= 0 else None for i in owner], dtype="Int64")
-    return pdf[["file", "block", "seq", "at", "reached", "owner"]]
+    return pdf[["file", "block", "at", "reached", "owner"]]
 
 
 def verified_records(spark: SparkSession, path: str) -> DataFrame:
     """The records that the chains from the file starts reach, with the digest of their payloads."""
     found = read_candidates(spark, path)
-    local = found.select("file", "block", "seq", "size", "need").groupBy("file", "block").applyInPandas(_chains, "file string, block long, seq long, at long, next long, leaves long, total long")
+    local = found.select("file", "block", "at", "size", "need").groupBy("file", "block").applyInPandas(_chains, "file string, block long, at long, next long, leaves long, total long")
     local = cut(local, "warc-chains")
-    # Where each split's first line starts in its file: the sum of what the splits before it hold.
-    splits = local.groupBy("file", "block").agg(F.max("total").alias("total"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = cut(splits.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0))), "warc-bases")
-    placed = local.join(bases.drop("total"), ["file", "block"])
-    placed = cut(placed.select("file", "block", "seq", (F.col("at") + F.col("base")).alias("at"), F.when(F.col("next") > -(1 << 61), F.col("next") + F.col("base")).otherwise(-1).alias("next"), F.when(F.col("leaves") > -(1 << 61), F.col("leaves") + F.col("base")).otherwise(-1).alias("leaves")), "warc-placed")
+    bases = cut(_bases(local.groupBy("file", "block").agg(F.max("total").alias("total"))), "warc-bases")
+    found = found.join(bases, ["file", "block"]).withColumn("at", F.col("at") + F.col("base")).drop("base", "size")
+    absolute = lambda c: F.when(F.col(c) > -(1 << 61), F.col(c) + F.col("base")).otherwise(-1).alias(c)
+    placed = cut(local.join(bases, ["file", "block"]).select("file", "block", (F.col("at") + F.col("base")).alias("at"), absolute("next"), absolute("leaves")), "warc-placed")
 
     # Between splits: entries from the file start on, by doubling over where chains leave.
     entries = cut(placed.filter("at = 0").select("file", F.lit(0).cast("long").alias("entry")), "warc-entries")
@@ -199,27 +238,26 @@ def verified_records(spark: SparkSession, path: str) -> DataFrame:
         entries = grown
         jumps = cut(jumps.withColumnRenamed("to", "mid").join(jumps.select("file", F.col("at").alias("mid"), "to"), ["file", "mid"]).select("file", "at", "to"), "warc-jumps")
     entry = placed.select("file", "block", "at").join(entries.withColumnRenamed("entry", "at"), ["file", "at"]).select("file", "block", F.col("at").alias("entry"))
-    marked = placed.join(entry, ["file", "block"], "left").select("file", "block", "seq", "at", "next", "entry").groupBy("file", "block").applyInPandas(_reached, "file string, block long, seq long, at long, reached boolean, owner long")
+    marked = placed.join(entry, ["file", "block"], "left").select("file", "block", "at", "next", "entry").groupBy("file", "block").applyInPandas(_reached, "file string, block long, at long, reached boolean, owner long")
     marked = cut(marked, "warc-marked")
 
-    whole = found.filter("value is null").drop("value").join(marked.filter("reached").select("file", "block", "seq"), ["file", "block", "seq"]).select("page", "kind", "refers_to", "stated", "stated_bytes", "payload_bytes", "digest")
+    whole = found.filter("value is null").drop("value").join(marked.filter("reached").select("file", "at"), ["file", "at"]).select("page", "kind", "refers_to", "stated", "stated_bytes", "payload_bytes", "digest")
 
     # Records cut by a magic inside their payload: put their stretches together again.  The stretches
     # in front of a split's first reached record belong to the last one of an earlier split.
     last = marked.groupBy("file", "block").agg(F.max("owner").alias("last"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.withColumn("carried", F.max("last").over(earlier)).drop("last")
-    owned = marked.join(carried, ["file", "block"]).select("file", "block", "seq", "at", "reached", F.coalesce("owner", "carried").alias("owner"))
-    parts = found.join(owned, ["file", "block", "seq"])
+    owned = marked.join(carried, ["file", "block"]).select("file", "at", "reached", F.coalesce("owner", "carried").alias("owner"))
+    parts = found.drop("block").join(owned, ["file", "at"])
     cut_up = parts.filter("reached and value is not null").select("file", F.col("at").alias("owner"))
-    # A record that seems whole by itself can stand inside another's payload; its bytes are read again.
-    again = spark.read.option("lineSep", MAGIC).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value").cast("binary").alias("bytes"))
-    inner = cut(parts.join(cut_up, ["file", "owner"], "left_semi").select("file", "block", "seq", "at", "owner", "reached", "page", "kind", "refers_to", "stated", "stated_bytes", "value"), "warc-cut-up")
+    inner = cut(parts.join(cut_up, ["file", "owner"], "left_semi").select("file", "at", "owner", "reached", "page", "kind", "refers_to", "stated", "stated_bytes", "value"), "warc-cut-up")
     if inner.isEmpty():
         return whole
-    if not inner.filter("value is null").isEmpty():
-        missing = again.join(inner.filter("value is null").select("file", "block", "seq"), ["file", "block", "seq"])
-        inner = inner.join(missing, ["file", "block", "seq"], "left").withColumn("value", F.coalesce("value", "bytes")).drop("bytes")
+    # A record that seems whole by itself can stand inside another's payload; its bytes are read again.
+    unread = inner.filter("value is null").select("file", "at")
+    if not unread.isEmpty():
+        inner = inner.join(_read_again(spark, path, unread), ["file", "at"], "left").withColumn("value", F.coalesce("value", "bytes")).drop("bytes")
 
     def join_up(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("at", ignore_index=True)
