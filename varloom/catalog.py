@@ -141,6 +141,21 @@ def ref_window(spark, d):
     return windows(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", "wt_ref")
 
 
+@query("fetch_windows", f"SELECT sample_id, {VID} AS variant_id, direction, {D.window_sql('s', f'least(e, {D.CONTIG}) - s')} AS wt_ref FROM ({SPLIT_SQL})")
+def fetch_windows(spark, d):
+    """The genome out of a table of chunks, clipped at the contigs' ends."""
+    rows, where = intervals(spark, d), ["chrom", "start", "end"]
+    found = G.fetch_windows(rows.select(*where).distinct(), files.cut_contigs(D.contigs(spark)), files.CHUNK, where)
+    return rows.join(found, where).select("sample_id", G.variant_id().alias("variant_id"), "direction", "wt_ref")
+
+
+@query("background_join_intervals", f"SELECT i.sample_id, {VID.replace('chrom', 'i.chrom').replace('pos', 'i.pos').replace('ref', 'i.ref').replace('alt', 'i.alt')} AS variant_id, i.direction, count(p.bpos) AS n FROM ({SPLIT_SQL}) i LEFT JOIN (__PAIRS__) p USING (sample_id, chrom, pos, ref, alt, direction) GROUP BY ALL")
+def background_join_intervals(spark, d):
+    """The same background for intervals that need not be those of the variants: a range join by bins."""
+    rows = G.background_join(intervals(spark, d), D.variants(spark, d))
+    return rows.select("sample_id", G.variant_id().alias("variant_id"), "direction", F.size("background").cast("bigint").alias("n"))
+
+
 @query("mut_ref_inject", f"SELECT sample_id, {VID} AS variant_id, direction, mut_ref FROM ({MUTREF_SQL})")
 def mut_ref_inject(spark, d):
     return G.reference_pair(windows(spark, d)).select("sample_id", G.variant_id().alias("variant_id"), "direction", "mut_ref")
@@ -158,8 +173,13 @@ FROM ({SPLIT_SQL}) i JOIN ({V_SQL}) v ON i.sample_id = v.sample_id AND i.chrom =
 """
 
 
+ORACLES["background_join_intervals"] = ORACLES["background_join_intervals"].replace("__PAIRS__", PAIRS_SQL)
+
+
 def with_background(spark, d):
-    return G.background_join(windows(spark, d), D.variants(spark, d))
+    """Intervals with their windows, fetched once the background is there."""
+    rows = G.split_with_background(D.variants(spark, d), N, longest=D.LONGEST_REF)
+    return rows.withColumn("wt_ref", G.periodic_window(F.col("start"), F.col("end") - F.col("start")))
 
 
 @query("background_join", f"""
@@ -249,44 +269,90 @@ def centred_window(spark, d):
     return rows.select("sample_id", G.variant_id().alias("variant_id"), "seq", S.reverse_complement(F.col("seq")).alias("rc"))
 
 
+LEGACY_SQL = f"""
+SELECT c.*, {', '.join(f"list({{'seq': '', 'sh': 0::bigint, 'off': (v.pos - c.pos + {HALF})::bigint, 'ref': v.ref, 'alt': v.alt, 'allele': v.a{h}::int, 'pos': v.pos::bigint}} ORDER BY v.pos, v.ref, v.alt, v.a1, v.a2) AS bg{h}" for h in (1, 2))}
+FROM (SELECT *, {D.window_sql(f'pos - {HALF} - 1', f'length(ref) + {2 * HALF}')} AS wt_ref FROM ({V_SQL}) WHERE pos - {HALF} >= 1) c
+JOIN ({V_SQL}) v ON c.sample_id = v.sample_id AND c.chrom = v.chrom AND v.pos >= c.pos - {HALF} AND v.pos <= c.pos + length(c.ref) - 1 + {HALF} GROUP BY ALL
+"""
+_rc = lambda c: f"translate(reverse({c}), 'ATCGNatcgn', 'TAGCNtagcn')"
+
+
+@query("legacy_window", f"SELECT sample_id, {VID} AS variant_id, hap1, hap2, {_rc('hap1')} AS rc1, {_rc('hap2')} AS rc2 FROM (SELECT *, {fold_sql(1, '')} AS hap1, {fold_sql(2, '')} AS hap2 FROM ({LEGACY_SQL}))")
+def legacy_window(spark, d):
+    rows = G.legacy_sequences(D.variants(spark, d), HALF, D.LONGEST_REF).withColumn("seq", G.periodic_window(F.col("left") - 1, F.col("right") - F.col("left") + 1))
+    out = G.legacy_haplotypes(rows).select("sample_id", G.variant_id().alias("variant_id"), "hap1", "hap2")
+    return out.withColumns({f"rc{h}": S.reverse_complement(F.col(f"hap{h}")) for h in (1, 2)})
+
+
+@query("six_of_haplotypes", f"""
+SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut, CASE WHEN a1 = 1 THEN coalesce(CASE WHEN o >= 0 AND o + length(alt) <= length(m1) THEN substr(m1, 1, cast(o as int)) || ref || substr(m1, cast(o + length(alt) + 1 as int)) END, m1) ELSE m1 END AS wt
+FROM (SELECT *, CASE direction WHEN 'upstream' THEN length(m1) - length(alt) - 1 ELSE 1 END AS o FROM ({SIX_SQL}))
+""")
+def six_of_haplotypes(spark, d):
+    """The six sequences out of a table of haplotypes that were built beforehand."""
+    built = six(spark, d).select("sample_id", "name", F.col("hap1.mut").alias("hap1"), F.col("hap2.mut").alias("hap2"))
+    out = G.six_of_haplotypes(windows(spark, d), built)
+    return out.select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("hap1.mut").alias("mut"), F.col("hap1.wt").alias("wt"))
+
+
+@query("missing_haplotypes", f"SELECT sample_id, {VID} || '_' || direction AS name FROM ({SPLIT_SQL}) WHERE pos % 7 = 0")
+def missing_haplotypes(spark, d):
+    """Intervals that a table of haplotypes lacks: here one without every seventh position."""
+    rows = intervals(spark, d)
+    return G.missing_haplotypes(rows, rows.filter("pos % 7 <> 0").select("sample_id", "name"))
+
+
+@query("rejected_intervals", f"SELECT sample_id, {VID} AS variant_id FROM ({V_SQL}) WHERE pos - 20000 - 1 < 0")
+def rejected_intervals(spark, d):
+    """Variants too near to a contig's start, for flanks of 20,000 bases."""
+    return G.rejected_intervals(D.variants(spark, d), 20_000).select("sample_id", G.variant_id().alias("variant_id"))
+
+
 @query("tail_width", f"SELECT sample_id, {VID} AS variant_id, length(alt) + 2 AS w_mut, length(ref) + 2 AS w_wt FROM ({V_SQL})")
 def tail_width(spark, d):
     return D.variants(spark, d).select("sample_id", G.variant_id().alias("variant_id"), S.tail_width(F.col("alt")).alias("w_mut"), S.tail_width(F.col("ref")).alias("w_wt"))
 
 
 # --- encoding -----------------------------------------------------------------------------------------
-WANTED_SQL = f"SELECT sample_id, {VID} AS variant_id, mut_ref AS seq, length(alt) + 2 AS w FROM ({MUTREF_SQL}) WHERE direction = 'upstream'"
+SLOT_SQL = " UNION ALL ".join(
+    f"SELECT sample_id, variant_id, '{key}' AS key, direction, CASE direction WHEN 'downstream' THEN {_rc(c)} ELSE {c} END AS seq, length({a}) + 2 AS w FROM six"
+    for key, c, a in (("Mut_hap1", "m1", "alt"), ("WT_hap1", "w1", "ref"), ("Mut_hap2", "m2", "alt"), ("WT_hap2", "w2", "ref"), ("Mut_ref", "mut_ref", "alt"), ("WT_ref", "wt_ref", "ref"))
+)
+SIX_CTE = f"six AS MATERIALIZED (SELECT *, {VID} AS variant_id FROM ({SIX_SQL})), wanted AS MATERIALIZED ({SLOT_SQL})"
+#: Sequences that had been encoded before, as far as these queries go: those whose hash begins with one of eight digits.
+CACHED = "substr({hash}, 1, 1) IN ('0', '1', '2', '3', '4', '5', '6', '7')"
 
 
 def wanted(spark, d):
-    rows = G.reference_pair(windows(spark, d)).filter("direction = 'upstream'")
-    return rows.select("sample_id", G.variant_id().alias("variant_id"), F.col("mut_ref").alias("seq"), S.tail_width(F.col("alt")).alias("w"))
+    """The twelve slots of every variant."""
+    return encode.slots(G.both_directions(six(spark, d)))
 
 
 def cached(spark, d):
-    """Sequences of the even samples, as if they had been encoded before."""
-    return wanted(spark, d).filter("sample_id in ('s0', 's2', 's4', 's6')").select("seq", "w").distinct()
+    return wanted(spark, d).filter(CACHED.format(hash="sha2(seq, 256)")).select("seq", "w").distinct()
 
 
-CACHED_SQL = f"SELECT DISTINCT seq, w FROM ({WANTED_SQL}) WHERE sample_id IN ('s0', 's2', 's4', 's6')"
+CACHED_SQL = f"SELECT DISTINCT seq, w FROM wanted WHERE {CACHED.format(hash='sha256(seq)')}"
 
 
-@query("seq_hash_key", f"SELECT sample_id, variant_id, substr(sha256(seq), 1, 16) || '_w' || cast(w as varchar) || '_mean' AS key FROM ({WANTED_SQL})")
+@query("seq_hash_key", f"WITH {SIX_CTE} SELECT sample_id, variant_id, direction, key AS slot, substr(sha256(seq), 1, 16) || '_w' || cast(w as varchar) || '_mean' AS key FROM wanted")
 def seq_hash_key(spark, d):
-    return wanted(spark, d).select("sample_id", "variant_id", S.cache_key(F.col("seq"), F.col("w"), "mean").alias("key"))
+    return wanted(spark, d).select("sample_id", "variant_id", "direction", F.col("key").alias("slot"), S.cache_key(F.col("seq"), F.col("w"), "mean").alias("key"))
 
 
-@query("distinct_sequences", f"SELECT count(*) AS slots, count(DISTINCT seq) AS sequences, (SELECT count(*) FROM (SELECT DISTINCT seq, w FROM ({WANTED_SQL}))) AS keys FROM ({WANTED_SQL})")
+@query("distinct_sequences", f"WITH {SIX_CTE} SELECT count(*) AS slots, count(DISTINCT seq) AS sequences, (SELECT count(*) FROM (SELECT DISTINCT seq, w FROM wanted)) AS keys FROM wanted")
 def distinct_sequences(spark, d):
-    return wanted(spark, d).agg(F.count("*").alias("slots"), F.count_distinct("seq").alias("sequences"), F.count_distinct("seq", "w").alias("keys"))
+    """Counted by 128-bit keys, so that two sets of letters don't meet in one aggregate."""
+    seq = encode.sequence_key("seq")
+    return wanted(spark, d).agg(F.count("*").alias("slots"), F.count_distinct(seq).alias("sequences"), F.count_distinct(seq, "w").alias("keys"))
 
 
-@query("cache_misses", f"SELECT DISTINCT seq, w FROM ({WANTED_SQL}) EXCEPT {CACHED_SQL}")
+@query("cache_misses", f"WITH {SIX_CTE} SELECT DISTINCT seq, w FROM wanted EXCEPT {CACHED_SQL}")
 def cache_misses(spark, d):
     return wanted(spark, d).select("seq", "w").distinct().join(cached(spark, d), ["seq", "w"], "left_anti")
 
 
-@query("cache_hit_report", f"WITH k AS (SELECT DISTINCT seq AS s FROM ({CACHED_SQL})) SELECT count(*) AS keys, count(k.s) AS hits, count(DISTINCT CASE WHEN k.s IS NULL THEN w.seq END) AS new_sequences FROM ({WANTED_SQL}) w LEFT JOIN k ON w.seq = k.s")
+@query("cache_hit_report", f"WITH {SIX_CTE}, k AS (SELECT DISTINCT seq AS s FROM ({CACHED_SQL})) SELECT count(*) AS keys, count(k.s) AS hits, count(DISTINCT CASE WHEN k.s IS NULL THEN w.seq END) AS new_sequences, (SELECT count(*) FROM (SELECT s FROM k UNION SELECT seq FROM wanted)) AS size FROM wanted w LEFT JOIN k ON w.seq = k.s")
 def cache_hit_report(spark, d):
     return encode.cache_report(wanted(spark, d), cached(spark, d))
 
@@ -325,9 +391,18 @@ def all_slots(spark, d):
     return rows.select(F.concat_ws("|", "sample_id", "variant_id", "direction", "key").alias("key"), "seq")
 
 
-@query("embed_six_vectors")
+TOY_SQL = """
+SELECT seq, w, j, avg(sin(ascii(substr(seq, cast(p as int), 1)) * (1 + j) / 16.0::double + (p - 1) / 32.0::double)) AS x
+FROM (SELECT *, unnest(range(greatest(length(seq) - w, 0) + 1, length(seq) + 1)) AS p FROM (SELECT DISTINCT seq, w FROM wanted)), range(8) r(j) GROUP BY ALL
+"""
+
+
+@query("embed_six_vectors", f"""
+WITH {SIX_CTE}, v AS (SELECT seq, w, string_agg(printf('%.4f', round(cast(cast(x as float) as double), 4) + 0.0), ',' ORDER BY j) AS part FROM ({TOY_SQL}) GROUP BY seq, w)
+SELECT sample_id, variant_id, 'toy' AS model, key, string_agg(part, ',' ORDER BY direction DESC) AS vec FROM wanted JOIN v USING (seq, w) GROUP BY sample_id, variant_id, key
+""")
 def embed_six_vectors(spark, d):
-    return encode.embed_variants(G.both_directions(six(spark, d)), encode.ToyEncoder())
+    return encode.embed_variants(G.both_directions(six(spark, d)), encode.ToyEncoder()).withColumn("vec", rounded(F.col("vec").cast("array<double>"), 4))
 
 
 @query("bulk_embed_keyed")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Element type of a background list: an offset in the window, the alleles, and the haplotype's allele.
-BACKGROUND = "array<struct<pos:bigint,ord:bigint,ref:string,alt:string,allele:int>>"
+BACKGROUND = "array<struct<pos:bigint,ref:string,alt:string,allele:int>>"
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -45,12 +45,11 @@ def center_offset(pos: Column, start: Column, background: Column) -> Column:
     return pos - 1 - start + shift
 
 
-def haplotype_pair(window: Column, start: Column, background: Column, pos: Column, ref: Column, alt: Column, allele: Column) -> Column:
-    """struct(mut, wt, wt_is_alias): the center variant in its haplotype's background, and that without it."""
-    wt = apply_background(window, start, background)
-    mut = replace_at(wt, center_offset(pos, start, background), ref, alt)
-    carried = (allele == 1) & mut.isNotNull()
-    return F.struct(F.when(carried, mut).otherwise(wt).alias("mut"), wt.alias("wt"), (~F.coalesce(carried, F.lit(False))).alias("wt_is_alias"))
+def haplotype_pair(wt: Column, at: Column, ref: Column, alt: Column, allele: Column) -> Column:
+    """struct(mut, wt, wt_is_alias): the center variant, at offset ``at``, in its haplotype's background, and that
+    without it.  ``wt`` and ``at`` are used several times, so they should be columns by then."""
+    mut = F.when(allele == 1, replace_at(wt, at, ref, alt))
+    return F.struct(F.coalesce(mut, wt).alias("mut"), wt.alias("wt"), mut.isNull().alias("wt_is_alias"))
 
 
 def restore_wild_type(mut: Column, direction: Column, ref: Column, alt: Column) -> Column:

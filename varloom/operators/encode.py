@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions import sequences as S
@@ -24,81 +24,124 @@ class Encoder(Protocol):
 
 
 class ToyEncoder:
-    """A deterministic encoder for tests: one token for each base, with a vector from its byte and place."""
+    """A deterministic encoder for tests: one token for each base, component j of it the sine of
+    byte * (1 + j) / 16 + place / 32."""
 
-    def __init__(self, width: int = 8, name: str = "toy", batch: int = 32, longest: int = 4096):
+    def __init__(self, width: int = 8, name: str = "toy", batch: int = 256, longest: int = 4096):
         self.width, self.name, self.batch, self.longest = width, name, batch, longest
 
     def hidden_states(self, sequences: list[str]) -> list[np.ndarray]:
         if not hasattr(self, "_codes"):  # sin(a + b) of a byte's angle a and a place's angle b
             angles, places = np.arange(256)[:, None] * (1 + np.arange(self.width)) / 16, np.arange(self.longest)[:, None] / 32
-            self._codes = [f(angles).astype(np.float32) for f in (np.sin, np.cos)]
-            self._places = [f(places).astype(np.float32) for f in (np.sin, np.cos)]
-        out = []
-        for seq in sequences:
-            codes = np.frombuffer(seq[-self.longest :].encode(), dtype=np.uint8)[-self.longest :]  # the variant is at the end
-            out.append(self._codes[0][codes] * self._places[1][: len(codes)] + self._codes[1][codes] * self._places[0][: len(codes)])
-        return out
+            self._codes, self._places = ([f(x) for f in (np.sin, np.cos)] for x in (angles, places))
+        raws = [seq[-self.longest :].encode()[-self.longest :] for seq in sequences]  # the variant is at the end
+        ends = np.cumsum([len(x) for x in raws])
+        codes = np.frombuffer(b"".join(raws), dtype=np.uint8)
+        place = _spans(np.zeros(len(raws), dtype=np.int64), np.diff(ends, prepend=0))
+        flat = self._codes[0][codes] * self._places[1][place] + self._codes[1][codes] * self._places[0][place]
+        return np.split(flat, ends[:-1])
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
 
-#: Vectors that a task holds before it hands them on.
-ROWS_OUT = 1024
+POOLING = ("mean", "max", "last_token")
+
+
+def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, as many as its count, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)
 
 
-def pool_array(hidden: np.ndarray, width: int | None, method: str) -> np.ndarray:
-    if method not in ("mean", "max", "last_token"):
+def pool_batch(states: Sequence[np.ndarray], owners: np.ndarray, widths: np.ndarray, method: str) -> np.ndarray:
+    """A vector for each (owner, width): its state's last ``width`` tokens (all, if negative) pooled; 0 without tokens."""
+    if method not in POOLING:
         raise ValueError(f"pooling is mean, max or last_token, not {method}")
-    kept = hidden if width is None else hidden[max(0, len(hidden) - width) :]
-    if not len(kept):
-        return np.zeros(hidden.shape[1], dtype=np.float32)
-    return kept[-1] if method == "last_token" else kept.mean(0) if method == "mean" else kept.max(0)
+    sizes = np.array([len(x) for x in states], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    flat = np.concatenate(states)
+    counts = np.where(widths < 0, sizes[owners], np.minimum(widths, sizes[owners]))
+    out = np.zeros((len(owners), flat.shape[1]), dtype=np.float64)
+    some = np.flatnonzero(counts)
+    if not len(some):
+        return out
+    counts, last = counts[some], ends[owners[some]]
+    if method == "last_token":
+        out[some] = flat[last - 1]
+        return out
+    tokens = flat[_spans(last - counts, counts)]
+    pooled = (np.add if method == "mean" else np.maximum).reduceat(tokens, np.cumsum(counts) - counts)
+    out[some] = pooled / counts[:, None] if method == "mean" else pooled
+    return out
+
+
+def _encoded(need: DataFrame, encoder: Encoder, methods: Sequence[str]) -> DataFrame:
+    """(key, w, a vector for each method, error) of ``need`` (key binary, seq, widths): w null pools the whole sequence.
+
+    Where a batch fails, its sequences are tried one by one, and those that fail alone have null vectors and the error.
+    """
+    for m in methods:
+        if m not in POOLING:
+            raise ValueError(f"pooling is mean, max or last_token, not {m}")
+    names = ["key", "w", *methods, "error"]
+
+    def states_of(sequences: list[str]) -> tuple[list[np.ndarray], list[str | None]]:
+        try:
+            return encoder.hidden_states(sequences), [None] * len(sequences)
+        except Exception:  # noqa: BLE001 - encoders raise what they like
+            states, errors = [], []
+            for seq in sequences:
+                try:
+                    states.append(encoder.hidden_states([seq])[0])
+                    errors.append(None)
+                except Exception as error:  # noqa: BLE001
+                    states.append(np.zeros((0, encoder.width)))
+                    errors.append(str(error))
+            return states, errors
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, encoder.batch):
+                batch = whole.slice(begin, encoder.batch)
+                states, errors = states_of(batch.column("seq").to_pylist())
+                lists = batch.column("widths")
+                owners = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+                widths = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                bad = np.array([x is not None for x in errors])[owners]
+                columns = [batch.column("key").take(pa.array(owners)), pa.array(widths, pa.int32(), mask=widths < 0)]
+                for m in methods:
+                    x = pool_batch(states, owners, widths, m).astype(np.float32)
+                    offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], mask=np.append(bad, False)) if bad.any() else pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(x.ravel())))
+                columns.append(pa.array([errors[i] for i in owners], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return need.select("key", "seq", "widths").mapInArrow(run, f"key binary, w int, {', '.join(f'{m} array<float>' for m in methods)}, error string")
+
+
+def sequence_key(seq: Column | str) -> Column:
+    """128 bits that stand for a sequence in joins, so that its letters are shuffled once."""
+    return F.unhex(F.md5(F.col(seq) if isinstance(seq, str) else seq))
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """(key, seq, widths): each sequence of ``rows`` (key, seq, w) once."""
+    return rows.groupBy("key", "seq").agg(F.collect_set(F.coalesce("w", F.lit(-1))).alias("widths"))
 
 
 def encode_distinct(wanted: DataFrame, encoder: Encoder, method: str = "mean", cached: DataFrame | None = None) -> DataFrame:
     """(seq, w, vec, error) for the distinct (seq, w) of ``wanted``; w null pools the whole sequence.
 
-    A sequence that is wanted with several widths goes through the encoder once.  Where a batch fails, its
-    sequences are tried one by one, and those that fail alone have a null vector and the error.
+    A sequence that is wanted with several widths goes through the encoder once.
     """
-    need = wanted.select("seq", F.col("w").cast("int").alias("w")).distinct()
+    need = wanted.select("seq", F.col("w").cast("int").alias("w")).filter("seq is not null")
     if cached is not None:
         known = cached.select(F.col("seq").alias("_s"), F.col("w").alias("_w"))
         need = need.join(known, (F.col("seq") == F.col("_s")) & F.col("w").eqNullSafe(F.col("_w")), "left_anti")
-    grouped = need.groupBy("seq").agg(F.collect_list(F.coalesce("w", F.lit(-1))).alias("widths"))
-
-    def ready(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["seq", "w", "vec", "error"])
-        out["w"] = out["w"].astype("Int32")
-        return out
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        for pdf in batches:
-            for begin in range(0, len(pdf), encoder.batch):
-                part = pdf.iloc[begin : begin + encoder.batch]
-                try:
-                    states: list = encoder.hidden_states(part["seq"].tolist())
-                except Exception:  # noqa: BLE001 - encoders raise what they like
-                    states = []
-                    for seq in part["seq"]:
-                        try:
-                            states.append(encoder.hidden_states([seq])[0])
-                        except Exception as error:  # noqa: BLE001
-                            states.append(str(error))
-                for seq, widths, state in zip(part["seq"], part["widths"], states, strict=True):
-                    for w in widths:
-                        bad = isinstance(state, str)
-                        rows.append((seq, None if w < 0 else int(w), None if bad else pool_array(state, None if w < 0 else int(w), method).tolist(), state if bad else None))
-                if len(rows) >= ROWS_OUT:
-                    yield ready(rows)
-                    rows = []
-        if rows:
-            yield ready(rows)
-
-    fresh = grouped.mapInPandas(run, "seq string, w int, vec array<float>, error string")
+    # The key is the sequence itself: this form returns it.
+    grouped = need.groupBy("seq").agg(F.collect_set(F.coalesce("w", F.lit(-1))).alias("widths")).withColumn("key", F.encode("seq", "UTF-8"))
+    fresh = _encoded(grouped, encoder, [method]).select(F.decode("key", "UTF-8").alias("seq"), "w", F.col(method).alias("vec"), "error")
     return fresh if cached is None else fresh.unionByName(cached.select("seq", "w", "vec", F.lit(None).cast("string").alias("error")))
 
 
@@ -111,24 +154,34 @@ def slots(rows: DataFrame) -> DataFrame:
 
 
 def embed_variants(rows: DataFrame, encoder: Encoder, method: str = "mean", cached: DataFrame | None = None) -> DataFrame:
-    """(sample_id, variant_id, model, key, vec): up- and downstream vectors one after the other."""
-    wanted = slots(rows)
-    vectors = encode_distinct(wanted, encoder, method, cached).select("seq", "w", "vec")
-    joined = wanted.join(vectors, ["seq", "w"])
-    side = lambda d: F.max(F.when(F.col("direction") == d, F.col("vec")))
+    """(sample_id, variant_id, model, key, vec): up- and downstream vectors one after the other.
+
+    Slots are known by a 128-bit key of their sequence: letters are shuffled once, to meet equal ones, and vectors are
+    joined back by key and width.
+    """
+    wanted = slots(rows).withColumn("_seq", sequence_key("seq"))
+    need = wanted.select(F.col("_seq").alias("key"), "seq", F.col("w").cast("int").alias("w"))
+    known = None
+    if cached is not None:
+        known = cached.select(sequence_key("seq").alias("_key"), F.col("w").cast("int").alias("_w"), "vec")
+        need = need.join(known.select("_key", "_w"), (F.col("key") == F.col("_key")) & F.col("w").eqNullSafe(F.col("_w")), "left_anti")
+    vectors = _encoded(_distinct(need), encoder, [method]).select(F.col("key").alias("_key"), F.col("w").alias("_w"), F.col(method).alias("vec"))
+    if known is not None:
+        vectors = vectors.unionByName(known)
+    joined = wanted.drop("seq").join(vectors, (F.col("_seq") == F.col("_key")) & (F.col("w") == F.col("_w")))
+    side = lambda d: F.first(F.when(F.col("direction") == d, F.col("vec")), ignorenulls=True)
     pair = joined.groupBy("sample_id", "variant_id", "key").agg(side("upstream").alias("up"), side("downstream").alias("down"))
     return pair.select("sample_id", "variant_id", F.lit(encoder.name).alias("model"), "key", F.concat("up", "down").alias("vec")).filter("vec is not null")
 
 
 def bulk_embed(keyed: DataFrame, encoder: Encoder, methods: list[str]) -> DataFrame:
-    """(key, vectors): a map from method to vector for each keyed sequence."""
+    """(key, vectors): a map from method to vector for each keyed sequence; all methods of one encoding."""
     if not methods:
         raise ValueError("at least one method")
-    out = keyed.select("key", "seq")
-    for m in methods:
-        one = encode_distinct(keyed.select("seq", F.lit(None).cast("int").alias("w")), encoder, m).select("seq", F.col("vec").alias(m))
-        out = out.join(one, "seq")
-    return out.select("key", F.create_map(*[x for m in methods for x in (F.lit(m), F.col(m))]).alias("vectors"))
+    rows = keyed.select("key", "seq", sequence_key("seq").alias("_seq"))
+    need = rows.select(F.col("_seq").alias("key"), "seq", F.lit(None).cast("int").alias("w"))
+    found = _encoded(_distinct(need), encoder, methods).withColumnRenamed("key", "_seq")
+    return rows.drop("seq").join(found, "_seq").select("key", F.create_map(*[x for m in methods for x in (F.lit(m), F.col(m))]).alias("vectors"))
 
 
 def multi_model(keyed: DataFrame, encoders: list[Encoder], methods: list[str]) -> DataFrame:
@@ -140,7 +193,15 @@ def multi_model(keyed: DataFrame, encoders: list[Encoder], methods: list[str]) -
 
 
 def cache_report(wanted: DataFrame, cached: DataFrame) -> DataFrame:
-    """keys, hits (keys that were cached before) and the size of the cache after."""
-    known = cached.select("seq").distinct().withColumn("hit", F.lit(True))
-    asked = wanted.join(known, "seq", "left")
-    return asked.agg(F.count("*").alias("keys"), F.count_if("hit").alias("hits"), F.count_distinct(F.when(F.col("hit").isNull(), F.col("seq"))).alias("new_sequences"))
+    """keys, hits (keys that were cached before), new_sequences (others, once each) and the size of the cache after.
+
+    With a column ``method`` on both sides, a key's methods count one by one: it is a hit if each was cached.
+    """
+    by = ["seq", *(["method"] if "method" in wanted.columns else [])]
+    known = cached.select(*by).distinct().withColumn("hit", F.lit(True))
+    asked = wanted.join(known, by, "left")
+    if "method" in by:
+        asked = asked.groupBy("key", "seq").agg(F.bool_and(F.coalesce("hit", F.lit(False))).alias("hit")).withColumn("hit", F.when(F.col("hit"), True))
+    report = asked.agg(F.count("*").alias("keys"), F.count_if("hit").alias("hits"), F.count_distinct(F.when(F.col("hit").isNull(), F.col("seq"))).alias("new_sequences"))
+    size = cached.select("seq").unionByName(wanted.select("seq")).distinct().agg(F.count("*").alias("size"))
+    return report.crossJoin(F.broadcast(size))  # one row each

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.functions import sequences as S
 
-#: Positions in one bin of a range join; about the length of an interval.
-BIN = 256
+#: Positions in one bin of a range join, about the length of an interval; in one of a range window, at least.
+BIN, BINS = 256, 4096
+#: What is kept of a background variant; lists of them sort in this order.
+BACKGROUND = ("pos", "ref", "alt", "a1", "a2")
 
 
 def variant_id() -> Column:
@@ -96,32 +98,56 @@ def background_join(intervals: DataFrame, rows: DataFrame, bin_size: int = BIN)
     A range join by bins: an interval goes to the few bins that it touches, a variant to one.
     Intervals without background keep an empty list.
     """
-    keys = ["sample_id", "chrom", "pos", "ref", "alt", "direction"]
     left = intervals.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor((F.col("end") - 1) / bin_size))))
     right = rows.select(
-        F.col("sample_id").alias("_sample"), F.col("chrom").alias("_chrom"), F.floor((F.col("pos") - 1) / bin_size).alias("_vbin"),
-        F.struct("pos", F.lit(0).cast("bigint").alias("ord"), "ref", "alt", "a1", "a2").alias("v"),
+        F.col("sample_id").alias("_sample"), F.col("chrom").alias("_chrom"), F.floor((F.col("pos") - 1) / bin_size).alias("_vbin"), F.struct(*BACKGROUND).alias("v"),
     )
     same = (F.col("v.pos") == F.col("pos")) & (F.col("v.ref") == F.col("ref")) & (F.col("v.alt") == F.col("alt"))
     on = (F.col("sample_id") == F.col("_sample")) & (F.col("chrom") == F.col("_chrom")) & (F.col("_bin") == F.col("_vbin")) & (F.col("v.pos") - 1 >= F.col("start")) & (F.col("v.pos") - 1 < F.col("end")) & ~same
-    met = left.join(right, on).groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("background"))
-    empty = F.expr("cast(array() as array<struct<pos:bigint,ord:bigint,ref:string,alt:string,a1:int,a2:int>>)")
-    return intervals.join(met, keys, "left").withColumn("background", F.coalesce("background", empty))
+    return left.join(right, on, "left").groupBy(*intervals.columns).agg(F.sort_array(F.collect_list("v")).alias("background"))
+
+
+def with_neighbours(rows: DataFrame, before: int, after: int, longest: int | None = None) -> DataFrame:
+    """rows with ``neighbours``, sorted: the variants of the sample from ``before`` bases before a variant's position to
+    ``after`` behind its REF's end, itself among them, as far as ``longest`` (the longest REF) tells.
+
+    One shuffle: a variant goes to the bin of its position and to those whose variants may see it, and a range
+    window over positions collects what each one sees.  A bin holds few positions, whatever the number of rows.
+    """
+    if longest is None:
+        longest = rows.agg(F.coalesce(F.max(F.length("ref")), F.lit(1))).first()[0]
+    behind = after + longest - 1
+    bin_size = max(BINS, 4 * (before + behind))
+    home = F.floor(F.col("pos") / bin_size)
+    seen = rows.withColumn("_bin", F.explode(F.sequence(F.floor((F.col("pos") - behind) / bin_size), F.floor((F.col("pos") + before) / bin_size))))
+    window = Window.partitionBy("sample_id", "chrom", "_bin").orderBy("pos").rangeBetween(-before, behind)
+    return seen.withColumn("neighbours", F.sort_array(F.collect_list(F.struct(*BACKGROUND)).over(window))).filter(F.col("_bin") == home).drop("_bin")
+
+
+def split_with_background(rows: DataFrame, n: int, least: int = 1, longest: int | None = None) -> DataFrame:
+    """split_intervals and background_join of the same variants, which then need one shuffle."""
+    seen = split_intervals(with_neighbours(rows, n, n, longest), n, least)
+    inside = lambda v: (v["pos"] - 1 >= F.col("start")) & (v["pos"] - 1 < F.col("end")) & ~((v["pos"] == F.col("pos")) & (v["ref"] == F.col("ref")) & (v["alt"] == F.col("alt")))
+    return seen.withColumn("background", F.filter("neighbours", inside)).drop("neighbours")
 
 
 def of_haplotype(hap: int) -> Column:
-    """The background with the allele of one haplotype."""
-    return F.transform("background", lambda v: F.struct(v["pos"].alias("pos"), v["ord"].alias("ord"), v["ref"].alias("ref"), v["alt"].alias("alt"), v[f"a{hap}"].alias("allele")))
+    """The background that one haplotype carries."""
+    carried = F.filter("background", lambda v: v[f"a{hap}"] != 0)
+    return F.transform(carried, lambda v: F.struct(v["pos"].alias("pos"), v["ref"].alias("ref"), v["alt"].alias("alt"), v[f"a{hap}"].alias("allele")))
 
 
 def six_sequences(rows: DataFrame) -> DataFrame:
-    """hap1, hap2, reference: struct(mut, wt, wt_is_alias) for each interval with wt_ref and background."""
-    center = (F.col("pos"), F.col("ref"), F.col("alt"))
-    out = reference_pair(rows)
-    for hap in (1, 2):
-        out = out.withColumn(f"hap{hap}", S.haplotype_pair(F.col("wt_ref"), F.col("start"), of_haplotype(hap), *center, F.col(f"a{hap}")))
-    out = out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
-    return out.filter("mut_ref is not null")
+    """hap1, hap2, reference: struct(mut, wt, wt_is_alias) for each interval with wt_ref and background.
+
+    In steps, as a step's columns are used several times by the next: each fold stands in the plan once.
+    """
+    out = reference_pair(rows).filter("mut_ref is not null")
+    out = out.withColumns({f"_b{hap}": of_haplotype(hap) for hap in (1, 2)})
+    out = out.withColumns({f"_w{hap}": S.apply_background(F.col("wt_ref"), F.col("start"), F.col(f"_b{hap}")) for hap in (1, 2)} | {f"_at{hap}": S.center_offset(F.col("pos"), F.col("start"), F.col(f"_b{hap}")) for hap in (1, 2)})
+    pairs = {f"hap{hap}": S.haplotype_pair(F.col(f"_w{hap}"), F.col(f"_at{hap}"), F.col("ref"), F.col("alt"), F.col(f"a{hap}")) for hap in (1, 2)}
+    out = out.withColumns(pairs).drop(*[f"_{c}{hap}" for c in ("b", "w", "at") for hap in (1, 2)])
+    return out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
 
 
 def six_of_haplotypes(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -165,6 +191,19 @@ def flatten(rows: DataFrame) -> DataFrame:
     return rows.select("sample_id", variant_id().alias("variant_id"), F.explode(F.filter(every, lambda x: x["keep"])).alias("x")).select("sample_id", "variant_id", "x.seq_name", "x.seq")
 
 
+def legacy_sequences(rows: DataFrame, half: int, longest: int | None = None) -> DataFrame:
+    """rows with left, right and the variants around each, for ``legacy_haplotypes``."""
+    return centred_windows(with_neighbours(rows, half, half, longest), half)
+
+
+def legacy_haplotypes(rows: DataFrame) -> DataFrame:
+    """hap1 and hap2 of centred windows (left, right, neighbours, ``seq`` of the genome): all variants of the window, the
+    center's too, are folded in."""
+    inside = F.filter("neighbours", lambda v: (v["pos"] >= F.col("left")) & (v["pos"] <= F.col("right")))
+    out = rows.withColumn("background", inside)
+    return out.withColumns({f"hap{hap}": S.apply_background(F.col("seq"), F.col("left") - 1, of_haplotype(hap)) for hap in (1, 2)}).drop("background")
+
+
 def centred_windows(rows: DataFrame, half: int) -> DataFrame:
     """left, right (1-based, both in) around each variant; those left of the contig are left out."""
     return rows.withColumns({"left": F.col("pos") - half, "right": F.col("pos") + F.length("ref") - 1 + half}).filter("left >= 1")

@@ -41,11 +41,11 @@ def build_sequences(rows: DataFrame, genome: DataFrame, flank: int, least: int =
 
     The genome of an interval is fetched once, whatever the number of samples that have the variant.
     """
-    intervals = G.split_intervals(rows, flank, least)
+    intervals = G.split_with_background(rows, flank, least)
     where = ["chrom", "start", "end"]
     windows = G.fetch_windows(intervals.select(*where).distinct(), genome, files.CHUNK, where)
     whole = windows.filter(F.length("wt_ref") > 0)
-    return G.both_directions(G.six_sequences(G.background_join(intervals.join(whole, where), rows)))
+    return G.both_directions(G.six_sequences(intervals.join(whole, where)))
 
 
 def personal_vectors(sequences: DataFrame, encoder: encode.Encoder, pooling: str = "mean", done: DataFrame | None = None) -> DataFrame:

@@ -38,6 +38,9 @@ FROM (
 GROUP BY sample_id, chrom, pos, ref, alt
 """
 
+#: The longest REF of the above, and the length of the genome's three contigs.
+LONGEST_REF, CONTIG = 3, 1_000_400
+
 #: Text lines as in interval files: comments, blanks, short rows and rows without a name among them.
 BED_LINES = """
 SELECT CASE cast(o_orderkey % 7 as int) WHEN 0 THEN concat('# ', cast(o_orderkey as varchar(20))) WHEN 1 THEN '   '
@@ -62,7 +65,7 @@ FROM {lineitem}
 REGIONS = """
 SELECT concat('chr', cast(o_orderkey % 3 + 1 as varchar(20))) AS chrom, cast((o_orderkey * 7919) % 900000 as bigint) AS start_,
        cast((o_orderkey * 7919) % 900000 + 300 + o_custkey % 200 as bigint) AS end_
-FROM {orders} WHERE o_orderkey % 4 = 0
+FROM {orders}
 """
 
 #: Six vectors of ten numbers for each (sample, variant); some without the second haplotype or the reference.
@@ -88,6 +91,11 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, VARIANTS, "lineitem")
 
 
+def contigs(spark: SparkSession) -> DataFrame:
+    """(chrom, seq) of the genome, as a table."""
+    return spark.range(3).selectExpr("concat('chr', cast(id + 1 as string)) AS chrom", f"repeat('ACGT', {CONTIG // 4}) AS seq")
+
+
 def six_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, six_vectors_sql("spark"), "embeddings")
 
