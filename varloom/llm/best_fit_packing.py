@@ -5,12 +5,14 @@ holds all that the packing depends on.  ``plan_packing`` packs that histogram, w
 bins at a time; pieces then find their place from their rank within their length.  Neither the driver
 nor any task holds a list of documents.
 
-Null text counts as empty and has the end id alone; rows that repeat an id are packed each; an empty
-table gives an empty result.
+Null text counts as empty and has the end id alone; rows that repeat an id are packed each, and those with a null
+id too; pieces of equal length are placed in the order of id, piece and checksum; an empty table gives an empty result.
+Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -57,9 +59,30 @@ class _Ids(dict):
         return ids
 
 
+#: What the file must say for its words to be encoded one by one.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}],
+}
+
+
+def separable(path: str) -> bool:
+    """Whether the tokenizer file is of the kind whose words are encoded one by one."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    plain = all(not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) and not re.search(r"\s", t["content"]) for t in said.get("added_tokens") or [])
+    model = said["model"]
+    plain &= model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges"))
+    return plain and said["normalizer"] == NORMALIZER and said["pre_tokenizer"] == PRE_TOKENIZER and not said.get("truncation")
+
+
 class WordCodec:
     """The word-end BPE file of the tokenizers library, each distinct word encoded once per task.
 
+    Any other tokenizer file is read too; whole texts then go to the library.
+
     White space never belongs to a token and each step of the normaliser works character by character
     (composition never reaches over ASCII white space), so the ids of a text are those of its pieces
     between white space.  In Latin-1, where the normaliser only lower-cases, the pre-tokenizer's own pieces
@@ -78,6 +101,7 @@ class WordCodec:
 
         model = Tokenizer.from_file(path)
         model.encode_special_tokens = not special
+        self.whole = None if separable(path) else model
         added = [re.escape(t.content) for t in model.get_added_tokens_decoder().values()] if special else []
         self.added = re.compile("|".join(added) or r"(?!)")
         whole, merges, byte_char = model.encode, model.model.tokenize, byte_characters()
@@ -97,6 +121,8 @@ class WordCodec:
         self.words = _Ids(encode)
 
     def encode(self, text: str) -> bytes:
+        if self.whole is not None:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if not _latin(text) or self.added.search(text):
             return b"".join(map(self.words.__getitem__, self.chunk.findall(text)))
         return b"".join(map(self.words.__getitem__, self.word.findall(text.lower())))

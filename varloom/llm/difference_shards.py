@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, salted_rank, table
+from .common import cut, join_hot, salted_rank, table
 
 #: Items that one task combines, and the lanes that it makes of them.
 BUCKET, LANES = 1500, 32
@@ -115,9 +115,11 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         ),
         "shard-rows",
     )
-    groups = cut(rows.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
-    placed = rows.join(difference_shards(groups, shards, bucket, last), "key")
-    salts = max(64, rows.count() // (shards * 10_000))
+    total = rows.count()
+    groups = cut(rows.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("copies")), "shard-groups")
+    shard_of = cut(difference_shards(groups, shards, bucket, last).join(groups.select("key", "copies"), "key"), "shard-of")
+    placed = join_hot(rows, shard_of, "key", "copies", total).drop("copies")
+    salts = max(64, total // (shards * 10_000))
     slotted = salted_rank(placed, ["shard"], ["id", "size", "text_crc32"], F.pmod(F.xxhash64("id", "text_crc32"), F.lit(salts)), "slot")
     return slotted.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 

@@ -329,7 +329,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = join_hot(both, cut(low, "large-low"), "u", "c", 2 * state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = cut(large, "large-star")
         least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")), "small-low")
-        small = join_hot(large, least, "u", "c", large.count()).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_hot(large, least, "u", "c", 2 * state[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(least.select("u", F.col("m").alias("v")).unionByName(small).distinct(), "small-star")
         before, state = state, tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
         if state == before:
@@ -360,8 +360,9 @@ def _open_lists(lists: DataFrame, comp: DataFrame) -> DataFrame:
     placed = lists.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     placed = cut(placed, "placed")
     shares = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    mains = shares.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1").select("h", F.col("m.comp").alias("main"))
-    return cut(placed.join(mains, "h"), "open-lists")
+    mains = shares.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"), F.sum("c").alias("members")).filter("comps > 1")
+    mains = cut(mains.select("h", F.col("m.comp").alias("main"), "members"), "mains")
+    return cut(join_hot(placed, mains, "h", "members", placed.count()).drop("members"), "open-lists")
 
 
 def _sketches_near(x: Column, y: Column, most: Column) -> Column:
