@@ -29,11 +29,12 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, blocks, cut, release, sliced, table
+from .common import as_text, blocks, cut, release, released, sliced, table
 
 #: Length of n-grams, discount of shared counts, discount of class counts.
 ORDER, DISCOUNT, CLASS_DISCOUNT = 5, 0.75, 4.0
@@ -43,6 +44,8 @@ EVIDENCE = 4.0
 PER_CLASS, SAMPLE_BYTES = 3000, 16 << 20
 #: Expressions (and their characters) a task remembers the ratio of; n-grams it works on at once.
 TABLE_ROWS, TABLE_CHARS, GRAMS = 200_000, 4_000_000, 1 << 17
+#: The model of all counts; the others are known by the half whose texts they judge.
+WHOLE = 2
 #: Characters that the model tells apart at the lowest level.
 ALPHABET = 300
 WORD = re.compile(r"[^\W\d_]+")
@@ -102,6 +105,19 @@ class ClassModels:
         self.seen = np.log(likelihoods[0] / likelihoods[1]).astype(np.float32)
         self.unseen = np.log(kept[0] / kept[1]).astype(np.float32)
 
+    #: The arrays that a model consists of, and their types.
+    PARTS = {"keys": np.uint64, "seen": np.float32, "contexts": np.uint64, "unseen": np.float32}
+
+    def packed(self) -> list[bytes]:
+        return [getattr(self, name).tobytes() for name in self.PARTS]
+
+    @classmethod
+    def unpacked(cls, parts) -> ClassModels:
+        out = cls.__new__(cls)
+        for (name, kind), raw in zip(cls.PARTS.items(), parts, strict=True):
+            setattr(out, name, np.frombuffer(raw, dtype=kind))
+        return out
+
     @staticmethod
     def _shared(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Kneser-Ney likelihoods of the distinct ``grams``: each shorter one counts the longer ones it ends."""
@@ -203,20 +219,29 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("half"), pa.array(words, pa.list_(pa.string()))], ["toxic", "half", "words"])
 
     # The expressions of the bounded sample, with the documents of each class and half that hold them.
-    counted = (
+    columns = [f"n{c}{h}" for c in (0, 1) for h in (0, 1)]
+    counted = cut(
         chosen.select("toxic", "half", "text")
         .mapInArrow(sliced(held), "toxic int, half int, words array<string>")
         .select("toxic", "half", F.explode("words").alias("word"))
         .groupBy("word")
-        .agg(*[F.count_if((F.col("toxic") == c) & (F.col("half") == h)).alias(f"n{c}{h}") for c in (0, 1) for h in (0, 1)])
-        .toPandas()
-        .sort_values("word", ignore_index=True)
+        .agg(*[F.count_if((F.col("toxic") == c) & (F.col("half") == h)).alias(f"n{c}{h}") for c in (0, 1) for h in (0, 1)]),
+        "toxic-words",
     )
-    n = {(c, h): counted[f"n{c}{h}"].to_numpy() for c in (0, 1) for h in (0, 1)}
-    if counted.empty or any(x.sum() == 0 for x in n.values()):
+    if not all(counted.agg(*[F.sum(c).alias(c) for c in columns]).first()):
         return source.select(F.col("row").alias(row_col or id_col), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    words = counted["word"].tolist()
-    crossed = spark.sparkContext.broadcast([ClassModels(words, n[1, 1 - h], n[0, 1 - h]) for h in (0, 1)])
+
+    def fit(words):
+        which = int(words["which"].iloc[0])
+        halves = (0, 1) if which == WHOLE else (1 - which,)
+        toxic, ordinary = (sum(words[f"n{c}{h}"].to_numpy() for h in halves) for c in (1, 0))
+        return pd.DataFrame([(which, *ClassModels(words["word"].tolist(), toxic, ordinary).packed())], columns=["which", *ClassModels.PARTS])
+
+    # Models are fitted in tasks: one for the texts of each half, of the other half's counts, and one of all counts.
+    models = counted.withColumn("which", F.explode(F.array(F.lit(0), F.lit(1), F.lit(WHOLE))))
+    models = cut(models.groupBy("which").applyInPandas(released(fit), f"which int, {', '.join(f'{x} binary' for x in ClassModels.PARTS)}"), "toxic-models")
+    fetched = lambda which: ClassModels.unpacked(models.filter(F.col("which") == which).select(*ClassModels.PARTS).first())
+    crossed = spark.sparkContext.broadcast([fetched(h) for h in (0, 1)])
 
     def unseen(batches):
         differences = [Differences(x) for x in crossed.value]
@@ -233,8 +258,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str = "true", id_c
     threshold, slope = fit_threshold(fitted["toxic"].to_numpy(), fitted["difference"].to_numpy())
     crossed.destroy()
     del crossed
-    model = spark.sparkContext.broadcast(ClassModels(words, n[1, 0] + n[1, 1], n[0, 0] + n[0, 1]))
-    del counted, words, n
+    model = spark.sparkContext.broadcast(fetched(WHOLE))
     release()
 
     def score(batches):
