@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varloom.operators import learning, metrics, store
+from varloom.operators import learning, metrics, omics, store
 from varloom.operators import variants as G
 from varloom.plans import multiomics, personal, settings
 from varloom.sources import files
@@ -93,6 +93,68 @@ def test_multiomics(spark, tmp_path):
     assert set(summary) == {"emb", "emb_metab"} and min(summary.values()) > 0.85
     assert out["predictions"].count() == 120
     assert spark.read.csv(f"{tmp_path}/out/summary", header=True).count() == 2
+    assert {(r["model"], r["folds"], r["best_params"]) for r in out["cv"].collect()} == {("logistic", 3, "[('regParam', 0.01)]")}
+    assert out["metrics"].count() == 1 and callable(out["predict"])
+
+
+def test_vectors_only_of_the_samples_asked_for(spark, tmp_path, monkeypatch):
+    rows = [(f"p{i}", "v", "toy", "Mut_hap1", [float(i)]) for i in range(6)]
+    store.write_store(spark.createDataFrame(rows, "sample_id string, variant_id string, model string, key string, vec array<float>"), str(tmp_path / "s"))
+    wanted = spark.createDataFrame([("p1",), ("p4",), ("none",), (None,)], "sample_id string")
+    few = multiomics.of_samples(files.read_store(spark, str(tmp_path / "s")), wanted)
+    assert "PartitionFilters: [isnotnull(sample_id" in few._jdf.queryExecution().toString() or "PartitionFilters: [sample_id" in few._jdf.queryExecution().toString()
+    monkeypatch.setattr(multiomics, "NAMED", 1)
+    for got in (few, multiomics.of_samples(files.read_store(spark, str(tmp_path / "s")), wanted)):
+        assert {r["sample_id"] for r in got.collect()} == {"p1", "p4"}
+
+
+def test_repeated_ids_are_refused(spark):
+    labels = spark.createDataFrame([("a", 1), ("b", 0)], "sample_id string, label int")
+    once = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "sample_id string, features array<double>")
+    assert omics.feature_matrix({"emb": once}, labels).count() == 2
+    for matrix in (omics.feature_matrix({"emb": once.union(once.limit(1))}, labels), omics.feature_matrix({"emb": once}, labels.union(labels.limit(1)))):
+        with pytest.raises(Exception, match="more than once"):
+            matrix.collect()
+
+
+def test_rows_without_a_score_are_not_chosen(spark):
+    rows = [("s", 0, 0.5, 1.0, 9.0), ("s", 1, None, None, 1.0), ("s", 2, 0.7, 2.0, None), ("t", 0, None, None, None)]
+    df = spark.createDataFrame(rows, "sample_id string, ord int, relative double, absolute double, delta double")
+    for how, want in {"relative": {0, 2}, "absolute": {0, 2}, "weighted": {0, 2}, "cascade": {0, 2}, "delta": {0, 1}}.items():
+        assert {(r["sample_id"], r["ord"]) for r in omics.select_top(df, how, 3).collect()} == {("s", i) for i in want}
+    shares = {r["ord"]: r["weighted"] for r in omics.select_top(df, "weighted", 3).collect()}
+    assert shares == {0: 0.0, 2: 1.0}
+    assert omics.select_top(df, "relative", 0).count() == 4
+
+
+def test_names_dealt_in_turn(spark):
+    rng = random.Random(3)
+    names = [f"n{rng.randrange(10**6):06d}" for _ in range(5000)] + [None, "ä", ""]
+    df = spark.createDataFrame([(n,) for n in names * 2], "sample_id string")
+    order = [None, *sorted(set(names) - {None})]
+    assert {r["sample_id"]: r["bucket"] for r in store.round_robin(df, 7).collect()} == {n: i % 7 for i, n in enumerate(order)}
+    assert store.round_robin(df.limit(0), 3).count() == 0 and store.round_robin(spark.range(3), 2, "id").count() == 3
+
+
+def test_models_and_their_parameters(spark):
+    with pytest.warns(UserWarning, match="takes no depth"):
+        learning.create_model("logistic", 2, depth=3, regParam=0.1)
+    with pytest.raises(ValueError):
+        learning.create_model("forest", 2)
+    results = spark.createDataFrame([("svm", 0, 0.5, "[('a', 1)]"), ("svm", 1, 0.7, "[('a', 2)]"), ("svm", 2, 0.7, "[('a', 3)]")], "model string, fold int, score double, params string")
+    row = learning.cv_summary(results).first()
+    assert row["folds"] == 3 and math.isclose(row["mean_score"], 1.9 / 3) and learning.read_params(row["best_params"]) == {"a": 2}
+    with pytest.raises(ValueError):
+        omics.select_features(results, "params", [])
+    rows = spark.createDataFrame([(i, i % 2, [float(i % 2), 1.0 + i % 3]) for i in range(40)], "sample_id long, label int, features array<double>")
+    found = learning.fit_final(rows, "logistic", {"regParam": 0.01})(rows.drop("label")).collect()
+    assert all(r["pred"] == r["sample_id"] % 2 for r in found)
+
+
+def test_evaluation_of_each_module(spark):
+    rows = [("all", "svm", i % 2, (i * 7 % 20) / 20, int(i * 7 % 20 > 9)) for i in range(20)] + [("emb", "svm", i % 2, float(i % 2), i % 2) for i in range(10)]
+    out = multiomics.evaluated(spark.createDataFrame(rows, "module string, model string, label int, score double, pred int"))
+    assert {r["module"]: (r["rank"], r["tp"] + r["fp"] + r["tn"] + r["fn"]) for r in out["metrics"].collect()} == {"emb": (1, 10), "all": (2, 20)}
 
 
 def test_reducer_equals_numpy(spark):

@@ -405,16 +405,31 @@ def embed_six_vectors(spark, d):
     return encode.embed_variants(G.both_directions(six(spark, d)), encode.ToyEncoder()).withColumn("vec", rounded(F.col("vec").cast("array<double>"), 4))
 
 
-@query("bulk_embed_keyed")
+#: Token components of whole sequences as lists, and a component as text.
+WHOLE_SQL = """
+SELECT seq, j, list_transform(range(1, length(seq) + 1), lambda p: sin(ascii(substr(seq, cast(p as int), 1)) * (1 + j) / 16.0::double + (p - 1) / 32.0::double)) AS x
+FROM (SELECT DISTINCT seq FROM wanted), range(8) r(j)
+"""
+_cell = lambda x: f"printf('%.4f', round(cast(cast({x} as float) as double), 4) + 0.0)"
+SLOT_KEY = "concat_ws('|', sample_id, variant_id, direction, key)"
+
+
+@query("bulk_embed_keyed", f"""
+WITH {SIX_CTE}, v AS (SELECT seq, {', '.join(f"string_agg({_cell(x)}, ',' ORDER BY j) AS {m}" for m, x in (('mean', 'list_avg(x)'), ('max', 'list_max(x)'), ('last_token', 'x[len(x)]')))} FROM ({WHOLE_SQL}) GROUP BY seq)
+SELECT {SLOT_KEY} AS key, mean, max, last_token FROM wanted JOIN v USING (seq)
+""")
 def bulk_embed_keyed(spark, d):
-    keyed = all_slots(spark, d)
-    return encode.bulk_embed(keyed, encode.ToyEncoder(), ["mean", "max", "last_token"]).select("key", *[F.col("vectors")[m].alias(m) for m in ("mean", "max", "last_token")])
+    found = encode.bulk_embed(all_slots(spark, d), encode.ToyEncoder(), ["mean", "max", "last_token"])
+    return found.select("key", *[rounded(F.col("vectors")[m].cast("array<double>"), 4).alias(m) for m in ("mean", "max", "last_token")])
 
 
-@query("multi_model_embed")
+@query("multi_model_embed", f"""
+WITH {SIX_CTE}, v AS (SELECT seq, string_agg({_cell('list_avg(x)')}, ',' ORDER BY j) AS toy8, string_agg({_cell('list_avg(x)')}, ',' ORDER BY j) FILTER (j < 4) AS toy4 FROM ({WHOLE_SQL}) GROUP BY seq)
+SELECT {SLOT_KEY} AS key, m.model, CASE m.model WHEN 'toy8' THEN toy8 ELSE toy4 END AS mean FROM wanted JOIN v USING (seq), (VALUES ('toy8'), ('toy4')) m(model)
+""")
 def multi_model_embed(spark, d):
-    keyed = all_slots(spark, d)
-    return encode.multi_model(keyed, [encode.ToyEncoder(8, "toy8"), encode.ToyEncoder(4, "toy4")], ["mean"]).select("key", "model", F.col("vectors")["mean"].alias("mean"))
+    found = encode.multi_model(all_slots(spark, d), [encode.ToyEncoder(8, "toy8"), encode.ToyEncoder(4, "toy4")], ["mean"])
+    return found.select("key", "model", rounded(F.col("vectors")["mean"].cast("array<double>"), 4).alias("mean"))
 
 
 # --- vectors, scores, selection -----------------------------------------------------------------------
@@ -554,8 +569,33 @@ for _how, _f in FILL_SQL.items():
 
     query(f"impute_{_how.replace('most_frequent', 'mode')}", f"WITH h AS ({HOLES_SQL}) SELECT sample_id, round(coalesce(x, {_f('x')}), 4) AS x, round(coalesce(y, {_f('y')}), 4) AS y FROM h")(_impute)
 
+@query("fill_matrix", f"WITH h AS ({HOLES_SQL}), m AS (SELECT median(v) AS fill FROM (SELECT unnest([x, y]) AS v FROM h)) SELECT sample_id, round(coalesce(x, fill), 4) AS x, round(coalesce(y, fill), 4) AS y FROM h, m")
+def fill_matrix(spark, d):
+    return learning.fill_matrix(holes(spark, d), ["x", "y"]).select("sample_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query("train_test_split", f"""
+SELECT sample_id, label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY sha256('42:' || cast(sample_id as varchar)), sample_id) <= ceil(count(*) OVER (PARTITION BY label) * 0.2::double) THEN 'test' ELSE 'train' END AS part FROM ({HOLES_SQL})
+""")
+def train_test_split(spark, d):
+    train, test = learning.train_test_split(holes(spark, d).select("sample_id", "label"), 0.2)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query("numeric_columns", "SELECT column_name AS name FROM (DESCRIBE customer) WHERE regexp_matches(column_type, '^(TINYINT|SMALLINT|INTEGER|BIGINT|FLOAT|DOUBLE|DECIMAL)')")
+def numeric_columns(spark, d):
+    return spark.createDataFrame([(c,) for c in omics.numeric_columns(spark.read.parquet(f"{d}/customer.parquet"))], "name string")
+
+
+@query("select_features", f"SELECT vec_id, {_text('list_transform([1, 64, 6], lambda i: cast(embedding[i] as double))')} AS places, {_text('list_transform(range(1, 65, 2), lambda i: cast(embedding[i] as double))')} AS masked FROM embeddings")
+def select_features(spark, d):
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("places"), F.col("embedding").cast("array<double>").alias("masked"))
+    out = omics.select_features(omics.select_features(rows, "places", [0, 63, 5]), "masked", [i % 2 == 0 for i in range(64)])
+    return out.select("vec_id", rounded(F.col("places")).alias("places"), rounded(F.col("masked")).alias("masked"))
+
+
 FOLDS = 5
-FOLD_SQL = f"SELECT *, cast((row_number() OVER (PARTITION BY label ORDER BY sha256('42:' || cast(sample_id as varchar)), sample_id) - 1) % {FOLDS} as int) AS fold FROM ({HOLES_SQL})"
+FOLD_SQL =f"SELECT *, cast((row_number() OVER (PARTITION BY label ORDER BY sha256('42:' || cast(sample_id as varchar)), sample_id) - 1) % {FOLDS} as int) AS fold FROM ({HOLES_SQL})"
 
 
 @query("impute_fold_safe", f"WITH f AS ({FOLD_SQL}), m AS (SELECT g.k, median(x) AS mx, median(y) AS my FROM f, (SELECT unnest(range({FOLDS})) AS k) g WHERE f.fold <> g.k GROUP BY g.k) SELECT sample_id, fold, round(coalesce(x, mx), 4) AS x, round(coalesce(y, my), 4) AS y FROM f JOIN m ON f.fold = m.k")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ast
 import itertools
+import warnings
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
@@ -135,10 +138,13 @@ def fit_reducer(rows: DataFrame, column: str, k: int | str = "auto", scale: bool
     return reduce
 
 
-def fold_preparation(embedded: str | None, tabular: Sequence[str], how: str = "median", components: int | str = "auto") -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
-    """prepare(train, held) -> both with ``features``: reduced embedding, then filled tabular columns; fitted on train."""
+Fitted = Callable[[DataFrame], DataFrame]
 
-    def prepare(train: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+
+def fold_preparation(embedded: str | None, tabular: Sequence[str], how: str = "median", components: int | str = "auto") -> Callable[[DataFrame], Fitted]:
+    """fit(train) -> a function that adds ``features``: reduced embedding, then filled tabular columns; fitted on train."""
+
+    def fit(train: DataFrame) -> Fitted:
         reduce = fit_reducer(train, embedded, components) if embedded else lambda df: df
 
         def ready(df: DataFrame) -> DataFrame:
@@ -146,9 +152,9 @@ def fold_preparation(embedded: str | None, tabular: Sequence[str], how: str = "m
             parts = [*([F.col(embedded)] if embedded else []), *([F.array(*tabular)] if tabular else [])]
             return reduce(filled).withColumn("features", F.concat(*parts))
 
-        return ready(train), ready(held)
+        return ready
 
-    return prepare
+    return fit
 
 
 def feature_names(components: int, tabular: Sequence[str]) -> list[str]:
@@ -169,7 +175,7 @@ def grid_frame(spark, options: dict[str, Sequence]) -> DataFrame:
     return out
 
 
-#: Parameters that each model takes; others are refused.
+#: Parameters that each model takes; others are left out with a warning.
 MODELS = {
     "logistic": (LogisticRegression, {"regParam", "elasticNetParam", "maxIter", "tol"}),
     "svm": (LinearSVC, {"regParam", "maxIter", "tol"}),
@@ -179,12 +185,16 @@ MODELS = {
 
 
 def create_model(name: str, width: int, seed: int = 42, **params):
-    """A pipeline that scales (but for trees) and fits.  Linear SVMs stand for kernel ones; see the README."""
+    """A pipeline that scales (but for trees) and fits.  Linear SVMs stand for kernel ones; see the README.
+
+    Unknown parameters are left out with a warning; an unknown model is an error.
+    """
     if name not in MODELS:
         raise ValueError(f"{name} is none of {', '.join(MODELS)}")
     kind, known = MODELS[name]
     if extra := set(params) - known:
-        raise ValueError(f"{name} takes no {', '.join(sorted(extra))}")
+        warnings.warn(f"{name} takes no {', '.join(sorted(extra))}", stacklevel=2)
+        params = {k: v for k, v in params.items() if k in known}
     if name == "mlp":
         params["layers"] = [width, *params.get("layers", [16]), 2]
     if name in ("gbt", "mlp"):
@@ -196,15 +206,24 @@ def create_model(name: str, width: int, seed: int = 42, **params):
 
 def _score(df: DataFrame) -> DataFrame:
     raw = vector_to_array("probability")[1] if "probability" in df.columns else vector_to_array("rawPrediction")[1]
-    return df.select("sample_id", "label", raw.alias("score"), F.col("prediction").cast("int").alias("pred"))
+    return df.select("sample_id", *(["label"] if "label" in df.columns else []), raw.alias("score"), F.col("prediction").cast("int").alias("pred"))
+
+
+def _vectors(rows: DataFrame) -> DataFrame:
+    return rows.select("sample_id", *(["label"] if "label" in rows.columns else []), array_to_vector("features").alias("x"))
+
+
+#: Combinations of a grid that are fitted at once.
+AT_ONCE = 4
 
 
-def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int = 5, seed: int = 42, prepare: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame]:
+def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int = 5, seed: int = 42, prepare: Callable[[DataFrame], Fitted] | None = None) -> tuple[DataFrame, DataFrame]:
     """(results, out-of-fold predictions) of rows (sample_id, label, features).
 
     For each fold every combination is fitted on the other folds and judged on this one by ROC-AUC; the best one's
-    predictions are kept.  Choosing on the validation fold makes the scores optimistic.  ``prepare`` makes
-    features out of other columns, fitted on each fold's training rows.
+    predictions are kept, the first one's of several.  Choosing on the validation fold makes the scores optimistic.
+    ``prepare`` makes features out of other columns, fitted on each fold's training rows.  A fold's rows are prepared
+    once and its combinations are fitted a few at a time.
     """
     spark = rows.sparkSession
     grid = list(grid)
@@ -213,13 +232,20 @@ def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int
     try:
         for fold in range(folds):
             parts = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
-            train, held = (x.select("sample_id", "label", array_to_vector("features").alias("x")) for x in (prepare(*parts) if prepare else parts))
-            width = len(train.first()["x"])
-            tried = []
-            for params in grid:
-                out = _score(create_model(model, width, seed, **params).fit(train).transform(held))
-                tried.append((roc_auc(out).first()[0], params, out))
-            score, params, out = max(tried, key=lambda x: x[0])
+            ready = prepare(parts[0]) if prepare else lambda df: df
+            train, held = (_vectors(ready(x)).persist() for x in parts)
+            try:
+                width = len(train.first()["x"])
+
+                def judge(params: dict, train=train, held=held, width=width) -> tuple[float, dict, DataFrame]:
+                    out = _score(create_model(model, width, seed, **params).fit(train).transform(held))
+                    return roc_auc(out).first()[0], params, out
+
+                with ThreadPoolExecutor(AT_ONCE) as pool:
+                    score, params, out = max(pool.map(judge, grid), key=lambda x: x[0])
+            finally:
+                train.unpersist()
+                held.unpersist()
             results.append((model, fold, float(score), str(sorted(params.items()))))
             out = out.withColumn("fold", F.lit(fold))
             kept = out if kept is None else kept.unionByName(out)
@@ -228,6 +254,28 @@ def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int
     return spark.createDataFrame(results, "model string, fold int, score double, params string"), kept
 
 
+def cv_summary(results: DataFrame) -> DataFrame:
+    """model, folds, mean_score, std_score (of all folds) and best_params, those of the best fold (the first of several)."""
+    best = F.min_by("params", F.struct(-F.col("score"), F.col("fold"))).alias("best_params")
+    return results.groupBy("model").agg(F.count("*").alias("folds"), F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"), best)
+
+
+def read_params(text: str) -> dict:
+    """The parameters that a result's ``params`` stands for."""
+    return dict(ast.literal_eval(text))
+
+
+def fit_final(rows: DataFrame, model: str, params: dict, seed: int = 42, prepare: Callable[[DataFrame], Fitted] | None = None) -> Fitted:
+    """A function that gives (sample_id, label where known, score, pred) of new rows, fitted on all of ``rows``."""
+    ready = prepare(rows) if prepare else lambda df: df
+    train = _vectors(ready(rows)).persist()
+    try:
+        fitted = create_model(model, len(train.first()["x"]), seed, **params).fit(train)
+    finally:
+        train.unpersist()
+    return lambda df: _score(fitted.transform(_vectors(ready(df))))
+
+
 def ablation_summary(scores: DataFrame) -> DataFrame:
     """Mean and population deviation of each (module, model)'s fold scores."""
     return scores.groupBy("module", "model").agg(F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"))

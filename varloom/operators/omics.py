@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,15 +43,17 @@ def rank_share(score: Column, by: str = "sample_id", order: str = "ord") -> Colu
 
 
 def select_top(rows: DataFrame, how: str, k: int, weight: float = 0.5, widen: float = 3.0) -> DataFrame:
-    """The k best rows of each sample with their rank; all rows, unranked, if k is 0 or a sample has no more.
+    """The k best rows of each sample with their rank; all rows, unranked, if k is 0.
 
     ``weighted`` mixes the rank shares of both scores; ``cascade`` takes ``widen`` times k by the absolute
-    score and the k best of those by the relative one.
+    score and the k best of those by the relative one.  Rows without the score (of these two, without either) take
+    no part: they are neither ranked nor kept, whatever the number of others, and shift no share.
     """
     if how not in SCORES:
         raise ValueError(f"{how} is none of {', '.join(SCORES)}")
     if k <= 0:
         return rows.withColumn("rank", F.lit(None).cast("int"))
+    rows = rows.dropna(subset=["relative", "absolute"] if how in ("weighted", "cascade") else [how])
     sample = Window.partitionBy("sample_id")
     if how == "weighted":
         rows = rows.withColumn("weighted", weight * rank_share(F.col("relative")) + (1 - weight) * rank_share(F.col("absolute")))
@@ -83,20 +86,38 @@ def numeric_columns(df: DataFrame, *but: str) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, NumericType) and f.name not in but]
 
 
+def refuse_repeats(source: DataFrame, name: str) -> DataFrame:
+    """``source``, whose evaluation fails if an id stands there twice: it would multiply the rows of a join.
+
+    One aggregate on the id, on which the join that follows is dealt anyway.
+    """
+    again = F.raise_error(F.concat(F.lit(f"{name} has sample "), F.coalesce(F.col("sample_id").cast("string"), F.lit("null")), F.lit(" more than once")))
+    values = [c for c in source.columns if c != "sample_id"]
+    each = source.groupBy("sample_id").agg(F.count("*").alias("_n"), F.first(F.struct(*values)).alias("_v"))
+    return each.select("sample_id", F.when(F.col("_n") > 1, again).otherwise(F.col("_v")).alias("_v")).select("sample_id", "_v.*")
+
+
 def feature_matrix(modalities: dict[str, DataFrame], labels: DataFrame, use: Sequence[str] | None = None) -> DataFrame:
     """sample_id, label and one array column per modality, for the samples that all have.
 
     A source that has an id twice is refused: it would multiply rows.
     """
-    out = labels.select("sample_id", "label")
+    out = refuse_repeats(labels.select("sample_id", "label"), "labels")
     for name in use or modalities:
-        source = modalities[name]
-        out = out.join(source.select("sample_id", F.col("features").alias(name)), "sample_id")
+        source = modalities[name].select("sample_id", F.col("features").alias(name))
+        out = out.join(refuse_repeats(source, name), "sample_id")
     return out
 
 
-#: The seven modality sets of an ablation.
-MODULES = {
-    "emb": ("emb",), "metab": ("metab",), "pheno": ("pheno",), "emb_metab": ("emb", "metab"), "emb_pheno": ("emb", "pheno"),
-    "metab_pheno": ("metab", "pheno"), "all": ("emb", "metab", "pheno"),
-}
+def select_features(rows: DataFrame, column: str, keep: Sequence[int] | Sequence[bool]) -> DataFrame:
+    """Array ``column`` cut down to the places in ``keep``, in that order, or to those where a mask is true."""
+    mask = bool(keep) and all(isinstance(x, bool) for x in keep)
+    places = [i for i, x in enumerate(keep) if x] if mask else list(keep)
+    if not places or min(places) < 0:
+        raise ValueError("at least one place, none below 0")
+    return rows.withColumn(column, F.array(*[F.get(F.col(column), F.lit(int(i))) for i in places]))
+
+
+MODALITIES = ("emb", "metab", "pheno")
+#: The modality sets of an ablation: every non-empty one, "all" for the whole.
+MODULES = {"all" if n == len(MODALITIES) else "_".join(use): use for n in range(1, len(MODALITIES) + 1) for use in itertools.combinations(MODALITIES, n)}

@@ -87,6 +87,24 @@ def unprocessed(wanted: DataFrame, vectors: DataFrame, model: str, by: tuple[str
     return wanted.join(vectors.filter(F.col("model") == model).select(*by).distinct(), list(by), "left_anti")
 
 
+#: Ranges of names that are ranked alone, and names that tell where these begin, for each.
+RANGES, EACH = 64, 16
+
+
 def round_robin(names: DataFrame, workers: int, column: str = "sample_id") -> DataFrame:
-    """bucket: names in order, dealt in turn."""
-    return names.select(column).distinct().withColumn("bucket", F.pmod(F.row_number().over(Window.orderBy(column)) - 1, F.lit(workers)).cast("int"))
+    """bucket: names in order, dealt in turn; a missing name comes first.
+
+    Names are cut into ranges at those with the least hashes; each range is ranked alone and starts after the
+    ranges before it, so no task sees all names.
+    """
+    each = names.select(F.col(column).alias("_name")).distinct()
+    some = sorted(r[0] for r in each.filter("_name is not null").orderBy(F.xxhash64("_name"), "_name").limit(RANGES * EACH).collect())
+    cuts = some[EACH::EACH]
+    at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_name"))) if cuts else F.lit(0)
+    placed = each.withColumn("_range", F.when(F.col("_name").isNull(), F.lit(-1)).otherwise(at))
+    before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)  # over RANGES rows
+    counts = placed.groupBy(F.col("_range").alias("_at")).agg(F.count("*").alias("_n"))
+    starts = counts.select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    ranked = placed.withColumn("_r", F.row_number().over(Window.partitionBy("_range").orderBy("_name")) - 1)
+    joined = ranked.join(F.broadcast(starts), F.col("_range") == F.col("_at"))
+    return joined.select(F.col("_name").alias(column), F.pmod(F.col("_r") + F.col("_start"), F.lit(workers)).cast("int").alias("bucket"))

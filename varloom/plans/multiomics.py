@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from varloom.operators import learning, metrics, omics
@@ -32,27 +33,47 @@ def sample_features(vectors: DataFrame, settings: OmicsSettings) -> DataFrame:
     return omics.aggregate_vectors(omics.represented(rows, settings.strategy), "rep", settings.aggregate).select("sample_id", F.col("vec").alias("emb"))
 
 
-def load_sources(spark: SparkSession, settings: OmicsSettings) -> dict[str, DataFrame]:
-    """The sources that are configured and exist, by modality."""
+#: Ids that are named in the scan of the vectors at most; more are joined.
+NAMED = 10_000
+
+
+def of_samples(vectors: DataFrame, samples: DataFrame) -> DataFrame:
+    """The vectors of ``samples``, before anything is computed from them.
+
+    Few ids become a filter of the scan, which then skips the folders of other samples; more are a semi-join.
+    """
+    ids = [r[0] for r in samples.limit(NAMED + 1).collect()]
+    if len(ids) <= NAMED:
+        return vectors.filter(F.col("sample_id").isin([x for x in ids if x is not None]))
+    return vectors.join(samples, "sample_id", "left_semi")
+
+
+def load_sources(spark: SparkSession, settings: OmicsSettings, labels: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The sources that are configured and exist, by modality; vectors only of samples that ``labels`` and the other
+    sources have."""
     out = {}
+    for name, path in (("metab", settings.metabolome_path), ("pheno", settings.phenome_path)):
+        if files.exists(spark, path):
+            out[name] = files.read_features(spark, path, settings.id_column)
     if files.exists(spark, settings.embedding_path):
         path = settings.embedding_path
         vectors = files.read_sample_json(spark, path) if settings.embedding_format == "json" else files.read_sample_npz(spark, path) if settings.embedding_format == "npz" else files.read_store(spark, path)
+        if labels is not None:
+            vectors = of_samples(vectors, omics.common_samples(labels, *out.values()))
         out["emb"] = sample_features(vectors, settings)
-    for name, path in (("metab", settings.metabolome_path), ("pheno", settings.phenome_path)):
-        if files.exists(spark, path):
-            out[name] = files.read_features(spark, path, settings.id_column)
     return out
 
 
 def aligned(labels: DataFrame, sources: dict[str, DataFrame], use: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """(sample_id, label, emb where used, tabular columns named {modality}_{column}) and those names.
 
-    Only samples that all of ``sources`` have, so that every module is judged on the same ones.
+    Only samples that all of ``sources`` have, so that every module is judged on the same ones.  A source that has an
+    id twice is refused.
     """
     if missing := [m for m in use if m not in sources]:
         raise ValueError(f"no source for {', '.join(missing)}")
-    out = reduce(lambda df, s: df.join(s.select("sample_id"), "sample_id", "left_semi"), sources.values(), labels.select("sample_id", "label"))
+    known = omics.refuse_repeats(labels.select("sample_id", "label"), "labels")
+    out = reduce(lambda df, s: df.join(s.select("sample_id"), "sample_id", "left_semi"), sources.values(), known)
     tabular: list[str] = []
     for name in use:
         source = sources[name]
@@ -60,19 +81,39 @@ def aligned(labels: DataFrame, sources: dict[str, DataFrame], use: Sequence[str]
             named = {c: f"{name}_{c}" for c in source.columns if c != "sample_id"}
             source = source.select("sample_id", *[F.col(c).alias(n) for c, n in named.items()])
             tabular += named.values()
-        out = out.join(source, "sample_id")
+        out = out.join(omics.refuse_repeats(source, name), "sample_id")
     return out, tabular
 
 
-def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, DataFrame]:
-    """summary, comparison, best, predictions and metrics of all modules and models; written where output_dir is set.
+def evaluated(predictions: DataFrame) -> dict[str, DataFrame]:
+    """metrics (counts, ratios, areas and the rank by ROC-AUC), reports and curves of each module and model apart."""
+    each = [tuple(r) for r in predictions.select("module", "model").distinct().orderBy("module", "model").collect()]
+    kinds = {
+        "metrics": lambda df: metrics.confusion(df).crossJoin(metrics.roc_auc(df)).crossJoin(metrics.average_precision(df)),  # one row each
+        "reports": metrics.classification_report, "roc_curves": metrics.roc_curve, "pr_curves": metrics.pr_curve,
+    }
+    out = {}
+    for name, f in kinds.items():
+        parts = [f(predictions.filter((F.col("module") == module) & (F.col("model") == model))).select(F.lit(module).alias("module"), F.lit(model).alias("model"), "*") for module, model in each]
+        out[name] = reduce(DataFrame.unionByName, parts)
+    by_area = Window.orderBy(F.desc("roc_auc"), "module", "model")  # a row for each module and model
+    out["metrics"] = out["metrics"].withColumn("rank", F.row_number().over(by_area))
+    return out
+
+
+def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, Any]:
+    """scores, cv (means and best parameters), summary, comparison, best, predictions and metrics of all modules and
+    models; written where output_dir is set.  ``predict`` is a function: it fits the best combination on all samples
+    and predicts the rows that it is given.  ``evaluated`` looks at the predictions of each module and model apart.
 
     A module whose sources are not there is skipped.
     """
-    labels, sources = files.read_labels(spark, settings.label_path, settings.id_column, settings.label_column), load_sources(spark, settings)
+    labels = files.read_labels(spark, settings.label_path, settings.id_column, settings.label_column)
+    sources = load_sources(spark, settings, labels)
     if omics.common_samples(labels, *sources.values()).isEmpty():
         raise ValueError("no sample is in all sources")
     scores, predictions = None, None
+    inputs = {}
     for module in settings.modules:
         use = omics.MODULES.get(module)
         if use is None:
@@ -81,6 +122,7 @@ def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, DataFrame]:
             continue
         rows, tabular = aligned(labels, sources, use)
         prepare = learning.fold_preparation("emb" if "emb" in use else None, tabular, settings.impute, settings.components)
+        inputs[module] = rows, prepare
         for model in settings.models:
             found, held = learning.cross_validate(rows, model, learning.param_grid(settings.grids.get(model, {})), settings.folds, settings.seed, prepare)
             found, held = found.withColumn("module", F.lit(module)), held.select(F.lit(module).alias("module"), F.lit(model).alias("model"), "sample_id", "fold", "label", "score", "pred")
@@ -88,12 +130,18 @@ def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, DataFrame]:
     if scores is None:
         raise ValueError("no module has all its sources")
     summary = learning.ablation_summary(scores)
-    out = {"scores": scores, "summary": summary.orderBy(F.desc("mean_score"), "module", "model"), "comparison": learning.module_comparison(summary), "best": learning.best_combination(summary), "predictions": predictions}
-    out["metrics"] = metrics.confusion(predictions)
+    cv = reduce(DataFrame.unionByName, [learning.cv_summary(scores.filter(F.col("module") == m)).withColumn("module", F.lit(m)) for m in inputs])
+    out = {"scores": scores, "cv": cv, "summary": summary.orderBy(F.desc("mean_score"), "module", "model"), "comparison": learning.module_comparison(summary), "best": learning.best_combination(summary), "predictions": predictions, "metrics": metrics.confusion(predictions)}
     if settings.output_dir:
         for name, df in out.items():
             if name == "predictions":
                 df.write.mode("overwrite").partitionBy("module", "model").json(f"{settings.output_dir}/{name}")
             else:  # a few rows each
                 df.coalesce(1).write.mode("overwrite").csv(f"{settings.output_dir}/{name}", header=True) if name == "summary" else df.coalesce(1).write.mode("overwrite").json(f"{settings.output_dir}/{name}")
-    return out
+
+    def predict(df: DataFrame) -> DataFrame:
+        best = out["best"].join(cv.select("module", "model", "best_params"), ["module", "model"]).first()
+        rows, prepare = inputs[best["module"]]
+        return learning.fit_final(rows, best["model"], learning.read_params(best["best_params"]), settings.seed, prepare)(df)
+
+    return {**out, "predict": predict}
