@@ -59,6 +59,12 @@ def test_chat_paths(spark):
     assert "</s>" not in back[1]["formatted"].split("[/ROLE]")[1].removesuffix("</s><s>[ROLE]assistant")
 
 
+def test_reply_cycles_are_on_no_path(spark):
+    rows = [(1, 1, 2, "a"), (1, 2, 1, "b"), (1, 3, 2, "leaf of a cycle"), (1, 4, None, "root"), (1, 5, 4, "leaf"), (2, 1, 1, "its own parent")]
+    nodes = spark.createDataFrame([(c, n, p, 0.0, "user", t) for c, n, p, t in rows], "conv long, node long, parent long, score double, role string, text string")
+    assert {(r["conv"], r["leaf"], r["node"]) for r in chat_paths.root_to_leaf_paths(nodes).collect()} == {(1, 5, 5), (1, 5, 4)}
+
+
 def jaccard_groups(rows):
     sets = []
     for _, text in rows:
@@ -119,6 +125,32 @@ def test_language(spark, odd, none):
     assert kernel_language.identify_language(odd).count() == len(ODD) and kernel_language.identify_language(none).count() == 0
 
 
+def test_every_language_can_be_predicted(spark):
+    rng, rows = random.Random(7), []
+    for n in range(120):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(3 * n + i, " ".join(rng.choices(words, k=40)), f"l{n:03d}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in kernel_language.identify_language(docs).collect()}
+    assert set(got.values()) == {lang for _, _, lang in rows}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(3000)]
+    long = " ".join(rng.choices(words, k=220_000))  # 1.3 MB
+    docs = spark.createDataFrame([(1, long, "en"), (2, long + " end", "en"), (3, "short one", "en")], "doc_id long, text string, lang string")
+    assert {r["keep_id"] for r in exact_dedup.exact_dedup(docs).collect()} == {1, 2, 3}
+    assert {(r["doc_id"], r["component_id"]) for r in fragment_join.jaccard_components(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
+    assert kernel_language.identify_language(docs).count() == 3
+    assert difference_shards.shard_documents(docs).agg(F.max("size")).first()[0] == len(long) + 5
+    got = {r["doc_id"]: r for r in piece_codec.piece_digests(docs, tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert got[1]["decoded_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    out = best_fit_packing.best_fit_packing(docs, tokenizers.path("word_bpe_49k.json")).toPandas()
+    assert (out[out["doc_id"] == 1].sort_values("piece")["length"].to_numpy()[:-1] == 2048).all()
+
+
 def test_piece_codec_equals_library():
     import sentencepiece
 
@@ -204,6 +236,55 @@ def test_toxicity(spark, odd, none):
     assert kneser_ney_toxicity.score_toxicity(none, marks).count() == 0
 
 
+def plain_ratio(word, counts):
+    """The log-likelihood ratio of an expression under Kneser-Ney models kept in dictionaries: counts[c] by word."""
+    n, order = kneser_ney_toxicity, kneser_ney_toxicity.ORDER
+    grams = lambda w: [(chr(n.START) * (order - 1) + w + chr(n.END))[i : i + order] for i in range(len(w) + 1)]
+    tables = []
+    for held in counts:
+        table = {}
+        for w, times in held.items():
+            for g in grams(w):
+                table[g] = table.get(g, 0) + times
+        tables.append(table)
+    both = {g: tables[0].get(g, 0) + tables[1].get(g, 0) for g in tables[0] | tables[1]}
+    levels = [both]
+    while len(next(iter(levels[-1]))) > 1:
+        shorter = {}
+        for g in levels[-1]:
+            shorter[g[1:]] = shorter.get(g[1:], 0) + 1
+        levels.append(shorter)
+
+    def shared(g, level=0):
+        same = [c for x, c in levels[level].items() if x[:-1] == g[:-1]]
+        below = shared(g[1:], level + 1) if len(g) > 1 else 1 / n.ALPHABET
+        return (max(levels[level].get(g, 0) - n.DISCOUNT, 0) + n.DISCOUNT * len(same) * below) / sum(same)
+
+    total = 0.0
+    for g in grams(word):
+        logs = []
+        for table in tables:
+            same = [c for x, c in table.items() if x[:-1] == g[:-1]]
+            spare = sum(min(c, n.CLASS_DISCOUNT) for c in same) / sum(same) if same else 1.0
+            own = max(table.get(g, 0) - n.CLASS_DISCOUNT, 0) / sum(same) if same else 0.0
+            # The shared likelihood of an n-gram that no class holds is the same for both.
+            logs.append(np.log(own + spare * shared(g)) if g in both else np.log(spare))
+        total += logs[1] - logs[0]
+    return total if abs(total) >= n.EVIDENCE else 0.0
+
+
+def test_toxicity_models_against_brute_force():
+    words = ["zork", "zorks", "zorked", "the", "thesis", "a", "dog", "dork"]
+    toxic, ordinary = 20 * np.array([30, 12, 9, 40, 1, 20, 0, 3]), 20 * np.array([0, 1, 0, 41, 12, 22, 18, 2])
+    model = kneser_ney_toxicity.ClassModels(words, toxic, ordinary)
+    again = kneser_ney_toxicity.ClassModels.unpacked(model.packed())
+    counts = [{w: int(c) for w, c in zip(words, x, strict=True) if c} for x in (ordinary, toxic)]
+    asked = [*words, "zorking", "theses", "qqq", "z"]
+    want = [plain_ratio(w, counts) for w in asked]
+    assert np.allclose(model.ratios(asked), want, atol=1e-4) and np.allclose(again.ratios(asked), want, atol=1e-4)
+    assert want[0] > kneser_ney_toxicity.EVIDENCE and want[3] == 0
+
+
 def test_shards(spark, none):
     rng = random.Random(4)
     rows = [(i, "x" * rng.choice([0, 1, 5, 50, rng.randrange(3000)])) for i in range(3000)] + [(5000 + i, "y" * 40_000) for i in range(3)] + [(6000, None)]
@@ -274,6 +355,22 @@ def test_packing_matches_added_tokens_in_raw_text(spark):
     assert {r["doc_id"]: r["ids_crc32"] for r in got} == {i: crc(text) for i, text in enumerate(texts)}
 
 
+def test_another_tokenizer_file_goes_to_the_library(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        said = json.load(file)
+    said["normalizer"] = {"type": "NFC"}  # letters keep their case
+    (tmp_path / "other.json").write_text(json.dumps(said), encoding="utf-8")
+    path = str(tmp_path / "other.json")
+    assert best_fit_packing.separable(tokenizers.path("word_bpe_49k.json")) and not best_fit_packing.separable(path)
+    codec, model = best_fit_packing.WordCodec(path, special=True), Tokenizer.from_file(path)
+    for text in ("Don't STOP at É 12", "", "a <|endoftext|> B"):
+        assert codec.encode(text) == np.array(model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 def test_warc_with_magic_inside_payloads(spark, tmp_path):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     rows = [(1, "http://a", "plain"), (2, None, None), (3, "u", f"x {inner}{inner} y"), (4, "u", "plain"), (5, "u", "WARC/1.1\r\nWARC/1.1\r\n"), (6, "u", inner), (7, "u", "é" * 5000), *[(100 + i, "u", f"page {i} " * 50) for i in range(50)]]
