@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import ast
+import atexit
 import itertools
+import shutil
+import tempfile
 import warnings
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -213,6 +216,24 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return rows.select("sample_id", *(["label"] if "label" in rows.columns else []), array_to_vector("features").alias("x"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the cluster's checkpoint folder and cut from what it came from.
+
+    Where no folder is named a local session gets a temporary one (tests); on a cluster that is an error.
+    """
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="varloom-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+            named = f"file://{named}"
+        context.setCheckpointDir(named)
+    return df.checkpoint()
+
+
 #: Combinations of a grid that are fitted at once.
 AT_ONCE = 4
 
@@ -221,7 +242,8 @@ def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int
     """(results, out-of-fold predictions) of rows (sample_id, label, features).
 
     For each fold every combination is fitted on the other folds and judged on this one by ROC-AUC; the best one's
-    predictions are kept, the first one's of several.  Choosing on the validation fold makes the scores optimistic.
+    predictions are kept, the first one's of several, and checkpointed: who reads them prepares nothing again.
+    Choosing on the validation fold makes the scores optimistic.
     ``prepare`` makes features out of other columns, fitted on each fold's training rows.  A fold's rows are prepared
     once and its combinations are fitted a few at a time.
     """
@@ -243,11 +265,11 @@ def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int
 
                 with ThreadPoolExecutor(AT_ONCE) as pool:
                     score, params, out = max(pool.map(judge, grid), key=lambda x: x[0])
+                out = _kept(out.withColumn("fold", F.lit(fold)))
             finally:
                 train.unpersist()
                 held.unpersist()
             results.append((model, fold, float(score), str(sorted(params.items()))))
-            out = out.withColumn("fold", F.lit(fold))
             kept = out if kept is None else kept.unionByName(out)
     finally:
         data.unpersist()
