@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import best_fit_packing, chat_paths, difference_shards, exact_dedup, fragment_join, kernel_language, kneser_ney_toxicity, multi_index, piece_codec, warc_chain
+from . import best_fit_packing, chat_paths, difference_shards, exact_dedup, fragment_join, kernel_language, kneser_ney_toxicity, line_dedup, multi_index, piece_codec, turn_repair, warc_chain
 
 QUERIES = {
     f.__name__: f
@@ -17,10 +17,13 @@ QUERIES = {
         difference_shards.op8_difference_shards,
         best_fit_packing.op9_best_fit_packing,
         warc_chain.op10_warc_chain,
+        line_dedup.op11_line_dedup,
+        turn_repair.op12_turn_repair,
     )
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op2_chat_paths": chat_paths.ORACLE,
     "op10_warc_chain": warc_chain.ORACLE,
+    "op11_line_dedup": line_dedup.ORACLE,
 }
