@@ -344,7 +344,7 @@ def joined_digests(lines: DataFrame, key: str, order: list[str], value: Column)
         current, digest = None, None
         for batch in batches:
             done = []
-            for k, v in zip(batch.column("k").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            for k, v in zip(batch.column("_key").to_pylist(), batch.column("_value").to_pylist(), strict=True):
                 if k == current:
                     digest.update(b"\n")
                 else:
@@ -353,12 +353,12 @@ def joined_digests(lines: DataFrame, key: str, order: list[str], value: Column)
                     current, digest = k, hashlib.sha256()
                 digest.update(v.encode())
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.string()) for i in (0, 1)], ["k", "sha256"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.string()) for i in (0, 1)], ["_key", "sha256"])
         if current is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([digest.hexdigest()], pa.string())], ["k", "sha256"])
+            yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([digest.hexdigest()], pa.string())], ["_key", "sha256"])
 
-    sent = lines.select(F.col(key).alias("k"), *order, value.alias("v")).repartition("k").sortWithinPartitions("k", *order)
-    return sent.select("k", "v").mapInArrow(hashed, "k string, sha256 string").withColumnRenamed("k", key)
+    sent = lines.select(F.col(key).alias("_key"), *order, value.alias("_value")).repartition("_key").sortWithinPartitions("_key", *order)
+    return sent.select("_key", "_value").mapInArrow(hashed, "_key string, sha256 string").withColumnRenamed("_key", key)
 
 
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
