@@ -61,7 +61,7 @@ def test_background_fold_against_model(spark):
             ref = ref if rng.random() < 0.8 else "NN"
             background.append((start + at + 1, ref, "".join(rng.choices("ACGT", k=rng.randrange(1, 4))), rng.randrange(3)))
         background.sort()
-        rows.append((i, seq, start, [(p, 0, r, a, g) for p, r, a, g in background]))
+        rows.append((i, seq, start, background))
         expected[i] = model_fold(seq, start, background)
     df = spark.createDataFrame(rows, f"i int, seq string, start long, bg {S.BACKGROUND}")
     got = {r["i"]: r["g"] for r in df.select("i", S.apply_background(F.col("seq"), F.col("start"), F.col("bg")).alias("g")).collect()}
@@ -70,7 +70,7 @@ def test_background_fold_against_model(spark):
 
 def test_aliases(spark):
     rows = [("s", "chr1", 100, "A", "T", a, b) for a, b in ((0, 0), (1, 0), (0, 1), (1, 1))]
-    df = spark.createDataFrame(rows, VARIANT).withColumns({"start": F.lit(90), "wt_ref": F.lit("A" * 15), "background": F.expr("cast(array() as array<struct<pos:bigint,ord:bigint,ref:string,alt:string,a1:int,a2:int>>)")})
+    df = spark.createDataFrame(rows, VARIANT).withColumns({"start": F.lit(90), "wt_ref": F.lit("A" * 15), "background": F.expr("cast(array() as array<struct<pos:bigint,ref:string,alt:string,a1:int,a2:int>>)")})
     got = {(r["a1"], r["a2"]): (r["hap1"]["wt_is_alias"], r["hap2"]["wt_is_alias"], r["mut_ref"]) for r in G.six_sequences(df).collect()}
     assert {k: v[:2] for k, v in got.items()} == {(0, 0): (True, True), (1, 0): (False, True), (0, 1): (True, False), (1, 1): (False, False)}
     assert got[1, 1][2] == "A" * 9 + "T" + "A" * 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Element type of a background list: an offset in the window, the alleles, and the haplotype's allele.
+#: Element type of a background list: the 1-based position in the genome, REF and ALT, and the haplotype's allele.
 BACKGROUND = "array<struct<pos:bigint,ref:string,alt:string,allele:int>>"
 
 
