@@ -5,8 +5,11 @@ import os
 import duckdb
 import pytest
 
+from jobs import registry
 from varloom import catalog
 
+QUERIES, ORACLES = {**catalog.QUERIES, **registry.QUERIES}, {**catalog.ORACLES, **registry.ORACLES}
+
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -24,10 +27,10 @@ def plain(value):
     return float(value) if type(value).__name__ == "Decimal" else value
 
 
-@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, duck, name):
-    rows = [r.asDict() for r in catalog.QUERIES[name](spark, DATA).collect()]
-    relation = duck.sql(catalog.ORACLES[name])
+    rows = [r.asDict() for r in QUERIES[name](spark, DATA).collect()]
+    relation = duck.sql(ORACLES[name])
     columns = sorted(relation.columns)
     at = [relation.columns.index(c) for c in columns]
     if rows:
@@ -38,7 +41,7 @@ def test_oracle(spark, duck, name):
 def test_entry_without_extras():
     import __spark_entry__
 
-    assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
+    assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 

@@ -410,12 +410,12 @@ WHOLE_SQL = """
 SELECT seq, j, list_transform(range(1, length(seq) + 1), lambda p: sin(ascii(substr(seq, cast(p as int), 1)) * (1 + j) / 16.0::double + (p - 1) / 32.0::double)) AS x
 FROM (SELECT DISTINCT seq FROM wanted), range(8) r(j)
 """
-_cell = lambda x: f"printf('%.4f', round(cast(cast({x} as float) as double), 4) + 0.0)"
+toy_cell = lambda x: f"printf('%.4f', round(cast(cast({x} as float) as double), 4) + 0.0)"
 SLOT_KEY = "concat_ws('|', sample_id, variant_id, direction, key)"
 
 
 @query("bulk_embed_keyed", f"""
-WITH {SIX_CTE}, v AS (SELECT seq, {', '.join(f"string_agg({_cell(x)}, ',' ORDER BY j) AS {m}" for m, x in (('mean', 'list_avg(x)'), ('max', 'list_max(x)'), ('last_token', 'x[len(x)]')))} FROM ({WHOLE_SQL}) GROUP BY seq)
+WITH {SIX_CTE}, v AS (SELECT seq, {', '.join(f"string_agg({toy_cell(x)}, ',' ORDER BY j) AS {m}" for m, x in (('mean', 'list_avg(x)'), ('max', 'list_max(x)'), ('last_token', 'x[len(x)]')))} FROM ({WHOLE_SQL}) GROUP BY seq)
 SELECT {SLOT_KEY} AS key, mean, max, last_token FROM wanted JOIN v USING (seq)
 """)
 def bulk_embed_keyed(spark, d):
@@ -424,7 +424,7 @@ def bulk_embed_keyed(spark, d):
 
 
 @query("multi_model_embed", f"""
-WITH {SIX_CTE}, v AS (SELECT seq, string_agg({_cell('list_avg(x)')}, ',' ORDER BY j) AS toy8, string_agg({_cell('list_avg(x)')}, ',' ORDER BY j) FILTER (j < 4) AS toy4 FROM ({WHOLE_SQL}) GROUP BY seq)
+WITH {SIX_CTE}, v AS (SELECT seq, string_agg({toy_cell('list_avg(x)')}, ',' ORDER BY j) AS toy8, string_agg({toy_cell('list_avg(x)')}, ',' ORDER BY j) FILTER (j < 4) AS toy4 FROM ({WHOLE_SQL}) GROUP BY seq)
 SELECT {SLOT_KEY} AS key, m.model, CASE m.model WHEN 'toy8' THEN toy8 ELSE toy4 END AS mean FROM wanted JOIN v USING (seq), (VALUES ('toy8'), ('toy4')) m(model)
 """)
 def multi_model_embed(spark, d):

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import ast
-import atexit
 import itertools
-import shutil
-import tempfile
 import warnings
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -18,6 +15,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from varloom.sources.scratch import kept
+
 from .metrics import roc_auc
 
 FILLS = ("median", "mean", "most_frequent", "zero")
@@ -216,24 +215,6 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return rows.select("sample_id", *(["label"] if "label" in rows.columns else []), array_to_vector("features").alias("x"))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's checkpoint folder and cut from what it came from.
-
-    Where no folder is named a local session gets a temporary one (tests); on a cluster that is an error.
-    """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="varloom-")
-            atexit.register(shutil.rmtree, named, ignore_errors=True)
-            named = f"file://{named}"
-        context.setCheckpointDir(named)
-    return df.checkpoint()
-
-
 #: Combinations of a grid that are fitted at once.
 AT_ONCE = 4
 
@@ -250,7 +231,7 @@ def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int
     spark = rows.sparkSession
     grid = list(grid)
     data = stratified_folds(rows, folds, seed).persist()
-    results, kept = [], None
+    results, held_out = [], None
     try:
         for fold in range(folds):
             parts = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
@@ -265,15 +246,15 @@ def cross_validate(rows: DataFrame, model: str, grid: Iterable[dict], folds: int
 
                 with ThreadPoolExecutor(AT_ONCE) as pool:
                     score, params, out = max(pool.map(judge, grid), key=lambda x: x[0])
-                out = _kept(out.withColumn("fold", F.lit(fold)))
+                out = kept(out.withColumn("fold", F.lit(fold)))
             finally:
                 train.unpersist()
                 held.unpersist()
             results.append((model, fold, float(score), str(sorted(params.items()))))
-            kept = out if kept is None else kept.unionByName(out)
+            held_out = out if held_out is None else held_out.unionByName(out)
     finally:
         data.unpersist()
-    return spark.createDataFrame(results, "model string, fold int, score double, params string"), kept
+    return spark.createDataFrame(results, "model string, fold int, score double, params string"), held_out
 
 
 def cv_summary(results: DataFrame) -> DataFrame:
