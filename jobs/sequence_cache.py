@@ -80,7 +80,7 @@ def take_up(calls: DataFrame, settings: Settings, number: int = 0) -> None:
             wanted = wanted.join(spark.read.parquet(cache).select("key"), "key", "left_anti")
         made = encode.encode_distinct(wanted, make_encoder(settings.encoder), settings.pooling).filter("vec is not null")
         keyed = made.select(S.cache_key(F.col("seq"), F.col("w"), settings.pooling).alias("key"), "w", "vec")
-        watched.rows(keyed.withColumn("prefix", F.substring("key", 1, 1)), "sequences").write.mode("append").partitionBy("prefix").parquet(cache)
+        watched.rows(keyed.withColumn("prefix", F.substring("key", 1, 1)), "sequences").hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(cache)
         ingest.append_new(watched.rows(slots.select(*VARIANT, "direction", "slot", "key"), "slots"), index, [*VARIANT, "direction", "slot"], "chrom")
     finally:
         slots.unpersist()

@@ -42,17 +42,33 @@ def genotype_classes(rows: DataFrame) -> DataFrame:
     })
 
 
+#: Bins of a next level are so many times as long; levels beyond the first that a region may have.
+WIDER, LEVELS = 8, 12
+
+
+def region_level(bin_size: int) -> Column:
+    """The first level whose bins are as long as a region (start_, end_)."""
+    length = F.col("end_") - F.col("start_")
+    return sum((F.when(length > bin_size * WIDER**k, 1).otherwise(0) for k in range(LEVELS)), F.lit(0))
+
+
 def overlap_join(rows: DataFrame, regions: DataFrame, bin_size: int = 4096) -> DataFrame:
     """Variants with each region (chrom, start_, end_) that they overlap: one row for each pair.
 
-    Both sides are dealt to bins; a pair meets in the bin where the later of the two begins, and there only.
+    A region goes to bins of about its length, so to two at most, however long it is; a variant to the bins it is in,
+    on each level that some region has (these are asked for beforehand).  A pair meets in the bin where the later
+    of the two begins, and there only.
     """
+    size = lambda level: bin_size * F.pow(F.lit(WIDER), level).cast("long")
+    bins = lambda s, e, by: F.explode(F.sequence(F.floor(s / by), F.floor((F.greatest(e, s + 1) - 1) / by)))
+    r = regions.select(F.col("chrom").alias("_chrom"), "start_", "end_").filter("start_ is not null and end_ is not null").withColumn("_rlevel", region_level(bin_size))
+    levels = sorted(x[0] for x in r.select("_rlevel").distinct().collect())  # LEVELS + 1 at most
+    r = r.withColumn("_rbin", bins(F.col("start_"), F.col("end_"), size(F.col("_rlevel"))))
     v = rows.withColumns({"_s": F.col("pos") - 1, "_e": F.col("pos") - 1 + F.length("ref")})
-    bins = lambda s, e: F.explode(F.sequence(F.floor(s / bin_size), F.floor((F.greatest(e, s + 1) - 1) / bin_size)))
-    v = v.withColumn("_bin", bins(F.col("_s"), F.col("_e")))
-    r = regions.select(F.col("chrom").alias("_chrom"), "start_", "end_").withColumn("_rbin", bins(F.col("start_"), F.col("end_")))
-    on = (F.col("chrom") == F.col("_chrom")) & (F.col("_bin") == F.col("_rbin")) & (F.col("_s") < F.col("end_")) & (F.col("_e") > F.col("start_")) & (F.col("_bin") == F.floor(F.greatest("_s", "start_") / bin_size))
-    return v.join(r, on).drop("_s", "_e", "_bin", "_rbin", "_chrom")
+    v = v.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn("_bin", bins(F.col("_s"), F.col("_e"), size(F.col("_level"))))
+    same = (F.col("chrom") == F.col("_chrom")) & (F.col("_level") == F.col("_rlevel")) & (F.col("_bin") == F.col("_rbin"))
+    meet = (F.col("_s") < F.col("end_")) & (F.col("_e") > F.col("start_")) & (F.col("_bin") == F.floor(F.greatest("_s", "start_") / size(F.col("_level"))))
+    return v.join(r, same & meet).drop("_s", "_e", "_bin", "_level", "_rbin", "_rlevel", "_chrom")
 
 
 def split_intervals(rows: DataFrame, n: int, least: int = 1) -> DataFrame:

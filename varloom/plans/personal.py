@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from varloom.operators import encode, store
 from varloom.operators import variants as G
 from varloom.sources import files
+from varloom.sources.indexed import read_indexed_vcf
 
 from .settings import VariantSettings
 
@@ -29,9 +30,14 @@ def make_encoder(name: str, options: dict[str, Any] | None = None) -> encode.Enc
 
 
 def read_variants(spark: SparkSession, settings: VariantSettings) -> DataFrame:
-    """Variants of all samples that overlap a region, once each however many regions they touch."""
-    rows = G.parse_genotypes(files.read_vcf(spark, settings.vcf_path), settings.filter_hom_ref)
+    """Variants of all samples that overlap a region, once each however many regions they touch.
+
+    Of a file that has an index only what is near a region is read.
+    """
     regions = files.read_bed(spark, settings.bed_path).select("chrom", F.col("start").alias("start_"), F.col("end").alias("end_")).distinct()
+    indexed = files.exists(spark, f"{settings.vcf_path}.tbi")
+    calls = read_indexed_vcf(spark, settings.vcf_path, regions) if indexed else files.read_vcf(spark, settings.vcf_path)
+    rows = G.parse_genotypes(calls, settings.filter_hom_ref)
     key = ["sample_id", "chrom", "pos", "ref", "alt"]
     return G.overlap_join(rows, regions).groupBy(*key).agg(F.first("a1").alias("a1"), F.first("a2").alias("a2"))
 

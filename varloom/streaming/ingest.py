@@ -27,7 +27,7 @@ def append_new(rows: DataFrame, target: str, keys: Sequence[str], partition: str
         held = spark.read.schema(rows.schema).parquet(target).select(*keys)
         held = held.join(fresh.select(partition).distinct(), partition, "left_semi")
         fresh = fresh.join(held, list(keys), "left_anti")
-    fresh.write.mode("append").partitionBy(partition).parquet(target)
+    fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(target)
 
 
 def stream_into(stream: DataFrame, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], keys: Sequence[str]) -> StreamingQuery:
