@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from varloom.sources.scratch import kept
 
 from .metrics import roc_auc
+from .ranks import medians
 
 FILLS = ("median", "mean", "most_frequent", "zero")
 
@@ -62,7 +63,10 @@ def fill_matrix(rows: DataFrame, columns: Sequence[str], how: str = "median") ->
     if how not in ("median", "mean"):
         raise ValueError("how is median or mean")
     cells = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    value = rows.select(F.explode(F.array(*cells.values())).alias("x")).agg(F.coalesce((F.median if how == "median" else F.avg)("x"), F.lit(0.0)).alias("_fill"))
+    if how == "median":
+        fill = F.lit(medians(rows, columns, together=True)[0][columns[0]] or 0.0)
+        return rows.withColumns({c: F.coalesce(x, fill) for c, x in cells.items()})
+    value = rows.select(F.explode(F.array(*cells.values())).alias("x")).agg(F.coalesce(F.avg("x"), F.lit(0.0)).alias("_fill"))
     return rows.crossJoin(F.broadcast(value)).withColumns({c: F.coalesce(x, F.col("_fill")) for c, x in cells.items()}).drop("_fill")
 
 
@@ -73,9 +77,10 @@ def fill_values(rows: DataFrame, columns: Sequence[str], how: str, order: str =
     if how == "zero":
         return rows.agg(*[F.first(F.lit(0.0)).alias(c) for c in columns])
     cells = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    if how in ("median", "mean"):
-        f = F.median if how == "median" else F.avg
-        return rows.agg(*[F.coalesce(f(x), F.lit(0.0)).alias(c) for c, x in cells.items()])
+    if how == "median":
+        return rows.sparkSession.createDataFrame([[x or 0.0 for x in medians(rows, columns)[0].values()]], ", ".join(f"`{c}` double" for c in columns))
+    if how == "mean":
+        return rows.agg(*[F.coalesce(F.avg(x), F.lit(0.0)).alias(c) for c, x in cells.items()])
     # The most frequent value; of several, the one seen first.
     long = rows.select(F.col(order).alias("_o"), F.explode(F.array(*[F.struct(F.lit(c).alias("c"), x.alias("x")) for c, x in cells.items()])).alias("v")).filter("v.x is not null")
     counted = long.groupBy("v.c", "v.x").agg(F.count("*").alias("n"), F.min("_o").alias("first"))
@@ -93,9 +98,15 @@ def impute(rows: DataFrame, columns: Sequence[str], how: str, fit: DataFrame | N
 
 def impute_by_fold(rows: DataFrame, columns: Sequence[str], folds: int, how: str = "median") -> DataFrame:
     """Every row filled once for each fold, from the rows outside that fold: no leak into validation rows."""
-    f = F.median if how == "median" else F.avg
-    trained = rows.withColumn("for_fold", F.explode(F.array([F.lit(i) for i in range(folds)]))).filter("fold <> for_fold")
-    values = trained.groupBy("for_fold").agg(*[F.coalesce(f(F.nanvl(F.col(c).cast("double"), F.lit(None))), F.lit(0.0)).alias(f"_fill_{c}") for c in columns])
+    names = [f"_fill_{c}" for c in columns]
+    if how == "median":
+        each = [[i, *[x or 0.0 for x in found.values()]] for i, found in enumerate(medians(rows, columns, folds))]
+        values = rows.sparkSession.createDataFrame(each, ", ".join(["for_fold int", *[f"`{c}` double" for c in names]]))
+    else:  # of all rows less the fold's
+        sums = rows.groupBy("fold").agg(*[e for c in columns for e in (F.sum(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"_s_{c}"), F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"_n_{c}"))]).collect()  # a row for each fold
+        of = lambda i, k: sum((r[k] or 0.0) for r in sums if r["fold"] != i)
+        each = [[i, *[of(i, f"_s_{c}") / n if (n := of(i, f"_n_{c}")) else 0.0 for c in columns]] for i in range(folds)]
+        values = rows.sparkSession.createDataFrame([[x if k == 0 else float(x) for k, x in enumerate(e)] for e in each], ", ".join(["for_fold int", *[f"`{c}` double" for c in names]]))
     out = rows.join(F.broadcast(values), rows["fold"] == values["for_fold"])  # a row for each fold
     return out.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.col(f"_fill_{c}")) for c in columns}).drop("for_fold", *[f"_fill_{c}" for c in columns])
 
