@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions import sequences as S
 from varloom.functions import vectors as V
-from varloom.operators import encode, learning, metrics, omics, store
+from varloom.operators import boosting, encode, kernels, learning, metrics, omics, store
 from varloom.operators import variants as G
 from varloom.sources import derived as D
 from varloom.sources import files
@@ -695,11 +695,50 @@ def training_rows(spark, d):
 for _model, _grid in {"logistic": {"regParam": [0.001, 0.01, 0.1, 1.0]}, "linear_svc": {"regParam": [0.001, 0.01, 0.1, 1.0], "maxIter": [10]}, "gbt": {"maxIter": [5, 20], "maxDepth": [3, 5]}, "mlp": {"layers": [[8], [16]], "maxIter": [20, 100]}}.items():
 
     def _cv(spark, d, model=_model, grid=_grid):
-        results, _ = learning.cross_validate(training_rows(spark, d), {"linear_svc": "svm"}.get(model, model), learning.param_grid(grid))
+        results, _ = learning.cross_validate(training_rows(spark, d), {"mlp": "spark_mlp"}.get(model, model), learning.param_grid(grid))
         return results
 
     query(f"cv_{_model}")(_cv)
 
+#: Random Fourier features of the embeddings: so many of them, for this gamma and seed.
+FOURIER, GAMMA, SEED = 8, 0.05, 42
+_WEIGHTS, _PHASES = kernels.fourier_weights(64, FOURIER, GAMMA, SEED)
+_COSINES = ", ".join(f"cos({' + '.join(f'{w!r} * e[{j + 1}]' for j, w in enumerate(_WEIGHTS[i].tolist()))} + {float(_PHASES[i])!r}) * sqrt(2.0::double / {FOURIER})" for i in range(FOURIER))
+
+
+@query("rbf_features", f"SELECT vec_id, {_text(f'[{_COSINES}]')} AS features FROM (SELECT vec_id, cast(embedding as double[]) AS e FROM embeddings)")
+def rbf_features(spark, d):
+    x = F.col("embedding").cast("array<double>")
+    return spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", rounded(kernels.fourier_features(x, 64, FOURIER, GAMMA, SEED)).alias("features"))
+
+
+@query("boosted_first_split", """
+WITH r AS (SELECT j, round(cast(embedding[cast(j as int)] as double), 1) AS x, CASE WHEN label < 5 THEN -0.5 ELSE 0.5 END AS g FROM embeddings, range(1, 65) t(j)),
+v AS (SELECT j, x, sum(g) AS g, count(*) * 0.25::double AS h FROM r GROUP BY j, x),
+c AS (SELECT j, (x + lead(x) OVER (PARTITION BY j ORDER BY x)) / 2 AS cut, sum(g) OVER (PARTITION BY j ORDER BY x) AS gl, sum(h) OVER (PARTITION BY j ORDER BY x) AS hl, sum(g) OVER (PARTITION BY j) AS ga, sum(h) OVER (PARTITION BY j) AS ha FROM v),
+s AS (SELECT *, (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) / 2 AS gain FROM c WHERE cut IS NOT NULL AND hl >= 1 AND ha - hl >= 1)
+SELECT cast(j - 1 as int) AS feature, round(cut, 6) AS cut, round(gain, 6) AS gain FROM (SELECT *, row_number() OVER (PARTITION BY j ORDER BY gain DESC, cut) AS k FROM s) WHERE k = 1
+""")
+def boosted_first_split(spark, d):
+    """Each column's best cut at the root of the first tree; columns in tenths, so that there are few values to cut between."""
+    tenths = F.transform("features", lambda x: F.round(x, 1))
+    rows = training_rows(spark, d).select(tenths.alias("x"), F.col("label").cast("double").alias("y"), F.lit(0.0).alias("m"), F.lit(0).cast("long").alias("u"))
+    cuts = boosting.quantile_cuts(rows, "x", 1024)
+    found = boosting.BoostedTrees("x").column_splits(rows, boosting.Tree(), cuts, list(range(len(cuts))), [1])
+    return found.select(F.col("j").alias("feature"), F.round("cut", 6).alias("cut"), F.round("gain", 6).alias("gain"))
+
+
+for _name, _model, _grid in (
+    ("cv_svm_rbf", "svm", {"C": [0.1, 1.0], "kernel": ["rbf"], "gamma": ["scale"], "features": [128], "max_iter": [20]}),
+    ("cv_xgboost", "xgboost", {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1], "subsample": [0.8, 1.0]}),
+    ("cv_early_mlp", "mlp", {"hidden_layer_sizes": [[8]], "activation": ["relu", "tanh"], "alpha": [0.1], "early_stopping": [True], "validation_fraction": [0.2], "max_iter": [40]}),
+):
+
+    def _cv_new(spark, d, model=_model, grid=_grid):
+        return learning.cross_validate(training_rows(spark, d), model, learning.param_grid(grid))[0]
+
+    query(_name)(_cv_new)
+
 # --- ablation -----------------------------------------------------------------------------------------
 SCORE_TABLE = "SELECT CASE cast(o_custkey % 7 as int) WHEN 0 THEN 'emb' WHEN 1 THEN 'metab' WHEN 2 THEN 'pheno' WHEN 3 THEN 'emb_metab' WHEN 4 THEN 'emb_pheno' WHEN 5 THEN 'metab_pheno' ELSE 'all' END AS module, CASE cast(o_orderkey % 4 as int) WHEN 0 THEN 'svm' WHEN 1 THEN 'lr' WHEN 2 THEN 'gbt' ELSE 'mlp' END AS model, cast((o_totalprice % 1000) / 1000 as double) AS score FROM {orders}"
 SCORES_SQL = D.oracle(SCORE_TABLE, "orders")

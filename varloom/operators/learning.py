@@ -8,7 +8,7 @@ import warnings
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from varloom.sources.scratch import kept
 
+from .boosting import BoostedTrees
+from .kernels import KernelSvm
 from .metrics import roc_auc
+from .networks import Perceptron
 from .ranks import medians
 
 FILLS = ("median", "mean", "most_frequent", "zero")
@@ -190,31 +193,85 @@ def grid_frame(spark, options: dict[str, Sequence]) -> DataFrame:
 
 #: Parameters that each model takes; others are left out with a warning.
 MODELS = {
-    "logistic": (LogisticRegression, {"regParam", "elasticNetParam", "maxIter", "tol"}),
-    "svm": (LinearSVC, {"regParam", "maxIter", "tol"}),
-    "gbt": (GBTClassifier, {"maxIter", "maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy"}),
-    "mlp": (MultilayerPerceptronClassifier, {"layers", "maxIter", "stepSize", "solver", "blockSize", "tol"}),
+    "logistic": {"regParam", "elasticNetParam", "maxIter", "tol"},
+    "logistic_regression": {"C", "penalty", "l1_ratio", "solver", "max_iter", "tol"},
+    "linear_svc": {"regParam", "maxIter", "tol"},
+    "svm": {"C", "kernel", "gamma", "features", "max_iter", "tol"},
+    "gbt": {"maxIter", "maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy"},
+    "xgboost": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight", "gamma", "reg_lambda", "max_bin"},
+    "spark_mlp": {"layers", "maxIter", "stepSize", "solver", "blockSize", "tol"},
+    "mlp": {"hidden_layer_sizes", "activation", "alpha", "dropout", "solver", "max_iter", "learning_rate_init", "tol", "early_stopping", "validation_fraction", "n_iter_no_change"},
 }
+#: Trees take columns as they are; the others get them scaled.
+UNSCALED = ("gbt", "xgboost")
+
+
+class PenalisedLogistic(Estimator):
+    """Logistic regression whose penalty is 1 / (C n); ``penalty`` is l1, l2, elasticnet or none."""
+
+    def __init__(self, column: str, C: float = 1.0, penalty: str | None = "l2", l1_ratio: float = 0.5, max_iter: int = 100, tol: float = 1e-4, solver: str = "lbfgs"):
+        super().__init__()
+        if penalty not in ("l1", "l2", "elasticnet", "none", None):
+            raise ValueError(f"{penalty} is no penalty")
+        share = {"l1": 1.0, "elasticnet": l1_ratio}.get(penalty, 0.0)
+        self.strength = 0.0 if penalty in ("none", None) else 1 / C
+        self.model = LogisticRegression(featuresCol=column, labelCol="label", elasticNetParam=share, maxIter=max_iter, tol=tol, standardization=False)
+
+    def _fit(self, dataset: DataFrame):
+        return self.model.fit(dataset, {self.model.regParam: self.strength / max(dataset.count(), 1)})
 
 
 def create_model(name: str, width: int, seed: int = 42, **params):
-    """A pipeline that scales (but for trees) and fits.  Linear SVMs stand for kernel ones; see the README.
+    """A pipeline that scales (but for trees) and fits.
 
-    Unknown parameters are left out with a warning; an unknown model is an error.
+    Unknown parameters are left out with a warning; an unknown model is an error.  ``dropout`` of a network becomes a
+    penalty of a tenth of it, as what it stands for.
     """
     if name not in MODELS:
         raise ValueError(f"{name} is none of {', '.join(MODELS)}")
-    kind, known = MODELS[name]
-    if extra := set(params) - known:
+    if extra := set(params) - MODELS[name]:
         warnings.warn(f"{name} takes no {', '.join(sorted(extra))}", stacklevel=2)
-        params = {k: v for k, v in params.items() if k in known}
-    if name == "mlp":
-        params["layers"] = [width, *params.get("layers", [16]), 2]
-    if name in ("gbt", "mlp"):
-        params["seed"] = seed
-    model = kind(featuresCol="z" if name != "gbt" else "x", labelCol="label", **params)
-    scaler = [] if name == "gbt" else [StandardScaler(inputCol="x", outputCol="z", withMean=True)]
-    return Pipeline(stages=[*scaler, model])
+        params = {k: v for k, v in params.items() if k in MODELS[name]}
+    column = "x" if name in UNSCALED else "z"
+    spark_ml = {"featuresCol": column, "labelCol": "label"}
+    if name == "logistic":
+        model = LogisticRegression(**spark_ml, **params)
+    elif name == "logistic_regression":
+        model = PenalisedLogistic(column, **params)
+    elif name == "linear_svc":
+        model = LinearSVC(**spark_ml, **params)
+    elif name == "svm":
+        model = KernelSvm(column, seed=seed, **params)
+    elif name == "gbt":
+        model = GBTClassifier(**spark_ml, seed=seed, **params)
+    elif name == "xgboost":
+        model = BoostedTrees(column, seed=seed, **params)
+    elif name == "spark_mlp":
+        model = MultilayerPerceptronClassifier(**spark_ml, seed=seed, **(params | {"layers": [width, *params.get("layers", [16]), 2]}))
+    else:
+        dropout, hidden = params.pop("dropout", 0), params.pop("hidden_layer_sizes", (100,))
+        if dropout > 0:
+            params["alpha"] = max(params.get("alpha", 1e-4), dropout / 10)
+        model = Perceptron(column, hidden=[hidden] if isinstance(hidden, int) else hidden, seed=seed, **params)
+    return Pipeline(stages=[*([] if name in UNSCALED else [StandardScaler(inputCol="x", outputCol="z", withMean=True)]), model])
+
+
+def importances(fitted, names: Sequence[str]) -> list[tuple[str, float, int]]:
+    """(feature, importance, rank) of a fitted pipeline, most important first: gains or shares of trees, sizes of linear
+    weights; nothing of models that have neither."""
+    model = fitted.stages[-1]
+    if hasattr(model, "importances"):
+        values = model.importances
+    elif hasattr(model, "featureImportances"):
+        values = model.featureImportances.toArray().tolist()
+    else:
+        values = [abs(float(x)) for x in model.coefficients] if hasattr(model, "coefficients") else None
+    if values is None:
+        return []
+    if len(values) != len(names):
+        raise ValueError(f"{len(names)} names for {len(values)} features")
+    order = sorted(zip(names, values, strict=True), key=lambda x: (-x[1], x[0]))
+    return [(n, float(v), i + 1) for i, (n, v) in enumerate(order)]
 
 
 def _score(df: DataFrame) -> DataFrame:
