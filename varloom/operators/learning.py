@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from varloom.sources.scratch import kept
 
 from .boosting import BoostedTrees
+from .components import fit_components
 from .kernels import KernelSvm
 from .metrics import roc_auc
 from .networks import Perceptron
@@ -123,35 +124,18 @@ def standardize(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def explained_variance(rows: DataFrame, column: str, k: int, scale: bool = True) -> DataFrame:
     """component, share: of a principal component analysis, missing cells as 0."""
-    clean = rows.select(array_to_vector(F.transform(column, lambda x: F.coalesce(F.nanvl(x, F.lit(None)), F.lit(0.0)))).alias("x"))
-    stages = [StandardScaler(inputCol="x", outputCol="z", withMean=True, withStd=scale), PCA(k=k, inputCol="z", outputCol="p")]
-    share = Pipeline(stages=stages).fit(clean).stages[-1].explainedVariance.toArray()
-    return rows.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(share)], "component int, share double")
+    found = fit_components(rows, column, k, scale)
+    return rows.sparkSession.createDataFrame(list(enumerate(found.shares)), "component int, share double")
 
 
 def fit_reducer(rows: DataFrame, column: str, k: int | str = "auto", scale: bool = True) -> Callable[[DataFrame], DataFrame]:
     """A function that turns array ``column`` into its first principal components, fitted on ``rows``.
 
     Missing cells count as 0; columns are centered and, with ``scale``, divided by their population deviation.
-    k "auto" keeps min(rows, width) components.  Signs of components are arbitrary.
+    k "auto" keeps min(rows, width) components.
     """
-    clean = lambda df: df.withColumn("_x", array_to_vector(F.transform(column, lambda x: F.coalesce(F.nanvl(x.cast("double"), F.lit(None)), F.lit(0.0)))))
-    fit = clean(rows).select("_x").persist()
-    try:
-        n = fit.count()
-        width = len(fit.first()["_x"]) if n else 0
-        if not width:
-            raise ValueError("nothing to fit a reducer on")
-        kept = min(n, width) if k == "auto" else min(int(k), n, width)
-        model = Pipeline(stages=[StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=scale), PCA(k=kept, inputCol="_z", outputCol="_p")]).fit(fit)
-    finally:
-        fit.unpersist()
-    factor = (n / (n - 1)) ** 0.5 if scale and n > 1 else 1.0  # Spark divides by the sample deviation
-
-    def reduce(df: DataFrame) -> DataFrame:
-        return model.transform(clean(df)).withColumn(column, F.transform(vector_to_array("_p"), lambda x: x * factor)).drop("_x", "_z", "_p")
-
-    return reduce
+    found = fit_components(rows, column, k, scale)
+    return lambda df: found.reduce(df, column)
 
 
 Fitted = Callable[[DataFrame], DataFrame]
