@@ -1,6 +1,7 @@
 """Vector operators against worked values."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +82,35 @@ def test_round_robin(spark):
     for r in store.round_robin(names, 4).collect():
         got.setdefault(r["bucket"], []).append(r["sample_id"])
     assert {k: len(v) for k, v in got.items()} == {0: 3, 1: 3, 2: 2, 3: 2}
+
+
+def test_ranks_of_one_sample_in_many_tasks(spark):
+    rng = random.Random(12)
+    score = lambda: rng.choice([None, *[round(rng.random(), 2) for _ in range(12)]])
+    rows = [("hot" if i % 20 else f"s{i % 7}", i, score(), score(), score()) for i in range(4000)] + [("one", 9001, 0.5, 0.5, None), (None, 9002, 0.1, 0.2, 0.3), (None, 9003, 0.3, 0.2, 0.3)]
+    df = spark.createDataFrame(rows, "sample_id string, ord int, relative double, absolute double, delta double").repartition(4)
+    whole = [r for r in rows if r[2] is not None and r[3] is not None]
+
+    def shares(of):
+        out = {}
+        for s in {r[0] for r in whole}:
+            each = sorted((r for r in whole if r[0] == s), key=lambda r: (r[of], r[1]))
+            out |= {(s, r[1]): 0.5 if len(each) == 1 else i / (len(each) - 1) for i, r in enumerate(each)}
+        return out
+
+    rel, ab = shares(2), shares(3)
+    want = set()
+    for s in {r[0] for r in whole}:
+        each = sorted((r for r in whole if r[0] == s), key=lambda r: (-(0.25 * rel[s, r[1]] + 0.75 * ab[s, r[1]]), r[1]))
+        want |= {(s, r[1], i + 1) for i, r in enumerate(each[:6])}
+    assert {(r["sample_id"], r["ord"], r["rank"]) for r in omics.select_top(df, "weighted", 6, weight=0.25).collect()} == want
+    found = omics.rank_share(df, "relative", "share")
+    assert found.filter("(relative is null) <> (share is null)").isEmpty() and found.count() == len(rows)
+    want = set()
+    for s in {r[0] for r in whole}:
+        pool = sorted((r for r in whole if r[0] == s), key=lambda r: (-r[3], r[1]))[:12]
+        want |= {(s, r[1], i + 1) for i, r in enumerate(sorted(pool, key=lambda r: -r[2])[:4])}
+    out = omics.select_top(df, "cascade", 4)
+    assert {(r["sample_id"], r["ord"], r["rank"]) for r in out.collect()} == want and "_abs" not in out.columns
+    plan = omics.select_top(df, "cascade", 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2  # tasks keep the best rows before they are shuffled

@@ -484,16 +484,17 @@ for _s, _sql in REPRESENT_SQL.items():
     query(f"represent_{_s}", f"SELECT sample_id, ord, {_text('rep')} AS rep FROM (SELECT *, {_sql} AS rep FROM ({DIFF_SQL}))")(_represent)
 
 TOP = 5
-ROUND_SQL = f"SELECT sample_id, ord, round(relative, 9) AS relative, round(absolute, 9) AS absolute, round(delta, 9) AS delta FROM ({SCORED_SQL}) WHERE relative IS NOT NULL"
+ROUND_SQL = f"SELECT sample_id, ord, round(relative, 9) AS relative, round(absolute, 9) AS absolute, round(delta, 9) AS delta FROM ({SCORED_SQL})"
+COMPLETE_SQL = f"SELECT * FROM ({ROUND_SQL}) WHERE relative IS NOT NULL AND absolute IS NOT NULL"
 _share = lambda c: f"(CASE WHEN count(*) OVER (PARTITION BY sample_id) = 1 THEN 0.5 ELSE (row_number() OVER (PARTITION BY sample_id ORDER BY {c}, ord) - 1) / (count(*) OVER (PARTITION BY sample_id) - 1.0) END)"
 _top = lambda source, order: f"SELECT sample_id, ord, cast(rank as int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY {order}) AS rank FROM ({source})) WHERE rank <= {TOP}"
-TOP_SQL = {s: _top(ROUND_SQL, f"{s} DESC, ord") for s in ("relative", "absolute", "delta")}
-TOP_SQL["weighted"] = _top(f"SELECT *, 0.5 * {_share('relative')} + 0.5 * {_share('absolute')} AS weighted FROM ({ROUND_SQL})", "weighted DESC, ord")
-TOP_SQL["cascade"] = _top(f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY absolute DESC, ord) AS ra, count(*) OVER (PARTITION BY sample_id) AS n FROM ({ROUND_SQL})) WHERE ra <= greatest(least({TOP * 3}, n), {TOP})", "relative DESC, ra")
+TOP_SQL = {s: _top(f"SELECT * FROM ({ROUND_SQL}) WHERE {s} IS NOT NULL", f"{s} DESC, ord") for s in ("relative", "absolute", "delta")}
+TOP_SQL["weighted"] = _top(f"SELECT *, 0.5 * {_share('relative')} + 0.5 * {_share('absolute')} AS weighted FROM ({COMPLETE_SQL})", "weighted DESC, ord")
+TOP_SQL["cascade"] = _top(f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY absolute DESC, ord) AS ra, count(*) OVER (PARTITION BY sample_id) AS n FROM ({COMPLETE_SQL})) WHERE ra <= greatest(least({TOP * 3}, n), {TOP})", "relative DESC, ra")
 for _s, _sql in TOP_SQL.items():
 
     def _select(spark, d, s=_s):
-        rows = scores(spark, d).filter("relative is not null").select("sample_id", "ord", *[F.round(c, 9).alias(c) for c in ("relative", "absolute", "delta")])
+        rows = scores(spark, d).select("sample_id", "ord", *[F.round(c, 9).alias(c) for c in ("relative", "absolute", "delta")])
         return omics.select_top(rows, s, TOP).select("sample_id", "ord", "rank")
 
     query(f"topk_{_s}", _sql)(_select)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from varloom.functions import vectors as V
+from varloom.sources.scratch import kept
 
 SCORES = ("relative", "absolute", "delta", "weighted", "cascade")
 
@@ -36,10 +37,31 @@ def represented(rows: DataFrame, strategy: str) -> DataFrame:
     return rows.withColumn("rep", vec).filter("rep is not null")
 
 
-def rank_share(score: Column, by: str = "sample_id", order: str = "ord") -> Column:
-    """(rank - 1) / (n - 1), ties in input order; one half for a sample's only row."""
-    n = F.count("*").over(Window.partitionBy(by))
-    return F.when(n == 1, 0.5).otherwise((F.row_number().over(Window.partitionBy(by).orderBy(score, order)) - 1) / (n - 1))
+#: Ranges of a score in which ranks are counted alone.
+RANGES = 64
+
+
+def rank_share(rows: DataFrame, score: str, out: str, by: str = "sample_id", order: str = "ord") -> DataFrame:
+    """``out``: (rank - 1) / (n - 1) among a sample's rows that have the score, ties in the order of ``order``; one half for
+    an only row, null for a row without the score.
+
+    A sample's rows are dealt to ranges of the score, at quantiles of all rows; each range is ranked alone and starts
+    after those below it, so no task needs all rows of a sample.
+    """
+    value = F.nanvl(F.col(score).cast("double"), F.lit(float("inf")))
+    cuts = sorted(set(rows.select(value.alias("x")).approxQuantile("x", [i / RANGES for i in range(1, RANGES)], 0.005)))
+    at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= value)) if cuts else F.lit(0)
+    dealt = rows.withColumn("_range", F.when(F.col(score).isNotNull(), at))
+    sample = Window.partitionBy("_by")
+    cells = dealt.filter("_range is not null").groupBy(F.col(by).alias("_by"), F.col("_range").alias("_at")).agg(F.count("*").alias("_n"))  # RANGES rows a sample
+    cells = cells.select("_by", "_at", F.coalesce(F.sum("_n").over(sample.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(sample).alias("_all"))
+    # Rows without the score need no cell: one of their own, dealt by order.
+    salt = F.coalesce("_range", F.pmod(F.xxhash64(order), F.lit(RANGES)).cast("int") - RANGES)
+    dealt = dealt.withColumn("_range", salt)
+    ranked = dealt.withColumn("_r", F.row_number().over(Window.partitionBy(by, "_range").orderBy(score, order)) - 1)
+    joined = ranked.join(cells, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_range") == F.col("_at")), "left")
+    share = F.when(F.col("_all") == 1, 0.5).otherwise((F.col("_r") + F.col("_before")) / (F.col("_all") - 1))
+    return joined.withColumn(out, share).drop("_range", "_r", "_by", "_at", "_before", "_all")
 
 
 def select_top(rows: DataFrame, how: str, k: int, weight: float = 0.5, widen: float = 3.0) -> DataFrame:
@@ -48,21 +70,28 @@ def select_top(rows: DataFrame, how: str, k: int, weight: float = 0.5, widen: fl
     ``weighted`` mixes the rank shares of both scores; ``cascade`` takes ``widen`` times k by the absolute
     score and the k best of those by the relative one.  Rows without the score (of these two, without either) take
     no part: they are neither ranked nor kept, whatever the number of others, and shift no share.
+
+    They come behind the others in the windows and are left out by rank: a filter before them would have scores worked
+    out twice.  Spark keeps k rows of a sample in each task before it shuffles, as the limits are constants.
     """
     if how not in SCORES:
         raise ValueError(f"{how} is none of {', '.join(SCORES)}")
     if k <= 0:
         return rows.withColumn("rank", F.lit(None).cast("int"))
-    rows = rows.dropna(subset=["relative", "absolute"] if how in ("weighted", "cascade") else [how])
     sample = Window.partitionBy("sample_id")
+    best = lambda df, by, n, out, *ties: df.withColumn(out, F.row_number().over(sample.orderBy(F.desc_nulls_last(by), *ties))).filter((F.col(out) <= n) & F.col(by).isNotNull())
+    if how in ("weighted", "cascade"):
+        both = F.col("relative").isNotNull() & F.col("absolute").isNotNull()
+        rows = rows.withColumns({"_rel": F.when(both, F.col("relative")), "_abs": F.when(both, F.col("absolute"))})
     if how == "weighted":
-        rows = rows.withColumn("weighted", weight * rank_share(F.col("relative")) + (1 - weight) * rank_share(F.col("absolute")))
-    if how == "cascade":
-        n = F.count("*").over(sample)
-        wide = F.greatest(F.least((k * F.lit(max(widen, 1.0))).cast("int"), n), F.lit(k))
-        first = rows.withColumn("_a", F.row_number().over(sample.orderBy(F.desc("absolute"), "ord"))).withColumn("_pool", wide).filter("_a <= _pool")
-        return first.withColumn("rank", F.row_number().over(sample.orderBy(F.desc("relative"), "_a"))).filter(F.col("rank") <= k).drop("_a", "_pool")
-    return rows.withColumn("rank", F.row_number().over(sample.orderBy(F.desc(how), "ord"))).filter(F.col("rank") <= k)
+        rows = kept(rows)  # read for both scores' ranges, counts and ranks
+        rows = rank_share(rank_share(rows, "_rel", "_wr"), "_abs", "_wa")
+        out = best(rows.withColumn("weighted", weight * F.col("_wr") + (1 - weight) * F.col("_wa")), "weighted", k, "rank", "ord")
+    elif how == "cascade":
+        out = best(best(rows, "_abs", int(k * max(widen, 1.0)), "_a", "ord"), "_rel", k, "rank", "_a")
+    else:
+        return best(rows, how, k, "rank", "ord")
+    return out.drop("_rel", "_abs", "_wr", "_wa", "_a")
 
 
 def aggregate_vectors(rows: DataFrame, column: str, how: str, by: str = "sample_id") -> DataFrame:
