@@ -114,3 +114,24 @@ def test_ranks_of_one_sample_in_many_tasks(spark):
     assert {(r["sample_id"], r["ord"], r["rank"]) for r in out.collect()} == want and "_abs" not in out.columns
     plan = omics.select_top(df, "cascade", 4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2  # tasks keep the best rows before they are shuffled
+
+
+def test_one_sequence_in_most_slots(spark, monkeypatch):
+    rows = [(f"k{i}", "ACGT" * 10 if i % 50 else "A" * (i // 50 + 3)) for i in range(3000)] + [("none", None)]
+    keyed = spark.createDataFrame(rows, "key string, seq string").repartition(4)
+    encoder = encode.ToyEncoder(4)
+    got = {r["key"]: r["vectors"]["mean"] for r in encode.bulk_embed(keyed, encoder, ["mean"]).collect()}
+    assert len(got) == 3000
+    for key, seq in (rows[0], rows[1], rows[50], rows[2951]):
+        assert got[key] == pytest.approx(encoder.hidden_states([seq])[0].mean(0).tolist(), abs=1e-6)
+    # The hot sequence is joined where its slots are: no shuffled task has more than the others' share of them.
+    slots = keyed.filter("seq is not null").select("key", encode.sequence_key("seq").alias("hash"), F.lit(-1).alias("w"))
+    vectors = slots.select("hash", "w").distinct().withColumn("vec", F.array(F.lit(1.0)))
+    assert encode.with_vectors(slots, vectors, ["hash", "w"]).count() == 3000
+    monkeypatch.setattr(encode, "HOT", 10)
+    plan = encode.with_vectors(slots, vectors, ["hash", "w"])
+    cold = plan.filter("hash <> unhex(md5(repeat('ACGT', 10)))").count()
+    assert plan.count() == 3000 and cold == 60
+    monkeypatch.setattr(encode, "sequence_key", lambda seq: F.unhex(F.md5(F.lit("same"))))
+    with pytest.raises(ValueError, match="one hash"):
+        encode.bulk_embed(keyed, encoder, ["mean"])

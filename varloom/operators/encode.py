@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import Protocol
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions import sequences as S
+from varloom.sources.scratch import written
 
 
 class Encoder(Protocol):
@@ -153,22 +155,49 @@ def slots(rows: DataFrame) -> DataFrame:
     return out.withColumn("seq", F.when(F.col("direction") == "downstream", S.reverse_complement("seq")).otherwise(F.col("seq")))
 
 
+#: A key is hot if more than one in so many slots holds it, so there are fewer hot keys than this.
+HOT = 1000
+
+
+def with_vectors(slots: DataFrame, vectors: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``slots`` with the other columns of ``vectors``, whose rows are known by the columns ``by``; both are read more than once.
+
+    The vectors of hot keys are broadcast, HOT at most, so that no task gets all the slots of one (the reference window
+    of a common variant is one key for all its samples); the others are shuffled.
+    """
+    counts = slots.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") * HOT > slots.count())
+    hot = F.broadcast(counts.drop("_n"))
+    few = F.broadcast(vectors.join(hot, list(by), "left_semi"))
+    return slots.join(few, list(by)).unionByName(slots.join(hot, list(by), "left_anti").join(vectors, list(by)))
+
+
+def encoded_once(slots: DataFrame, encoder: Encoder, methods: Sequence[str], known: DataFrame | None = None) -> DataFrame:
+    """(hash, w, methods, error) for the (hash, seq, w) of ``slots``, written; w -1 pools the whole sequence.
+
+    Fails if two sequences have one hash.  Of ``known`` (hash, w, methods) nothing is encoded again.
+    """
+    need = slots.select(F.col("hash").alias("key"), "seq", "w")
+    if known is not None:
+        need = need.join(known.select(F.col("hash").alias("key"), "w"), ["key", "w"], "left_anti")
+    made = _encoded(_distinct(need), encoder, methods).select(F.col("key").alias("hash"), F.coalesce("w", F.lit(-1)).alias("w"), *methods, "error")
+    out = written(made, "vectors")
+    if not out.groupBy("hash", "w").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError("two sequences have one hash")
+    return out if known is None else out.unionByName(known.select("hash", "w", *methods, F.lit(None).cast("string").alias("error")))
+
+
 def embed_variants(rows: DataFrame, encoder: Encoder, method: str = "mean", cached: DataFrame | None = None) -> DataFrame:
     """(sample_id, variant_id, model, key, vec): up- and downstream vectors one after the other.
 
-    Slots are known by a 128-bit key of their sequence: letters are shuffled once, to meet equal ones, and vectors are
-    joined back by key and width.
+    Slots are written once, with a 128-bit hash of their sequence, so that sequences are built once; letters are shuffled
+    once more, to meet equal ones, and vectors are joined back by hash and width.
     """
-    wanted = slots(rows).withColumn("_seq", sequence_key("seq"))
-    need = wanted.select(F.col("_seq").alias("key"), "seq", F.col("w").cast("int").alias("w"))
+    kept = written(slots(rows).filter("seq is not null").select("sample_id", "variant_id", "direction", "key", "seq", F.col("w").cast("int").alias("w"), sequence_key("seq").alias("hash")), "slots")
     known = None
     if cached is not None:
-        known = cached.select(sequence_key("seq").alias("_key"), F.col("w").cast("int").alias("_w"), "vec")
-        need = need.join(known.select("_key", "_w"), (F.col("key") == F.col("_key")) & F.col("w").eqNullSafe(F.col("_w")), "left_anti")
-    vectors = _encoded(_distinct(need), encoder, [method]).select(F.col("key").alias("_key"), F.col("w").alias("_w"), F.col(method).alias("vec"))
-    if known is not None:
-        vectors = vectors.unionByName(known)
-    joined = wanted.drop("seq").join(vectors, (F.col("_seq") == F.col("_key")) & (F.col("w") == F.col("_w")))
+        known = cached.select(sequence_key("seq").alias("hash"), F.coalesce(F.col("w").cast("int"), F.lit(-1)).alias("w"), F.col("vec").alias(method))
+    vectors = encoded_once(kept, encoder, [method], known).select("hash", "w", F.col(method).alias("vec"))
+    joined = with_vectors(kept.drop("seq"), vectors, ["hash", "w"])
     side = lambda d: F.first(F.when(F.col("direction") == d, F.col("vec")), ignorenulls=True)
     pair = joined.groupBy("sample_id", "variant_id", "key").agg(side("upstream").alias("up"), side("downstream").alias("down"))
     return pair.select("sample_id", "variant_id", F.lit(encoder.name).alias("model"), "key", F.concat("up", "down").alias("vec")).filter("vec is not null")
@@ -176,20 +205,17 @@ def embed_variants(rows: DataFrame, encoder: Encoder, method: str = "mean", cach
 
 def bulk_embed(keyed: DataFrame, encoder: Encoder, methods: list[str]) -> DataFrame:
     """(key, vectors): a map from method to vector for each keyed sequence; all methods of one encoding."""
-    if not methods:
-        raise ValueError("at least one method")
-    rows = keyed.select("key", "seq", sequence_key("seq").alias("_seq"))
-    need = rows.select(F.col("_seq").alias("key"), "seq", F.lit(None).cast("int").alias("w"))
-    found = _encoded(_distinct(need), encoder, methods).withColumnRenamed("key", "_seq")
-    return rows.drop("seq").join(found, "_seq").select("key", F.create_map(*[x for m in methods for x in (F.lit(m), F.col(m))]).alias("vectors"))
+    return multi_model(keyed, [encoder], methods).drop("model")
 
 
 def multi_model(keyed: DataFrame, encoders: list[Encoder], methods: list[str]) -> DataFrame:
-    out = None
-    for e in encoders:
-        one = bulk_embed(keyed, e, methods).withColumn("model", F.lit(e.name))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """(key, vectors, model): the same for each of several encoders; the sequences are built and written once."""
+    if not methods or not encoders:
+        raise ValueError("at least one encoder and one method")
+    kept = written(keyed.filter("seq is not null").select("key", "seq", F.lit(-1).alias("w"), sequence_key("seq").alias("hash")), "sequences")
+    vectors = lambda e: encoded_once(kept, e, methods).select("hash", "w", F.create_map(*[x for m in methods for x in (F.lit(m), F.col(m))]).alias("vectors"))
+    parts = [with_vectors(kept.drop("seq"), vectors(e), ["hash", "w"]).select("key", "vectors", F.lit(e.name).alias("model")) for e in encoders]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cache_report(wanted: DataFrame, cached: DataFrame) -> DataFrame:

@@ -39,3 +39,10 @@ def kept(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """The same as a Parquet table: who reads it again takes only the columns that it needs."""
+    path = new_folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
