@@ -89,3 +89,30 @@ def test_text_files(spark, tmp_path):
     spans = spark.createDataFrame([("a", "chr1", 2, 9), ("b", "chr2", 1, 3), ("c", "chr1", 8, 30)], "name string, chrom string, start long, end long")
     got = {r["name"]: r["wt_ref"] for r in G.fetch_windows(spans, genome, 4, ["name"]).collect()}
     assert got == {"a": "GTACGTA", "b": "CG", "c": "AC"}
+
+
+def test_contigs_over_many_splits(spark, tmp_path):
+    rng = random.Random(11)
+    contigs = {f"chr{i}": "".join(rng.choices("ACGTNacgt", k=n)) for i, n in enumerate((5000, 3, 0, 977, 64, 2500))}
+    text = "ACGT before any header\n\n"
+    for i, (name, seq) in enumerate(contigs.items()):
+        width = (60, 7, 60, 977, 1, 33)[i]
+        text += f">{name} some more words\n" + "".join(seq[k : k + width] + ("\r\n" if i == 3 else "\n") for k in range(0, len(seq), width)) + ("\n" if i % 2 else "")
+    (tmp_path / "g.fa").write_text(text)
+    (tmp_path / "h.fa").write_text(">other\nAC GT\nTT")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("128m", "1000", "150"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            for chunk in (16, 1000):
+                rows = files.read_fasta(spark, str(tmp_path), chunk).collect()
+                got = {}
+                for r in sorted(rows, key=lambda r: (r["chrom"], r["chunk_no"])):
+                    assert r["chunk_no"] * chunk == len(got.get(r["chrom"], ""))
+                    got[r["chrom"]] = got.get(r["chrom"], "") + r["seq"]
+                assert got == {k: v.upper() for k, v in contigs.items() if v} | {"other": "ACGTTT"}
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

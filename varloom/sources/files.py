@@ -56,12 +56,38 @@ def sample_names(spark: SparkSession, path: str) -> list[str]:
 def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
     """chrom, chunk_no, seq (upper case): rows of ``chunk`` bases, for equi-joins on (chrom, chunk_no).
 
-    Records are split at ``>``, so a contig is one row before it is cut; its lines are joined there.
+    Lines are read split by split.  A line's place in its contig is the number of bases before it in its split, since
+    the split's last header, plus what the splits before hold of the contig; so lines go straight to their chunks and no
+    task has a whole contig.  Lines before the first header are left out; a contig's name stands in one header.
     """
-    records = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
-    first = F.substring_index("value", "\n", 1)
-    contigs = records.select(F.split(F.trim(first), r"\s+")[0].alias("chrom"), F.upper(F.regexp_replace(F.expr("substring(value, length(substring_index(value, '\n', 1)) + 1)"), r"\s", "")).alias("seq"))
-    return cut_contigs(contigs, chunk)
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(meta["file_path"].alias("_path"), meta["file_block_start"].alias("_at"), F.monotonically_increasing_id().alias("_no"), "value").filter(F.trim("value") != "")
+    header = F.startswith("value", F.lit(">"))
+    name = F.split(F.trim(F.substring("value", 2, 1 << 30)), r"\s+")[0]
+    lines = lines.select("_path", "_at", "_no", F.when(header, name).alias("_name"), F.when(~header, F.upper(F.regexp_replace("value", r"\s", ""))).alias("seq"))
+    split = Window.partitionBy("_path", "_at").orderBy("_no")
+    lines = lines.withColumns({"_contig": F.last("_name", ignorenulls=True).over(split), "_bases": F.coalesce(F.length("seq"), F.lit(0)).cast("long")})
+    since = F.sum("_bases").over(split.rowsBetween(Window.unboundedPreceding, -1))
+    lines = lines.withColumns({"_since": F.coalesce(since, F.lit(0)), "_own": F.count("_name").over(split)})
+    # Bases before the current header of the split, to be taken off.
+    lines = lines.withColumn("_start", F.coalesce(F.max(F.when(F.col("_name").isNotNull(), F.col("_since"))).over(split), F.lit(0)))
+    # A row for each split: what it begins with belongs to the last header before it.
+    splits = lines.groupBy("_path", "_at").agg(F.max_by("_contig", "_no").alias("_last"), F.sum("_bases").alias("_all"), F.max("_start").alias("_from"), F.max("_own").alias("_headers"))
+    before = Window.partitionBy("_path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumns({"_group": F.coalesce(F.sum("_headers").over(before), F.lit(0)), "_carried": F.last("_last", ignorenulls=True).over(before), "_tail": F.col("_all") - F.col("_from")})
+    # What splits hold of the contig that is open at their end, summed since the one with its header.
+    splits = splits.withColumn("_opened", F.sum("_headers").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    held = F.sum("_tail").over(Window.partitionBy("_path", "_opened").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    splits = splits.withColumn("_held", held)
+    heads = splits.select("_path", "_at", F.col("_carried").alias("_open"), F.coalesce(F.lag("_held").over(Window.partitionBy("_path").orderBy("_at")), F.lit(0)).alias("_more"))
+    placed = lines.join(F.broadcast(heads), ["_path", "_at"]).filter("seq is not null")
+    offset = F.col("_since") - F.col("_start") + F.when(F.col("_own") == 0, F.col("_more")).otherwise(0)
+    placed = placed.select(F.coalesce("_contig", "_open").alias("chrom"), offset.alias("_o"), "seq").filter("chrom is not null and seq <> ''")
+    pieces = placed.withColumn("chunk_no", F.explode(F.sequence(F.floor(F.col("_o") / chunk), F.floor((F.col("_o") + F.length("seq") - 1) / chunk))))
+    begin = F.greatest(F.col("chunk_no") * chunk, F.col("_o"))
+    part = F.substring("seq", (begin - F.col("_o") + 1).cast("int"), F.least(F.col("_o") + F.length("seq"), (F.col("chunk_no") + 1) * chunk).cast("int") - begin.cast("int"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(begin.alias("o"), part.alias("p")))), lambda x: x["p"]), "")
+    return pieces.groupBy("chrom", "chunk_no").agg(text.alias("seq"))
 
 
 def cut_contigs(contigs: DataFrame, chunk: int = CHUNK) -> DataFrame:
