@@ -94,7 +94,9 @@ def test_multiomics(spark, tmp_path):
     assert out["predictions"].count() == 120
     assert spark.read.csv(f"{tmp_path}/out/summary", header=True).count() == 2
     assert {(r["model"], r["folds"], r["best_params"]) for r in out["cv"].collect()} == {("logistic", 3, "[('regParam', 0.01)]")}
-    assert out["metrics"].count() == 1 and callable(out["predict"])
+    assert out["metrics"].count() == 1 and callable(out["predict"]) and out["params"].count() == 2
+    named = out["importances"]()
+    assert [rank for _, _, rank in named] == list(range(1, len(named) + 1)) and {n for n, _, _ in named} >= {"emb_pca_0"}
 
 
 def test_vectors_only_of_the_samples_asked_for(spark, tmp_path, monkeypatch):
@@ -209,3 +211,19 @@ def test_event_counts(spark):
     rows = spark.createDataFrame([("2024-01-01 00:10:00", "a", 1.0), ("2024-01-01 00:50:00", "a", 2.0), ("2024-01-01 01:10:00", "b", 3.0)], "ts string, event_type string, value double")
     got = {(str(r["start"])[11:13], r["event_type"]): (r["n"], r["total"]) for r in ingest.event_counts(rows).collect()}
     assert got == {("00", "a"): (2, 3.0), ("01", "b"): (1, 3.0)}
+
+
+def test_columns_without_a_modality():
+    assert learning.infer_columns(["emb_pca_0", "a", "emb_1"], 5) == (["emb_pca_0", "emb_1"], ["a"])
+    assert learning.infer_columns(list("abcdef"), 2) == (["a", "b"], list("cdef")) and learning.infer_columns(list("abcde"), 99) == (["a", "b"], list("cde"))
+
+
+def test_a_cleared_store(spark, tmp_path):
+    rows = spark.createDataFrame([("s1", "v1", "toy", "Mut_hap1", [1.0])], store.VECTORS)
+    for fmt in ("parquet", "json"):
+        path = str(tmp_path / fmt)
+        store.write_store(rows, path, fmt)
+        store.clear_store(spark, path, fmt)
+        assert files.read_store(spark, path, fmt).count() == 0
+        store.write_store(rows, path, fmt)
+        assert files.read_store(spark, path, fmt).count() == 1

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varloom.functions import sequences as S
+from varloom.operators import store
 from varloom.operators import variants as G
 from varloom.sources import files
 
@@ -116,3 +117,21 @@ def test_contigs_over_many_splits(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_packed_bases(spark):
+    rng = random.Random(13)
+    seqs = ["", "A", "T" * 32, "ACGT" * 8 + "G", "N", "ACGNacgtRYK-", None, *["".join(rng.choices("ACGT", k=n)) for n in (31, 33, 64, 200, 5000)], *["".join(rng.choices("ACGTNacgt", weights=[9, 9, 9, 9, 1, 1, 1, 1, 1], k=300)) for _ in range(5)]]
+    df = spark.createDataFrame(list(enumerate(seqs)), "i int, seq string").withColumn("p", S.pack_bases(F.col("seq")))
+    assert dict(df.dtypes)["p"] == S.PACKED
+    rows = df.select("i", S.unpack_bases(F.col("p")).alias("back"), F.octet_length("p.words").alias("n")).collect()
+    assert {r["i"]: r["back"] for r in rows} == dict(enumerate(seqs))
+    assert all(r["n"] == 8 * -(-len(seqs[r["i"]]) // 32) for r in rows if seqs[r["i"]] is not None)
+    forms = {"string": "ACgN", "binary": bytearray(b"ACgN"), "array<tinyint>": [65, 67, 103, 78], "array<int>": [65, 67, 103, 78], "array<string>": list("ACgN"), "array<binary>": [bytearray(c.encode()) for c in "ACgN"]}
+    for kind, value in forms.items():
+        table = spark.createDataFrame([("s", "v", value, None)], f"sample_id string, name string, hap1 {kind}, hap2 {kind}")
+        assert tuple(store.open_haplotypes(table).first()) == ("s", "v", "ACgN", None)
+        again = store.open_haplotypes(store.pack_haplotypes(store.open_haplotypes(table)))
+        assert tuple(again.first()) == ("s", "v", "ACgN", None)
+    with pytest.raises(ValueError):
+        S.decode_bases("x", "double")

@@ -295,6 +295,16 @@ def six_of_haplotypes(spark, d):
     return out.select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("hap1.mut").alias("mut"), F.col("hap1.wt").alias("wt"))
 
 
+@query("packed_haplotypes", f"""
+SELECT sample_id, {VID} || '_' || direction AS name, m1 AS hap1, m2 AS hap2, cast(8 * ceil(length(m1) / 32.0) as int) AS bytes1, cast(8 * ceil(length(m2) / 32.0) as int) AS bytes2 FROM ({SIX_SQL})
+""")
+def packed_haplotypes(spark, d):
+    """A table of haplotypes at two bits a base, opened again, with the bytes of its words."""
+    packed = store.pack_haplotypes(store.haplotype_table(six(spark, d)))
+    sizes = packed.withColumns({f"bytes{h}": F.octet_length(f"hap{h}.words") for h in (1, 2)})
+    return sizes.select("sample_id", "name", *[S.unpack_bases(F.col(f"hap{h}")).alias(f"hap{h}") for h in (1, 2)], "bytes1", "bytes2")
+
+
 @query("missing_haplotypes", f"SELECT sample_id, {VID} || '_' || direction AS name FROM ({SPLIT_SQL}) WHERE pos % 7 = 0")
 def missing_haplotypes(spark, d):
     """Intervals that a table of haplotypes lacks: here one without every seventh position."""

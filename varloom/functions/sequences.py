@@ -68,3 +68,50 @@ def sequence_hash(seq: Column) -> Column:
 
 def cache_key(seq: Column, width: Column, pooling: str) -> Column:
     return F.concat(sequence_hash(seq), F.lit("_w"), width.cast("string"), F.lit(f"_{pooling}"))
+
+
+#: Bases of one packed word, and the letters that its digits stand for.
+WORD, LETTERS = 32, "ACGT"
+PACKED = "struct<bases:int,words:binary,other:array<struct<pos:int,letter:string>>>"
+
+
+def pack_bases(seq: Column) -> Column:
+    """``seq`` at two bits a base, in words of 32: struct(bases, words, other).  Letters but A, C, G and T (lower case among
+    them) are listed in ``other`` with their places, and packed as A."""
+    digits = F.regexp_replace(F.translate(seq, LETTERS, "0123"), "[^0-3]", "0")
+    count = F.ceil(F.length(seq) / WORD).cast("int")
+    word = lambda i: F.lpad(F.conv(F.rpad(F.substring(digits, i * WORD + 1, F.lit(WORD)), WORD, "0"), 4, 16), WORD // 2, "0")
+    words = F.unhex(F.array_join(F.transform(F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>")), word), ""))
+    each = F.transform(F.split(seq, ""), lambda c, i: F.struct(i.alias("pos"), c.alias("letter")))
+    other = F.when(seq.rlike("[^ACGT]"), F.filter(each, lambda x: x["letter"].rlike("[^ACGT]"))).otherwise(F.array().cast("array<struct<pos:int,letter:string>>"))
+    return F.when(seq.isNotNull(), F.struct(F.length(seq).alias("bases"), words.alias("words"), other.alias("other")))
+
+
+def unpack_bases(packed: Column) -> Column:
+    """What ``pack_bases`` packed."""
+    count = F.ceil(packed["bases"] / WORD).cast("int")
+    digits = F.hex(packed["words"])
+    word = lambda i: F.lpad(F.conv(F.substring(digits, i * (WORD // 2) + 1, F.lit(WORD // 2)), 16, 4), WORD, "0")
+    text = F.array_join(F.transform(F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>")), word), "")
+    plain = F.substring(F.translate(text, "0123", LETTERS), F.lit(1), packed["bases"])
+    first = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+    put = lambda acc, x: F.struct(F.concat(acc["done"], F.substring(plain, acc["at"] + 1, x["pos"] - acc["at"]), x["letter"]).alias("done"), (x["pos"] + 1).alias("at"))
+    mended = F.aggregate(packed["other"], first, put, lambda acc: F.concat(acc["done"], F.substring(plain, acc["at"] + 1, packed["bases"])))
+    return F.when(F.size(packed["other"]) > 0, mended).otherwise(plain)
+
+
+def decode_bases(column: str, kind: str) -> Column:
+    """Bases that are kept in one of four forms, by the column's type: text; bytes; numbers of letters; single letters, as
+    text or bytes."""
+    c = F.col(column)
+    if kind == "string":
+        return c
+    if kind == "binary":
+        return F.decode(c, "US-ASCII")
+    if kind in ("array<tinyint>", "array<smallint>", "array<int>", "array<bigint>"):
+        return F.array_join(F.transform(c, lambda x: F.char(x)), "")
+    if kind == "array<string>":
+        return F.array_join(c, "")
+    if kind == "array<binary>":
+        return F.array_join(F.transform(c, lambda x: F.decode(x, "US-ASCII")), "")
+    raise ValueError(f"{kind} holds no bases")

@@ -7,6 +7,7 @@ import itertools
 import warnings
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
@@ -320,17 +321,32 @@ def read_params(text: str) -> dict:
     return dict(ast.literal_eval(text))
 
 
-def fit_final(rows: DataFrame, model: str, params: dict, seed: int = 42, prepare: Callable[[DataFrame], Fitted] | None = None) -> Fitted:
-    """A function that gives (sample_id, label where known, score, pred) of new rows, fitted on all of ``rows``."""
+def fit_pipeline(rows: DataFrame, model: str, params: dict, seed: int = 42, prepare: Callable[[DataFrame], Fitted] | None = None) -> tuple[Any, Fitted]:
+    """(the fitted pipeline, the function that makes its features), fitted on all of ``rows``."""
     ready = prepare(rows) if prepare else lambda df: df
     train = _vectors(ready(rows)).persist()
     try:
-        fitted = create_model(model, len(train.first()["x"]), seed, **params).fit(train)
+        return create_model(model, len(train.first()["x"]), seed, **params).fit(train), ready
     finally:
         train.unpersist()
+
+
+def fit_final(rows: DataFrame, model: str, params: dict, seed: int = 42, prepare: Callable[[DataFrame], Fitted] | None = None) -> Fitted:
+    """A function that gives (sample_id, label where known, score, pred) of new rows, fitted on all of ``rows``."""
+    fitted, ready = fit_pipeline(rows, model, params, seed, prepare)
     return lambda df: _score(fitted.transform(_vectors(ready(df))))
 
 
+def infer_columns(names: Sequence[str], rows: int, prefix: str = "emb") -> tuple[list[str], list[str]]:
+    """(embedded, tabular) columns of a table that does not say which are which: by the prefix where some have it, else the
+    first ones are embedded, as many as there are rows, half of all at most."""
+    named = [n for n in names if n.startswith(prefix)]
+    if named:
+        return named, [n for n in names if n not in set(named)]
+    first = min(rows, len(names) // 2)
+    return list(names[:first]), list(names[first:])
+
+
 def ablation_summary(scores: DataFrame) -> DataFrame:
     """Mean and population deviation of each (module, model)'s fold scores."""
     return scores.groupBy("module", "model").agg(F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"))

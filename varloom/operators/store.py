@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from varloom.functions import sequences as S
+
+VECTORS = "sample_id string, variant_id string, model string, key string, vec array<float>"
 FORMATS = {"json": "json", "parquet": "parquet", "npz": "parquet", "hdf5": "parquet"}
 
 
@@ -58,6 +61,24 @@ def haplotype_table(rows: DataFrame) -> DataFrame:
     return rows.select("sample_id", F.concat_ws("_", "chrom", "pos", "ref", "alt", "direction").alias("name"), F.col("hap1.mut").alias("hap1"), F.col("hap2.mut").alias("hap2"))
 
 
+def pack_haplotypes(table: DataFrame) -> DataFrame:
+    """A table of haplotypes with its sequences at two bits a base, about a quarter of the size: ragged, a row for each
+    (sample_id, name)."""
+    return table.select("sample_id", "name", *[S.pack_bases(F.col(h)).alias(h) for h in ("hap1", "hap2")])
+
+
+def open_haplotypes(table: DataFrame) -> DataFrame:
+    """(sample_id, name, hap1, hap2) as text of a prebuilt table, whichever form its sequences are in."""
+    kinds = dict(table.dtypes)
+    text = lambda h: S.unpack_bases(F.col(h)) if kinds[h].startswith("struct<") else S.decode_bases(h, kinds[h])
+    return table.select("sample_id", "name", *[text(h).alias(h) for h in ("hap1", "hap2")])
+
+
+def clear_store(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
+    """Take all vectors out of a store; it can be read and appended to as before."""
+    spark.createDataFrame([], VECTORS).write.mode("overwrite").format(FORMATS.get(fmt, "json")).save(path)
+
+
 def haplotype_table_name(vcf: str, bed: str) -> str:
     """Folder of a prebuilt table: it follows from the two paths, not from what the files hold."""
     import hashlib

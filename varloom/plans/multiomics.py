@@ -104,7 +104,8 @@ def evaluated(predictions: DataFrame) -> dict[str, DataFrame]:
 def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, Any]:
     """scores, cv (means and best parameters), summary, comparison, best, predictions and metrics of all modules and
     models; written where output_dir is set.  ``predict`` is a function: it fits the best combination on all samples
-    and predicts the rows that it is given.  ``evaluated`` looks at the predictions of each module and model apart.
+    and predicts the rows that it is given, ``importances`` another: the features of that model, most important first.
+    ``params`` has the chosen parameters of each module and model.  ``evaluated`` looks at the predictions of each module and model apart.
 
     A module whose sources are not there is skipped.
     """
@@ -131,7 +132,7 @@ def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, Any]:
         raise ValueError("no module has all its sources")
     summary = learning.ablation_summary(scores)
     cv = reduce(DataFrame.unionByName, [learning.cv_summary(scores.filter(F.col("module") == m)).withColumn("module", F.lit(m)) for m in inputs])
-    out = {"scores": scores, "cv": cv, "summary": summary.orderBy(F.desc("mean_score"), "module", "model"), "comparison": learning.module_comparison(summary), "best": learning.best_combination(summary), "predictions": predictions, "metrics": metrics.confusion(predictions)}
+    out = {"scores": scores, "cv": cv, "summary": summary.orderBy(F.desc("mean_score"), "module", "model"), "comparison": learning.module_comparison(summary), "best": learning.best_combination(summary), "params": cv.select("module", "model", "best_params"), "predictions": predictions, "metrics": metrics.confusion(predictions)}
     if settings.output_dir:
         for name, df in out.items():
             if name == "predictions":
@@ -144,4 +145,12 @@ def run(spark: SparkSession, settings: OmicsSettings) -> dict[str, Any]:
         rows, prepare = inputs[best["module"]]
         return learning.fit_final(rows, best["model"], learning.read_params(best["best_params"]), settings.seed, prepare)(df)
 
-    return {**out, "predict": predict}
+    def importances() -> list[tuple[str, float, int]]:
+        best = out["best"].join(cv.select("module", "model", "best_params"), ["module", "model"]).first()
+        rows, prepare = inputs[best["module"]]
+        fitted, ready = learning.fit_pipeline(rows, best["model"], learning.read_params(best["best_params"]), settings.seed, prepare)
+        tabular = [c for c in rows.columns if c not in ("sample_id", "label", "emb")]
+        width = ready(rows).select(F.size("features")).first()[0]
+        return learning.importances(fitted, learning.feature_names(width - len(tabular), tabular))
+
+    return {**out, "predict": predict, "importances": importances}
