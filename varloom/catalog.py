@@ -514,14 +514,14 @@ for _how, _f in (("mean", "avg"), ("max", "max")):
     def _aggregate(spark, d, how=_how):
         return omics.aggregate_vectors(D.six_vectors(spark, d), "mut1", how).select("sample_id", rounded(F.col("vec"), 4).alias("vec"))
 
-    query(f"sample_embedding_{_how}", f"SELECT sample_id, array_to_string(list(printf('%.4f', round(x, 4) + 0.0) ORDER BY i), ',') AS vec FROM (SELECT sample_id, i, {_f}(mut1[cast(i as int)]) AS x FROM ({SIX_V}), range(1, 11) r(i) GROUP BY sample_id, i) GROUP BY sample_id")(_aggregate)
+    query(f"sample_embedding_{_how}", f"SELECT sample_id, array_to_string(list(printf('%.4f', round(x, 4) + 0.0) ORDER BY i), ',') AS vec FROM (SELECT sample_id, i, {_f}(mut1[cast(i as int)]) AS x FROM ({SIX_V}), range(1, {D.WIDTH + 1}) r(i) GROUP BY sample_id, i) GROUP BY sample_id")(_aggregate)
 
 # --- samples and features -----------------------------------------------------------------------------
 METAB = "SELECT concat('s', cast(c_custkey % 40 as varchar(20))) AS sample_id, cast(round(sum(c_acctbal), 2) as double) AS m1, cast(count(*) as double) AS m2 FROM {customer} WHERE c_custkey % 40 <> 7 GROUP BY 1"
 PHENO = "SELECT concat('s', cast(s_suppkey % 30 as varchar(20))) AS sample_id, cast(round(sum(s_acctbal), 2) as double) AS p1 FROM {supplier} WHERE s_suppkey % 30 <> 11 GROUP BY 1"
 LABEL = "SELECT concat('s', cast(doc_id % 28 as varchar(20))) AS sample_id, cast(max(toxic) as int) AS label FROM {labels} GROUP BY 1"
 METAB_SQL, PHENO_SQL, LABEL_SQL = D.oracle(METAB, "customer"), D.oracle(PHENO, "supplier"), D.oracle(LABEL, "labels")
-EMB_SQL = f"SELECT sample_id, count(*) AS variants FROM ({SIX_V}) GROUP BY sample_id"
+EMB_SQL = f"SELECT sample_id, array_to_string(list(printf('%.4f', round(x, 4) + 0.0) ORDER BY i), ',') AS vec FROM (SELECT sample_id, i, avg(mut1[cast(i as int)]) AS x FROM ({SIX_V}), range(1, {D.WIDTH + 1}) r(i) GROUP BY sample_id, i) GROUP BY sample_id"
 
 
 def sources(spark, d) -> dict[str, DataFrame]:
@@ -542,9 +542,9 @@ def sample_alignment(spark, d):
 
 def _matrix_sql(use) -> str:
     joins = "".join(f" JOIN ({ {'emb': EMB_SQL, 'metab': METAB_SQL, 'pheno': PHENO_SQL}[m]}) {m} USING (sample_id)" for m in use)
-    width = " + ".join({"emb": "10", "metab": "2", "pheno": "1"}[m] for m in use)
+    width = " + ".join({"emb": str(D.WIDTH), "metab": "2", "pheno": "1"}[m] for m in use)
     total = " + ".join({"metab": "metab.m1 + metab.m2", "pheno": "pheno.p1", "emb": "0.0"}[m] for m in use)
-    return f"SELECT sample_id, label, {width} AS width, round({total}, 2) AS tabular FROM ({LABEL_SQL}) l{joins}"
+    return f"SELECT sample_id, label, {width} AS width, round({total}, 2) AS tabular, {"emb.vec" if "emb" in use else "''"} AS embedding FROM ({LABEL_SQL}) l{joins}"
 
 
 for _name, _use in {"feature_matrix": omics.MODULES["all"], **{f"modality_subset_{k}": v for k, v in omics.MODULES.items()}}.items():
@@ -552,7 +552,7 @@ for _name, _use in {"feature_matrix": omics.MODULES["all"], **{f"modality_subset
     def _matrix(spark, d, use=_use):
         rows = omics.feature_matrix(sources(spark, d), sample_labels(spark, d), use)
         total = sum((F.aggregate(m, F.lit(0.0), lambda s, x: s + x) for m in use if m != "emb"), F.lit(0.0))
-        return rows.select("sample_id", "label", sum((F.size(m) for m in use), F.lit(0)).alias("width"), F.round(total, 2).alias("tabular"))
+        return rows.select("sample_id", "label", sum((F.size(m) for m in use), F.lit(0)).alias("width"), F.round(total, 2).alias("tabular"), (rounded(F.col("emb"), 4) if "emb" in use else F.lit("")).alias("embedding"))
 
     query(_name, _matrix_sql(_use))(_matrix)
 
@@ -593,9 +593,12 @@ def train_test_split(spark, d):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("numeric_columns", "SELECT column_name AS name FROM (DESCRIBE customer) WHERE regexp_matches(column_type, '^(TINYINT|SMALLINT|INTEGER|BIGINT|FLOAT|DOUBLE|DECIMAL)')")
+@query("numeric_columns", "SELECT name, n FROM (UNPIVOT (SELECT count(c_custkey) AS c_custkey, count(c_nationkey) AS c_nationkey, count(c_acctbal) AS c_acctbal FROM customer) ON COLUMNS(*) INTO NAME name VALUE n)")
 def numeric_columns(spark, d):
-    return spark.createDataFrame([(c,) for c in omics.numeric_columns(spark.read.parquet(f"{d}/customer.parquet"))], "name string")
+    """The numeric columns of a table, with the number of their known cells."""
+    table = spark.read.parquet(f"{d}/customer.parquet")
+    found = omics.numeric_columns(table)
+    return table.agg(*[F.count(c).alias(c) for c in found]).unpivot([], found, "name", "n")
 
 
 @query("select_features", f"SELECT vec_id, {_text('list_transform([1, 64, 6], lambda i: cast(embedding[i] as double))')} AS places, {_text('list_transform(range(1, 65, 2), lambda i: cast(embedding[i] as double))')} AS masked FROM embeddings")
@@ -637,9 +640,17 @@ def fold_balance(spark, d):
     return stratified_folds(spark, d).groupBy("label", "fold").agg(F.count("*").alias("n"))
 
 
-@query("param_grid", "SELECT c, k, d FROM (VALUES (0.1), (1.0), (10.0)) a(c), (VALUES ('linear'), ('rbf')) b(k), (VALUES (2), (3)) e(d)")
+@query("param_grid", f"""
+WITH f AS (SELECT g.k AS fold, count(*) FILTER (f.fold <> g.k) AS rows_fitted, count(*) FILTER (f.fold = g.k) AS rows_judged FROM ({FOLD_SQL}) f, (SELECT unnest(range({FOLDS})) AS k) g GROUP BY g.k)
+SELECT c, k, d, cast(fold as int) AS fold, rows_fitted, rows_judged FROM (VALUES (0.1), (1.0), (10.0)) a(c), (VALUES ('linear'), ('rbf')) b(k), (VALUES (2), (3)) e(d), f
+""")
 def param_grid(spark, d):
-    return learning.grid_frame(spark, {"c": [0.1, 1.0, 10.0], "k": ["linear", "rbf"], "d": [2, 3]}).withColumn("d", F.col("d").cast("int"))
+    """The fits of a search: each combination with each fold, and the rows that it is fitted and judged on."""
+    each = learning.stratified_folds(holes(spark, d), FOLDS).groupBy("fold").agg(F.count("*").alias("rows_judged"))
+    every = each.agg(F.sum("rows_judged").alias("_all"))
+    folds = each.crossJoin(F.broadcast(every)).select("fold", (F.col("_all") - F.col("rows_judged")).alias("rows_fitted"), "rows_judged")  # a row for each fold
+    grid = learning.grid_frame(spark, {"c": [0.1, 1.0, 10.0], "k": ["linear", "rbf"], "d": [2, 3]})
+    return grid.crossJoin(F.broadcast(folds)).select("c", "k", F.col("d").cast("int").alias("d"), "fold", "rows_fitted", "rows_judged")
 
 
 # --- metrics ------------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,20 +40,20 @@ def sample_archives(vectors: DataFrame) -> DataFrame:
 
 
 def write_archives(vectors: DataFrame, path: str) -> None:
-    """sample_archives as files {sample_id}.npz in a folder that every executor sees."""
+    """sample_archives as files {sample_id}.npz in a folder of any store that Arrow's file systems know and all tasks see.
+    A file is whole or not there: a store of objects shows it when it is closed, others are given a new name then."""
 
     def put(rows: Iterator) -> None:
-        import os
+        from pyarrow.fs import FileSystem, LocalFileSystem
 
+        where, top = FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (LocalFileSystem(), path)
+        where.create_dir(top, recursive=True)
         for row in rows:
-            part = os.path.join(path, f".{row['sample_id']}.{os.getpid()}")
-            with open(part, "wb") as f:
+            part = f"{top}/.{row['sample_id']}.{uuid.uuid4().hex}"
+            with where.open_output_stream(part) as f:
                 f.write(row["content"])
-            os.replace(part, os.path.join(path, f"{row['sample_id']}.npz"))  # a task that runs again writes the same
+            where.move(part, f"{top}/{row['sample_id']}.npz")  # a task that runs again writes the same
 
-    import os
-
-    os.makedirs(path, exist_ok=True)
     sample_archives(vectors).foreachPartition(put)
 
 

@@ -68,7 +68,9 @@ SELECT concat('chr', cast(o_orderkey % 3 + 1 as varchar(20))) AS chrom, cast((o_
 FROM {orders}
 """
 
-#: Six vectors of ten numbers for each (sample, variant); some without the second haplotype or the reference.
+#: Six vectors for each (sample, variant), a whole embedding turned by ten places more each; some without the second
+#: haplotype or the reference.
+WIDTH, TURN = 64, 10
 SIX_VECTORS = """
 SELECT concat('s', cast(vec_id % 25 as varchar(20))) AS sample_id, cast(floor(vec_id / 25) as bigint) AS ord, label,
        {slice0} AS mut1, {slice1} AS wt1,
@@ -79,8 +81,10 @@ FROM {{embeddings}}
 
 
 def six_vectors_sql(engine: str) -> str:
-    part = (lambda i: f"slice(cast(embedding as array<double>), {10 * i + 1}, 10)") if engine == "spark" else (lambda i: f"cast(list_slice(embedding, {10 * i + 1}, {10 * i + 10}) as double[])")
-    return SIX_VECTORS.format(**{f"slice{i}": part(i) for i in range(6)})
+    e = "cast(embedding as array<double>)" if engine == "spark" else "cast(embedding as double[])"
+    cut = (lambda a, n: f"slice({e}, {a}, {n})") if engine == "spark" else (lambda a, n: f"list_slice({e}, {a}, {a + n - 1})")
+    turned = lambda k: f"concat({cut(k + 1, WIDTH - k)}, {cut(1, k)})" if engine == "spark" else f"list_concat({cut(k + 1, WIDTH - k)}, {cut(1, k)})"
+    return SIX_VECTORS.format(**{f"slice{i}": turned(TURN * i) if i else e for i in range(6)})
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
