@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varloom.llm import line_dedup, turn_repair
+from varloom.llm import best_fit_packing, chat_paths, difference_shards, kneser_ney_toxicity, line_dedup, turn_repair, warc_chain
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -174,3 +174,72 @@ def test_op12(spark):
         turns.sort()
         want = whole_row([t[0] for t in turns], [t[1:] for t in turns]) if turns else (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
         assert got[conv] == want
+
+
+LARGER = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test data")
+def test_op7_tells_toxic_texts_that_it_has_not_learned_from(spark):
+    out = kneser_ney_toxicity.op7_kneser_ney_toxicity(spark, LARGER).filter("held_out").join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id").select("toxic", "score", "predicted").collect()
+    toxic, clean = ([r for r in out if r["toxic"] == c] for c in (1, 0))
+    above = sum((t["score"] > c["score"]) + 0.5 * (t["score"] == c["score"]) for t in toxic for c in clean) / (len(toxic) * len(clean))
+    assert above > 0.85 and sum(t["predicted"] for t in toxic) > 0.75 * len(toxic)
+    assert sum(c["predicted"] for c in clean) < 0.01 * len(clean)
+
+
+def test_clashing_columns_and_long_texts(spark, tmp_path):
+    clash = lambda df: df.withColumns({c: F.lit(5) for c in ("id", "row", "half", "bytes", "hash", "label", "kind", "digest", "page", "offset", "payload", "node", "conv")})
+    long = "calm words of a text that goes on and on. " * 25_000
+    docs = spark.createDataFrame([(i, ("nasty slurry blight " if i % 3 == 0 else "calm words of a text ") * 9, i % 3 == 0) for i in range(900)] + [(1000, long, False), (1001, None, True)], "doc_id long, text string, t boolean")
+    labels = docs.select("doc_id", F.col("t").cast("int").alias("toxic")).unionByName(spark.createDataFrame([(3, None), (None, 1)], "doc_id long, toxic int"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    got = rows(kneser_ney_toxicity.score_toxicity(docs.drop("t"), labels))
+    assert len(got) == 902 and got == rows(kneser_ney_toxicity.score_toxicity(clash(docs.drop("t")), clash(labels)))
+    marked = {r["doc_id"]: r["predicted"] for r in kneser_ney_toxicity.score_toxicity(docs.drop("t"), labels).collect()}
+    assert marked[0] == 1 and marked[1] == marked[1000] == marked[1001] == 0
+    pages = spark.createDataFrame([(1, "u", long), (2, "u", long), (3, None, None), (None, "v", "x")], "page_id long, url string, html string")
+    for n, given in enumerate((pages, clash(pages))):
+        warc_chain.write_warc(given, f"{tmp_path}/w{n}")
+    back = [sorted(map(str, warc_chain.verified_records(spark, f"{tmp_path}/w{n}").drop("path", "file", "at", "offset", "begin", "finish").collect())) for n in (0, 1)]
+    assert len(back[0]) == 4 and len(back[1]) == 4
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")
+    assert chat_paths.read_back(chat_paths.format_paths(chat_paths.linear_tree(turns))).first()["loss_text"] == long
+
+
+def test_shards_of_ties_and_rows_without_ids(spark):
+    docs = spark.createDataFrame([(None, "a"), (None, "a"), (1, "b"), (1, "c"), (2, None), (3, ""), (4, "x" * 100_000)] + [(10 + i, f"t{i % 40:02d}") for i in range(400)], "doc_id long, text string")
+    out = difference_shards.shard_documents(docs, 8).toPandas()
+    assert len(out) == 407 and out["doc_id"].isna().sum() == 2
+    assert all(sorted(g) == list(range(len(g))) for _, g in out.groupby("shard")["slot"])
+    totals = out.groupby("shard")["size"].sum().sort_values()
+    assert totals.iloc[-1] == 100_001 and totals.iloc[-2] - totals.iloc[0] <= 40  # the long text alone, the others even
+    again = difference_shards.shard_documents(docs, 8).toPandas()
+    assert sorted(map(str, again.itertuples(index=False))) == sorted(map(str, out.itertuples(index=False)))
+
+
+def test_packing_odd_rows_and_tiny_exhaustive(spark):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    path = tokenizers.path("word_bpe_49k.json")
+    odd = spark.createDataFrame([(None, None), (1, ""), (1, "a b"), (2, "a b")], "doc_id long, text string").withColumns({"length": F.lit("x"), "piece": F.lit(9), "sequence_id": F.lit(1)})
+    out = best_fit_packing.best_fit_packing(odd, path).toPandas()
+    assert len(out) == 4 and out["sequence_id"].nunique() == 1 and sorted(out["length"]) == [1, 1, 3, 3]
+    assert best_fit_packing.best_fit_packing(odd.filter("false"), path).count() == 0
+    # As few sequences as any packing needs, on inputs small enough to try all.
+    rng = random.Random(4)
+    for _ in range(4):
+        docs = [(i, "a " * rng.randrange(1, 11)) for i in range(7)]
+        got = best_fit_packing.best_fit_packing(spark.createDataFrame(docs, "doc_id long, text string"), path, capacity=12).toPandas()
+        sizes = got["length"].tolist()
+
+        def fewest(left, bins):
+            if not left:
+                return len(bins)
+            best = len(bins) + len(left)
+            for k in range(len(bins)):
+                if bins[k] + left[0] <= 12:
+                    best = min(best, fewest(left[1:], [*bins[:k], bins[k] + left[0], *bins[k + 1 :]]))
+            return min(best, fewest(left[1:], [*bins, left[0]]))
+
+        assert got["sequence_id"].nunique() <= fewest(sorted(sizes, reverse=True), []) + 1
+        assert (got.groupby("sequence_id")["length"].sum() <= 12).all()

@@ -6,7 +6,8 @@ bins at a time; pieces then find their place from their rank within their length
 nor any task holds a list of documents.
 
 Null text counts as empty and has the end id alone; rows that repeat an id are packed each, and those with a null
-id too; pieces of equal length are placed in the order of id, piece and checksum; an empty table gives an empty result.
+id too; pieces of equal length are placed in the order of a hash, and of id, piece and checksum where that is equal; an
+empty table gives an empty result.
 Further columns, whatever their names, are not looked at.
 """
 

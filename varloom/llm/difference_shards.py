@@ -6,8 +6,10 @@ place: each bucket of some thousand groups is differenced by a task into ``LANES
 the indivisible items of the next level, and the last level, of some thousand items, is differenced into
 shards.  A very large group keeps a lane of its own, so that the last level can even it out.
 
-Groups are texts that are equal byte for byte (by 128-bit hash); null counts as the empty text.  Rows
-that repeat an id are rows of their own; an empty table gives an empty result.
+Groups are texts with one 128-bit hash, which stands for their bytes (they are not compared again); null counts as the
+empty text.  Rows that repeat an id, and rows without one, are rows of their own; groups of equal size are taken in the
+order of their hashes; a text that is larger than a shard's share makes its shard the largest; an empty table gives
+an empty result.  Further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

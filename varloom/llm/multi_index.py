@@ -12,7 +12,9 @@ are clustered, however many there are, and long where they are not.  Every vecto
 entries, dealt out in blocks of rows and of queries.
 
 Vectors that are null, of another length than most, zero, or with a null or non-finite component take no part, nor
-do rows with a null id.  Rows that repeat an id are candidates each; a query never finds rows of its own id.  Equal
+do rows with a null id.  Rows that repeat an id are candidates each; a query never finds rows of its own id.
+Query rows of one id are one query with several vectors: its list has the nearest to any of them, a candidate once for
+each vector that it is near to.  Equal
 distances rank by id.  An empty table gives an empty result.  Further columns, whatever their names, are not looked at.
 """
 
