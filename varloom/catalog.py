@@ -149,11 +149,12 @@ def fetch_windows(spark, d):
     return rows.join(found, where).select("sample_id", G.variant_id().alias("variant_id"), "direction", "wt_ref")
 
 
-@query("background_join_intervals", f"SELECT i.sample_id, {VID.replace('chrom', 'i.chrom').replace('pos', 'i.pos').replace('ref', 'i.ref').replace('alt', 'i.alt')} AS variant_id, i.direction, count(p.bpos) AS n FROM ({SPLIT_SQL}) i LEFT JOIN (__PAIRS__) p USING (sample_id, chrom, pos, ref, alt, direction) GROUP BY ALL")
+@query("background_join_intervals", "__BACKGROUND__")
 def background_join_intervals(spark, d):
     """The same background for intervals that need not be those of the variants: a range join by bins."""
     rows = G.background_join(intervals(spark, d), D.variants(spark, d))
-    return rows.select("sample_id", G.variant_id().alias("variant_id"), "direction", F.size("background").cast("bigint").alias("n"))
+    text = F.array_join(F.transform("background", lambda v: F.concat(v["pos"].cast("string"), v["ref"], F.lit(">"), v["alt"])), ",")
+    return rows.select("sample_id", G.variant_id().alias("variant_id"), "direction", F.size("background").cast("bigint").alias("n"), text.alias("background"))
 
 
 @query("mut_ref_inject", f"SELECT sample_id, {VID} AS variant_id, direction, mut_ref FROM ({MUTREF_SQL})")
@@ -173,9 +174,6 @@ FROM ({SPLIT_SQL}) i JOIN ({V_SQL}) v ON i.sample_id = v.sample_id AND i.chrom =
 """
 
 
-ORACLES["background_join_intervals"] = ORACLES["background_join_intervals"].replace("__PAIRS__", PAIRS_SQL)
-
-
 def with_background(spark, d):
     """Intervals with their windows, fetched once the background is there."""
     rows = G.split_with_background(D.variants(spark, d), N, longest=D.LONGEST_REF)
@@ -229,9 +227,10 @@ def six(spark, d):
     return G.six_sequences(with_background(spark, d))
 
 
-@query("inject_center", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut, alias1 AS wt_is_alias FROM ({SIX_SQL})")
+@query("inject_center", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut, alias1 AS wt_is_alias, m2 AS mut2, alias2 AS wt_is_alias2 FROM ({SIX_SQL})")
 def inject_center(spark, d):
-    return six(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("hap1.mut").alias("mut"), F.col("hap1.wt_is_alias").alias("wt_is_alias"))
+    second = [F.col("hap2.mut").alias("mut2"), F.col("hap2.wt_is_alias").alias("wt_is_alias2")]
+    return six(spark, d).select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("hap1.mut").alias("mut"), F.col("hap1.wt_is_alias").alias("wt_is_alias"), *second)
 
 
 @query("six_seqs", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS hap1_mut, w1 AS hap1_wt, alias1 AS hap1_alias, m2 AS hap2_mut, w2 AS hap2_wt, alias2 AS hap2_alias, mut_ref AS ref_mut, wt_ref AS ref_wt FROM ({SIX_SQL})")
@@ -284,15 +283,19 @@ def legacy_window(spark, d):
     return out.withColumns({f"rc{h}": S.reverse_complement(F.col(f"hap{h}")) for h in (1, 2)})
 
 
+_restored = lambda h: f"CASE WHEN a{h} = 1 THEN coalesce(CASE WHEN o{h} >= 0 AND o{h} + length(alt) <= length(m{h}) THEN substr(m{h}, 1, cast(o{h} as int)) || ref || substr(m{h}, cast(o{h} + length(alt) + 1 as int)) END, m{h}) ELSE m{h} END"
+
+
 @query("six_of_haplotypes", f"""
-SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut, CASE WHEN a1 = 1 THEN coalesce(CASE WHEN o >= 0 AND o + length(alt) <= length(m1) THEN substr(m1, 1, cast(o as int)) || ref || substr(m1, cast(o + length(alt) + 1 as int)) END, m1) ELSE m1 END AS wt
-FROM (SELECT *, CASE direction WHEN 'upstream' THEN length(m1) - length(alt) - 1 ELSE 1 END AS o FROM ({SIX_SQL}))
+SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut, {_restored(1)} AS wt, m2 AS mut2, {_restored(2)} AS wt2
+FROM (SELECT *, {', '.join(f"CASE direction WHEN 'upstream' THEN length(m{h}) - length(alt) - 1 ELSE 1 END AS o{h}" for h in (1, 2))} FROM ({SIX_SQL}))
 """)
 def six_of_haplotypes(spark, d):
     """The six sequences out of a table of haplotypes that were built beforehand."""
     built = six(spark, d).select("sample_id", "name", F.col("hap1.mut").alias("hap1"), F.col("hap2.mut").alias("hap2"))
     out = G.six_of_haplotypes(windows(spark, d), built)
-    return out.select("sample_id", G.variant_id().alias("variant_id"), "direction", F.col("hap1.mut").alias("mut"), F.col("hap1.wt").alias("wt"))
+    parts = [F.col(f"hap{h}.{c}").alias(c if h == 1 else f"{c}2") for h in (1, 2) for c in ("mut", "wt")]
+    return out.select("sample_id", G.variant_id().alias("variant_id"), "direction", *parts)
 
 
 @query("packed_haplotypes", f"""
@@ -323,6 +326,9 @@ def tail_width(spark, d):
     return D.variants(spark, d).select("sample_id", G.variant_id().alias("variant_id"), S.tail_width(F.col("alt")).alias("w_mut"), S.tail_width(F.col("ref")).alias("w_wt"))
 
 
+ORACLES["background_join_intervals"] = ORACLES["background_join"]
+
+
 # --- encoding -----------------------------------------------------------------------------------------
 SLOT_SQL = " UNION ALL ".join(
     f"SELECT sample_id, variant_id, '{key}' AS key, direction, CASE direction WHEN 'downstream' THEN {_rc(c)} ELSE {c} END AS seq, length({a}) + 2 AS w FROM six"
@@ -820,12 +826,14 @@ def round_robin_buckets(spark, d):
     return store.round_robin(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_name").alias("sample_id")), 4)
 
 
-@query("sample_store_json", f"SELECT sample_id, count(*) AS variants, round(sum(list_sum(mut1)), 3) AS total FROM ({SIX_V}) GROUP BY sample_id")
+@query("sample_store_json", f"SELECT sample_id, 'v' || cast(ord as varchar) AS variant_id, {_text('mut1')} AS mut1, {_text('wt1')} AS wt1 FROM ({SIX_V})")
 def sample_store_json(spark, d):
-    long = D.six_vectors(spark, d).select("sample_id", F.concat(F.lit("v"), F.col("ord").cast("string")).alias("variant_id"), F.lit("toy").alias("model"), F.lit("Mut_hap1").alias("key"), F.col("mut1").alias("vec"))
+    """Records of samples as JSON, read back."""
+    slots = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).alias("vec")) for k, c in (("Mut_hap1", "mut1"), ("WT_hap1", "wt1"))])).alias("x")
+    long = D.six_vectors(spark, d).select("sample_id", F.concat(F.lit("v"), F.col("ord").cast("string")).alias("variant_id"), F.lit("toy").alias("model"), slots).select("sample_id", "variant_id", "model", "x.*")
     text = store.sample_records(long).select("sample_id", F.to_json("embeddings").alias("json"))
     back = text.select("sample_id", F.explode(F.from_json("json", "map<string, map<string, map<string, array<double>>>>")).alias("variant_id", "models"))
-    return back.groupBy("sample_id").agg(F.count("*").alias("variants"), F.round(F.sum(F.aggregate(F.col("models")["toy"]["Mut_hap1"], F.lit(0.0), lambda s, x: s + x)), 3).alias("total"))
+    return back.select("sample_id", "variant_id", *[rounded(F.col("models")["toy"][k]).alias(c) for k, c in (("Mut_hap1", "mut1"), ("WT_hap1", "wt1"))])
 
 
 @query("haplotype_store_json", f"SELECT sample_id, {VID} AS variant_id, direction, m1 AS mut1, alias2 AS alias2, wt_ref FROM ({SIX_SQL})")
