@@ -46,6 +46,9 @@ class Settings:
 
 
 VARIANT = ["chrom", "pos", "ref", "alt"]
+#: The two tables; named, as a table without rows yet has no file that tells.
+INDEX = "chrom string, pos long, ref string, alt string, direction string, slot string, key string"
+CACHE = "key string, w int, vec array<float>, prefix string"
 
 
 def called_variants(calls: DataFrame) -> DataFrame:
@@ -71,13 +74,13 @@ def take_up(calls: DataFrame, settings: Settings, number: int = 0) -> None:
     index, cache = f"{settings.output}/variants", f"{settings.output}/sequences"
     variants = called_variants(watched.rows(calls, "calls"))
     if files.exists(spark, index):
-        variants = variants.join(spark.read.parquet(index).select(*VARIANT).distinct(), VARIANT, "left_anti")
+        variants = variants.join(spark.read.schema(INDEX).parquet(index).select(*VARIANT).distinct(), VARIANT, "left_anti")
     genome = files.read_fasta(spark, settings.genome) if settings.genome else files.cut_contigs(D.contigs(spark))
     slots = reference_slots(variants, genome, settings.flank, settings.pooling).persist()  # written twice: as sequences and as an index
     try:
         wanted = slots.select("key", "seq", "w").dropDuplicates(["key"])
         if files.exists(spark, cache):
-            wanted = wanted.join(spark.read.parquet(cache).select("key"), "key", "left_anti")
+            wanted = wanted.join(spark.read.schema(CACHE).parquet(cache).select("key"), "key", "left_anti")
         made = encode.encode_distinct(wanted, make_encoder(settings.encoder), settings.pooling).filter("vec is not null")
         keyed = made.select(S.cache_key(F.col("seq"), F.col("w"), settings.pooling).alias("key"), "w", "vec")
         watched.rows(keyed.withColumn("prefix", F.substring("key", 1, 1)), "sequences").hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(cache)
@@ -107,7 +110,7 @@ def run(spark: SparkSession, settings: Settings) -> int:
 
 def read_back(spark: SparkSession, output: str) -> DataFrame:
     """The index with the vectors: (chrom, pos, ref, alt, direction, slot, key, vec)."""
-    return spark.read.parquet(f"{output}/variants").join(spark.read.parquet(f"{output}/sequences").select("key", "vec"), "key")
+    return spark.read.schema(INDEX).parquet(f"{output}/variants").join(spark.read.schema(CACHE).parquet(f"{output}/sequences").select("key", "vec"), "key")
 
 
 def job2_sequence_cache(spark: SparkSession, sf_dir: str) -> DataFrame:

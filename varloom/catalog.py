@@ -756,6 +756,15 @@ def boosted_first_split(spark, d):
     return found.select(F.col("j").alias("feature"), F.round("cut", 6).alias("cut"), F.round("gain", 6).alias("gain"))
 
 
+@query("split_gain_rank", f"SELECT 'emb_' || cast(feature as varchar) AS feature, gain AS importance, cast(row_number() OVER (ORDER BY gain DESC, 'emb_' || cast(feature as varchar)) as int) AS rank FROM ({ORACLES['boosted_first_split']})")
+def split_gain_rank(spark, d):
+    """Features by the gain of the tree of one split that each would make."""
+    gains = [r["gain"] for r in boosted_first_split(spark, d).orderBy("feature").collect()]  # a row for each feature
+    stump = type("Stump", (), {"importances": gains})
+    ranked = learning.importances(type("Fitted", (), {"stages": [stump]}), [f"emb_{i}" for i in range(len(gains))])
+    return spark.createDataFrame(ranked, "feature string, importance double, rank int")
+
+
 for _name, _model, _grid in (
     ("cv_svm_rbf", "svm", {"C": [0.1, 1.0], "kernel": ["rbf"], "gamma": ["scale"], "features": [128], "max_iter": [20]}),
     ("cv_xgboost", "xgboost", {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1], "subsample": [0.8, 1.0]}),
