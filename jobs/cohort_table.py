@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from varloom.operators import learning, omics
 from varloom.sources.scratch import kept, new_folder
 
-from .common import Watched, command_line, log
+from .common import command_line, log
 
 
 @dataclass
@@ -73,16 +73,17 @@ def cohort(documents: DataFrame, embeddings: DataFrame, labels: DataFrame, setti
     return learning.impute_by_fold(dealt, GAPS, settings.folds, settings.fill)
 
 
-def run(spark: SparkSession, settings: Settings) -> dict[str, dict]:
-    """Write the table; gives the numbers of rows read and written, by name."""
-    watched = Watched()
-    read = {name: watched.rows(spark.read.parquet(getattr(settings, name)), name) for name in ("documents", "embeddings", "labels")}
-    out = watched.rows(cohort(*read.values(), settings), "output", labelled=F.sum("label"))
-    out.select("sample_id", "label", "embedding", *PHENOME, "fold").write.mode("overwrite").partitionBy("fold").parquet(settings.output)
-    found = watched.report()
-    for name in read:
-        log.info("read %s rows of %s", found[name]["rows"], getattr(settings, name))
-    log.info("wrote %s patients, %s of them labelled 1, to %s in %s folds", found["output"]["rows"], found["output"].get("labelled"), settings.output, settings.folds)
+def run(spark: SparkSession, settings: Settings) -> dict[str, int]:
+    """Write the table; gives the numbers of rows read and written, by name (counts of files, which read no column)."""
+    sources = {name: spark.read.parquet(getattr(settings, name)) for name in ("documents", "embeddings", "labels")}
+    found = {name: source.count() for name, source in sources.items()}
+    for name, rows in found.items():
+        log.info("reading %s rows of %s", rows, getattr(settings, name))
+    table = cohort(*sources.values(), settings).select("sample_id", "label", "embedding", *PHENOME, "fold")
+    table.write.mode("overwrite").partitionBy("fold").parquet(settings.output)
+    written = spark.read.schema(table.schema).parquet(settings.output).groupBy("label").count().collect()  # a row for each label
+    found["output"] = sum(r["count"] for r in written)
+    log.info("wrote %s patients (%s) to %s in %s folds", found["output"], ", ".join(f"{r['count']} labelled {r['label']}" for r in sorted(written)), settings.output, settings.folds)
     return found
 
 

@@ -28,7 +28,7 @@ from varloom.sources import files
 from varloom.sources.scratch import new_folder
 from varloom.streaming import ingest
 
-from .common import Watched, command_line, log
+from .common import command_line, log
 
 
 @dataclass
@@ -70,9 +70,11 @@ def reference_slots(variants: DataFrame, genome: DataFrame, flank: int, pooling:
 
 def take_up(calls: DataFrame, settings: Settings, number: int = 0) -> None:
     """One batch: what the index and the cache lack of its variants is added to them."""
-    spark, watched = calls.sparkSession, Watched()
+    spark = calls.sparkSession
     index, cache = f"{settings.output}/variants", f"{settings.output}/sequences"
-    variants = called_variants(watched.rows(calls, "calls"))
+    rows = lambda path, schema: spark.read.schema(schema).parquet(path).count() if files.exists(spark, path) else 0
+    before = rows(cache, CACHE), rows(index, INDEX)
+    variants = called_variants(calls)
     if files.exists(spark, index):
         variants = variants.join(spark.read.schema(INDEX).parquet(index).select(*VARIANT).distinct(), VARIANT, "left_anti")
     genome = files.read_fasta(spark, settings.genome) if settings.genome else files.cut_contigs(D.contigs(spark))
@@ -83,12 +85,11 @@ def take_up(calls: DataFrame, settings: Settings, number: int = 0) -> None:
             wanted = wanted.join(spark.read.schema(CACHE).parquet(cache).select("key"), "key", "left_anti")
         made = encode.encode_distinct(wanted, make_encoder(settings.encoder), settings.pooling).filter("vec is not null")
         keyed = made.select(S.cache_key(F.col("seq"), F.col("w"), settings.pooling).alias("key"), "w", "vec")
-        watched.rows(keyed.withColumn("prefix", F.substring("key", 1, 1)), "sequences").hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(cache)
-        ingest.append_new(watched.rows(slots.select(*VARIANT, "direction", "slot", "key"), "slots"), index, [*VARIANT, "direction", "slot"], "chrom")
+        keyed.withColumn("prefix", F.substring("key", 1, 1)).hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(cache)
+        ingest.append_new(slots.select(*VARIANT, "direction", "slot", "key"), index, [*VARIANT, "direction", "slot"], "chrom")
     finally:
         slots.unpersist()
-    found = watched.report()
-    log.info("batch %s: read %s rows of %s; wrote %s sequences to %s and %s slots to %s", number, found["calls"]["rows"], settings.calls, found["sequences"]["rows"], cache, found["slots"]["rows"], index)
+    log.info("batch %s: read %s rows of %s; wrote %s sequences to %s and %s slots to %s", number, calls.count(), settings.calls, rows(cache, CACHE) - before[0], cache, rows(index, INDEX) - before[1], index)
 
 
 def run(spark: SparkSession, settings: Settings) -> int:
