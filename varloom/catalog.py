@@ -766,7 +766,7 @@ def split_gain_rank(spark, d):
 
 
 for _name, _model, _grid in (
-    ("cv_svm_rbf", "svm", {"C": [0.1, 1.0], "kernel": ["rbf"], "gamma": ["scale"], "features": [128], "max_iter": [20]}),
+    ("cv_svm_rbf", "svm", {"C": [0.1, 1.0], "kernel": ["rbf"], "gamma": ["scale"], "features": [64], "max_iter": [10]}),
     ("cv_xgboost", "xgboost", {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1], "subsample": [0.8, 1.0]}),
     ("cv_early_mlp", "mlp", {"hidden_layer_sizes": [[8]], "activation": ["relu", "tanh"], "alpha": [0.1], "early_stopping": [True], "validation_fraction": [0.2], "max_iter": [40]}),
 ):

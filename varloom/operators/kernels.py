@@ -93,7 +93,7 @@ def platt(margins: DataFrame) -> tuple[float, float]:
     target = F.when(F.col("y") == 1, (pos + 1) / (pos + 2)).otherwise(1 / (neg + 2))
     both = margins.select("m", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), target.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w")))).alias("x"))
     rows = both.select(array_to_vector(F.array("m")).alias("m"), "x.y", "x.w")
-    fitted = LogisticRegression(featuresCol="m", labelCol="y", weightCol="w", standardization=True).fit(rows)
+    fitted = LogisticRegression(featuresCol="m", labelCol="y", weightCol="w", maxIter=25).fit(rows)
     return float(fitted.coefficients[0]), float(fitted.intercept)
 
 
