@@ -114,8 +114,9 @@ def _encoded(need: DataFrame, encoder: Encoder, methods: Sequence[str]) -> DataF
                 columns = [batch.column("key").take(pa.array(owners)), pa.array(widths, pa.int32(), mask=widths < 0)]
                 for m in methods:
                     x = pool_batch(states, owners, widths, m).astype(np.float32)
-                    offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], mask=np.append(bad, False)) if bad.any() else pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
-                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(x.ravel())))
+                    offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+                    # A null among the offsets would lengthen the list before it: nulls are a mask of their own.
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(x.ravel()), mask=pa.array(bad) if bad.any() else None))
                 columns.append(pa.array([errors[i] for i in owners], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
