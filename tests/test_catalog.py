@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from jobs import registry
-from varloom import catalog
+from varloom import catalog, catalog_files  # noqa: F401 - the second one adds to the first
 
 QUERIES, ORACLES = {**catalog.QUERIES, **registry.QUERIES}, {**catalog.ORACLES, **registry.ORACLES}
 

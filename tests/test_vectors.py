@@ -135,3 +135,15 @@ def test_one_sequence_in_most_slots(spark, monkeypatch):
     monkeypatch.setattr(encode, "sequence_key", lambda seq: F.unhex(F.md5(F.lit("same"))))
     with pytest.raises(ValueError, match="one hash"):
         encode.bulk_embed(keyed, encoder, ["mean"])
+
+
+def test_sequences_beside_a_failing_one_keep_their_width(spark):
+    from varloom.catalog_files import PickyEncoder
+    from varloom.operators import encode
+
+    rows = [("A" * n, w) for n in range(1, 40) for w in (None, 3)]
+    found = encode.encode_distinct(spark.createDataFrame(rows, "seq string, w int").coalesce(1), PickyEncoder()).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r["vec"] is None) == (len(r["seq"]) % 5 == 0) == (r["error"] is not None)
+        assert r["vec"] is None or len(r["vec"]) == 8

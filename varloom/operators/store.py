@@ -39,9 +39,14 @@ def sample_archives(vectors: DataFrame) -> DataFrame:
     return vectors.select("sample_id", "variant_id", "model", "key", "vec").groupBy("sample_id").applyInPandas(pack, "sample_id string, content binary")
 
 
-def write_archives(vectors: DataFrame, path: str) -> None:
-    """sample_archives as files {sample_id}.npz in a folder of any store that Arrow's file systems know and all tasks see.
-    A file is whole or not there: a store of objects shows it when it is closed, others are given a new name then."""
+def sample_documents(vectors: DataFrame) -> DataFrame:
+    """(sample_id, content): each sample's record as JSON, in UTF-8; as for archives, a sample is one file."""
+    return sample_records(vectors).select("sample_id", F.encode(F.to_json(F.struct("embeddings")), "UTF-8").alias("content"))
+
+
+def write_files(contents: DataFrame, path: str, suffix: str) -> None:
+    """(sample_id, content) as files {sample_id}{suffix} in a folder of any store that Arrow's file systems know and all
+    tasks see.  A file is whole or not there: a store of objects shows it when it is closed, others are given a new name then."""
 
     def put(rows: Iterator) -> None:
         from pyarrow.fs import FileSystem, LocalFileSystem
@@ -52,9 +57,19 @@ def write_archives(vectors: DataFrame, path: str) -> None:
             part = f"{top}/.{row['sample_id']}.{uuid.uuid4().hex}"
             with where.open_output_stream(part) as f:
                 f.write(row["content"])
-            where.move(part, f"{top}/{row['sample_id']}.npz")  # a task that runs again writes the same
+            where.move(part, f"{top}/{row['sample_id']}{suffix}")  # a task that runs again writes the same
+
+    contents.select("sample_id", "content").foreachPartition(put)
+
+
+def write_archives(vectors: DataFrame, path: str) -> None:
+    """A compressed array file for each sample: {sample_id}.npz."""
+    write_files(sample_archives(vectors), path, ".npz")
+
 
-    sample_archives(vectors).foreachPartition(put)
+def write_documents(vectors: DataFrame, path: str) -> None:
+    """A JSON file for each sample: {sample_id}.json, as read_sample_json reads them."""
+    write_files(sample_documents(vectors), path, ".json")
 
 
 def haplotype_table(rows: DataFrame) -> DataFrame:
