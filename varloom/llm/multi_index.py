@@ -9,7 +9,7 @@ with more centroids the more vectors there are.  ``want`` is measured, not assum
 queries, are compared with every row once, in blocks, and the walks of ``recall`` of their true nearest end
 within ``want`` entries.  So the walk is as long as this table needs: short where vectors
 are clustered, however many there are, and long where they are not.  Every vector is indexed.  Cells hold any number of
-entries, dealt out in blocks of rows and of queries.
+entries; runs of cells with about a block of entries are what queries are sent to, cells with more are dealt out in blocks.
 
 Vectors that are null, of another length than most, zero, or with a null or non-finite component take no part, nor
 do rows with a null id.  Rows that repeat an id are candidates each; a query never finds rows of its own id.
@@ -167,37 +167,73 @@ class MultiIndex:
         release()
         return min(self.rows, int(np.quantile(seen, recall, method="higher"))) if seen else self.rows
 
-    def search(self, is_query: str) -> DataFrame:
-        """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which ``is_query``, a SQL condition on
-        the ``id``, holds."""
-        indexed, books, k, half, want = self.entries, self.books, self.k, self.half, self.want + self.k
-        shared = indexed.sparkSession.sparkContext.broadcast(self.counts)
+    def _runs(self) -> np.ndarray:
+        """A number for each cell (i, j): i's cells are cut into runs of about ROW_BLOCK entries, a cell with more alone.
+
+        Second halves are taken in the order of their largest spread, so that a run's cells are near to each other and few
+        queries choose among them."""
+        second = self.books.value[1]
+        spread = second - second.mean(0)
+        line = np.argsort(spread @ np.linalg.svd(spread, full_matrices=False)[2][0], kind="stable") if second.shape[1] else np.arange(len(second))
+        sizes = np.zeros((len(self.books.value[0]), len(second)), dtype=np.int64)
+        for (i, j), n in self.counts.items():
+            sizes[i, j] = n
+        runs = np.zeros(sizes.shape, dtype=np.int32)
+        run = 0
+        for i in range(len(sizes)):
+            run, held = run + 1, 0
+            for j in line:
+                if held and held + sizes[i, j] > ROW_BLOCK:
+                    run, held = run + 1, 0
+                runs[i, j] = run
+                held += sizes[i, j]
+        return runs
+
+    def _blocks(self, is_query: str) -> tuple[DataFrame, DataFrame]:
+        """(queries, entries) with the block (run, r, c) where they meet: an entry is in a run of cells, a query in each
+        run that it chose cells of.
+
+        A run's entries are dealt to row blocks, its queries to query blocks, and each pair of these is one group, so no group
+        grows with what a run holds; an entry is copied only as its own run's queries make it necessary.
+        """
+        indexed, books, half, want = self.entries, self.books, self.half, self.want + self.k
+        shared = indexed.sparkSession.sparkContext.broadcast((self.counts, self._runs()))
 
         def probe(batches):
             first, second = books.value
-            counts = shared.value
+            counts, runs = shared.value
             for pdf in batches:
                 out = []
                 for qid, v in zip(pdf["id"], pdf["v"], strict=True):
                     x = np.asarray(v, dtype=np.float64)[None]
                     chosen: dict[int, np.ndarray] = {}
                     for i, j in walk_cells(_distances(x[:, :half], first)[0], _distances(x[:, half:], second)[0], counts, want):
-                        chosen.setdefault(i, np.zeros(len(second), dtype=np.uint8))[j] = 1
-                    out += [(qid, v, i, np.packbits(js).tobytes()) for i, js in chosen.items()]
-                yield pd.DataFrame(out, columns=["qid", "q", "i", "js"])
-
-        # A query goes to each first-half centroid of its cells once, with the second halves that it chose.
-        probes = cut(indexed.filter(is_query).mapInPandas(probe, "qid long, q array<double>, i int, js binary"), "ann-probes")
-        # Blocks: the entries of a centroid are dealt to row blocks, its queries to query blocks, and each pair
-        # of blocks is one group, so no group grows with what the centroid holds.
-        queries = probes.groupBy("i").agg(F.count("*").alias("nq"))
-        rows_of = indexed.groupBy("i").agg(F.count("*").alias("nr"))
-        sizes = queries.join(rows_of, "i").select("i", F.ceil(F.col("nr") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("nq") / QUERY_BLOCK).cast("int").alias("qb"))
-        sizes = F.broadcast(sizes)  # one row for each centroid
+                        chosen.setdefault(int(runs[i, j]), np.zeros(len(second), dtype=np.uint8))[j] = 1
+                    out += [(qid, v, run, np.packbits(js).tobytes()) for run, js in chosen.items()]
+                yield pd.DataFrame(out, columns=["qid", "q", "run", "js"])
+
+        def place(batches):
+            runs = shared.value[1]
+            for batch in batches:
+                at = runs[batch.column("i").to_numpy(zero_copy_only=False), batch.column("j").to_numpy(zero_copy_only=False)]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), batch.column("j"), pa.array(at, pa.int32())], ["id", "v", "j", "run"])
+
+        probes = cut(indexed.filter(is_query).mapInPandas(probe, "qid long, q array<double>, run int, js binary"), "ann-probes")
+        placed = indexed.mapInArrow(place, "id long, v array<double>, j int, run int")
+        queries = probes.groupBy("run").agg(F.count("*").alias("nq"))
+        rows_of = placed.groupBy("run").agg(F.count("*").alias("nr"))
+        sizes = queries.join(rows_of, "run").select("run", F.ceil(F.col("nr") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("nq") / QUERY_BLOCK).cast("int").alias("qb"))
+        sizes = F.broadcast(sizes)  # one row for each run, of which there are no more than cells
         deal = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
         spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = probes.join(sizes, "i").withColumn("r", spread("rb")).withColumn("c", deal("qid", "qb"))
-        right = indexed.join(sizes, "i").withColumn("c", spread("qb")).withColumn("r", deal("id", "rb"))
+        left = probes.join(sizes, "run").withColumn("r", spread("rb")).withColumn("c", deal("qid", "qb"))
+        right = placed.join(sizes, "run").withColumn("c", spread("qb")).withColumn("r", deal("id", "rb"))
+        return left.select("qid", "q", "js", "run", "r", "c"), right.select("id", "v", "j", "run", "r", "c")
+
+    def search(self, is_query: str) -> DataFrame:
+        """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which ``is_query``, a SQL condition on
+        the ``id``, holds."""
+        k, (left, right) = self.k, self._blocks(is_query)
 
         def compare(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
             out = []
@@ -214,8 +250,8 @@ class MultiIndex:
             columns = ["query_id", "vec_id", "score"]
             return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*out, strict=True)), strict=True)) if out else {c: [] for c in columns}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-        key = ["i", "r", "c"]
-        near = left.select("qid", "q", "js", *key).groupBy(*key).cogroup(right.select("id", "v", "j", *key).groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
+        key = ["run", "r", "c"]
+        near = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
         return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
