@@ -94,6 +94,27 @@ def test_walks_grow_less_than_the_table(spark, kind):
     assert wants[1] < 3 * wants[0] and wants[1] < (0.02 if kind == "clusters" else 0.2) * 20_000
 
 
+def test_runs_of_cells_change_no_result(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(2000, 8)), np.full((300, 8), 2.0)])  # a cell that is larger than a block
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}))
+    found = []
+    for rows, queries in ((1024, 512), (64, 4)):
+        monkeypatch.setattr(multi_index, "ROW_BLOCK", rows)
+        monkeypatch.setattr(multi_index, "QUERY_BLOCK", queries)
+        index = multi_index.MultiIndex(df)
+        runs, held, cells = index._runs(), {}, {}
+        for (i, j), n in index.counts.items():
+            held[runs[i, j]] = held.get(runs[i, j], 0) + n
+            cells.setdefault(runs[i, j], set()).add((i, j))
+        assert sum(held.values()) == len(x)
+        for run, n in held.items():
+            assert len({i for i, _ in cells[run]}) == 1 and (n <= rows or len(cells[run]) == 1)
+        found.append(sorted(map(tuple, index.search("id % 20 = 0").collect())))
+    assert max(held.values()) > 64
+    assert found[0] == found[1] and len(found[0]) == 1150
+
+
 def test_neighbours_with_ties_and_clashing_columns(spark):
     rows = [(i, [1.0, 2.0 + (i == 0)]) for i in range(40)] + [(100, [5.0, 5.0]), (101, None), (None, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
