@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.functions import sequences as S
+from varloom.operators import folds
 
 #: Positions in one bin of a range join, about the length of an interval; in one of a range window, at least.
 BIN, BINS = 256, 4096
@@ -71,6 +74,12 @@ def overlap_join(rows: DataFrame, regions: DataFrame, bin_size: int = 4096) -> D
     return v.join(r, same & meet).drop("_s", "_e", "_bin", "_level", "_rbin", "_rlevel", "_chrom")
 
 
+def interval_sides(n: int) -> list[tuple[Column, Column, str]]:
+    """Start, end and direction of a variant's two intervals."""
+    end = F.col("pos") + F.length("ref") - 1
+    return [(F.col("pos") - n - 1, end + 1, "upstream"), (F.col("pos") - 2, end + n, "downstream")]
+
+
 def split_intervals(rows: DataFrame, n: int, least: int = 1) -> DataFrame:
     """Two rows for each variant, up- and downstream: start, end (half open, 0-based), direction, name.
 
@@ -78,9 +87,7 @@ def split_intervals(rows: DataFrame, n: int, least: int = 1) -> DataFrame:
     """
     if n < least:
         raise ValueError(f"flanks of {n} are shorter than {least}")
-    end = F.col("pos") + F.length("ref") - 1
-    sides = [(F.col("pos") - n - 1, end + 1, "upstream"), (F.col("pos") - 2, end + n, "downstream")]
-    both = F.array(*[F.struct(a.alias("start"), b.alias("end"), F.lit(d).alias("direction")) for a, b, d in sides])
+    both = F.array(*[F.struct(a.alias("start"), b.alias("end"), F.lit(d).alias("direction")) for a, b, d in interval_sides(n)])
     out = rows.filter(F.col("pos") - n - 1 >= 0).select("*", F.explode(both).alias("_i")).select("*", "_i.*").drop("_i")
     return out.withColumn("name", F.concat_ws("_", variant_id(), "direction"))
 
@@ -123,21 +130,29 @@ def background_join(intervals: DataFrame, rows: DataFrame, bin_size: int = BIN)
     return left.join(right, on, "left").groupBy(*intervals.columns).agg(F.sort_array(F.collect_list("v")).alias("background"))
 
 
-def with_neighbours(rows: DataFrame, before: int, after: int, longest: int | None = None) -> DataFrame:
-    """rows with ``neighbours``, sorted: the variants of the sample from ``before`` bases before a variant's position to
-    ``after`` behind its REF's end, itself among them, as far as ``longest`` (the longest REF) tells.
+def into_bins(rows: DataFrame, before: int, after: int, longest: int | None = None) -> tuple[DataFrame, int, Column]:
+    """rows in the bin (_bin) of their position and in those whose variants may see them, from ``before`` bases before
+    a variant's position to ``after`` behind its REF's end; how far behind a position that is, and whether a row is in its own bin.
 
-    One shuffle: a variant goes to the bin of its position and to those whose variants may see it, and a range
-    window over positions collects what each one sees.  A bin holds few positions, whatever the number of rows.
+    A bin holds few positions, whatever the number of rows.  ``longest`` is the longest REF; without it, it is asked for.
     """
     if longest is None:
         longest = rows.agg(F.coalesce(F.max(F.length("ref")), F.lit(1))).first()[0]
     behind = after + longest - 1
     bin_size = max(BINS, 4 * (before + behind))
-    home = F.floor(F.col("pos") / bin_size)
     seen = rows.withColumn("_bin", F.explode(F.sequence(F.floor((F.col("pos") - behind) / bin_size), F.floor((F.col("pos") + before) / bin_size))))
+    return seen, behind, F.col("_bin") == F.floor(F.col("pos") / bin_size)
+
+
+def with_neighbours(rows: DataFrame, before: int, after: int, longest: int | None = None) -> DataFrame:
+    """rows with ``neighbours``, sorted: the variants of the sample from ``before`` bases before a variant's position to
+    ``after`` behind its REF's end, itself among them, as far as ``longest`` (the longest REF) tells.
+
+    One shuffle: a range window over the positions of a bin collects what each one sees.
+    """
+    seen, behind, home = into_bins(rows, before, after, longest)
     window = Window.partitionBy("sample_id", "chrom", "_bin").orderBy("pos").rangeBetween(-before, behind)
-    return seen.withColumn("neighbours", F.sort_array(F.collect_list(F.struct(*BACKGROUND)).over(window))).filter(F.col("_bin") == home).drop("_bin")
+    return seen.withColumn("neighbours", F.sort_array(F.collect_list(F.struct(*BACKGROUND)).over(window))).filter(home).drop("_bin")
 
 
 def split_with_background(rows: DataFrame, n: int, least: int = 1, longest: int | None = None) -> DataFrame:
@@ -147,6 +162,32 @@ def split_with_background(rows: DataFrame, n: int, least: int = 1, longest: int
     return seen.withColumn("background", F.filter("neighbours", inside)).drop("neighbours")
 
 
+def _folded(rows: DataFrame, before: int, after: int, longest: int | None, windows: Callable[[Column], Column], more: Callable[[Column], dict[str, Column]], own: bool) -> DataFrame:
+    """One shuffle, of variants: letters of windows are fetched behind it."""
+    seen, _, home = into_bins(rows, before, after, longest)
+    placed = seen.repartition(*folds.GROUP).sortWithinPartitions(*folds.GROUP, *BACKGROUND)
+    placed = placed.withColumn("windows", windows(home))
+    extra = more(F.col("windows"))
+    return folds.fold_windows(placed.withColumns(extra), [*rows.columns, *extra], own)
+
+
+def _window(start: Column, end: Column, direction: str, letters: Callable[[Column, Column], Column]) -> Column:
+    return F.struct(F.lit(direction).alias("direction"), start.alias("start"), end.alias("end"), letters(start, end - start).alias("wt_ref"))
+
+
+def folded_intervals(rows: DataFrame, n: int, letters: Callable[[Column, Column], Column], longest: int | None = None) -> DataFrame:
+    """split_intervals with each interval's letters of the genome (``letters`` of start and length), and for both haplotypes
+    the letters with the sample's other variants put in (_w1, _w2) and where the variant is in them (_at1, _at2).
+
+    The same as folding the background of each interval, but what intervals share is folded once.  ``whole``: the
+    variant is inside both of its intervals.
+    """
+    inside = lambda w: (F.col("pos") - 1 >= w["start"]) & (F.col("pos") - 1 - w["start"] + F.length("ref") <= F.length(w["wt_ref"]))
+    both = F.array(*[_window(*side, letters) for side in interval_sides(n)])
+    out = _folded(rows, n, n, longest, lambda home: F.when(home & (F.col("pos") - n - 1 >= 0), both), lambda w: {"whole": F.forall(w, inside)}, False)
+    return out.withColumn("name", F.concat_ws("_", variant_id(), "direction"))
+
+
 def of_haplotype(hap: int) -> Column:
     """The background that one haplotype carries."""
     carried = F.filter("background", lambda v: v[f"a{hap}"] != 0)
@@ -158,11 +199,16 @@ def six_sequences(rows: DataFrame) -> DataFrame:
 
     In steps, as a step's columns are used several times by the next: each fold stands in the plan once.
     """
-    out = reference_pair(rows).filter("mut_ref is not null")
-    out = out.withColumns({f"_b{hap}": of_haplotype(hap) for hap in (1, 2)})
+    out = rows.withColumns({f"_b{hap}": of_haplotype(hap) for hap in (1, 2)})
     out = out.withColumns({f"_w{hap}": S.apply_background(F.col("wt_ref"), F.col("start"), F.col(f"_b{hap}")) for hap in (1, 2)} | {f"_at{hap}": S.center_offset(F.col("pos"), F.col("start"), F.col(f"_b{hap}")) for hap in (1, 2)})
+    return six_of_folds(out.drop("_b1", "_b2"))
+
+
+def six_of_folds(rows: DataFrame) -> DataFrame:
+    """The same from what ``folded_intervals`` gives."""
+    out = reference_pair(rows).filter("mut_ref is not null")
     pairs = {f"hap{hap}": S.haplotype_pair(F.col(f"_w{hap}"), F.col(f"_at{hap}"), F.col("ref"), F.col("alt"), F.col(f"a{hap}")) for hap in (1, 2)}
-    out = out.withColumns(pairs).drop(*[f"_{c}{hap}" for c in ("b", "w", "at") for hap in (1, 2)])
+    out = out.withColumns(pairs).drop(*[f"_{c}{hap}" for c in ("w", "at") for hap in (1, 2)])
     return out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
 
 
@@ -193,7 +239,9 @@ def rejected_intervals(rows: DataFrame, n: int) -> DataFrame:
 
 
 def both_directions(rows: DataFrame) -> DataFrame:
-    """Only variants whose sequences could be built in both directions."""
+    """Only variants whose sequences could be built in both directions; where ``whole`` tells, no rows meet for that."""
+    if "whole" in rows.columns:
+        return rows.filter("whole")
     key = ["sample_id", "chrom", "pos", "ref", "alt"]
     whole = rows.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n = 2").drop("_n")
     return rows.join(whole, key, "left_semi")
@@ -207,17 +255,12 @@ def flatten(rows: DataFrame) -> DataFrame:
     return rows.select("sample_id", variant_id().alias("variant_id"), F.explode(F.filter(every, lambda x: x["keep"])).alias("x")).select("sample_id", "variant_id", "x.seq_name", "x.seq")
 
 
-def legacy_sequences(rows: DataFrame, half: int, longest: int | None = None) -> DataFrame:
-    """rows with left, right and the variants around each, for ``legacy_haplotypes``."""
-    return centred_windows(with_neighbours(rows, half, half, longest), half)
-
-
-def legacy_haplotypes(rows: DataFrame) -> DataFrame:
-    """hap1 and hap2 of centred windows (left, right, neighbours, ``seq`` of the genome): all variants of the window, the
-    center's too, are folded in."""
-    inside = F.filter("neighbours", lambda v: (v["pos"] >= F.col("left")) & (v["pos"] <= F.col("right")))
-    out = rows.withColumn("background", inside)
-    return out.withColumns({f"hap{hap}": S.apply_background(F.col("seq"), F.col("left") - 1, of_haplotype(hap)) for hap in (1, 2)}).drop("background")
+def legacy_haplotypes(rows: DataFrame, half: int, letters: Callable[[Column, Column], Column], longest: int | None = None) -> DataFrame:
+    """hap1 and hap2 of centred windows: all variants of the sample in the window, the center's too, are folded in."""
+    left, right = F.col("pos") - half, F.col("pos") + F.length("ref") - 1 + half
+    own = lambda home: F.when(home & (left >= 1), F.array(_window(left - 1, right, "", letters)))
+    out = _folded(rows, half, half, longest, own, lambda w: {}, True)
+    return out.select(*rows.columns, F.col("_w1").alias("hap1"), F.col("_w2").alias("hap2"))
 
 
 def centred_windows(rows: DataFrame, half: int) -> DataFrame:
