@@ -158,3 +158,21 @@ def test_wrong_files(spark, genotypes, tmp_path):
         indexed.VcfReader({"path": f"{tmp_path}/n.vcf.gz"}).header()
     write_indexed(tmp_path / "e.vcf.gz", ["##x", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1"], 4096)
     assert indexed.read_indexed_vcf(spark, f"{tmp_path}/e.vcf.gz").filter(F.col("pos") > 3).count() == 0
+
+
+def test_variants_that_touch_a_region_make_no_pairs(spark):
+    rng = random.Random(10)
+    rows = [(i, rng.choice(["chr1", "chr2"]), rng.randrange(1, 60_000), "A" * rng.choice([0, 1, 1, 5, 9000]), "C") for i in range(400)]
+    regions = [(rng.choice(["chr1", "chr2"]), s, s + rng.choice([-3, 0, 1, 50, 500])) for s in (rng.randrange(60_000) for _ in range(60))]
+    regions += [(None, 1, 5), ("chr1", None, 5), ("chr1", -5, 10), ("chr2", 50_000, 50_100), ("chr2", 50_100, 50_200)]
+    schema = "i int, chrom string, pos long, ref string, alt string"
+    v, r = spark.createDataFrame(rows, schema), spark.createDataFrame(regions, "chrom string, start_ long, end_ long")
+    want = sorted({i for i, c, p, ref, _ in rows for d, s, e in regions if c == d and s is not None and p - 1 < e and p - 1 + len(ref) > s})
+    for more in (r, r.unionByName(r).unionByName(spark.createDataFrame([("chr1", 100, 40_000)], r.schema))):
+        got = sorted(x["i"] for x in G.touching(v, more).collect())
+        assert got == (want if more is r else sorted({*want, *(i for i, c, p, ref, _ in rows if c == "chr1" and p - 1 < 40_000 and p - 1 + len(ref) > 100)}))
+    assert G.touching(v, r.filter("false")).isEmpty()
+    # A thousand regions over each variant: the join reads and gives one row for each.
+    crowd = spark.range(1000).selectExpr("'chr1' as chrom", "1000 + id % 7 as start_", "3000 - id % 5 as end_")
+    one = G.touching(spark.createDataFrame([(1, "chr1", 2000, "A", "C")], schema), crowd)
+    assert one.count() == 1

@@ -48,7 +48,7 @@ FROM ({C.V_SQL}) v JOIN ({D.oracle(D.REGIONS, 'orders')}) r ON v.chrom = r.chrom
 def vcf_region_scan(spark, d):
     """Calls of a genotype file that touch a region and are not the reference's on both sides."""
     calls = G.parse_genotypes(files.read_vcf(spark, vcf_file(spark, d)), drop_hom_ref=True)
-    return G.overlap_join(calls, D.derive(spark, d, D.REGIONS, "orders")).select("sample_id", "chrom", "pos", "ref", "alt", "a1", "a2").distinct()
+    return G.touching(calls.select("sample_id", "chrom", "pos", "ref", "alt", "a1", "a2"), D.derive(spark, d, D.REGIONS, "orders"))
 
 
 @query("vcf_sample_names", f"SELECT sample_id, cast(row_number() OVER (ORDER BY sample_id) - 1 as int) AS place, count(*) AS calls FROM ({C.V_SQL}) GROUP BY sample_id")

@@ -62,6 +62,13 @@ def overlap_join(rows: DataFrame, regions: DataFrame, bin_size: int = 4096) -> D
     on each level that some region has (these are asked for beforehand).  A pair meets in the bin where the later
     of the two begins, and there only.
     """
+    v, r, same, size = _met(rows, regions, bin_size)
+    meet = (F.col("_s") < F.col("end_")) & (F.col("_e") > F.col("start_")) & (F.col("_bin") == F.floor(F.greatest("_s", "start_") / size(F.col("_level"))))
+    return v.join(r, same & meet).drop("_s", "_e", "_bin", "_level", "_rbin", "_rlevel", "_chrom")
+
+
+def _met(rows: DataFrame, regions: DataFrame, bin_size: int) -> tuple[DataFrame, DataFrame, Column, Callable[[Column], Column]]:
+    """Variants and regions in bins, where they meet, and the size of a level's bins."""
     size = lambda level: bin_size * F.pow(F.lit(WIDER), level).cast("long")
     bins = lambda s, e, by: F.explode(F.sequence(F.floor(s / by), F.floor((F.greatest(e, s + 1) - 1) / by)))
     r = regions.select(F.col("chrom").alias("_chrom"), "start_", "end_").filter("start_ is not null and end_ is not null").withColumn("_rlevel", region_level(bin_size))
@@ -70,8 +77,25 @@ def overlap_join(rows: DataFrame, regions: DataFrame, bin_size: int = 4096) -> D
     v = rows.withColumns({"_s": F.col("pos") - 1, "_e": F.col("pos") - 1 + F.length("ref")})
     v = v.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn("_bin", bins(F.col("_s"), F.col("_e"), size(F.col("_level"))))
     same = (F.col("chrom") == F.col("_chrom")) & (F.col("_level") == F.col("_rlevel")) & (F.col("_bin") == F.col("_rbin"))
-    meet = (F.col("_s") < F.col("end_")) & (F.col("_e") > F.col("start_")) & (F.col("_bin") == F.floor(F.greatest("_s", "start_") / size(F.col("_level"))))
-    return v.join(r, same & meet).drop("_s", "_e", "_bin", "_level", "_rbin", "_rlevel", "_chrom")
+    return v, r, same, size
+
+
+def touching(rows: DataFrame, regions: DataFrame, bin_size: int = 4096) -> DataFrame:
+    """The distinct ``rows`` that overlap a region, however many regions: no pairs are made.
+
+    The regions of a bin are joined to stretches that don't overlap, of which a variant meets few.
+    """
+    v, r, same, size = _met(rows, regions, bin_size)
+    bin_ = ["_chrom", "_rlevel", "_rbin"]
+    # An empty region (end_ at or before start_) is overlapped by what holds its ends: kept as it is, not joined.
+    whole = r.filter("end_ > start_").groupBy(*bin_, "start_").agg(F.max("end_").alias("end_"))
+    before = Window.partitionBy(*bin_).orderBy("start_").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.when(F.max("end_").over(before) > F.col("start_"), 0).otherwise(1)
+    upto = Window.partitionBy(*bin_).orderBy("start_").rowsBetween(Window.unboundedPreceding, 0)
+    joined = whole.withColumn("_new", begins).withColumn("_no", F.sum("_new").over(upto)).groupBy(*bin_, "_no").agg(F.min("start_").alias("start_"), F.max("end_").alias("end_")).drop("_no")
+    stretches = joined.unionByName(r.filter("end_ <= start_").distinct())
+    found = v.join(stretches, same & (F.col("_s") < F.col("end_")) & (F.col("_e") > F.col("start_")), "left_semi")
+    return found.select(*rows.columns).distinct()
 
 
 def interval_sides(n: int) -> list[tuple[Column, Column, str]]:

@@ -39,7 +39,7 @@ def read_variants(spark: SparkSession, settings: VariantSettings) -> DataFrame:
     calls = read_indexed_vcf(spark, settings.vcf_path, regions) if indexed else files.read_vcf(spark, settings.vcf_path)
     rows = G.parse_genotypes(calls, settings.filter_hom_ref)
     key = ["sample_id", "chrom", "pos", "ref", "alt"]
-    return G.overlap_join(rows, regions).groupBy(*key).agg(F.first("a1").alias("a1"), F.first("a2").alias("a2"))
+    return G.touching(rows, regions).groupBy(*key).agg(F.first("a1").alias("a1"), F.first("a2").alias("a2"))
 
 
 def build_sequences(rows: DataFrame, genome: DataFrame, flank: int, least: int = 1) -> DataFrame:
