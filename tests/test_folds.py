@@ -83,3 +83,18 @@ def test_folded_intervals_as_backgrounds(spark):
     want = {(r["sample_id"], r["name"]): (r["hap1"], r["hap2"], r["reference"]) for r in G.six_sequences(lists).collect()}
     got = {(r["sample_id"], r["name"]): (r["hap1"], r["hap2"], r["reference"]) for r in G.six_of_folds(G.folded_intervals(df, 50, G.periodic_window)).collect()}
     assert got == want and len(got) > 3000
+
+
+def test_backgrounds_of_short_and_long_intervals_without_a_shuffle_of_pairs(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), rng.choice(["chr1", "chr2"]), rng.randrange(1, 9000), rng.choice(["A", "AC"]), "G", 1, 0) for _ in range(500)]
+    rows = sorted(set(rows))
+    spans = [(*rng.choice(rows)[:5], i, s, s + rng.choice([1, 202, 256, 257, 3000, 20_000])) for i, s in ((i, rng.randrange(9000)) for i in range(200))] + [("c", "chr1", 5, "A", "G", 200, 0, 10)]
+    v = spark.createDataFrame(rows, "sample_id string, chrom string, pos long, ref string, alt string, a1 int, a2 int")
+    i = spark.createDataFrame(spans, "sample_id string, chrom string, pos long, ref string, alt string, i int, start long, end long")
+    want = {k: sorted((p, r, a) for vs, vc, p, r, a, *_ in rows if (vs, vc) == (s, c) and start <= p - 1 < end and (p, r, a) != me) for s, c, *me, k, start, end in spans for me in [tuple(me)]}
+    for longest in (None, 20_000):
+        out = G.background_join(i, v, longest=longest)
+        assert {r["i"]: [(b["pos"], b["ref"], b["alt"]) for b in r["background"]] for r in out.collect()} == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan  # no pairs that are put together to lists again
