@@ -147,3 +147,39 @@ def test_sequences_beside_a_failing_one_keep_their_width(spark):
     for r in found:
         assert (r["vec"] is None) == (len(r["seq"]) % 5 == 0) == (r["error"] is not None)
         assert r["vec"] is None or len(r["vec"]) == 8
+
+
+def test_encoding_in_tasks(spark):
+    from varloom.catalog import rounded, short_text
+    from varloom.catalog_files import PickyEncoder
+
+    slot = "array<struct<key:string,seq:string,w:int,back:boolean>>"
+    given = [("a", [("k0", "ACGTACG", 3, False), ("k1", "ACGTACG", 4, True), ("k2", None, 1, False), ("k3", "ACGTACG", 3, False)]), ("b", []), ("c", None), ("d", [("k0", "AéGT", None, True), ("k1", "ACGTA", 2, False)])]
+    rows = spark.createDataFrame(given, f"id string, x {slot}").coalesce(1)
+
+    for tails in (True, False):
+        made = {r["id"]: r["x"] for r in encode.encoded_in_tasks(rows, [PickyEncoder(), encode.ToyEncoder(4)], ["mean", "max"], tails).collect()}
+        assert made["b"] == [] and made["c"] is None and made["a"][2]["mean_0"] is None and made["a"][2]["error_0"] is None
+        assert made["d"][1]["mean_0"] is None and made["d"][1]["error_0"] == "a length that is a multiple of five" and made["d"][1]["max_1"] is not None
+        for (i, k, seq, w) in (("a", 0, "ACGTACG", 3), ("a", 1, "CGTACGT", 4), ("a", 3, "ACGTACG", 3), ("d", 0, "ACéT", None)):
+            state = encode.ToyEncoder().hidden_states([seq])[0][-w if w and tails else 0 :]
+            assert made[i][k]["mean_0"] == pytest.approx(state.mean(0).tolist(), abs=1e-6) and made[i][k]["max_0"] == pytest.approx(state.max(0).tolist(), abs=1e-6)
+            assert made[i][k]["mean_1"] == pytest.approx(state.mean(0)[:4].tolist(), abs=1e-6)
+    # A batch that fails is tried by length: calls don't grow with its sequences.
+    calls = []
+
+    class Picky(PickyEncoder):
+        def hidden_states(self, sequences):
+            calls.append(len(sequences))
+            return super().hidden_states(sequences)
+
+    states, errors = encode._states(Picky(), ["A" * (3 + i % 4) for i in range(200)])
+    assert [e is not None for e in errors] == [i % 4 == 2 for i in range(200)] and [len(s) for s in states[:4]] == [3, 4, 0, 6] and len(calls) == 1 + 4 + 50
+    # The queries shuffle no letters: variants go to their groups, and vectors to pairs.
+    from varloom import catalog
+
+    plan = catalog.bulk_embed_keyed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    cells = spark.sql("select array(0.03125D,-0.03125D,0.5D,-0.00001D,0.00005D,cast(cast(0.12345 as float) as double),-1.0D,0D,-0.0D) v")
+    assert cells.select(short_text(F.col("v"))).first()[0] == cells.select(rounded(F.col("v"), 4)).first()[0]
+
