@@ -135,3 +135,13 @@ def test_packed_bases(spark):
         assert tuple(again.first()) == ("s", "v", "ACgN", None)
     with pytest.raises(ValueError):
         S.decode_bases("x", "double")
+
+
+def test_packed_bases_of_other_letters_and_their_plan(spark):
+    seqs = ["ACéGT", "\U0001d53cACGT" * 9, "ACGT" * 3, None, ""]
+    df = spark.createDataFrame(list(enumerate(seqs)), "i int, seq string").withColumn("p", S.pack_bases(F.col("seq")))
+    rows = {r["i"]: r for r in df.select("i", "p", S.unpack_bases(F.col("p")).alias("back")).collect()}
+    assert {i: r["back"] for i, r in rows.items()} == dict(enumerate(seqs))
+    assert rows[2]["p"]["words"] == bytes([0b00011011] * 3 + [0] * 5) and rows[0]["p"]["bases"] == 5 and [tuple(x) for x in rows[0]["p"]["other"]] == [(2, "é")]
+    # A text is looked at once, not once for each of its words.
+    assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
