@@ -178,3 +178,29 @@ def test_penalties_and_names(spark):
         learning.importances(learning.create_model("logistic", 6).fit(learning._vectors(rows)), names[:2])
     for a, b in itertools.combinations([0.0, 0.3], 2):
         assert learning.create_model("mlp", 6, dropout=a).getStages()[-1].alpha < learning.create_model("mlp", 6, dropout=b).getStages()[-1].alpha
+
+
+def test_fits_have_partitions_by_their_size(spark, monkeypatch):
+    from varloom.operators import learning
+
+    rows = spark.range(0, 60, 1, 24).selectExpr("id as sample_id", "cast(id % 2 as int) as label", "array(cast(id % 7 as double), cast(id % 2 as double)) as features")
+    seen, real = [], learning.create_model
+
+    def watched(*args, **kwargs):
+        model = real(*args, **kwargs)
+        fit = model.fit
+        model.fit = lambda df: (seen.append(df.rdd.getNumPartitions()), fit(df))[1]
+        return model
+
+    monkeypatch.setattr(learning, "create_model", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        results, held = learning.cross_validate(rows, "logistic", [{"maxIter": 3}], 2)
+        assert held.count() == 60 and results.count() == 2 and seen == [1, 1]
+        monkeypatch.setattr(learning, "CELLS", 30)  # of 120
+        seen.clear()
+        learning.cross_validate(rows, "logistic", [{"maxIter": 3}], 2)
+        assert seen and all(1 < n <= 4 for n in seen)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
