@@ -183,3 +183,17 @@ def test_encoding_in_tasks(spark):
     cells = spark.sql("select array(0.03125D,-0.03125D,0.5D,-0.00001D,0.00005D,cast(cast(0.12345 as float) as double),-1.0D,0D,-0.0D) v")
     assert cells.select(short_text(F.col("v"))).first()[0] == cells.select(rounded(F.col("v"), 4)).first()[0]
 
+
+
+def test_distinct_slots_of_batches(spark):
+    slot = "array<struct<seq:string,w:int,back:boolean>>"
+    given = [([("ACG", 3, False), ("CGT", 3, True), ("ACG", 4, False), (None, 1, False)],), ([],), (None,), ([("ACG", 3, False)],)]
+    found = encode.distinct_in_tasks(spark.createDataFrame(given, f"x {slot}").coalesce(1))
+    assert sorted(map(tuple, found.collect())) == [("ACG", 3, 3), ("ACG", 4, 1)]
+    report = encode.cache_report(found, spark.createDataFrame([("TT",), ("ACG",)], "seq string")).first()
+    assert tuple(report) == (4, 4, 0, 2)
+    # Variants are read and folded once where wanted and cached sequences meet.
+    from varloom import catalog
+
+    plan = catalog.cache_misses(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
