@@ -65,8 +65,12 @@ def tail_width(allele: Column) -> Column:
     return F.length(allele) + 2
 
 
+#: Digits of a sequence's hash.
+HASHED = 16
+
+
 def sequence_hash(seq: Column) -> Column:
-    return F.substring(F.sha2(seq, 256), 1, 16)
+    return F.substring(F.sha2(seq, 256), 1, HASHED)
 
 
 def cache_key(seq: Column, width: Column, pooling: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import Protocol
@@ -264,6 +265,29 @@ def distinct_in_tasks(rows: DataFrame) -> DataFrame:
     return rows.select("x").mapInArrow(run, "seq string, w int, n long")
 
 
+def keys_in_tasks(rows: DataFrame, pooling: str) -> DataFrame:
+    """(sample_id, variant_id, direction, slot, key) of the twelve slots of a variant: ``slots`` with the cache key of each sequence.
+
+    Each distinct sequence of a batch is hashed once, where it is made; no letters leave the task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x")
+            flat = x.flatten()
+            owner = pa.array(np.repeat(np.arange(len(x)), pc.fill_null(x.value_lengths(), 0).to_numpy(zero_copy_only=False)))
+            back, seqs = pc.fill_null(flat.field("back"), False), flat.field("seq")
+            coded = pc.if_else(back, _complemented(seqs), seqs).dictionary_encode()
+            hashes = pa.array([hashlib.sha256(s).hexdigest()[: S.HASHED] for s in coded.dictionary.cast(pa.binary()).to_pylist()], pa.string())
+            key = pc.binary_join_element_wise(hashes.take(coded.indices), "_w", flat.field("w").cast(pa.string()), f"_{pooling}", "")
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(owner) for c in others], flat.field("key"), key], [*others, "slot", "key"])
+
+    lists = slot_lists(rows)
+    others = ["sample_id", "variant_id", "direction"]
+    schema = T.StructType([*[lists.schema[c] for c in others], T.StructField("slot", T.StringType()), T.StructField("key", T.StringType())])
+    return lists.mapInArrow(run, schema)
+
+
 def embed_in_tasks(rows: DataFrame, encoder: Encoder, method: str = "mean") -> DataFrame:
     """``embed_variants`` by ``encoded_in_tasks``: only vectors are shuffled, six of a direction in a row."""
     made = encoded_in_tasks(slot_lists(rows), [encoder], [method])
