@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,14 +48,41 @@ PHENOME = ("notes", "lines", "words", "digits", "languages", "letters_a_word", "
 GAPS = PHENOME[-2:]
 
 
+#: What a byte of a text is: a letter, a digit, the end of a sentence or of a line; others are nothing.
+KINDS = {"l": b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "d": b"0123456789", "s": b".!?", "n": b"\n"}
+_KIND = np.zeros(256, dtype=np.uint8)
+for _i, _bytes in enumerate(KINDS.values(), 1):
+    _KIND[np.frombuffer(_bytes, dtype=np.uint8)] = _i
+
+
+def count_texts(texts: pa.Array) -> pa.Array:
+    """Runs of letters (w), letters, digits, ends of sentences and line ends of whole texts, none of them null: the bytes of a
+    batch are looked up once."""
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=np.int32)
+    some = np.flatnonzero(np.diff(bounds))
+    starts = bounds[some] - bounds[0]
+    kinds = _KIND[np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]]] if len(some) else _KIND[:0]
+
+    def sums(flags: np.ndarray) -> pa.Array:
+        out = np.zeros(len(texts), dtype=np.int64)
+        if len(some):
+            out[some] = np.add.reduceat(flags, starts, dtype=np.int64)
+        return pa.array(out)
+
+    letters = kinds == 1
+    begins = letters.copy()
+    begins[1:] &= ~letters[:-1]
+    begins[starts] = letters[starts]
+    return pa.StructArray.from_arrays([sums(begins), *[sums(kinds == i) for i in range(1, len(KINDS) + 1)]], ["w", *KINDS])
+
+
 def note_phenome(notes: DataFrame, of_each: int) -> DataFrame:
     """sample_id and PHENOME: whole texts are counted; a null text has nothing."""
-    text = F.coalesce("text", F.lit(""))
-    many = lambda pattern: F.regexp_count(text, F.lit(pattern))
-    each = notes.filter("doc_id is not null").select(
-        patient("doc_id", of_each).alias("sample_id"), "lang", many("[A-Za-z]+").alias("w"), many("[A-Za-z]").alias("l"), many("[0-9]").alias("d"), many("[.!?]").alias("s"),
-        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n"),
-    )
+    counted = F.arrow_udf(count_texts, "struct<w:long,l:long,d:long,s:long,n:long>")
+    each = notes.filter("doc_id is not null").select(patient("doc_id", of_each).alias("sample_id"), "lang", counted(F.coalesce("text", F.lit(""))).alias("c"))
+    each = each.select("sample_id", "lang", "c.w", "c.l", "c.d", "c.s", (F.col("c.n") + 1).alias("n"))
     total = lambda c: F.sum(c).cast("double")
     return each.groupBy("sample_id").agg(
         F.count("*").cast("double").alias("notes"), total("n").alias("lines"), total("w").alias("words"), total("d").alias("digits"), F.count_distinct("lang").cast("double").alias("languages"),

@@ -122,3 +122,20 @@ def test_settings_and_command_line(sources, tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert "wrote 26 patients" in done.stderr and sorted(x for x in os.listdir(tmp_path / "out") if x.startswith("fold")) == ["fold=0", "fold=1", "fold=2"]
+
+
+def test_notes_are_counted_by_bytes_of_whole_texts(spark):
+    """As the expressions count, over texts next to one another, empty and null ones; none is searched by an expression."""
+    import random
+    import re
+
+    from jobs import cohort_table
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("aBz19.!? \n\t_é\U0001f600", k=rng.randrange(30))) for _ in range(400)] + ["", None, "", "a", "a"]
+    notes = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    out = cohort_table.note_phenome(notes, 1)
+    assert "regexp_count" not in out._jdf.queryExecution().optimizedPlan().toString()
+    many = lambda pattern, t: len(re.findall(pattern, t or ""))
+    want = {f"p{i}": (many("\n", t) + 1, many("[A-Za-z]+", t), many("[0-9]", t), many("[A-Za-z]", t) / w if (w := many("[A-Za-z]+", t)) else None, w / s if (s := many("[.!?]", t)) else None) for i, t in enumerate(texts)}
+    assert {r["sample_id"]: (r["lines"], r["words"], r["digits"], r["letters_a_word"], r["words_a_sentence"]) for r in out.collect()} == want
