@@ -53,15 +53,12 @@ CACHE = "key string, w int, vec array<float>, prefix string"
 
 def called_variants(calls: DataFrame) -> DataFrame:
     """The distinct variants of rows of the call table, whichever sample has them."""
-    return calls.sparkSession.sql(D.VARIANTS, lineitem=calls).select(*VARIANT).distinct()
+    return calls.sparkSession.sql(D.CALLS, lineitem=calls).select(*VARIANT).distinct()
 
 
 def reference_slots(variants: DataFrame, genome: DataFrame, flank: int, pooling: str) -> DataFrame:
     """(chrom, pos, ref, alt, direction, slot, seq, w, key): mutant and reference of both directions, downstream reversed."""
-    where = ["chrom", "start", "end"]
-    intervals = G.split_intervals(variants, flank)
-    windows = G.fetch_windows(intervals.select(*where).distinct(), genome, files.CHUNK, where)
-    rows = G.reference_pair(intervals.join(windows, where)).filter("mut_ref is not null")
+    rows = G.reference_pair(G.placed_windows(G.split_intervals(variants, flank), genome, files.CHUNK)).filter("mut_ref is not null")
     both = F.array(*[F.struct(F.lit(slot).alias("slot"), F.col(seq).alias("seq"), S.tail_width(F.col(by)).alias("w")) for slot, seq, by in (("mut", "mut_ref", "alt"), ("wt", "wt_ref", "ref"))])
     out = rows.select(*VARIANT, "direction", F.explode(both).alias("x")).select(*VARIANT, "direction", "x.*")
     out = out.withColumn("seq", F.when(F.col("direction") == "downstream", S.reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
@@ -77,18 +74,20 @@ def take_up(calls: DataFrame, settings: Settings, number: int = 0) -> None:
     variants = called_variants(calls)
     if files.exists(spark, index):
         variants = variants.join(spark.read.schema(INDEX).parquet(index).select(*VARIANT).distinct(), VARIANT, "left_anti")
+    variants = variants.persist()  # read for the longest and for the slots
     genome = files.read_fasta(spark, settings.genome) if settings.genome else files.cut_contigs(D.contigs(spark))
     slots = reference_slots(variants, genome, settings.flank, settings.pooling).persist()  # written twice: as sequences and as an index
     try:
-        wanted = slots.select("key", "seq", "w").dropDuplicates(["key"])
+        wanted = slots.select("key", "seq", "w").distinct().dropDuplicates(["key"])  # equal ones meet before any is sorted
         if files.exists(spark, cache):
             wanted = wanted.join(spark.read.schema(CACHE).parquet(cache).select("key"), "key", "left_anti")
         made = encode.encode_distinct(wanted, make_encoder(settings.encoder), settings.pooling).filter("vec is not null")
         keyed = made.select(S.cache_key(F.col("seq"), F.col("w"), settings.pooling).alias("key"), "w", "vec")
         keyed.withColumn("prefix", F.substring("key", 1, 1)).hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(cache)
-        ingest.append_new(slots.select(*VARIANT, "direction", "slot", "key"), index, [*VARIANT, "direction", "slot"], "chrom")
+        ingest.append_new(slots.select(*VARIANT, "direction", "slot", "key"), index, [*VARIANT, "direction", "slot"], "chrom", once=True)
     finally:
         slots.unpersist()
+        variants.unpersist()
     log.info("batch %s: read %s rows of %s; wrote %s sequences to %s and %s slots to %s", number, calls.count(), settings.calls, rows(cache, CACHE) - before[0], cache, rows(index, INDEX) - before[1], index)
 
 

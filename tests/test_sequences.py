@@ -145,3 +145,28 @@ def test_packed_bases_of_other_letters_and_their_plan(spark):
     assert rows[2]["p"]["words"] == bytes([0b00011011] * 3 + [0] * 5) and rows[0]["p"]["bases"] == 5 and [tuple(x) for x in rows[0]["p"]["other"]] == [(2, "é")]
     # A text is looked at once, not once for each of its words.
     assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_windows_in_one_join_as_put_together(spark):
+    """Windows over many chunks, at and behind a contig's end, by pieces and whole chunks; intervals are not shuffled to meet their own letters."""
+    rng = random.Random(12)
+    contigs = {"chr1": "".join(rng.choices("ACGTNacgt", k=5000)), "chr2": "ACG", "chr3": "".join(rng.choices("ACGT", k=2048))}
+    spans = [(i, rng.choice([*contigs, "chr9"]), s, s + rng.choice([1, 2, 7, 30, 400, 2500])) for i, s in ((i, rng.randrange(5200)) for i in range(400))] + [(1000, "chr1", 0, 5000), (1001, "chr2", 0, 9), (1002, "chr2", 2, 3)]
+    intervals = spark.createDataFrame(spans, "i int, chrom string, start long, end long")
+    table = spark.createDataFrame(list(contigs.items()), "chrom string, seq string")
+    for chunk in (1, 7, 1024, 1500, 65_536):
+        if chunk == 1:
+            intervals_, n = intervals.filter("end - start < 40"), 30
+        else:
+            intervals_, n = intervals, 5000
+        genome = files.cut_contigs(table, chunk)
+        want = {r["i"]: r["wt_ref"] for r in G.fetch_windows(intervals_, genome, chunk, ["i"]).collect()}
+        out = G.placed_windows(intervals_, genome, chunk, longest=n)
+        assert out.columns == ["i", "chrom", "start", "end", "wt_ref"] and {r["i"]: r["wt_ref"] for r in out.collect()} == want
+        assert {r["i"]: r["wt_ref"] for r in G.placed_windows(intervals_, genome, chunk).collect()} == want
+        assert all(want[i] == contigs[c][s:e] for i, c, s, e in spans if i in want)
+    from jobs import sequence_cache
+
+    variants = spark.createDataFrame([("chr1", 900, "A", "C")], "chrom string, pos long, ref string, alt string")
+    plan = sequence_cache.reference_slots(variants, genome, 40, "mean")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Aggregate ") == 1  # of chunks; windows are not grouped

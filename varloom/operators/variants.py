@@ -134,6 +134,31 @@ def fetch_windows(intervals: DataFrame, genome: DataFrame, chunk: int, key: list
     return intervals.join(text, key)
 
 
+#: Letters of a piece that windows are cut out of, without those that it is carried on by.
+PIECE = 1024
+
+
+def placed_windows(intervals: DataFrame, genome: DataFrame, chunk: int, longest: int | None = None) -> DataFrame:
+    """``intervals`` (chrom, start, end; none starts before its contig) with ``wt_ref``, as ``fetch_windows`` has it: one join.
+
+    Chunks are carried on by as many letters of those behind them as the ``longest`` interval needs and cut to pieces, so
+    an interval meets the piece that it starts in, and nothing is put together again.  Without ``longest`` it is asked for.
+    """
+    if longest is None:
+        longest = intervals.agg(F.max(F.col("end") - F.col("start"))).first()[0] or 1
+    more, piece = -(-max(longest - 1, 0) // chunk), min(PIECE, chunk)
+    parts = genome.select("chrom", "chunk_no", "seq", F.explode(F.sequence(F.lit(0), F.lit(more))).alias("_k"))
+    part = F.when(F.col("_k") == 0, F.col("seq")).otherwise(F.substring("seq", F.lit(1), F.lit(longest - 1) - (F.col("_k") - 1) * chunk))
+    carried = parts.select("chrom", (F.col("chunk_no") - F.col("_k")).alias("_chunk"), F.struct("_k", part.alias("part")).alias("_p")).filter("_chunk >= 0")
+    carried = carried.groupBy("chrom", "_chunk").agg(F.array_join(F.transform(F.sort_array(F.collect_list("_p")), lambda x: x["part"]), "").alias("_seq"))
+    pieces = carried.select(F.col("chrom").alias("_chrom"), "_chunk", "_seq", F.explode(F.sequence(F.lit(0), F.lit(chunk - 1), F.lit(piece))).alias("_from"))
+    pieces = pieces.select("_chrom", (F.col("_chunk") * chunk + F.col("_from")).alias("_at"), F.substring("_seq", F.col("_from") + 1, F.lit(piece + longest)).alias("_letters"))
+    at = F.floor(F.col("start") / chunk) * chunk + F.floor(F.col("start") % chunk / piece) * piece
+    found = intervals.join(pieces, (F.col("chrom") == F.col("_chrom")) & (at == F.col("_at")))
+    cut = F.substring("_letters", (F.col("start") - F.col("_at") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    return found.withColumn("wt_ref", cut).drop("_chrom", "_at", "_letters")
+
+
 def reference_pair(rows: DataFrame) -> DataFrame:
     """mut_ref: ALT put into wt_ref whatever stands there; null where the variant is out of the window."""
     return rows.withColumn("mut_ref", S.replace_at(F.col("wt_ref"), F.col("pos") - 1 - F.col("start"), F.col("ref"), F.col("alt")))

@@ -16,12 +16,8 @@ def window_sql(start: str, length: str) -> str:
 
 
 _REF = f"CASE kind WHEN 2 THEN {window_sql('pos - 1', '3')} WHEN 3 THEN {window_sql('pos - 1', '2')} ELSE {window_sql('pos - 1', '1')} END"
-#: One row per (sample_id, chrom, pos, ref, alt): SNPs, insertions, deletions and block changes; about one in
-#: fifty has a REF that the genome hasn't.
-VARIANTS = f"""
-SELECT sample_id, chrom, pos, ref, alt, cast(max(a1) as int) AS a1, cast(max(a2) as int) AS a2
-FROM (
-  SELECT sample_id, chrom, pos, a1, a2,
+#: A row for each call: SNPs, insertions, deletions and block changes; about one in fifty has a REF that the genome hasn't.
+CALLS = f"""  SELECT sample_id, chrom, pos, a1, a2,
          CASE WHEN odd = 1 THEN translate(ref, 'ACGT', 'TTAA') ELSE ref END AS ref,
          CASE kind WHEN 1 THEN ref || 'GG' WHEN 2 THEN substr(ref, 1, 1) ELSE translate(ref, 'ACGT', 'CGTA') END AS alt
   FROM (
@@ -33,7 +29,12 @@ FROM (
              CASE WHEN l_orderkey % 50 = 0 THEN 1 ELSE 0 END AS odd
       FROM {{lineitem}}
     ) AS raw
-  ) AS placed
+  ) AS placed"""
+#: One row per (sample_id, chrom, pos, ref, alt) of these.
+VARIANTS = f"""
+SELECT sample_id, chrom, pos, ref, alt, cast(max(a1) as int) AS a1, cast(max(a2) as int) AS a2
+FROM (
+{CALLS}
 ) AS typed
 GROUP BY sample_id, chrom, pos, ref, alt
 """

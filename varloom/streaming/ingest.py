@@ -15,14 +15,14 @@ GENOTYPES = "sample_id string, chrom string, pos long, ref string, alt string, g
 VARIANT_KEY = ("sample_id", "chrom", "pos", "ref", "alt")
 
 
-def append_new(rows: DataFrame, target: str, keys: Sequence[str], partition: str = "sample_id") -> None:
-    """Append the rows with keys that the Parquet table ``target`` does not have; one row for each key.
+def append_new(rows: DataFrame, target: str, keys: Sequence[str], partition: str = "sample_id", once: bool = False) -> None:
+    """Append the rows with keys that the Parquet table ``target`` does not have; one row for each key (``once``: they are so).
 
     Only the key columns of the partitions that ``rows`` touch are read (pruned by the semi join), so the cost follows
     the batch, not the table.  A batch that runs again finds its own rows there and adds nothing.
     """
     spark = rows.sparkSession
-    fresh = rows.dropDuplicates(list(keys))
+    fresh = rows if once else rows.dropDuplicates(list(keys))
     if files.exists(spark, target):
         held = spark.read.schema(rows.schema).parquet(target).select(*keys)
         held = held.join(fresh.select(partition).distinct(), partition, "left_semi")
