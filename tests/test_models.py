@@ -204,3 +204,14 @@ def test_fits_have_partitions_by_their_size(spark, monkeypatch):
         assert seen and all(1 < n <= 4 for n in seen)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_linear_machines_are_fitted_in_few_tasks(spark):
+    """However many partitions the rows come in: a fit's jobs have a task for each of them."""
+    from varloom.operators import learning
+
+    rows = spark.range(0, 60, 1, 24).selectExpr("id as sample_id", "cast(id % 2 as int) as label", "array(cast(id % 7 as double), cast(id % 2 as double)) as features")
+    made, width = learning.sized([learning._vectors(rows)], 60)
+    assert (made[0].rdd.getNumPartitions(), width) == (1, 2)
+    results, held = learning.cross_validate(rows, "linear_svc", learning.param_grid({"regParam": [0.01, 0.1], "maxIter": [5]}), 3)
+    assert held.count() == 60 and [r["score"] for r in results.collect()] == [1.0] * 3
