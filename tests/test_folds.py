@@ -70,6 +70,27 @@ def test_few_steps_where_many_windows_hold_a_variant(monkeypatch):
     assert steps[400] < 12 and steps[1600] < 60  # a fold for each window takes about 40 and 160 steps a haplotype
 
 
+def test_ends_that_windows_share_are_folded_once(monkeypatch):
+    """Windows that begin or end at one place, and leave no carried variant out there, take one fold of that end."""
+    contig, taken, fold = "ACGT" * 200, [], folds.fold
+    carried = [("s", "c", p, contig[p - 1 : p + 1], "TTT", 1, 1) for p in range(10, 700, 2)]
+    centers = [("s", "c", 400, "T", a + b + c, 0, 0) for a in "ACGT" for b in "ACGT" for c in "ACGT"]
+    variants = sorted(carried + centers)
+    windows = [[{"direction": "up", "start": 199, "end": 600, "wt_ref": contig[199:600]}] if v in centers else None for v in variants]
+    monkeypatch.setattr(folds, "fold", lambda seq, start, v: (taken.append(start), fold(seq, start, v))[1])
+    got = folds.fold_group(pa.Table.from_pylist([dict(zip(NAMES, v), windows=w) for v, w in zip(variants, windows)]), NAMES, False).to_pylist()
+    want = [model(contig[199:600], 199, 600, variants, h, (400, "T", "AAA"), False) for h in (0, 1)]
+    assert len(got) == 64 and all([(r["_w1"], r["_at1"]), (r["_w2"], r["_at2"])] == want for r in got)
+    assert taken.count(199) <= 4  # the end and the piece that begin there, in two haplotypes; an end for each window are 128
+
+
+def test_folds_are_as_many_tasks_as_the_session_says(spark):
+    """What is shuffled is far smaller than what is made out of it, so its partitions are not joined by their sizes."""
+    df = spark.range(1, 2000).selectExpr("'s' as sample_id", "concat('chr', id % 9) as chrom", "id * 40 as pos", "'A' as ref", "'C' as alt", "1 as a1", "0 as a2")
+    for out in (G.folded_intervals(df, 50, G.periodic_window, 1), G.legacy_haplotypes(df, 50, G.periodic_window, 1)):
+        assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_folded_intervals_as_backgrounds(spark):
     """The operator over bins and samples gives what background lists and their folds give."""
     rng = random.Random(6)

@@ -220,9 +220,12 @@ def split_with_background(rows: DataFrame, n: int, least: int = 1, longest: int
 
 
 def _folded(rows: DataFrame, before: int, after: int, longest: int | None, windows: Callable[[Column], Column], more: Callable[[Column], dict[str, Column]], own: bool) -> DataFrame:
-    """One shuffle, of variants: letters of windows are fetched behind it."""
+    """One shuffle, of variants: letters of windows are fetched behind it.
+
+    Its partitions are as many as the session says: joined to fewer by their sizes they would be few for all that is made out of them.
+    """
     seen, _, home = into_bins(rows, before, after, longest)
-    placed = seen.repartition(*folds.GROUP).sortWithinPartitions(*folds.GROUP, *BACKGROUND)
+    placed = seen.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *folds.GROUP).sortWithinPartitions(*folds.GROUP, *BACKGROUND)
     placed = placed.withColumn("windows", windows(home))
     extra = more(F.col("windows"))
     return folds.fold_windows(placed.withColumns(extra), [*rows.columns, *extra], own)
