@@ -70,6 +70,33 @@ def test_few_steps_where_many_windows_hold_a_variant(monkeypatch):
     assert steps[400] < 12 and steps[1600] < 60  # a fold for each window takes about 40 and 160 steps a haplotype
 
 
+def test_few_steps_where_deletions_stand_everywhere(monkeypatch):
+    """Where most places carry a deletion, so that a variant could be moved far back, windows still take what is folded once."""
+    contig, rng, fold, follow, steps = "ACGT" * 300, random.Random(5), folds.fold, folds.follow, [0]
+    found = {}
+    for pos in range(3, 1190):
+        for size, alt in ((1, "CGTA"[(pos - 1) % 4]), (1, contig[pos - 1] + "GG"), (3, contig[pos - 1]), (2, "CGTAC"[(pos - 1) % 4 : (pos - 1) % 4 + 2])):
+            if rng.random() < 0.85:
+                found[pos, contig[pos - 1 : pos - 1 + size], alt] = (int(rng.random() < 0.75), int(rng.random() < 0.75))
+    variants = [("s", "c", *k, *found[k]) for k in sorted(found)]
+    sides = lambda p, r: [("up", p - 201, p + len(r)), ("down", p - 2, p + len(r) + 199)]
+    windows = [[{"direction": d, "start": s, "end": e, "wt_ref": contig[s:e]} for d, s, e in sides(p, r)] if p > 201 else None for _, _, p, r, *_ in variants]
+    table = pa.Table.from_pylist([dict(zip(NAMES, v), windows=w) for v, w in zip(variants, windows)])
+
+    def counted(index):
+        for i in index:
+            steps[0] += 1
+            yield i
+
+    monkeypatch.setattr(folds, "fold", lambda seq, start, v: fold(seq, start, counted(v)))
+    monkeypatch.setattr(folds, "follow", lambda genome, end, every, whole, index, *more: follow(genome, end, every, whole, counted(index), *more))
+    got = folds.fold_group(table, NAMES, False).to_pylist()
+    assert steps[0] / len(got) < 60  # two haplotypes; a fold for each window takes about a thousand
+    for r in rng.sample(got, 200):
+        center = (r["pos"], r["ref"], r["alt"])
+        assert [(r["_w1"], r["_at1"]), (r["_w2"], r["_at2"])] == [model(contig[r["start"] : r["end"]], r["start"], r["end"], variants, h, center, False) for h in (0, 1)]
+
+
 def test_ends_that_windows_share_are_folded_once(monkeypatch):
     """Windows that begin or end at one place, and leave no carried variant out there, take one fold of that end."""
     contig, taken, fold = "ACGT" * 200, [], folds.fold
