@@ -146,3 +146,26 @@ def test_backgrounds_of_short_and_long_intervals_without_a_shuffle_of_pairs(spar
         assert {r["i"]: [(b["pos"], b["ref"], b["alt"]) for b in r["background"]] for r in out.collect()} == want
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan  # no pairs that are put together to lists again
+
+
+def test_six_of_built_as_of_a_table_without_a_shuffle_of_letters(spark):
+    rows = [(s, "chr1", p, "ACGT"[(p - 1) % 4], a, p % 2, p % 3 % 2) for s in "ab" for p in range(30, 400, 3) for a in ("AC", "G", "TTT") if a != "ACGT"[(p - 1) % 4]]
+    df = spark.createDataFrame(rows, "sample_id string, chrom string, pos long, ref string, alt string, a1 int, a2 int")
+    every = G.split_intervals(df, 20)
+    table = G.six_of_folds(G.folded_intervals(df, 20, G.periodic_window, 1)).select("sample_id", "name", "hap1.mut", G.F.col("hap2.mut").alias("mut2")).toDF("sample_id", "name", "hap1", "hap2")
+    asked = every.filter("pos % 4 <> 1 and (pos % 5 <> 2 or direction = 'upstream')")
+    # An interval that no variant is named after has no haplotypes.
+    asked = asked.unionByName(asked.limit(1).withColumn("pos", G.F.lit(999).cast("long")))
+    out = G.six_of_built(asked, df, 20, G.periodic_window, 1)
+    columns = ["sample_id", "chrom", "pos", "ref", "alt", "direction", "hap1", "hap2", "reference"]
+    want = G.six_of_haplotypes(asked.withColumn("wt_ref", G.periodic_window(G.F.col("start"), G.F.col("end") - G.F.col("start"))), table)
+    assert sorted(map(str, out.select(columns).collect())) == sorted(map(str, want.filter("pos < 999").select(columns).collect())) and out.count() > 200
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange") and plan.index("MapInArrow") < plan.index("Join")  # all shuffles and joins are below the fold
+
+
+def test_six_of_haplotypes_query_looks_up_no_letters(spark):
+    from varloom import catalog
+
+    plan = catalog.six_of_haplotypes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange") and plan.index("MapInArrow") < plan.index("Join")

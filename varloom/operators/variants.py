@@ -280,13 +280,29 @@ def six_of_haplotypes(rows: DataFrame, table: DataFrame) -> DataFrame:
     """
     known = table.select(F.col("sample_id").alias("_sample"), F.col("name").alias("_name"), F.col("hap1").alias("_hap1"), F.col("hap2").alias("_hap2"))
     out = reference_pair(rows).join(known, (F.col("sample_id") == F.col("_sample")) & (F.col("name") == F.col("_name")))
+    return _of_mutants(out).filter("mut_ref is not null").drop("_sample", "_name", "_hap1", "_hap2")
+
+
+def _of_mutants(rows: DataFrame) -> DataFrame:
+    """hap1, hap2, reference out of _hap1 and _hap2, the wild types restored."""
+    out = rows
     for hap in (1, 2):
         mut = F.col(f"_hap{hap}")
         wt = S.restore_wild_type(mut, F.col("direction"), F.col("ref"), F.col("alt"))
         carried = F.col(f"a{hap}") == 1
         out = out.withColumn(f"hap{hap}", F.struct(mut.alias("mut"), F.when(carried, wt).otherwise(mut).alias("wt"), (~F.coalesce(carried, F.lit(False))).alias("wt_is_alias")))
-    out = out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
-    return out.filter("mut_ref is not null").drop("_sample", "_name", "_hap1", "_hap2")
+    return out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
+
+
+def six_of_built(rows: DataFrame, variants: DataFrame, n: int, letters: Callable[[Column, Column], Column], longest: int | None = None) -> DataFrame:
+    """``six_of_haplotypes`` with the table that ``six_of_folds`` of ``variants`` gives, without a look-up of letters.
+
+    Intervals (``rows``, one row each) meet the variants that they are named after, and only haplotypes that are asked for are built: keys alone are shuffled.
+    """
+    key = ["sample_id", "chrom", "pos", "ref", "alt"]
+    asked = rows.groupBy(*key).agg(F.collect_set("direction").alias("_asked"))
+    built = six_of_folds(folded_intervals(variants.join(asked, key, "left"), n, letters, longest)).filter(F.array_contains("_asked", F.col("direction")))
+    return _of_mutants(built.withColumns({f"_hap{hap}": F.col(f"hap{hap}.mut") for hap in (1, 2)})).drop("_asked", "_hap1", "_hap2")
 
 
 def missing_haplotypes(rows: DataFrame, table: DataFrame) -> DataFrame:
