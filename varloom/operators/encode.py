@@ -154,10 +154,11 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key", "seq").agg(F.collect_set(F.coalesce("w", F.lit(-1))).alias("widths"))
 
 
-def encode_distinct(wanted: DataFrame, encoder: Encoder, method: str = "mean", cached: DataFrame | None = None) -> DataFrame:
+def encode_distinct(wanted: DataFrame, encoder: Encoder, method: str = "mean", cached: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
     """(seq, w, vec, error) for the distinct (seq, w) of ``wanted``; w null pools the whole sequence.
 
-    A sequence that is wanted with several widths goes through the encoder once.
+    A sequence that is wanted with several widths goes through the encoder once.  Those of ``alone`` (seq, w) are known to be in one
+    row of it and in none of ``wanted``: their letters are not shuffled.
     """
     need = wanted.select("seq", F.col("w").cast("int").alias("w")).filter("seq is not null")
     if cached is not None:
@@ -165,6 +166,11 @@ def encode_distinct(wanted: DataFrame, encoder: Encoder, method: str = "mean", c
         need = need.join(known, (F.col("seq") == F.col("_s")) & F.col("w").eqNullSafe(F.col("_w")), "left_anti")
     # The key is the sequence itself: this form returns it.
     grouped = need.groupBy("seq").agg(F.collect_set(F.coalesce("w", F.lit(-1))).alias("widths")).withColumn("key", F.encode("seq", "UTF-8"))
+    if alone is not None:
+        if cached is not None:
+            raise ValueError("sequences that are alone are not looked up")
+        lone = alone.filter("seq is not null").select("seq", F.array(F.coalesce(F.col("w").cast("int"), F.lit(-1))).alias("widths"), F.encode("seq", "UTF-8").alias("key"))
+        grouped = grouped.unionByName(lone)
     fresh = _encoded(grouped, encoder, [method]).select(F.decode("key", "UTF-8").alias("seq"), "w", F.col(method).alias("vec"), "error")
     return fresh if cached is None else fresh.unionByName(cached.select("seq", "w", "vec", F.lit(None).cast("string").alias("error")))
 
@@ -265,6 +271,56 @@ def distinct_in_tasks(rows: DataFrame) -> DataFrame:
     return rows.select("x").mapInArrow(run, "seq string, w int, n long")
 
 
+#: Bytes of the SHA-256 that stand for a sequence where its letters are not needed.
+DIGEST = 16
+
+
+def digests_in_tasks(rows: DataFrame) -> DataFrame:
+    """(seq, w, n) as ``distinct_in_tasks`` has them, with the first bytes of a sequence's SHA-256 for the sequence: no letters leave the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column("x").flatten()
+            back, seqs = pc.fill_null(flat.field("back"), False), flat.field("seq")
+            coded = pc.if_else(back, _complemented(seqs), seqs).dictionary_encode()
+            each = pa.table([coded.indices, flat.field("w")], names=["i", "w"])
+            found = each.filter(pc.is_valid(each.column("i"))).group_by(["i", "w"]).aggregate([([], "count_all")]).combine_chunks()
+            digests = pa.array([hashlib.sha256(s).digest()[:DIGEST] for s in coded.dictionary.cast(pa.binary()).to_pylist()], pa.binary())
+            seq = digests.take(found.column("i").combine_chunks()) if found.num_rows else pa.array([], pa.binary())
+            yield from pa.table([seq, found.column("w"), found.column("count_all")], names=["seq", "w", "n"]).combine_chunks().to_batches()
+
+    return rows.select("x").mapInArrow(run, "seq binary, w int, n long")
+
+
+#: Bits of a bitmap of hashes: so many for each, as far as they go.
+BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
+
+
+def apart(rows: DataFrame, *by: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose columns ``by`` no other row has, and the others; some of the first may be among the second.
+
+    Hashes that several rows have are marked in a bitmap of 32 MiB at most, which is broadcast; a fuller one, or two values with one hash,
+    only lets more rows through to the others.  ``rows`` are read three times.
+    """
+    h = F.xxhash64(*by)
+    several = written(rows.groupBy(h.alias("h")).agg(F.count("*").alias("n")).filter("n > 1").select("h"), "several")
+    bits, wanted = LEAST_BITS, BITS * several.count()
+    while bits < min(MOST_BITS, wanted):
+        bits *= 2
+    word = F.shiftright(F.col("h").bitwiseAND(bits - 1), 6)
+    words = several.groupBy(word.alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b")).toArrow()
+    marks = np.zeros(bits // 64, dtype=np.int64)
+    marks[words.column("i").to_numpy()] = words.column("b").to_numpy()
+    held = rows.sparkSession.sparkContext.broadcast(marks)
+
+    @F.arrow_udf("boolean")
+    def alone(hashes: pa.Array) -> pa.Array:
+        at = hashes.to_numpy(zero_copy_only=False) & (bits - 1)
+        return pa.array((held.value[at >> 6] >> (at & 63)) & 1 == 0)
+
+    return rows.filter(alone(h)), rows.filter(~alone(h))
+
+
 def keys_in_tasks(rows: DataFrame, pooling: str) -> DataFrame:
     """(sample_id, variant_id, direction, slot, key) of the twelve slots of a variant: ``slots`` with the cache key of each sequence.
 
@@ -365,13 +421,18 @@ def cache_report(wanted: DataFrame, cached: DataFrame) -> DataFrame:
     """keys, hits (keys that were cached before), new_sequences (others, once each) and the size of the cache after.
 
     A column ``n`` of ``wanted`` says for how many keys a row stands.  With a column ``method`` on both sides, a key's methods count one by one: it is a hit if each was cached.
+    Sequences may be digests on both sides.  Without methods both sides meet in one shuffle.
     """
-    by = ["seq", *(["method"] if "method" in wanted.columns else [])]
+    if "method" not in wanted.columns:
+        n = F.col("n").cast("long") if "n" in wanted.columns else F.lit(1).cast("long")
+        both = wanted.select("seq", n.alias("n"), F.lit(False).alias("known")).unionByName(cached.select("seq", F.lit(None).cast("long").alias("n"), F.lit(True).alias("known")))
+        each = both.groupBy("seq").agg(F.sum("n").alias("n"), F.bool_or("known").alias("known"))
+        hit = F.col("known") & F.col("seq").isNotNull()
+        zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+        return each.agg(zero(F.sum("n")).alias("keys"), zero(F.sum(F.when(hit, F.col("n")))).alias("hits"), F.count(F.when(~hit & F.col("n").isNotNull() & F.col("seq").isNotNull(), 1)).alias("new_sequences"), F.count("*").alias("size"))
+    by = ["seq", "method"]
     known = cached.select(*by).distinct().withColumn("hit", F.lit(True))
-    asked = wanted.join(known, by, "left")
-    if "method" in by:
-        asked = asked.groupBy("key", "seq").agg(F.bool_and(F.coalesce("hit", F.lit(False))).alias("hit")).withColumn("hit", F.when(F.col("hit"), True))
-    n = F.col("n") if "n" in asked.columns else F.lit(1)
-    report = asked.agg(F.coalesce(F.sum(n), F.lit(0)).alias("keys"), F.coalesce(F.sum(F.when(F.col("hit"), n)), F.lit(0)).alias("hits"), F.count_distinct(F.when(F.col("hit").isNull(), F.col("seq"))).alias("new_sequences"))
+    asked = wanted.join(known, by, "left").groupBy("key", "seq").agg(F.bool_and(F.coalesce("hit", F.lit(False))).alias("hit")).withColumn("hit", F.when(F.col("hit"), True))
+    report = asked.agg(F.count("*").alias("keys"), F.count("hit").alias("hits"), F.count_distinct(F.when(F.col("hit").isNull(), F.col("seq"))).alias("new_sequences"))
     size = cached.select("seq").unionByName(wanted.select("seq")).distinct().agg(F.count("*").alias("size"))
     return report.crossJoin(F.broadcast(size))  # one row each

@@ -41,8 +41,8 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
     """The same as a Parquet table: who reads it again takes only the columns that it needs."""
     path = new_folder(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
