@@ -197,3 +197,39 @@ def test_distinct_slots_of_batches(spark):
 
     plan = catalog.cache_misses(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan
+
+
+def test_rows_that_are_alone_are_not_met_by_their_letters(spark, monkeypatch):
+    """Rows in two, whatever the bitmap holds; each sequence is encoded once and reported once, and letters of lone ones are not shuffled."""
+    from varloom.operators import encode
+
+    rows = [(f"{'ACGT' * (i % 7)}{i % 300:b}", i % 3, 1) for i in range(700)] + [("AC", None, 2), ("AC", None, 2)]
+    df = spark.createDataFrame(rows, "seq string, w int, n long").cache()
+    seqs = [r[0] for r in rows]
+    for bits in (encode.MOST_BITS, 64):
+        monkeypatch.setattr(encode, "LEAST_BITS", min(bits, 1 << 16))
+        monkeypatch.setattr(encode, "MOST_BITS", bits)
+        once, others = encode.apart(df, "seq")
+        one, more = [r["seq"] for r in once.collect()], [r["seq"] for r in others.collect()]
+        assert sorted(one + more) == sorted(seqs) and len(set(one)) == len(one) and not set(one) & set(more)
+        assert bits == 64 or len(one) == sum(seqs.count(s) == 1 for s in set(seqs))
+        found = encode.encode_distinct(others, encode.ToyEncoder(), alone=once)
+        want = encode.encode_distinct(df, encode.ToyEncoder())
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() == len({r[:2] for r in rows})
+    report = encode.cache_report(df, df.filter("length(seq) < 12")).first()
+    short = {s for s in seqs if len(s) < 12}
+    assert tuple(report) == (sum(r[2] for r in rows), sum(r[2] for r in rows if r[0] in short), len(set(seqs) - short), len(set(seqs)))
+
+
+def test_cache_queries_shuffle_no_letters_of_lone_sequences(spark):
+    """Above the written table lone sequences meet no shuffle: half of each query's plan has none."""
+    from varloom import catalog, catalog_files
+
+    for q in (catalog.cache_misses, catalog_files.encode_fallback, catalog.cache_hit_report):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        branches = plan[plan.index("Union") :].split("Scan parquet")[:-1]
+        assert any("hashpartitioning(seq" not in b for b in branches) and "hashpartitioning(seq" in plan
+    digests = catalog.digested(spark, "/root/testdata/sf0.001")
+    assert digests.schema["seq"].dataType.simpleString() == "binary" and {len(r["seq"]) for r in digests.limit(50).collect()} == {16}
+    plan = catalog.distinct_sequences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "md5" not in plan
