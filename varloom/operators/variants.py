@@ -187,6 +187,29 @@ def background_join(intervals: DataFrame, rows: DataFrame, bin_size: int = BINS,
     return folds.backgrounds(both.repartition(*folds.GROUP).sortWithinPartitions(*folds.GROUP), left.schema["i"].dataType)
 
 
+def background_texts(intervals: DataFrame, rows: DataFrame, names: list[str], bin_size: int = BINS, longest: int | None = None) -> DataFrame:
+    """``background_join`` with a list as text (position, REF, >, ALT, with commas) and its length n: no list is made a column of structs.
+
+    ``names`` are the columns of ``intervals`` that are kept, besides start and end; other columns are not shuffled.
+    """
+    size = lambda level: bin_size * F.pow(F.lit(WIDER), level).cast("long")
+    length = F.col("end") - F.col("start")
+    level = sum((F.when(length > bin_size * WIDER**k, 1).otherwise(0) for k in range(LEVELS)), F.lit(0))
+    if longest is None:
+        levels = sorted(x[0] for x in intervals.select(level).distinct().collect())  # LEVELS + 1 at most
+    else:
+        levels = range(sum(longest > bin_size * WIDER**k for k in range(LEVELS)) + 1)
+    bin_ = lambda level, at: F.shiftleft(level.cast("long"), 48) + at  # noqa: E731 - a level's bins are fewer
+    kept = list(dict.fromkeys(["sample_id", "chrom", *names, "pos", "ref", "alt", "start", "end"]))
+    left = intervals.select(*kept, bin_(level, F.floor(F.col("start") / size(level))).alias("_bin"))
+    # A variant goes to the bins of intervals that reach it: one, near a bin's start two.
+    reach = lambda k: min(longest or bin_size * WIDER**k, bin_size * WIDER**k)
+    where = F.flatten(F.array(*[F.sequence(*[bin_(F.lit(k), F.floor((F.col("pos") - back) / size(F.lit(k)))) for back in (reach(k), 1)]) for k in levels]))
+    right = rows.select("sample_id", "chrom", "pos", "ref", "alt", F.explode(where).alias("_bin"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    return folds.background_texts(both.repartition(*folds.GROUP).sortWithinPartitions(*folds.GROUP), names)
+
+
 def into_bins(rows: DataFrame, before: int, after: int, longest: int | None = None) -> tuple[DataFrame, int, Column]:
     """rows in the bin (_bin) of their position and in those whose variants may see them, from ``before`` bases before
     a variant's position to ``after`` behind its REF's end; how far behind a position that is, and whether a row is in its own bin.
@@ -219,6 +242,21 @@ def split_with_background(rows: DataFrame, n: int, least: int = 1, longest: int
     return seen.withColumn("background", F.filter("neighbours", inside)).drop("neighbours")
 
 
+def split_with_background_texts(rows: DataFrame, n: int, longest: int | None = None) -> DataFrame:
+    """split_intervals of variants, and of each interval the other variants in it: n and background, as ``background_texts`` has them.
+
+    One shuffle, of variants; texts are made in the task that has all that its intervals hold.
+    """
+    seen, _, home = into_bins(rows.select("sample_id", "chrom", "pos", "ref", "alt"), n, n, longest)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = seen.repartition(parts, *folds.GROUP).sortWithinPartitions(*folds.GROUP, "pos")
+    spans = F.array(*[F.struct(a.alias("start"), b.alias("end"), F.lit(d).alias("direction")) for a, b, d in interval_sides(n)])
+    none = F.array(F.struct(F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end"), F.lit(None).cast("string").alias("direction")))
+    # Each row as a variant, and as its intervals where it is at home.
+    each = placed.select("*", F.explode(F.when(home & (F.col("pos") - n - 1 >= 0), F.concat(none, spans)).otherwise(none)).alias("_i")).select("*", "_i.*").drop("_i")
+    return folds.background_texts(each, ["sample_id", "chrom", "pos", "ref", "alt", "direction"])
+
+
 def _folded(rows: DataFrame, before: int, after: int, longest: int | None, windows: Callable[[Column], Column], more: Callable[[Column], dict[str, Column]], own: bool) -> DataFrame:
     """One shuffle, of variants: letters of windows are fetched behind it.
 
