@@ -169,3 +169,29 @@ def test_six_of_haplotypes_query_looks_up_no_letters(spark):
 
     plan = catalog.six_of_haplotypes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInArrow") < plan.index("Exchange") and plan.index("MapInArrow") < plan.index("Join")
+
+
+def test_background_texts_as_lists(spark):
+    """Texts cut out of one text of a bin's variants, own variants left out, against lists of structs; letters that are not ASCII among them."""
+    rng = random.Random(9)
+    rows = sorted({(rng.choice("ab"), "chr1", rng.randrange(1, 9500), rng.choice(["A", "AC"]), rng.choice(["G", "éT"])) for _ in range(900)} | {("a", "chr1", p, "A", "G") for p in range(4090, 4100)})
+    df = spark.createDataFrame([(*r, 1, 0) for r in rows], "sample_id string, chrom string, pos long, ref string, alt string, a1 int, a2 int")
+    F, names = G.F, ["sample_id", "chrom", "pos", "ref", "alt", "direction"]
+    text = F.array_join(F.transform("background", lambda v: F.concat(v["pos"].cast("string"), v["ref"], F.lit(">"), v["alt"])), ",")
+    long = G.split_intervals(df, 60).withColumn("end", F.when(F.col("pos") % 9 == 0, F.col("end") + 5000).when(F.col("pos") % 9 == 1, F.col("start")).otherwise(F.col("end")))
+    strangers = long.limit(5).withColumn("alt", F.lit("CC"))  # of no variant of the table
+    long = long.unionByName(strangers)
+    want = G.background_join(long, df).select(*names, "start", "end", F.size("background").alias("n"), text.alias("background"))
+    for longest in (None, 6000):
+        assert sorted(map(str, G.background_texts(long, df, names, longest=longest).collect())) == sorted(map(str, want.collect()))
+    lists = G.split_with_background(df, 60).select(*names, "start", "end", F.size("background").alias("n"), text.alias("background"))
+    got = G.split_with_background_texts(df, 60)
+    assert sorted(map(str, got.collect())) == sorted(map(str, lists.collect())) and got.filter("n > 1").count() > 500
+
+
+def test_background_queries_make_no_lists_of_structs(spark):
+    from varloom import catalog
+
+    for q in (catalog.background_join, catalog.background_join_intervals):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan and "array_join" not in plan and "struct(sample_id" not in plan
