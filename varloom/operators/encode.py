@@ -28,6 +28,18 @@ class Encoder(Protocol):
     def hidden_states(self, sequences: list[str]) -> list[np.ndarray]: ...
 
 
+class Tokens(list):
+    """Token vectors of sequences that are parts of one array, ``flat``, one after the other: pooled without being put together again."""
+
+    def __init__(self, states: list[np.ndarray], flat: np.ndarray):
+        super().__init__(states)
+        self.flat = flat
+
+    @classmethod
+    def of(cls, states: Sequence[np.ndarray]) -> "Tokens":
+        return states if isinstance(states, cls) else cls(list(states), np.concatenate(states))
+
+
 class ToyEncoder:
     """A deterministic encoder for tests: one token for each base, component j of it the sine of
     byte * (1 + j) / 16 + place / 32."""
@@ -47,8 +59,8 @@ class ToyEncoder:
         for c in np.flatnonzero(np.bincount(codes, minlength=256) * (self._rows < 0)):  # a byte's tokens at all places, when it is first seen
             made = self._codes[0][c] * self._places[1] + self._codes[1][c] * self._places[0]
             self._rows[c], self._known = len(self._known), np.concatenate([self._known, made])
-        flat = self._known[self._rows[codes] + place]
-        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        flat = np.take(self._known, self._rows[codes] + place, axis=0, mode="clip")
+        return Tokens([flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())], flat)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -63,26 +75,44 @@ def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)
 
 
+#: Tokens of a block: so many are pooled side by side.
+BLOCK = 16
+
+
 def pool_batch(states: Sequence[np.ndarray], owners: np.ndarray, widths: np.ndarray, method: str) -> np.ndarray:
     """A vector for each (owner, width): its state's last ``width`` tokens (all, if negative) pooled; 0 without tokens."""
     if method not in POOLING:
         raise ValueError(f"pooling is mean, max or last_token, not {method}")
+    flat = Tokens.of(states).flat
     sizes = np.array([len(x) for x in states], dtype=np.int64)
     ends = np.cumsum(sizes)
-    flat = np.concatenate(states)
     counts = np.where(widths < 0, sizes[owners], np.minimum(widths, sizes[owners]))
     out = np.zeros((len(owners), flat.shape[1]), dtype=np.float64)
-    some = np.flatnonzero(counts)
-    if not len(some):
-        return out
-    counts, last = counts[some], ends[owners[some]]
     if method == "last_token":
-        out[some] = flat[last - 1]
+        some = np.flatnonzero(counts)
+        out[some] = flat[ends[owners[some]] - 1]
+        return out
+    flat = np.ascontiguousarray(flat, dtype=np.float64)
+    last, long = ends[owners], counts >= 2 * BLOCK
+    short = np.flatnonzero((counts > 0) & ~long)
+    if len(short):  # few tokens each
+        n = counts[short]
+        pooled = (np.add if method == "mean" else np.maximum).reduceat(flat[_spans(last[short] - n, n)], np.cumsum(n) - n)
+        out[short] = pooled / n[:, None] if method == "mean" else pooled
+    many = np.flatnonzero(long)
+    spans = zip((last[many] - counts[many]).tolist(), last[many].tolist())
+    if not len(many):
         return out
-    every = len(owners) == len(sizes) == len(some) and (owners[1:] > owners[:-1]).all() and (counts == sizes).all()
-    tokens = flat if every else flat[_spans(last - counts, counts)]
-    pooled = (np.add if method == "mean" else np.maximum).reduceat(tokens, np.cumsum(counts) - counts)
-    out[some] = pooled / counts[:, None] if method == "mean" else pooled
+    if method == "mean":
+        ones = np.ones(counts.max())
+        out[many] = np.array([ones[: b - a] @ flat[a:b] for a, b in spans]) / counts[many][:, None]
+    else:  # whole blocks from the first token on, and the last block, which may overlap them
+        width = flat.shape[1]
+        blocks, tails = np.empty((2, len(many), BLOCK * width))
+        for k, (a, b) in enumerate(spans):
+            np.maximum.reduce(flat[a : b - (b - a) % BLOCK].reshape(-1, BLOCK * width), axis=0, out=blocks[k])
+            tails[k] = flat[b - BLOCK : b].ravel()
+        out[many] = np.maximum(blocks, tails).reshape(len(many), BLOCK, width).max(axis=1)
     return out
 
 
@@ -118,6 +148,27 @@ def _lists(x: np.ndarray, bad: np.ndarray | None) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(x.ravel()), mask=pa.array(bad) if bad is not None and bad.any() else None)
 
 
+_DIGITS = np.char.zfill(np.arange(10_000).astype("S4"), 4).view(np.uint8).reshape(-1, 4)
+
+
+def vector_texts(x: np.ndarray) -> pa.Array:
+    """Each row's cells rounded to four digits (halves away from zero, no negative zero), with commas between."""
+    v = np.abs(x.astype(np.float64)) * 1e4
+    if not (v < 99_999).all():  # larger cells, and those that are not numbers
+        return pa.array([",".join(f"{np.copysign(np.floor(a + 0.5), c) / 1e4 + 0.0:.4f}" if np.isfinite(c) else str(c) for a, c in zip(*r)) for r in zip(v, x)], pa.string())
+    r = np.trunc(v)
+    r = (r + (v - r >= 0.5)).astype(np.int32)
+    cells = np.empty((*x.shape, 8), dtype=np.uint8)
+    cells[..., 0], cells[..., 2], cells[..., 7] = ord("-"), ord("."), ord(",")
+    cells[..., 1] = r // 10_000 + ord("0")
+    cells[..., 3:7] = _DIGITS[r % 10_000]
+    kept = np.ones(cells.shape, dtype=bool)
+    kept[..., 0] = (x < 0) & (r > 0)
+    kept[:, -1:, 7] = False
+    offsets = np.concatenate([[0], np.cumsum(kept.sum(axis=(1, 2)))]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(cells[kept].tobytes())])
+
+
 def _encoded(need: DataFrame, encoder: Encoder, methods: Sequence[str]) -> DataFrame:
     """(key, w, a vector for each method, error) of ``need`` (key binary, seq, widths): w null pools the whole sequence.
 
@@ -131,6 +182,7 @@ def _encoded(need: DataFrame, encoder: Encoder, methods: Sequence[str]) -> DataF
             for begin in range(0, whole.num_rows, encoder.batch):
                 batch = whole.slice(begin, encoder.batch)
                 states, errors = _states(encoder, batch.column("seq").to_pylist())
+                states = Tokens.of(states)
                 lists = batch.column("widths")
                 owners = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
                 widths = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -203,9 +255,10 @@ def _complemented(seqs: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(turned.type, len(turned), [valid, offsets, pa.py_buffer(_OTHER[np.frombuffer(letters, dtype=np.uint8)])], turned.null_count, turned.offset)
 
 
-def encoded_in_tasks(rows: DataFrame, encoders: Sequence[Encoder], methods: Sequence[str], tails: bool = True) -> DataFrame:
+def encoded_in_tasks(rows: DataFrame, encoders: Sequence[Encoder], methods: Sequence[str], tails: bool = True, as_text: bool = False) -> DataFrame:
     """``rows`` with their ``x`` (a list of structs with key, seq, w, back) as a list of (key, w, {method}_{number of the encoder},
-    ..., error_{number}); without ``tails`` whole sequences are pooled.
+    ..., error_{number}); without ``tails`` whole sequences are pooled.  ``as_text``: each distinct vector is made text once
+    (``vector_texts``), instead of a list of floats.
 
     Each distinct sequence of a batch is encoded once, where it is made: no letters are shuffled.  For encoders that cost less
     than that shuffle; most equal sequences are a variant's own (a wild type that is its mutant's alias) or a batch's.
@@ -214,14 +267,14 @@ def encoded_in_tasks(rows: DataFrame, encoders: Sequence[Encoder], methods: Sequ
     if not methods or not encoders:
         raise ValueError("at least one encoder and one method")
     others = [c for c in rows.columns if c != "x"]
-    fields = ["key string", "w int", *[f"{m}_{i} array<float>" for i in range(len(encoders)) for m in methods], *[f"error_{i} string" for i in range(len(encoders))]]
+    fields = ["key string", "w int", *[f"{m}_{i} {'string' if as_text else 'array<float>'}" for i in range(len(encoders)) for m in methods], *[f"error_{i} string" for i in range(len(encoders))]]
     schema = T.StructType([rows.schema[c] for c in others] + T._parse_datatype_string(f"x array<struct<{', '.join(f.replace(' ', ':', 1) for f in fields)}>>").fields)
 
     def found(encoder: Encoder, texts: list[str], owners: np.ndarray, widths: np.ndarray) -> tuple[list[np.ndarray], list[str | None]]:
         vectors, errors = [np.zeros((len(owners), encoder.width), dtype=np.float32) for _ in methods], []
         for begin in range(0, len(texts), encoder.batch):
             states, wrong = _states(encoder, texts[begin : begin + encoder.batch])
-            errors += wrong
+            states, errors = Tokens.of(states), errors + wrong
             i, j = np.searchsorted(owners, [begin, begin + encoder.batch])
             for k, m in enumerate(methods):
                 vectors[k][i:j] = pool_batch(states, owners[i:j] - begin, widths[i:j], m)
@@ -244,7 +297,11 @@ def encoded_in_tasks(rows: DataFrame, encoders: Sequence[Encoder], methods: Sequ
                 vectors, errors = found(encoder, coded.dictionary.to_pylist(), owners, widths)
                 failed = np.array([e is not None for e in errors], dtype=bool)
                 bad = missing | failed[index] if len(failed) else missing
-                columns += [_lists(v[place] if len(v) else np.zeros((len(flat), encoder.width), dtype=np.float32), bad) for v in vectors]
+                if as_text:
+                    texts = [vector_texts(v).take(pa.array(place)) if len(v) else pa.nulls(len(flat), pa.string()) for v in vectors]
+                    columns += [pc.if_else(pa.array(bad), pa.scalar(None, pa.string()), t) for t in texts] if bad.any() else texts
+                else:
+                    columns += [_lists(v[place] if len(v) else np.zeros((len(flat), encoder.width), dtype=np.float32), bad) for v in vectors]
                 wrong.append(pa.array([errors[i] if i >= 0 else None for i in index.tolist()] if failed.any() else [None] * len(flat), pa.string()))
             made = pa.StructArray.from_arrays([*columns, *wrong], [f.split()[0] for f in fields])
             offsets = np.concatenate([[0], np.cumsum(pc.fill_null(x.value_lengths(), 0).to_numpy(zero_copy_only=False))]).astype(np.int32)
@@ -344,13 +401,15 @@ def keys_in_tasks(rows: DataFrame, pooling: str) -> DataFrame:
     return lists.mapInArrow(run, schema)
 
 
-def embed_in_tasks(rows: DataFrame, encoder: Encoder, method: str = "mean") -> DataFrame:
-    """``embed_variants`` by ``encoded_in_tasks``: only vectors are shuffled, six of a direction in a row."""
-    made = encoded_in_tasks(slot_lists(rows), [encoder], [method])
+def embed_in_tasks(rows: DataFrame, encoder: Encoder, method: str = "mean", as_text: bool = False) -> DataFrame:
+    """``embed_variants`` by ``encoded_in_tasks``: only vectors (``as_text``, their texts) are shuffled, six of a direction in a row."""
+    made = encoded_in_tasks(slot_lists(rows), [encoder], [method], as_text=as_text)
+    made = made.withColumn("x", F.transform("x", lambda x: F.struct(x["key"].alias("key"), x[f"{method}_0"].alias(f"{method}_0"))))
     side = lambda d: F.first(F.when(F.col("direction") == d, F.col("x")), ignorenulls=True)
     pair = made.groupBy("sample_id", "variant_id").agg(side("upstream").alias("up"), side("downstream").alias("down"))
     both = pair.select("sample_id", "variant_id", F.explode(F.arrays_zip("up", "down")).alias("x"))
-    out = both.select("sample_id", "variant_id", F.lit(encoder.name).alias("model"), F.col("x.up.key").alias("key"), F.concat(F.col(f"x.up.{method}_0"), F.col(f"x.down.{method}_0")).alias("vec"))
+    parts = [F.col(f"x.{d}.{method}_0") for d in ("up", "down")]
+    out = both.select("sample_id", "variant_id", F.lit(encoder.name).alias("model"), F.col("x.up.key").alias("key"), (F.concat(parts[0], F.lit(","), parts[1]) if as_text else F.concat(*parts)).alias("vec"))
     return out.filter("vec is not null")
 
 
