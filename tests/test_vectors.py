@@ -233,3 +233,27 @@ def test_cache_queries_shuffle_no_letters_of_lone_sequences(spark):
     assert digests.schema["seq"].dataType.simpleString() == "binary" and {len(r["seq"]) for r in digests.limit(50).collect()} == {16}
     plan = catalog.distinct_sequences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and "md5" not in plan
+
+
+def test_vectors_as_text_and_pooling_in_blocks(spark):
+    """Texts of vectors as Spark's decimals have them, halves and large cells among them; long states pooled as short ones."""
+    import numpy as np
+
+    from varloom import catalog, catalog_files
+    from varloom.operators import encode
+
+    x = np.array([[0.03125, -0.03125, -0.00001, 0.99995], [-1, 1, 9.99984, -0.5], [0, -0.0, 0.12345, -0.99996]], dtype=np.float32)
+    x = np.concatenate([x, np.random.default_rng(1).uniform(-1, 1, (500, 4)).astype(np.float32)])
+    want = [r[0] for r in spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "i int, v array<float>").orderBy("i").select(catalog.short_text(catalog.F.col("v"))).collect()]
+    assert encode.vector_texts(x).to_pylist() == want
+    assert encode.vector_texts(np.array([[12.5, -123456.75]], dtype=np.float32)).to_pylist() == ["12.5000,-123456.7500"]
+
+    states = [np.random.default_rng(n).normal(size=(n, 3)) for n in (1, 31, 32, 33, 47, 48, 400)]
+    owners, widths = np.repeat(np.arange(7), 3), np.tile([-1, 40, 2], 7)
+    for method, f in (("mean", np.mean), ("max", np.max), ("last_token", lambda a, axis: a[-1])):
+        want = [f(states[o][-w:] if w > 0 else states[o], axis=0) for o, w in zip(owners, widths)]
+        assert np.allclose(encode.pool_batch(states, owners, widths, method), want, atol=1e-14)
+    made = encode.ToyEncoder().hidden_states(["ACGT" * 20, "AC", ""])
+    assert encode.Tokens.of(made) is made and made.flat.shape == (82, 8) and np.shares_memory(made[0], made.flat)
+    for q in (catalog.bulk_embed_keyed, catalog.multi_model_embed, catalog.embed_six_vectors, catalog_files.legacy_embed):
+        assert "decimal" not in q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()

@@ -114,9 +114,9 @@ def legacy_embed(spark, d):
     """Centred windows with all variants of a sample put in, and their reverse complements, keyed and pooled as a whole."""
     slot = lambda k, c: F.struct(F.lit(k).alias("key"), F.col(c.replace("rc", "hap")).alias("seq"), F.lit(-1).alias("w"), F.lit(c.startswith("rc")).alias("back"))
     rows = C.legacy_pairs(spark, d).select("sample_id", "variant_id", F.array(*[slot(k, c) for k, c in LEGACY_FIELDS.items()]).alias("x"))
-    found = encode.encoded_in_tasks(rows, [encode.ToyEncoder()], ["mean", "max"], tails=False)
+    found = encode.encoded_in_tasks(rows, [encode.ToyEncoder()], ["mean", "max"], tails=False, as_text=True)
     each = found.select("sample_id", "variant_id", F.explode("x").alias("x")).filter("x.mean_0 is not null")
-    return each.select(F.concat_ws("||", "sample_id", "variant_id", "x.key").alias("key"), *[C.short_text(F.col(f"x.{m}_0")).alias(m) for m in ("mean", "max")])
+    return each.select(F.concat_ws("||", "sample_id", "variant_id", "x.key").alias("key"), *[F.col(f"x.{m}_0").alias(m) for m in ("mean", "max")])
 
 
 class PickyEncoder(encode.ToyEncoder):
