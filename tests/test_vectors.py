@@ -257,3 +257,24 @@ def test_vectors_as_text_and_pooling_in_blocks(spark):
     assert encode.Tokens.of(made) is made and made.flat.shape == (82, 8) and np.shares_memory(made[0], made.flat)
     for q in (catalog.bulk_embed_keyed, catalog.multi_model_embed, catalog.embed_six_vectors, catalog_files.legacy_embed):
         assert "decimal" not in q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_neighbours_are_embedded_without_a_shuffle(spark):
+    """The same as by groups, batches of odd sizes among them; rows that are no neighbours are refused."""
+    import pytest
+
+    from varloom import catalog
+    from varloom.operators import encode
+    from varloom.operators import variants as G
+
+    six = G.both_directions(catalog.six(spark, "/root/testdata/sf0.001"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted(map(tuple, encode.embed_neighbours(six, encode.ToyEncoder()).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(map(tuple, encode.embed_in_tasks(six, encode.ToyEncoder(), as_text=True).collect())) and len(got) > 1000
+    with pytest.raises(Exception, match="not neighbours"):
+        encode.embed_neighbours(six.filter("direction = 'upstream'"), encode.ToyEncoder()).collect()
+    plan = catalog.embed_six_vectors(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange")

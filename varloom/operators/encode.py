@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import Protocol
 
@@ -266,9 +266,18 @@ def encoded_in_tasks(rows: DataFrame, encoders: Sequence[Encoder], methods: Sequ
     _checked(methods)
     if not methods or not encoders:
         raise ValueError("at least one encoder and one method")
-    others = [c for c in rows.columns if c != "x"]
-    fields = ["key string", "w int", *[f"{m}_{i} {'string' if as_text else 'array<float>'}" for i in range(len(encoders)) for m in methods], *[f"error_{i} string" for i in range(len(encoders))]]
+    others, fields = [c for c in rows.columns if c != "x"], _fields(len(encoders), methods, as_text)
     schema = T.StructType([rows.schema[c] for c in others] + T._parse_datatype_string(f"x array<struct<{', '.join(f.replace(' ', ':', 1) for f in fields)}>>").fields)
+    return rows.select(*others, "x").mapInArrow(_encoding(others, encoders, methods, tails, as_text), schema)
+
+
+def _fields(encoders: int, methods: Sequence[str], as_text: bool) -> list[str]:
+    return ["key string", "w int", *[f"{m}_{i} {'string' if as_text else 'array<float>'}" for i in range(encoders) for m in methods], *[f"error_{i} string" for i in range(encoders)]]
+
+
+def _encoding(others: list[str], encoders: Sequence[Encoder], methods: Sequence[str], tails: bool, as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What ``encoded_in_tasks`` does with batches of ``others`` and x."""
+    fields = _fields(len(encoders), methods, as_text)
 
     def found(encoder: Encoder, texts: list[str], owners: np.ndarray, widths: np.ndarray) -> tuple[list[np.ndarray], list[str | None]]:
         vectors, errors = [np.zeros((len(owners), encoder.width), dtype=np.float32) for _ in methods], []
@@ -308,7 +317,7 @@ def encoded_in_tasks(rows: DataFrame, encoders: Sequence[Encoder], methods: Sequ
             lists = pa.ListArray.from_arrays(pa.array(offsets), made, mask=x.is_null() if x.null_count else None)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], lists], [*others, "x"])
 
-    return rows.select(*others, "x").mapInArrow(run, schema)
+    return run
 
 
 def distinct_in_tasks(rows: DataFrame) -> DataFrame:
@@ -413,6 +422,43 @@ def embed_in_tasks(rows: DataFrame, encoder: Encoder, method: str = "mean", as_t
     return out.filter("vec is not null")
 
 
+def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that hold both directions of each variant, upstream first; fails where they are not neighbours."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        whole = rows.num_rows - rows.num_rows % 2
+        held = rows.slice(whole).to_batches()[0] if whole < rows.num_rows else None
+        if whole:
+            up, down = (rows.take(pa.array(np.arange(k, whole, 2))) for k in (0, 1))
+            same = [pc.all(pc.equal(up.column(c), down.column(c))).as_py() for c in ("sample_id", "variant_id")]
+            if not all([*same, pc.all(pc.equal(up.column("direction"), "upstream")).as_py(), pc.all(pc.equal(down.column("direction"), "downstream")).as_py()]):
+                raise ValueError("the two directions of a variant are not neighbours")
+            yield rows.slice(0, whole).combine_chunks().to_batches()[0]
+    if held is not None:
+        raise ValueError("the two directions of a variant are not neighbours")
+
+
+def embed_neighbours(rows: DataFrame, encoder: Encoder, method: str = "mean") -> DataFrame:
+    """``embed_in_tasks`` with texts, where both directions of each variant are neighbours, as ``folded_intervals`` gives them: nothing is shuffled."""
+    _checked([method])
+    lists = slot_lists(rows)
+    others = ["sample_id", "variant_id", "direction"]
+    encode = _encoding(others, [encoder], [method], True, True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in encode(neighbours(batches)):
+            up, down = (made.take(pa.array(np.arange(k, made.num_rows, 2))) for k in (0, 1))
+            x, y = up.column("x").flatten(), down.column("x").flatten()
+            owner = pa.array(np.repeat(np.arange(up.num_rows), up.column("x").value_lengths().to_numpy(zero_copy_only=False)))
+            vec = pc.binary_join_element_wise(x.field(f"{method}_0"), y.field(f"{method}_0"), ",")
+            out = pa.RecordBatch.from_arrays([*[up.column(c).take(owner) for c in others[:2]], x.field("key"), vec], ["sample_id", "variant_id", "key", "vec"])
+            yield out.filter(pc.is_valid(vec))
+
+    schema = T.StructType([lists.schema["sample_id"], lists.schema["variant_id"], T.StructField("key", T.StringType()), T.StructField("vec", T.StringType())])
+    return lists.mapInArrow(run, schema).select("sample_id", "variant_id", F.lit(encoder.name).alias("model"), "key", "vec")
+
+
 #: A key is hot if more than one in so many slots holds it, so there are fewer hot keys than this.
 HOT = 1000
 

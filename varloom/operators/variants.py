@@ -304,7 +304,9 @@ def six_sequences(rows: DataFrame) -> DataFrame:
 
 def six_of_folds(rows: DataFrame) -> DataFrame:
     """The same from what ``folded_intervals`` gives."""
-    out = reference_pair(rows).filter("mut_ref is not null")
+    at = F.col("pos") - 1 - F.col("start")
+    # Where mut_ref is not null, asked without its letters.
+    out = reference_pair(rows.filter((at >= 0) & (at + F.length("ref") <= F.length("wt_ref")) & F.col("alt").isNotNull()))
     pairs = {f"hap{hap}": S.haplotype_pair(F.col(f"_w{hap}"), F.col(f"_at{hap}"), F.col("ref"), F.col("alt"), F.col(f"a{hap}")) for hap in (1, 2)}
     out = out.withColumns(pairs).drop(*[f"_{c}{hap}" for c in ("w", "at") for hap in (1, 2)])
     return out.withColumn("reference", F.struct(F.col("mut_ref").alias("mut"), F.col("wt_ref").alias("wt"), F.lit(False).alias("wt_is_alias")))
